@@ -55,17 +55,17 @@ def with_ordinal(
     placed = cut_lineage(
         df.repartitionByRange(*keys)
         .sortWithinPartitions(*keys)
-        .withColumn("_at", F.monotonically_increasing_id()),
+        .withColumn("_place", F.monotonically_increasing_id()),
         "ordinal",
     ).select(
         "*",
-        F.shiftright("_at", ROW_BITS).alias("_range"),
-        F.col("_at").bitwiseAND(F.lit((1 << ROW_BITS) - 1)).alias("_row"),
+        F.shiftright("_place", ROW_BITS).alias("_range"),
+        F.col("_place").bitwiseAND(F.lit((1 << ROW_BITS) - 1)).alias("_row"),
     )
     sizes = placed.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
     starts = running_offsets(sizes, "_range", "_n", "_start").select("_range", "_start")
     out = join_sized(placed, starts, ["_range"]).withColumn(name, F.col("_start") + F.col("_row"))
-    out = out.drop("_at", "_range", "_row", "_start")
+    out = out.drop("_place", "_range", "_row", "_start")
     if by:
         first = out.groupBy(*by).agg(F.min(name).alias("_first"))
         out = (
