@@ -20,35 +20,50 @@ def latency_stats(
 ) -> DataFrame:
     """count, avg, p50, p95, p99, sum, min, max; over the first ``first_n`` entries if given.
 
-    Percentiles are exact with linear interpolation. They are read from the sorted series at
-    the two neighbouring positions, so no group's values meet in one task or one hash map.
+    Percentiles are exact with linear interpolation between the two neighbouring positions.
+    Equal values are counted first and the distinct ones are then placed by range, so neither
+    a hot group nor a hot value meets in one task or one hash map.
     """
     by = by or []
     if first_n is not None:
         df = df.where(F.col(seq) < first_n)
-    df = df.select(*by, F.col(col).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    totals = df.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.avg("_v").alias("avg"),
-        F.sum("_v").alias("sum"),
+    df = df.select(*by, F.lit(0).alias("_all"), F.col(col).cast("double").alias("_v"))
+    df = df.where(F.col("_v").isNotNull())
+    groups = [*by, "_all"]
+    values = df.groupBy(*groups, "_v").agg(F.count(F.lit(1)).alias("_times"))
+    placed = with_ordinal(values, [*groups, "_v"], "_at", weight="_times")
+    value, times = F.col("_v"), F.col("_times")
+    totals = placed.groupBy(*groups).agg(
+        F.min("_at").alias("_first"),
+        F.sum("_times").alias("n"),
+        (F.sum(value * times) / F.sum("_times")).alias("avg"),
+        F.sum(value * times).alias("sum"),
         F.min("_v").alias("min"),
         F.max("_v").alias("max"),
     )
-    wanted = []
-    for name, p in PERCENTILES.items():
+
+    def share(p: float):
+        """Weight of a value in percentile ``p``: what it holds of the two positions around it."""
         at = F.lit(p) * (F.col("n") - 1)
-        lo = F.floor(at)
-        wanted.append(F.struct(F.lit(name).alias("p"), lo.alias("pos"), (lo + 1 - at).alias("w")))
-        wanted.append(F.struct(F.lit(name).alias("p"), (lo + 1).alias("pos"), (at - lo).alias("w")))
-    spots = totals.where("n > 0").select(
-        *totals.columns, F.inline(F.array(*wanted)).alias("p", "_pos", "w")
+        low = F.floor(at)
+
+        def holds(pos):
+            return (F.col("_pos") <= pos) & (pos < F.col("_pos") + F.col("_times"))
+
+        return F.when(holds(low), low + 1 - at).otherwise(F.lit(0.0)) + F.when(
+            holds(low + 1), at - low
+        ).otherwise(F.lit(0.0))
+
+    measured = (
+        join_sized(placed, totals, groups)
+        .withColumn("_pos", F.col("_at") - F.col("_first"))
+        .withColumns({name: share(p) for name, p in PERCENTILES.items()})
     )
-    placed = with_ordinal(df, ["_v"], "_pos", by=by)
-    hit = join_sized(placed, spots, [*by, "_pos"])
     stats = ["n", "avg", "sum", "min", "max"]
-    return hit.groupBy(*by, *stats).agg(
-        *[
-            F.sum(F.when(F.col("p") == name, F.col("_v") * F.col("w"))).alias(name)
-            for name in PERCENTILES
-        ]
-    ).select(*by, *stats, *PERCENTILES)
+    used = " or ".join(f"{name} > 0" for name in PERCENTILES)
+    return (
+        measured.where(used)
+        .groupBy(*by, *stats)
+        .agg(*[F.sum(F.when(F.col(name) > 0, F.col("_v") * F.col(name))).alias(name) for name in PERCENTILES])
+        .select(*by, *stats, *PERCENTILES)
+    )

@@ -42,12 +42,14 @@ def with_ordinal(
     order: list[str | Column],
     name: str = "ordinal",
     by: list[str] | None = None,
+    weight: str | None = None,
 ) -> DataFrame:
     """Add each row's position, from 0, in the total order ``order`` (within ``by`` if given).
 
     ``order`` should end in a unique column; that makes positions repeatable and lets range
     partitioning split a hot leading key. Each task numbers its own sorted range; the ranges'
-    sizes then give every range its start.
+    sizes then give every range its start. A row with a ``weight`` stands for that many
+    positions and gets its first one.
     """
     by = by or []
     keys = [F.col(c) for c in by] + [F.col(c) if isinstance(c, str) else c for c in order]
@@ -57,23 +59,24 @@ def with_ordinal(
         .sortWithinPartitions(*keys)
         .withColumn("_place", F.monotonically_increasing_id()),
         "ordinal",
-    ).select(
-        "*",
-        F.shiftright("_place", ROW_BITS).alias("_range"),
-        F.col("_place").bitwiseAND(F.lit((1 << ROW_BITS) - 1)).alias("_row"),
-    )
-    sizes = placed.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    ).withColumn("_range", F.shiftright("_place", ROW_BITS))
+    if weight is None:
+        size = F.count(F.lit(1))
+        placed = placed.withColumn("_row", F.col("_place").bitwiseAND(F.lit((1 << ROW_BITS) - 1)))
+    else:
+        size = F.sum(weight)
+        earlier = Window.partitionBy("_range").orderBy("_place").rowsBetween(
+            Window.unboundedPreceding, -1
+        )
+        placed = placed.withColumn("_row", F.coalesce(F.sum(weight).over(earlier), F.lit(0)))
+    sizes = placed.groupBy("_range").agg(size.alias("_n"))
     starts = running_offsets(sizes, "_range", "_n", "_start").select("_range", "_start")
-    out = join_sized(placed, starts, ["_range"]).withColumn(name, F.col("_start") + F.col("_row"))
-    out = out.drop("_place", "_range", "_row", "_start")
+    # One row per range, of which there are at most spark.sql.shuffle.partitions.
+    out = placed.join(F.broadcast(starts), "_range").withColumn(name, F.col("_start") + F.col("_row"))
     if by:
         first = out.groupBy(*by).agg(F.min(name).alias("_first"))
-        out = (
-            join_sized(out, first, by)
-            .withColumn(name, F.col(name) - F.col("_first"))
-            .drop("_first")
-        )
-    return out.select(*df.columns, name)
+        out = join_sized(out, first, by).withColumn(name, F.col(name) - F.col("_first"))
+    return out.select(*df.columns, F.col(name).cast("long").alias(name))
 
 
 def with_chunk(

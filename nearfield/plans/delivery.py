@@ -81,7 +81,7 @@ def exported(spark, sf_dir) -> DataFrame:
     )
     return parsed.select(
         "grp", "chunk", "opens", "closes", "row.pk", F.posexplode("row.float32_vector").alias("pos", "value")
-    ).withColumn("value", F.round("value", 6))
+    ).select("*", F.round(F.col("value") * 1e8).cast("long").alias("value_e8")).drop("value")
 
 
 def latency(spark, sf_dir) -> DataFrame:
@@ -219,7 +219,7 @@ QUERIES = {
     "export_json_lines": (
         exported,
         f"""SELECT grp, chunk, opens, closes, pk, CAST(generate_subscripts(vector, 1) - 1 AS INTEGER) AS pos,
-                   round(round(unnest(vector)::DOUBLE, 8), 6) AS value
+                   CAST(round(unnest(vector)::DOUBLE * 1e8) AS BIGINT) AS value_e8
             FROM ({SQL_CHUNKS})""",
     ),
     "latency_stats": (latency, f"SELECT event_type, {SQL_STATS} FROM events GROUP BY event_type"),

@@ -70,12 +70,25 @@ def scan_neighbors(spark: SparkSession, paths: str | list[str], fmt: str = "parq
     return spark.read.parquet(*paths).select(schemas.NEIGHBORS.fieldNames())
 
 
-def write_neighbors(df: DataFrame, dest: str, group: str | None = None) -> None:
-    columns = schemas.NEIGHBORS.fieldNames() + ([group] if group else [])
-    writer = df.select(columns).write.mode("overwrite")
-    if group:
-        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(group)
-    writer.parquet(dest)
+def write_neighbors(
+    df: DataFrame, dest: str, group: str | None = None, files_per_group: int = 4
+) -> None:
+    """Neighbour lists in long form; with ``group``, one directory per group, replaced whole.
+
+    A group's rows are gathered by query into ``files_per_group`` files.
+    """
+    columns = schemas.NEIGHBORS.fieldNames()
+    if group is None:
+        df.select(columns).write.mode("overwrite").parquet(dest)
+        return
+    (
+        df.select(group, *columns)
+        .repartition(group, F.pmod(F.xxhash64("qid"), F.lit(files_per_group)))
+        .write.partitionBy(group)
+        .mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .parquet(dest)
+    )
 
 
 def scan_latency(spark: SparkSession, path: str) -> DataFrame:
