@@ -193,7 +193,8 @@ SQL_LINKS = " UNION ALL ".join(
     f"SELECT n, printf('{LINK_BASE}{template}', n) AS url FROM ({SQL_NUMBERS})"
     for template in LINK_KINDS.values()
 )
-ANCHOR = r"""<a\s[^>]*?href\s*=\s*["'']([^"'']*)["'']"""
+ANCHOR = r"""(?i)<a(?:\s[^>]*?)?\shref\s*=\s*("[^"]*"|''[^'']*''|[^\s"''>]+)"""
+QUOTES = """^["'']|["'']$"""
 
 QUERIES = {
     "scan_pages": (
@@ -242,7 +243,7 @@ QUERIES = {
     "link_manifest": (links, f"SELECT url FROM ({SQL_LINKS})"),
     "extract_links": (
         page_links,
-        f"""SELECT page_id, pos, replace(raw, '&amp;', '&') AS href
+        f"""SELECT page_id, pos, replace(regexp_replace(raw, '{QUOTES}', '', 'g'), '&amp;', '&') AS href
             FROM (SELECT page_id, unnest(found) AS raw,
                          CAST(generate_subscripts(found, 1) - 1 AS INTEGER) AS pos
                   FROM (SELECT page_id, regexp_extract_all(html, '{ANCHOR}', 1) AS found FROM pages))

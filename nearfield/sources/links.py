@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# The href of every anchor, quoted either way.
-ANCHOR_HREF = r"""<a\s[^>]*?href\s*=\s*["']([^"']*)["']"""
+# The href of every anchor, in either kind of quotes or none.
+ANCHOR_HREF = r"""(?i)<a(?:\s[^>]*?)?\shref\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+QUOTES = r"""^["']|["']$"""
 
 
 def shard_names(numbers: DataFrame, template: str, columns: list[str], name: str = "shard") -> DataFrame:
@@ -53,6 +54,7 @@ def extract_links(
     hrefs = F.regexp_extract_all(F.col(html), F.lit(ANCHOR_HREF), F.lit(1))
     return (
         pages.select(page, F.posexplode(hrefs).alias("pos", "href"))
+        .withColumn("href", F.regexp_replace("href", QUOTES, ""))
         .withColumn("href", F.replace("href", F.lit("&amp;"), F.lit("&")))
         .where(F.startswith("href", F.lit(prefix)))
     )
