@@ -31,6 +31,7 @@ from nearfield.operators.topk import merge_topk, to_long, to_wide
 from nearfield.sources.json_chunks import export_json_chunks
 from nearfield.sources.links import extract_links, link_manifest, shard_names, shard_paths, write_links
 from nearfield.sources.tables import (
+    list_shards,
     scan_latency,
     scan_neighbors,
     scan_vectors,
@@ -46,7 +47,7 @@ __all__ = [
     "METRICS", "Metric", "assign_pk", "audit_shards", "base_name", "check_dimension",
     "cosine_distance", "cosine_similarity", "count_mismatches", "enforce_schema",
     "export_json_chunks", "extract_links", "filter_vectors", "ingest_incremental", "knn",
-    "knn_incremental", "l2_normalize", "l2_sq", "latency_stats", "link_manifest", "merge_topk",
+    "knn_incremental", "l2_normalize", "l2_sq", "latency_stats", "link_manifest", "list_shards", "merge_topk",
     "pending_shards", "recall", "recall_diff", "recall_per_query", "renumber_shards",
     "round_vector", "sample_queries", "scan_latency", "scan_neighbors", "scan_npy", "scan_pages",
     "scan_vecs", "scan_vectors", "search_pages", "shard_counts", "shard_names", "shard_number",

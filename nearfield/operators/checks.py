@@ -18,16 +18,19 @@ def dimension_report(df: DataFrame, col: str = "vector") -> DataFrame:
     NULL, NaN and infinite elements count as bad.
     """
     v = F.col(col)
-    usable = F.forall(
-        v,
-        lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))),
+    infinity = F.lit(float("inf")).cast("float")
+    # array_contains is NULL when it meets NULL elements and no NaN.
+    bad = (
+        F.coalesce(F.array_contains(v, F.lit(float("nan")).cast("float")), F.lit(True))
+        | (F.array_max(v) == infinity)
+        | (F.array_min(v) == -infinity)
     )
     return df.agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.min(F.size(v)).alias("min_dim"),
         F.max(F.size(v)).alias("max_dim"),
         F.count_if(v.isNull()).alias("null_vectors"),
-        F.count_if(v.isNotNull() & ~usable).alias("bad_vectors"),
+        F.count_if(v.isNotNull() & (F.size(v) > 0) & bad).alias("bad_vectors"),
     )
 
 

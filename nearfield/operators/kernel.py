@@ -1,8 +1,9 @@
 """Block distance kernel that runs inside Spark tasks.
 
 Ranking uses single-precision matrix products. Their rounding error is bounded, so every row
-that could belong to the top k passes the filter; those few rows are then measured exactly in
-double precision. Results therefore do not depend on block sizes or on the matrix library.
+that could belong to the top k passes the filter; the rows still left when a task ends are then
+measured exactly in double precision. Results therefore do not depend on block sizes or on the
+matrix library.
 
 Scores are internal and always "smaller is better"; similarities are negated.
 """
@@ -15,6 +16,7 @@ import pyarrow as pa
 HALF_ULP = float(np.finfo(np.float32).eps) / 2
 PAIRS_AT_ONCE = 1 << 13
 ROWS_OUT = 1 << 16
+KEPT_BYTES = 128 << 20  # base vectors a task keeps for the exact pass
 
 
 def to_matrix(col: pa.Array) -> np.ndarray:
@@ -46,6 +48,18 @@ def _at_least(limit: np.ndarray, dtype) -> np.ndarray:
     return np.nextafter(limit.astype(dtype), dtype(np.inf))
 
 
+def _sort_bits(scores: np.ndarray) -> np.ndarray:
+    """float32 scores, rounded up, as integers in the same order."""
+    up = np.nextafter(scores.astype(np.float32), np.float32(np.inf)) + np.float32(0)
+    bits = up.view(np.uint32)
+    return np.where(bits >> 31, ~bits, bits | np.uint32(1 << 31))
+
+
+def _from_sort_bits(bits: np.ndarray) -> np.ndarray:
+    bits = bits.astype(np.uint32)
+    return np.where(bits >> 31, bits & np.uint32(0x7FFFFFFF), ~bits).view(np.float32)
+
+
 class Side:
     """Vectors of one side of the comparison, ready for ranking and for exact measuring."""
 
@@ -58,9 +72,8 @@ class Side:
             self.norms = np.where(norms == 0, 0.0, 1.0)
         else:
             self.norms = norms
-        self.metric = metric
 
-    def exact(self, rows: np.ndarray) -> np.ndarray:
+    def exact(self, rows) -> np.ndarray:
         m = self.raw[rows].astype(np.float64)
         if self.divisor is not None:
             m /= self.divisor[rows, None]
@@ -74,7 +87,11 @@ class Side:
 
 
 class QueryBlock:
-    """A bounded set of queries and the best k rows seen so far for each of them."""
+    """A bounded set of queries and the best k rows seen so far for each of them.
+
+    Candidates wait as (query, score interval, kept vector). They are thinned by their intervals
+    as they grow in number, and measured exactly when the kept vectors fill up or at the end.
+    """
 
     def __init__(self, qids, vectors, bounds, k, metric, normalize_query, rows_per_block):
         self.qids = np.asarray(qids, dtype=np.int64)
@@ -88,9 +105,15 @@ class QueryBlock:
         self.q = np.empty(0, np.int64)
         self.ids = np.empty(0, np.int64)
         self.scores = np.empty(0, np.float64)
+        self.ranking_cache: dict[tuple[int, type], np.ndarray] = {}
+        self.thin_at = max(2 * k * n, 1 << 16)
+        self._release()
+
+    def _release(self):
         self.waiting: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         self.n_waiting = 0
-        self.ranking_cache: dict[tuple[int, type], np.ndarray] = {}
+        self.kept: list[tuple[np.ndarray, np.ndarray]] = []
+        self.n_kept = 0
 
     def _ranking(self, lo, hi, dtype):
         key = (lo, dtype)
@@ -106,6 +129,7 @@ class QueryBlock:
             raise ValueError(
                 f"base dimension {vectors.shape[1]}, query dimension {self.side.raw.shape[1]}"
             )
+        self.normalize_base = normalize_base
         base = Side(vectors, self.metric, normalize_base)
         widest = base.norms.max()
         peak = max(widest, self.side.norms.max())
@@ -113,6 +137,7 @@ class QueryBlock:
         x = base.ranking(dtype)
         x_sq = (base.norms**2).astype(dtype)
         dim = x.shape[1]
+        found = []
         for lo in range(0, len(self.qids), self.rows_per_block):
             hi = min(lo + self.rows_per_block, len(self.qids))
             rough = self._ranking(lo, hi, dtype) @ x.T
@@ -134,42 +159,84 @@ class QueryBlock:
                 kth = np.partition(rough, self.k - 1, axis=1)[:, self.k - 1].astype(np.float64)
                 mask = rough <= _at_least(np.minimum(limit, kth + 2 * slack), dtype)[:, None]
             rows, cols = np.nonzero(mask)
-            for at in range(0, len(rows), PAIRS_AT_ONCE):
-                self._measure(rows[at : at + PAIRS_AT_ONCE] + lo, cols[at : at + PAIRS_AT_ONCE], base, ids)
-        if self.n_waiting >= max(self.k * len(self.qids), 1 << 16):
-            self._fold()
-
-    def _measure(self, q, cols, base, ids):
-        a, b = self.side.exact(q), base.exact(cols)
-        if self.metric == "l2":
-            a -= b
-            scores = np.multiply(a, a, out=a).sum(axis=1)
-        else:
-            cos = np.clip(np.multiply(a, b, out=a).sum(axis=1), -1.0, 1.0)
-            scores = -cos if self.metric == "cosine" else 1.0 - cos
-        keep = scores <= self.bounds[q]
-        self.waiting.append((q[keep], ids[cols[keep]], scores[keep]))
-        self.n_waiting += int(keep.sum())
-
-    def _fold(self):
-        """Keep the best k of the held and the waiting rows, ties by id, and tighten the bounds."""
+            if len(rows):
+                found.append((rows + lo, cols, rough[rows, cols].astype(np.float64), slack[rows]))
+        if not found:
+            return
+        q, cols, rough, slack = (np.concatenate(part) for part in zip(*found))
+        used, spot = np.unique(cols, return_inverse=True)
+        self.kept.append((ids[used], vectors[used]))
+        key = (q.astype(np.uint64) << np.uint64(32)) | _sort_bits(rough + slack)
+        self.waiting.append((key, rough - slack, spot + self.n_kept))
+        self.n_waiting += len(key)
+        self.n_kept += len(used)
+        if self.n_waiting >= self.thin_at:
+            self._thin()
+        if self.n_kept * 4 * dim >= KEPT_BYTES:
+            self._settle()
+
+    def _thin(self):
+        """Drop candidates whose interval lies above the k-th interval's end."""
+        key, low, spot = (np.concatenate(part) for part in zip(*self.waiting))
+        order = np.argsort(key)
+        q = (key[order] >> np.uint64(32)).astype(np.int64)
+        last = _places(q, len(self.qids)) == self.k - 1
+        ends = _from_sort_bits(key[order[last]] & np.uint64(0xFFFFFFFF))
+        self.bounds[q[last]] = np.minimum(self.bounds[q[last]], ends)
+        order = order[low[order] <= self.bounds[q]]
+        self.waiting = [(key[order], low[order], spot[order])]
+        self.n_waiting = len(order)
+        self.thin_at = max(self.thin_at, 2 * self.n_waiting)
+
+    def _settle(self):
+        """Measure the waiting rows and keep the best k of all, ties by id."""
         if not self.waiting:
             return
-        held = [(self.q, self.ids, self.scores), *self.waiting]
-        q, ids, scores = (np.concatenate(part) for part in zip(*held))
+        self._thin()
+        key, _, spot = self.waiting[0]
+        ids, vectors = (np.concatenate(part) for part in zip(*self.kept))
+        self._release()
+        base = Side(vectors, self.metric, self.normalize_base)
+        q = (key >> np.uint64(32)).astype(np.int64)
+        scores = self._measure(q, base, spot)
+        q = np.concatenate([self.q, q])
+        ids = np.concatenate([self.ids, ids[spot]])
+        scores = np.concatenate([self.scores, scores])
         order = np.lexsort((ids, scores, q))
         q, ids, scores = q[order], ids[order], scores[order]
-        first = np.searchsorted(q, np.arange(len(self.qids)))
-        place = np.arange(len(q)) - first[q]
-        keep = place < self.k
-        last = place == self.k - 1
+        place = _places(q, len(self.qids))
+        last, keep = place == self.k - 1, place < self.k
         self.bounds[q[last]] = np.minimum(self.bounds[q[last]], scores[last])
         self.q, self.ids, self.scores = q[keep], ids[keep], scores[keep]
-        self.waiting, self.n_waiting = [], 0
+
+    def _measure(self, q: np.ndarray, base: Side, spot: np.ndarray) -> np.ndarray:
+        """Exact scores of (query, kept row) pairs that come grouped by query."""
+        out = np.empty(len(q))
+        if len(q) >= 32 * len(self.qids):  # long groups: one query against its rows at a time
+            edges = np.searchsorted(q, np.arange(len(self.qids) + 1))
+            steps = [
+                (slice(at, min(at + PAIRS_AT_ONCE, hi)), slice(i, i + 1))
+                for i, (lo, hi) in enumerate(zip(edges, edges[1:]))
+                for at in range(lo, hi, PAIRS_AT_ONCE)
+            ]
+        else:
+            steps = [
+                (slice(at, at + PAIRS_AT_ONCE), q[at : at + PAIRS_AT_ONCE])
+                for at in range(0, len(q), PAIRS_AT_ONCE)
+            ]
+        for part, rows in steps:
+            b, a = base.exact(spot[part]), self.side.exact(rows)
+            if self.metric == "l2":
+                b -= a
+                out[part] = np.multiply(b, b, out=b).sum(axis=1)
+            else:
+                cos = np.clip(np.multiply(b, a, out=b).sum(axis=1), -1.0, 1.0)
+                out[part] = -cos if self.metric == "cosine" else 1.0 - cos
+        return out
 
     def results(self):
         """Record batches of (qid, id, distance)."""
-        self._fold()
+        self._settle()
         distance = -self.scores if self.metric == "cosine" else self.scores
         if self.metric == "cosine_distance":
             distance = np.maximum(distance, 0.0)
@@ -183,3 +250,8 @@ class QueryBlock:
                 ],
                 names=["qid", "id", "distance"],
             )
+
+
+def _places(q: np.ndarray, n: int) -> np.ndarray:
+    """Position of every entry inside its group; ``q`` is sorted."""
+    return np.arange(len(q)) - np.searchsorted(q, np.arange(n))[q]

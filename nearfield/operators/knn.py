@@ -18,7 +18,7 @@ from nearfield.session import cut_lineage
 
 UNIQUE_QIDS = "query ids must be unique and not NULL"
 PAIRS = "qid long, id long, distance double"
-TASK_BYTES = 1 << 30  # working memory one task may spend on queries and their lists
+TASK_BYTES = 3 << 29  # working memory one task may spend on queries and their lists
 BROADCAST_BYTES = 128 << 20
 CELL_ROWS = 1 << 18  # base rows per cell of the two-way split
 MAX_CELL_TASKS = 50_000  # beyond this a task works through several cells
@@ -115,7 +115,7 @@ class Search:
 
     def state_bytes(self) -> int:
         """Raw and ranking copies of the queries, plus held and waiting list entries."""
-        return self.n_queries * (16 * self.dim + 64 * self.k)
+        return self.n_queries * (16 * self.dim + 96 * self.k)
 
     def fits_broadcast(self) -> bool:
         return (

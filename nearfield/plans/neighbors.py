@@ -24,8 +24,12 @@ from nearfield.plans.common import (
     sql_ranked,
     vectors,
 )
+from nearfield.functions.names import shard_number
+from nearfield.operators.assembly import zip_shards
+from nearfield.operators.ordinals import with_ordinal
 from nearfield.session import cut_lineage, scratch_path
 from nearfield.sources.tables import scan_neighbors, write_neighbors
+from nearfield.sources.vecfiles import scan_vecs, write_vecs
 
 K = 10
 FILTER = "label IN (1, 3)"
@@ -41,9 +45,7 @@ def _knn(metric: str, scale: float | None = None, **options):
 
 
 def _partials(spark, sf_dir, metric: str) -> DataFrame:
-    return cut_lineage(
-        knn(vectors(spark, sf_dir), queries(spark, sf_dir), K, metric, per="shard_no"), "partials"
-    )
+    return knn(vectors(spark, sf_dir), queries(spark, sf_dir), K, metric, per="shard_no")
 
 
 def merge_parts(spark, sf_dir) -> DataFrame:
@@ -52,7 +54,7 @@ def merge_parts(spark, sf_dir) -> DataFrame:
 
 def merge_running(spark, sf_dir) -> DataFrame:
     """A first range of shards, then the rest folded in."""
-    parts = _partials(spark, sf_dir, "l2")
+    parts = cut_lineage(_partials(spark, sf_dir, "l2"), "partials")
     earlier = F.col("shard_no") < 4
     running = merge_topk(parts.where(earlier), k=K, metric="l2")
     return rounded(merge_topk(running, parts.where(~earlier), k=K, metric="l2"), "distance")
@@ -64,7 +66,7 @@ def merge_similarity(spark, sf_dir) -> DataFrame:
 
 def merge_distinct(spark, sf_dir) -> DataFrame:
     """The same parts given twice count once."""
-    parts = _partials(spark, sf_dir, "l2")
+    parts = cut_lineage(_partials(spark, sf_dir, "l2"), "partials")
     return rounded(merge_topk(parts, parts, k=K, metric="l2", distinct_ids=True), "distance")
 
 
@@ -97,6 +99,23 @@ def _evaluated(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame]:
     return knn(base, qs, K, "l2"), knn(base, qs, K, "l2", expr=SOME_LABELS), qs
 
 
+def truth_files(spark, sf_dir) -> DataFrame:
+    """Ids and distances as binary files in query order, read back row by row."""
+    path = scratch_path(spark, "truth")
+    lists = cut_lineage(to_wide(knn(vectors(spark, sf_dir), queries(spark, sf_dir), K, "l2")), "lists")
+    write_vecs(lists, "id", f"{path}/ids", "ivecs", "neighbors_id", partitions=1)
+    write_vecs(lists, "id", f"{path}/distances", "fvecs", "distance", partitions=1)
+
+    def scan(kind: str, name: str) -> DataFrame:
+        found = scan_vecs(spark, f"{path}/{name}", kind)
+        return found.select(shard_number("shard").alias("part"), "row_index", F.col("vector").alias(name))
+
+    both = zip_shards(scan("ivecs", "ids"), scan("fvecs", "distances"), shard="part")
+    return with_ordinal(both, ["part", "row_index"], "row").select(
+        "row", F.posexplode(F.arrays_zip("ids", "distances")).alias("pos", "hit")
+    ).select("row", "pos", F.col("hit.ids").alias("id"), F.round(F.col("hit.distances").cast("double"), 4).alias("distance"))
+
+
 def recall_at_k(spark, sf_dir) -> DataFrame:
     return recall(*_evaluated(spark, sf_dir))
 
@@ -210,6 +229,12 @@ QUERIES = {
                    string_agg(round(d * 1e6)::BIGINT::VARCHAR, ',' ORDER BY rank) AS distance_micro
             FROM ({SQL_TRUTH}) GROUP BY qid""",
     ),
+    "ground_truth_files": (
+        truth_files,
+        f"""SELECT dense_rank() OVER (ORDER BY qid) - 1 AS row, CAST(rank - 1 AS INTEGER) AS pos,
+                   CAST(id AS INTEGER) AS id, round(d::FLOAT::DOUBLE, 4) AS distance
+            FROM ({SQL_TRUTH})""",
+    ),
     "neighbors_long": (long_again, sql_neighbors("l2", K)),
     "recall_at_k": (
         recall_at_k,

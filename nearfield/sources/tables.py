@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from nearfield import schemas
-from nearfield.functions.names import shard_number
+from nearfield.functions.names import base_name, shard_number
 from nearfield.operators.checks import enforce_schema
 from nearfield.operators.ordinals import with_ordinal
 from nearfield.sources.vecfiles import scan_npy_neighbors
@@ -33,6 +33,17 @@ def scan_vectors(
     )
 
 
+def list_shards(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame:
+    """``path, shard, shard_no, n_bytes`` of the files in a folder; nothing is opened."""
+    found = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(folder)
+    return found.select(
+        "path",
+        base_name("path").alias("shard"),
+        shard_number("path").alias("shard_no"),
+        F.col("length").alias("n_bytes"),
+    )
+
+
 def write_vectors(
     df: DataFrame,
     dest: str,
@@ -40,21 +51,23 @@ def write_vectors(
     shard: str = "shard_no",
     order: str = "pk",
     rows_per_file: int = ROWS_PER_FILE,
+    clustered: bool = False,
 ) -> None:
     """One directory per shard, replaced whole on a re-run of that shard.
 
-    A shard is written by as many tasks as it has ``rows_per_file`` blocks of keys.
+    A shard is written by as many tasks as it has ``rows_per_file`` blocks of keys. Rows that
+    still lie as they were read, file by file, are ``clustered`` and are written without a
+    shuffle.
     """
     if schema is not None:
         df = enforce_schema(
             df, T.StructType([f for f in schema.fields if f.name != shard] + [df.schema[shard]])
         )
-    block = F.floor(F.col(order) / rows_per_file)
+    if not clustered:
+        df = df.withColumn("_block", F.floor(F.col(order) / rows_per_file))
+        df = df.repartition(shard, "_block").drop("_block")
     (
-        df.withColumn("_block", block)
-        .repartition(shard, "_block")
-        .sortWithinPartitions(shard, order)
-        .drop("_block")
+        df.sortWithinPartitions(shard, order)
         .write.partitionBy(shard)
         .mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

@@ -100,7 +100,10 @@ def ingest_incremental(
         table = keyed.withColumnsRenamed({"pk_global": "pk_5b", "vector": "float32_vector"})
         table = table.withColumn("float32_vector", F.col("float32_vector").cast("array<float>"))
         full = set(schemas.FULL_VECTORS.fieldNames()) <= set(table.columns)
-        write_vectors(table.drop("row_index"), dest, schemas.FULL_VECTORS if full else None)
+        write_vectors(
+            table.drop("row_index"), dest, schemas.FULL_VECTORS if full else None,
+            clustered=metadata_template is None,
+        )
         # Counted from what was written, so keys and manifest cannot disagree.
         written = _key_ranges(session.read.parquet(dest), [s.shard_no for s in todo])
         names = session.createDataFrame(

@@ -14,7 +14,8 @@ from nearfield.operators.assembly import (
     zip_shards,
 )
 from nearfield.operators.checks import check_dimension, dimension_report, enforce_schema
-from nearfield.sources.tables import scan_vectors, write_vectors
+from nearfield.sources.links import shard_paths
+from nearfield.sources.tables import list_shards, scan_vectors, write_vectors
 
 
 def shards(spark, sizes, value="v"):
@@ -134,3 +135,17 @@ def test_scan_keeps_file_and_position(spark, tmp_path):
     }
     text = found._sc._jvm.PythonSQLUtils.explainString(found._jdf.queryExecution(), "formatted")
     assert "caption" not in text.split("ReadSchema")[-1].split("\n")[0]
+
+
+def test_audit_of_a_folder(spark, tmp_path):
+    for n in (0, 1, 3):
+        (tmp_path / f"part_{n:04d}.npy").write_bytes(b"x" * (n + 1))
+    (tmp_path / "notes.txt").write_text("x")
+    present = list_shards(spark, str(tmp_path), "*.npy")
+    assert {(r.shard, r.shard_no, r.n_bytes) for r in present.collect()} == {
+        ("part_0000.npy", 0, 1), ("part_0001.npy", 1, 2), ("part_0003.npy", 3, 4),
+    }
+    expected = shard_paths(spark, "part_%04d.npy", 0, 4).withColumnRenamed("path", "shard")
+    with pytest.raises(FileNotFoundError, match="part_0002.npy"):
+        audit_shards(expected, present)
+    assert audit_shards(expected, present, "skip").count() == 3
