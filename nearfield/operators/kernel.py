@@ -48,9 +48,28 @@ def _at_least(limit: np.ndarray, dtype) -> np.ndarray:
     return np.nextafter(limit.astype(dtype), dtype(np.inf))
 
 
+def _without_surplus_copies(ids: np.ndarray, vectors: np.ndarray, k: int) -> np.ndarray | None:
+    """Rows to keep so that each distinct vector stays with its k smallest ids; None keeps all.
+
+    Copies score alike for every query, so further ones cannot be in any answer.
+    """
+    _, group, sizes = np.unique(row_norms(vectors), return_inverse=True, return_counts=True)
+    if sizes.max() <= k:
+        return None
+    suspects = np.nonzero(sizes[group] > k)[0]
+    keep = np.ones(len(ids), dtype=bool)
+    seen: dict[bytes, int] = {}
+    for row in suspects[np.argsort(ids[suspects], kind="stable")]:
+        copy = vectors[row].tobytes()
+        seen[copy] = seen.get(copy, 0) + 1
+        keep[row] = seen[copy] <= k
+    return keep
+
+
 def _sort_bits(scores: np.ndarray) -> np.ndarray:
     """float32 scores, rounded up, as integers in the same order."""
-    up = np.nextafter(scores.astype(np.float32), np.float32(np.inf)) + np.float32(0)
+    with np.errstate(over="ignore"):
+        up = np.nextafter(scores.astype(np.float32), np.float32(np.inf)) + np.float32(0)
     bits = up.view(np.uint32)
     return np.where(bits >> 31, ~bits, bits | np.uint32(1 << 31))
 
@@ -90,7 +109,8 @@ class QueryBlock:
     """A bounded set of queries and the best k rows seen so far for each of them.
 
     Candidates wait as (query, score interval, kept vector). They are thinned by their intervals
-    as they grow in number, and measured exactly when the kept vectors fill up or at the end.
+    as they grow in number, and measured exactly when thinning no longer helps (many equal
+    distances), when the kept vectors fill up, or at the end.
     """
 
     def __init__(self, qids, vectors, bounds, k, metric, normalize_query, rows_per_block):
@@ -106,7 +126,7 @@ class QueryBlock:
         self.ids = np.empty(0, np.int64)
         self.scores = np.empty(0, np.float64)
         self.ranking_cache: dict[tuple[int, type], np.ndarray] = {}
-        self.thin_at = max(2 * k * n, 1 << 16)
+        self.thin_at = max(3 * k * n, 1 << 16)
         self._release()
 
     def _release(self):
@@ -130,6 +150,9 @@ class QueryBlock:
                 f"base dimension {vectors.shape[1]}, query dimension {self.side.raw.shape[1]}"
             )
         self.normalize_base = normalize_base
+        keep = _without_surplus_copies(ids, vectors, self.k)
+        if keep is not None:
+            ids, vectors = ids[keep], vectors[keep]
         base = Side(vectors, self.metric, normalize_base)
         widest = base.norms.max()
         peak = max(widest, self.side.norms.max())
@@ -137,7 +160,7 @@ class QueryBlock:
         x = base.ranking(dtype)
         x_sq = (base.norms**2).astype(dtype)
         dim = x.shape[1]
-        found = []
+        spots = np.full(len(ids), -1)
         for lo in range(0, len(self.qids), self.rows_per_block):
             hi = min(lo + self.rows_per_block, len(self.qids))
             rough = self._ranking(lo, hi, dtype) @ x.T
@@ -160,20 +183,25 @@ class QueryBlock:
                 mask = rough <= _at_least(np.minimum(limit, kth + 2 * slack), dtype)[:, None]
             rows, cols = np.nonzero(mask)
             if len(rows):
-                found.append((rows + lo, cols, rough[rows, cols].astype(np.float64), slack[rows]))
-        if not found:
-            return
-        q, cols, rough, slack = (np.concatenate(part) for part in zip(*found))
-        used, spot = np.unique(cols, return_inverse=True)
-        self.kept.append((ids[used], vectors[used]))
+                self._wait(rows + lo, cols, rough[rows, cols].astype(np.float64), slack[rows], ids, vectors, spots)
+
+    def _wait(self, q, cols, rough, slack, ids, vectors, spots):
+        """Queue candidates; ``spots`` says where a batch row's vector is kept already."""
+        fresh = np.unique(cols[spots[cols] < 0])
+        if len(fresh):
+            spots[fresh] = self.n_kept + np.arange(len(fresh))
+            self.kept.append((ids[fresh], vectors[fresh]))
+            self.n_kept += len(fresh)
         key = (q.astype(np.uint64) << np.uint64(32)) | _sort_bits(rough + slack)
-        self.waiting.append((key, rough - slack, spot + self.n_kept))
+        self.waiting.append((key, rough - slack, spots[cols]))
         self.n_waiting += len(key)
-        self.n_kept += len(used)
+        full = self.n_kept * 4 * vectors.shape[1] >= KEPT_BYTES
         if self.n_waiting >= self.thin_at:
             self._thin()
-        if self.n_kept * 4 * dim >= KEPT_BYTES:
+            full = full or self.n_waiting > self.thin_at * 2 // 3
+        if full:
             self._settle()
+            spots[:] = -1
 
     def _thin(self):
         """Drop candidates whose interval lies above the k-th interval's end."""
@@ -186,7 +214,6 @@ class QueryBlock:
         order = order[low[order] <= self.bounds[q]]
         self.waiting = [(key[order], low[order], spot[order])]
         self.n_waiting = len(order)
-        self.thin_at = max(self.thin_at, 2 * self.n_waiting)
 
     def _settle(self):
         """Measure the waiting rows and keep the best k of all, ties by id."""

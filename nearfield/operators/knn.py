@@ -57,7 +57,8 @@ def knn(
     ``prune_fraction`` first searches that share of the base. Each query's k-th distance there
     is an upper bound for the final one, so the main pass sends on about k / fraction rows per
     query instead of k per task. The answer is the same. ``None`` decides by the base's row
-    count, 0 turns it off.
+    count, 0 turns it off. The base is evaluated for the count, the pilot and the search, so
+    hand in a stored table rather than a long computation.
     """
     metric = get_metric(metric)
     if k < 1:
@@ -115,7 +116,7 @@ class Search:
 
     def state_bytes(self) -> int:
         """Raw and ranking copies of the queries, plus held and waiting list entries."""
-        return self.n_queries * (16 * self.dim + 96 * self.k)
+        return self.n_queries * (16 * self.dim + 128 * self.k)
 
     def fits_broadcast(self) -> bool:
         return (

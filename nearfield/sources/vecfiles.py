@@ -7,6 +7,7 @@ that concatenate to one valid ``ivecs``/``fvecs`` file.
 from __future__ import annotations
 
 import json
+import re
 import uuid
 from dataclasses import dataclass
 
@@ -41,7 +42,7 @@ def _open_fs(path: str) -> tuple[pafs.FileSystem, str]:
     """File system and path for a URI or an absolute local path."""
     if path.startswith("file:"):
         path = "/" + path[len("file:"):].lstrip("/")
-    return pafs.FileSystem.from_uri(path)
+    return pafs.FileSystem.from_uri(re.sub("^s3[an]://", "s3://", path))
 
 
 def _files(paths: list[str], suffix: str) -> list[str]:
