@@ -91,4 +91,4 @@ def test_sort_bits_keep_the_order(rng):
     x = np.sort(np.concatenate([rng.normal(size=100) * 10.0 ** rng.integers(-20, 20, 100), [0.0, -0.0, 1e39, -1e39]]))
     bits = kernel._sort_bits(x)
     assert (np.diff(bits.astype(np.int64)) >= 0).all()
-    assert (kernel._from_sort_bits(bits) >= x.clip(-3e38)).all()
+    assert (kernel._from_sort_bits(bits) >= x).all()
