@@ -28,19 +28,26 @@ def assign_pk(
     shard: str = "shard_no",
     row: str | None = "row_index",
     order: list[str | Column] | None = None,
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
     """Contiguous ``pk`` (and ``pk_global``) in shard order, then row order.
 
     With ``row``, the position inside the shard, keys are shard offset plus position: one count
-    per shard and no sort. Rows that are not numbered 0..n-1 are an error. Without it, pass
-    ``row=None`` and the ``order`` inside a shard; keys are then positions in the sorted table.
+    per shard and no sort. Rows that are not numbered 0..n-1 are an error. Known counts
+    (``shard``, ``n_rows``), e.g. from file headers, save the counting pass. Without ``row``, pass
+    the ``order`` inside a shard; keys are then positions in the sorted table.
     """
     if row is None:
         out = with_ordinal(df, [shard, *(order or [])], "_at")
     else:
-        sizes = df.groupBy(shard).agg(
-            F.count(F.lit(1)).alias("_n"), F.min(row).alias("_lo"), F.max(row).alias("_hi")
-        )
+        if sizes is None:
+            sizes = df.groupBy(shard).agg(
+                F.count(F.lit(1)).alias("_n"), F.min(row).alias("_lo"), F.max(row).alias("_hi")
+            )
+        else:
+            sizes = sizes.select(
+                shard, F.col("n_rows").alias("_n"), F.lit(0).alias("_lo"), (F.col("n_rows") - 1).alias("_hi")
+            )
         starts = running_offsets(sizes, shard, "_n", "_start")
         gap = (F.col("_lo") != 0) | (F.col("_hi") + 1 != F.col("_n"))
         at = F.when(
@@ -58,14 +65,22 @@ def assign_pk(
     return out.drop("_at")
 
 
-def count_mismatches(meta: DataFrame, vectors: DataFrame, shard: str = "shard_no") -> DataFrame:
-    """Shards whose metadata and vector row counts differ, a missing side counting 0."""
-
-    def tally(df: DataFrame, name: str) -> DataFrame:
-        return df.groupBy(shard).agg(F.count(F.lit(1)).alias(name))
+def count_mismatches(
+    meta: DataFrame,
+    vectors: DataFrame,
+    shard: str = "shard_no",
+    vector_sizes: DataFrame | None = None,
+) -> DataFrame:
+    """Shards whose metadata and vector row counts differ, a missing side counting 0.
 
-    both = tally(meta, "n_meta").join(tally(vectors, "n_vectors"), shard, "full")
-    return both.na.fill(0, ["n_meta", "n_vectors"]).where("n_meta != n_vectors")
+    ``vector_sizes`` (``shard``, ``n_rows``) saves counting the vectors.
+    """
+    if vector_sizes is None:
+        vector_sizes = vectors.groupBy(shard).agg(F.count(F.lit(1)).alias("n_rows"))
+    n_meta = meta.groupBy(shard).agg(F.count(F.lit(1)).alias("n_meta"))
+    n_vectors = vector_sizes.select(shard, F.col("n_rows").alias("n_vectors"))
+    both = n_meta.join(n_vectors, shard, "full").na.fill(0, ["n_meta", "n_vectors"])
+    return both.where("n_meta != n_vectors")
 
 
 def zip_shards(
@@ -74,6 +89,7 @@ def zip_shards(
     shard: str = "shard_no",
     row: str = "row_index",
     on_mismatch: str = "fail",
+    vector_sizes: DataFrame | None = None,
 ) -> DataFrame:
     """Join row i of a metadata shard with row i of the vector shard of the same number.
 
@@ -81,18 +97,18 @@ def zip_shards(
     """
     if on_mismatch not in ("fail", "skip"):
         raise ValueError("on_mismatch must be 'fail' or 'skip'")
-    uneven = count_mismatches(meta, vectors, shard)
+    uneven = count_mismatches(meta, vectors, shard, vector_sizes)
     if on_mismatch == "fail":
         first = uneven.orderBy(shard).first()
         if first is not None:
             raise ValueError(
                 f"shard {first[shard]}: {first.n_meta} metadata rows, {first.n_vectors} vectors"
             )
-        return meta.join(vectors, [shard, row])
-    # The shuffle on (shard, row) carries the rows once; the skip list joins the result.
-    uneven = uneven.select(shard, F.lit(True).alias("_uneven"))
-    zipped = join_sized(meta.join(vectors, [shard, row]), uneven, [shard], "left")
-    return zipped.where(F.col("_uneven").isNull()).drop("_uneven")
+    else:
+        # Left out before the rows are shuffled.
+        uneven = uneven.select(shard, F.lit(True).alias("_uneven"))
+        meta = join_sized(meta, uneven, [shard], "left").where("_uneven IS NULL").drop("_uneven")
+    return meta.join(vectors, [shard, row])
 
 
 def renumber_shards(df: DataFrame, lo: int, hi: int, shard: str = "shard_no") -> DataFrame:

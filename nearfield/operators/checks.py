@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,12 +12,9 @@ def enforce_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
-def dimension_report(df: DataFrame, col: str = "vector") -> DataFrame:
-    """One row: rows, smallest and largest dimension, NULL vectors, vectors with bad elements.
-
-    NULL, NaN and infinite elements count as bad.
-    """
-    v = F.col(col)
+def unusable(v: Column | str) -> Column:
+    """True for a vector with a NULL, NaN or infinite element, and for a NULL vector."""
+    v = F.col(v) if isinstance(v, str) else v
     infinity = F.lit(float("inf")).cast("float")
     # array_contains is NULL when it meets NULL elements and no NaN.
     bad = (
@@ -25,12 +22,30 @@ def dimension_report(df: DataFrame, col: str = "vector") -> DataFrame:
         | (F.array_max(v) == infinity)
         | (F.array_min(v) == -infinity)
     )
+    return F.when(v.isNull(), True).when(F.size(v) == 0, False).otherwise(bad)
+
+
+def checked_vector(v: Column | str, dim: int) -> Column:
+    """The vector itself; evaluating it raises if it is unusable or not of dimension ``dim``."""
+    v = F.col(v) if isinstance(v, str) else v
+    return F.when(
+        unusable(v) | (F.size(v) != dim),
+        F.raise_error(F.lit(f"vector with NULL, NaN or infinite elements, or dimension other than {dim}")),
+    ).otherwise(v)
+
+
+def dimension_report(df: DataFrame, col: str = "vector") -> DataFrame:
+    """One row: rows, smallest and largest dimension, NULL vectors, vectors with bad elements.
+
+    NULL, NaN and infinite elements count as bad.
+    """
+    v = F.col(col)
     return df.agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.min(F.size(v)).alias("min_dim"),
         F.max(F.size(v)).alias("max_dim"),
         F.count_if(v.isNull()).alias("null_vectors"),
-        F.count_if(v.isNotNull() & (F.size(v) > 0) & bad).alias("bad_vectors"),
+        F.count_if(v.isNotNull() & unusable(v)).alias("bad_vectors"),
     )
 
 

@@ -11,6 +11,7 @@ from nearfield.functions.metrics import Metric, get_metric
 from nearfield.operators.assembly import filter_vectors
 from nearfield.operators.kernel import Side, to_matrix
 from nearfield.operators.ordinals import with_page
+from nearfield.session import cut_lineage
 
 
 def _check_total(paged: DataFrame, limit: int) -> None:
@@ -83,7 +84,9 @@ def search_pages(
     """The whole ranked list for one query, in pages of exactly ``batch`` rows (the last may be short)."""
     metric = get_metric(metric)
     rows = base.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("vector"))
-    paged = with_page(distances_to(rows, query, metric), metric.order(), batch)
+    # Stored narrow first: the range sort reads its input twice, the vectors are read once.
+    measured = cut_lineage(distances_to(rows, query, metric), "distances")
+    paged = with_page(measured, metric.order(), batch)
     if limit is not None:
         paged = paged.where(F.col("ordinal") < limit)
         if verify:

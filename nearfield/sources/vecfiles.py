@@ -9,7 +9,8 @@ from __future__ import annotations
 import json
 import re
 import uuid
-from dataclasses import dataclass
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +36,10 @@ SCHEMAS = {
     "fvecs": "shard string, row_index long, vector array<float>",
     "ivecs": "shard string, row_index long, vector array<int>",
     "neighbors": "shard string, qid long, rank int, id long, distance double",
+    "shape": "shard string, n_rows long, dim int",
 }
+FILES_PER_TASK = 64
+HEADER_THREADS = 16
 
 
 def _open_fs(path: str) -> tuple[pafs.FileSystem, str]:
@@ -76,6 +80,11 @@ class RowRange(InputPartition):
     by_column: bool
 
 
+@dataclass
+class FileGroup(InputPartition):
+    paths: list[str]
+
+
 def _npy_header(stream) -> tuple[tuple[int, ...], bool, np.dtype]:
     version = np.lib.format.read_magic(stream)
     read = {
@@ -91,31 +100,45 @@ class VecFileReader(DataSourceReader):
     def __init__(self, kind: str, paths: list[str], rows_per_split: int):
         self.kind, self.paths, self.rows_per_split = kind, paths, rows_per_split
 
-    def partitions(self) -> list[RowRange]:
-        suffix = ".npy" if self.kind in ("npy", "neighbors") else "." + self.kind
-        out = []
-        for path in _files(self.paths, suffix):
-            fs, p = _open_fs(path)
-            with fs.open_input_file(p) as f:
-                if suffix == ".npy":
-                    shape, by_column, dtype = _npy_header(f)
-                    if len(shape) != 2 or dtype.hasobject:
-                        raise ValueError(f"{path}: not a plain 2-D matrix")
-                    start, (total, dim) = f.tell(), shape
-                else:
-                    size = f.size()
-                    if size == 0:
-                        continue
-                    dim = int(np.frombuffer(f.read(4), "<i4")[0])
-                    if dim < 0 or size % (4 * (dim + 1)):
-                        raise ValueError(f"{path}: size does not fit records of dimension {dim}")
-                    start, total, by_column, dtype = 0, size // (4 * (dim + 1)), False, np.dtype("<i4")
-            for first in range(0, total, self.rows_per_split):
-                rows = min(self.rows_per_split, total - first)
-                out.append(RowRange(path, start, first, rows, total, dim, dtype.descr if dtype.names else dtype.str, by_column))
-        return out
+    def partitions(self) -> list[InputPartition]:
+        files = _files(self.paths, "." + self.kind if self.kind in ("ivecs", "fvecs") else ".npy")
+        if self.kind == "shape":
+            return [
+                FileGroup(files[at : at + FILES_PER_TASK]) for at in range(0, len(files), FILES_PER_TASK)
+            ]
+        with ThreadPoolExecutor(HEADER_THREADS) as pool:
+            return [part for parts in pool.map(self._ranges, files) for part in parts]
+
+    def _header(self, path: str) -> RowRange:
+        """The whole file as one range."""
+        fs, p = _open_fs(path)
+        with fs.open_input_file(p) as f:
+            if self.kind in ("ivecs", "fvecs"):
+                size = f.size()
+                dim = int(np.frombuffer(f.read(4), "<i4")[0]) if size else 0
+                if dim < 0 or size % (4 * (dim + 1)):
+                    raise ValueError(f"{path}: size does not fit records of dimension {dim}")
+                rows = size // (4 * (dim + 1))
+                return RowRange(path, 0, 0, rows, rows, dim, "<i4", False)
+            shape, by_column, dtype = _npy_header(f)
+            if len(shape) != 2 or dtype.hasobject:
+                raise ValueError(f"{path}: not a plain 2-D matrix")
+            kind = dtype.descr if dtype.names else dtype.str
+            return RowRange(path, f.tell(), 0, shape[0], shape[0], shape[1], kind, by_column)
+
+    def _ranges(self, path: str) -> list[RowRange]:
+        whole = self._header(path)
+        return [
+            replace(whole, first=first, rows=min(self.rows_per_split, whole.total - first))
+            for first in range(0, whole.total, self.rows_per_split)
+        ]
 
-    def read(self, part: RowRange):
+    def read(self, part: RowRange | FileGroup):
+        if isinstance(part, FileGroup):
+            for path in part.paths:
+                head = self._header(path)
+                yield (path.rsplit("/", 1)[-1], head.total, head.dim)
+            return
         fs, p = _open_fs(part.path)
         shard = part.path.rsplit("/", 1)[-1]
         dtype = np.dtype([tuple(d) for d in part.dtype] if isinstance(part.dtype, list) else part.dtype)
@@ -283,6 +306,11 @@ def scan_npy(spark: SparkSession, path: str | list[str], rows_per_split: int = R
     return _scan(spark, "npy", path, rows_per_split)
 
 
+def npy_shapes(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """``shard, n_rows, dim`` from the file headers alone."""
+    return _scan(spark, "shape", path, ROWS_PER_SPLIT)
+
+
 def scan_vecs(
     spark: SparkSession, path: str | list[str], kind: str = "ivecs", rows_per_split: int = ROWS_PER_SPLIT
 ) -> DataFrame:

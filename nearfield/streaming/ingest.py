@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from nearfield import schemas
 from nearfield.functions.names import base_name, shard_number
 from nearfield.operators.assembly import assign_pk, pending_shards, zip_shards
-from nearfield.operators.checks import check_dimension
+from nearfield.operators.checks import check_dimension, checked_vector
 from nearfield.sources.tables import scan_vectors, write_vectors
-from nearfield.sources.vecfiles import scan_npy
+from nearfield.sources.vecfiles import npy_shapes, scan_npy
 
 SHARDS_PER_STEP = 1_000
 
@@ -63,7 +63,7 @@ def ingest_incremental(
 
     Keys continue where the manifest ends. Each step of ``shards_per_step`` shards writes the
     shards (each replaced whole), then their manifest rows, so a crash in between repeats the
-    same shards with the same keys.
+    same shards with the same keys. Vector files are read once, their sizes come from the headers.
     ``metadata_template`` (e.g. ``'/meta/metadata_%04d.parquet'``) adds row i of the metadata
     file of the same number to vector i. There is one writer per manifest.
     """
@@ -84,19 +84,29 @@ def ingest_incremental(
         if last.no is not None and todo[0].shard_no <= last.no:
             raise ValueError(f"shard {todo[0].shard_no} arrived after shard {last.no}")
         files = [s.path for s in todo]
+        sizes = None
         if fmt == "npy":
             rows = scan_npy(session, files).withColumn("shard_no", shard_number("shard"))
+            shapes = npy_shapes(session, files).withColumn("shard_no", shard_number("shard"))
+            dims = shapes.where("n_rows > 0").agg(F.min("dim"), F.max("dim")).first()
+            if dims[0] != dims[1]:
+                raise ValueError(f"vector files of dimensions {dims[0]} to {dims[1]}")
+            rows = rows.withColumn("vector", checked_vector("vector", dims[0] or 0))
+            sizes = shapes.where("n_rows > 0").select("shard_no", "n_rows")
         else:
             rows = scan_vectors(session, files).withColumnRenamed(vector_col, "vector")
-        rows = check_dimension(rows.drop("shard", "pk", "pk_5b"), "vector")
+            rows = check_dimension(rows, "vector")
+        rows = rows.drop("shard", "pk", "pk_5b")
         if metadata_template is not None:
             meta = scan_vectors(
                 session,
                 [metadata_template % s.shard_no for s in todo],
                 schemas.METADATA.fieldNames(),
             )
-            rows = zip_shards(meta.drop("shard"), rows)
-        keyed = assign_pk(rows, start=last.next, global_start=last.next + global_start)
+            rows = zip_shards(meta.drop("shard"), rows, vector_sizes=sizes)
+        keyed = assign_pk(
+            rows, start=last.next, global_start=last.next + global_start, sizes=sizes
+        )
         table = keyed.withColumnsRenamed({"pk_global": "pk_5b", "vector": "float32_vector"})
         table = table.withColumn("float32_vector", F.col("float32_vector").cast("array<float>"))
         full = set(schemas.FULL_VECTORS.fieldNames()) <= set(table.columns)

@@ -72,6 +72,20 @@ def test_late_lower_shard_is_an_error(spark, tmp_path):
         run(spark, tmp_path)
 
 
+@pytest.mark.parametrize("bad", [np.zeros((2, 3)), np.full((2, 2), np.nan), np.full((2, 2), np.inf)])
+def test_unusable_vectors_are_rejected(spark, tmp_path, bad):
+    save(tmp_path / "in", {0: np.zeros((2, 2), np.float32), 1: bad.astype(np.float32)})
+    with pytest.raises(Exception, match="dimension"):
+        run(spark, tmp_path)
+
+
+def test_empty_shard(spark, tmp_path):
+    save(tmp_path / "in", {0: np.ones((2, 2)), 1: np.zeros((0, 2)), 2: np.ones((3, 2))})
+    rows = run(spark, tmp_path).orderBy("shard_no").collect()
+    assert [(r.shard_no, r.n_rows) for r in rows] == [(0, 2), (1, 0), (2, 3)]
+    assert content(spark, tmp_path)[0] == list(range(5))
+
+
 def metadata(spark, folder, no, n):
     folder.mkdir(exist_ok=True)
     df = spark.range(n).selectExpr(

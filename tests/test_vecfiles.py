@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from nearfield.functions.names import shard_number
 from nearfield.operators.topk import merge_topk
 from nearfield.sources.tables import scan_neighbors, write_neighbors
-from nearfield.sources.vecfiles import scan_npy, scan_vecs, write_npy, write_vecs
+from nearfield.sources.vecfiles import npy_shapes, scan_npy, scan_vecs, write_npy, write_vecs
 
 
 def matrix(df):
@@ -112,3 +112,10 @@ def test_file_number_of_parts(spark, tmp_path, rng):
     found = scan_npy(spark, str(tmp_path)).select(shard_number("shard").alias("n")).distinct()
     assert {r.n for r in found.collect()} == {0, 1, 2}
     assert found.where(F.col("n").isNull()).count() == 0
+
+
+def test_shapes_from_headers(spark, tmp_path):
+    for n in range(3):
+        np.save(tmp_path / f"p_{n}.npy", np.zeros((n * 5, 4), "f2"))
+    found = {(r.shard, r.n_rows, r.dim) for r in npy_shapes(spark, str(tmp_path)).collect()}
+    assert found == {("p_0.npy", 0, 4), ("p_1.npy", 5, 4), ("p_2.npy", 10, 4)}
