@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from nearfield.operators.ordinals import join_sized, with_ordinal
+from nearfield.session import cut_lineage
 
 # The percentiles reported.
 PERCENTILES = {"p50": 0.50, "p95": 0.95, "p99": 0.99}
@@ -31,7 +32,8 @@ def latency_stats(
     df = df.where(F.col("_v").isNotNull())
     groups = [*by, "_all"]
     values = df.groupBy(*groups, "_v").agg(F.count(F.lit(1)).alias("_times"))
-    placed = with_ordinal(values, [*groups, "_v"], "_at", weight="_times")
+    # Stored, since both the totals and the percentiles read it.
+    placed = cut_lineage(with_ordinal(values, [*groups, "_v"], "_at", weight="_times"), "placed")
     value, times = F.col("_v"), F.col("_times")
     totals = placed.groupBy(*groups).agg(
         F.min("_at").alias("_first"),

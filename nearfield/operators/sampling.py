@@ -24,34 +24,29 @@ def sample_queries(
     """Draw ``n_shards`` of the first shards, then ``nq // n_shards`` rows of each.
 
     Both draws are without replacement and depend only on the seed and the keys. A shard or a
-    pool that is too small is an error. Spark keeps the best rows per shard in each map task,
-    so a large shard is never gathered.
+    pool that is too small is an error. The drawn shard numbers become a filter that reaches the
+    scan, and each map task keeps only its best rows per shard.
     """
-    per_shard = nq // n_shards
-    if n_shards < 1 or per_shard < 1:
+    per_shard = nq // n_shards if n_shards > 0 else 0
+    if per_shard < 1:
         raise ValueError("need at least one shard and one row per shard")
     pool = df if first_shards is None else df.where(F.col(shard) < first_shards)
     picked = (
         pool.groupBy(shard)
-        .agg(F.count(F.lit(1)).alias("_n"))
+        .agg(F.count(F.lit(1)).alias("n_rows"))
         .orderBy(_draw(seed, shard), shard)
         .limit(n_shards)
+        .collect()
     )
-    # Checked on the picked counts: n_shards rows, broadcast whatever the table's size.
-    short = F.when(
-        F.col("_n") < per_shard,
-        F.raise_error(F.concat(F.lit("too few rows in shard "), F.col(shard).cast("string"))),
-    ).otherwise(F.lit(per_shard))
-    few = F.when(
-        F.count(F.lit(1)).over(Window.partitionBy(F.lit(1))) < n_shards,
-        F.raise_error(F.lit("fewer shards than asked for")),
-    ).otherwise(short)
-    quota = picked.select(shard, few.alias("_take"))
+    if len(picked) < n_shards:
+        raise ValueError(f"fewer shards than asked for: {len(picked)} of {n_shards}")
+    for row in picked:
+        if row.n_rows < per_shard:
+            raise ValueError(f"too few rows in shard {row[shard]}: {row.n_rows} of {per_shard}")
     order = Window.partitionBy(shard).orderBy(_draw(seed, key), key)
     return (
-        pool.join(F.broadcast(quota), shard)
+        pool.where(F.col(shard).isin([row[shard] for row in picked]))
         .withColumn("_r", F.row_number().over(order))
-        .where((F.col("_r") <= per_shard) & (F.col("_r") <= F.col("_take")))
-        .drop("_r", "_take")
-        .select(*df.columns)
+        .where(F.col("_r") <= per_shard)
+        .drop("_r")
     )

@@ -52,7 +52,7 @@ def ingest_incremental(
     dest: str,
     manifest: str,
     *,
-    checkpoint: str,
+    checkpoint: str | None = None,
     global_start: int = 0,
     metadata_template: str | None = None,
     fmt: str = "npy",
@@ -127,7 +127,7 @@ def ingest_incremental(
     query = (
         stream_files(spark, source_dir, suffix)
         .writeStream.foreachBatch(process)
-        .option("checkpointLocation", checkpoint)
+        .option("checkpointLocation", checkpoint or f"{manifest.rstrip('/')}-checkpoint")
         .trigger(availableNow=True)
         .start()
     )

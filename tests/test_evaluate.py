@@ -93,7 +93,11 @@ def test_sampling_needs_enough_rows(spark):
     with pytest.raises(Exception, match="too few rows"):
         sample_queries(df, 2, 20).collect()
     with pytest.raises(Exception, match="fewer shards"):
-        sample_queries(df, 20, 20).collect()
+        sample_queries(df, 20, 20)
+    with pytest.raises(Exception, match="fewer shards"):
+        sample_queries(df.where("pk < 0"), 1, 1)
+    with pytest.raises(ValueError):
+        sample_queries(df, 5, 4)
 
 
 def test_column_metrics(spark, rng):
