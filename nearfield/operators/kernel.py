@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 
 HALF_ULP = float(np.finfo(np.float32).eps) / 2
-PAIRS_AT_ONCE = 1 << 13
+CHUNK_BYTES = 1 << 21  # double-precision rows measured at once: what a core's cache holds
 ROWS_OUT = 1 << 16
 KEPT_BYTES = 128 << 20  # base vectors a task keeps for the exact pass
 
@@ -122,11 +122,11 @@ class QueryBlock:
         n = len(self.qids)
         # No row above its query's bound can be in the answer.
         self.bounds = np.full(n, np.inf) if bounds is None else np.array(bounds, dtype=np.float64)
-        self.q = np.empty(0, np.int64)
+        self.q = np.empty(0, np.int32)
         self.ids = np.empty(0, np.int64)
         self.scores = np.empty(0, np.float64)
         self.ranking_cache: dict[tuple[int, type], np.ndarray] = {}
-        self.thin_at = max(3 * k * n, 1 << 16)
+        self.thin_at = max(2 * k * n, 1 << 16)
         self._release()
 
     def _release(self):
@@ -193,12 +193,14 @@ class QueryBlock:
             self.kept.append((ids[fresh], vectors[fresh]))
             self.n_kept += len(fresh)
         key = (q.astype(np.uint64) << np.uint64(32)) | _sort_bits(rough + slack)
-        self.waiting.append((key, rough - slack, spots[cols]))
+        with np.errstate(over="ignore"):
+            low = np.nextafter((rough - slack).astype(np.float32), np.float32(-np.inf))
+        self.waiting.append((key, low, spots[cols].astype(np.int32)))
         self.n_waiting += len(key)
         full = self.n_kept * 4 * vectors.shape[1] >= KEPT_BYTES
         if self.n_waiting >= self.thin_at:
             self._thin()
-            full = full or self.n_waiting > self.thin_at * 2 // 3
+            full = full or self.n_waiting > self.thin_at * 3 // 4
         if full:
             self._settle()
             spots[:] = -1
@@ -206,13 +208,16 @@ class QueryBlock:
     def _thin(self):
         """Drop candidates whose interval lies above the k-th interval's end."""
         key, low, spot = (np.concatenate(part) for part in zip(*self.waiting))
+        self.waiting = []
         order = np.argsort(key)
-        q = (key[order] >> np.uint64(32)).astype(np.int64)
+        key = key[order]
+        q = _query_of(key)
         last = _places(q, len(self.qids)) == self.k - 1
-        ends = _from_sort_bits(key[order[last]] & np.uint64(0xFFFFFFFF))
+        ends = _from_sort_bits(key[last] & np.uint64(0xFFFFFFFF))
         self.bounds[q[last]] = np.minimum(self.bounds[q[last]], ends)
-        order = order[low[order] <= self.bounds[q]]
-        self.waiting = [(key[order], low[order], spot[order])]
+        keep = low[order] <= self.bounds[q]
+        order = order[keep]
+        self.waiting = [(key[keep], low[order], spot[order])]
         self.n_waiting = len(order)
 
     def _settle(self):
@@ -224,11 +229,11 @@ class QueryBlock:
         ids, vectors = (np.concatenate(part) for part in zip(*self.kept))
         self._release()
         base = Side(vectors, self.metric, self.normalize_base)
-        q = (key >> np.uint64(32)).astype(np.int64)
-        scores = self._measure(q, base, spot)
+        q = _query_of(key)
+        scores = np.concatenate([self.scores, self._measure(q, base, spot)])
         q = np.concatenate([self.q, q])
         ids = np.concatenate([self.ids, ids[spot]])
-        scores = np.concatenate([self.scores, scores])
+        del key, spot, base, vectors
         order = np.lexsort((ids, scores, q))
         q, ids, scores = q[order], ids[order], scores[order]
         place = _places(q, len(self.qids))
@@ -239,17 +244,17 @@ class QueryBlock:
     def _measure(self, q: np.ndarray, base: Side, spot: np.ndarray) -> np.ndarray:
         """Exact scores of (query, kept row) pairs that come grouped by query."""
         out = np.empty(len(q))
+        step = max(64, CHUNK_BYTES // (8 * base.raw.shape[1] + 1))
         if len(q) >= 32 * len(self.qids):  # long groups: one query against its rows at a time
             edges = np.searchsorted(q, np.arange(len(self.qids) + 1))
             steps = [
-                (slice(at, min(at + PAIRS_AT_ONCE, hi)), slice(i, i + 1))
+                (slice(at, min(at + step, hi)), slice(i, i + 1))
                 for i, (lo, hi) in enumerate(zip(edges, edges[1:]))
-                for at in range(lo, hi, PAIRS_AT_ONCE)
+                for at in range(lo, hi, step)
             ]
         else:
             steps = [
-                (slice(at, at + PAIRS_AT_ONCE), q[at : at + PAIRS_AT_ONCE])
-                for at in range(0, len(q), PAIRS_AT_ONCE)
+                (slice(at, at + step), q[at : at + step]) for at in range(0, len(q), step)
             ]
         for part, rows in steps:
             b, a = base.exact(spot[part]), self.side.exact(rows)
@@ -279,6 +284,11 @@ class QueryBlock:
             )
 
 
+def _query_of(key: np.ndarray) -> np.ndarray:
+    return (key >> np.uint64(32)).astype(np.int32)
+
+
 def _places(q: np.ndarray, n: int) -> np.ndarray:
     """Position of every entry inside its group; ``q`` is sorted."""
-    return np.arange(len(q)) - np.searchsorted(q, np.arange(n))[q]
+    starts = np.searchsorted(q, np.arange(n, dtype=np.int32)).astype(np.int32)
+    return np.arange(len(q), dtype=np.int32) - starts[q]
