@@ -118,20 +118,20 @@ def test_links(spark, tmp_path):
 
 def test_extract_links(spark):
     html = (
-        '<a href="img_emb_0000.npy">x</a><A class="b" HREF=\'img_emb_0001.npy\'>y</A>'
-        '<a href="other.txt">z</a>\n<a\nhref="img_emb_2.npy?a=1&amp;b=2">w</a><abbr href="img_emb_9">'
-        """<a data-href="img_emb_x" href="img_emb_it's">v</a><a href=img_emb_3>u</a>"""
+        '<a href="part_emb_0000.npy">x</a><A class="b" HREF=\'part_emb_0001.npy\'>y</A>'
+        '<a href="other.txt">z</a>\n<a\nhref="part_emb_2.npy?a=1&amp;b=2">w</a><abbr href="part_emb_9">'
+        """<a data-href="part_emb_x" href="part_emb_it's">v</a><a href=part_emb_3>u</a>"""
     )
     pages = spark.createDataFrame([(1, html), (2, "nothing"), (3, None)], "page_id long, html string")
-    found = extract_links(pages, "img_emb").orderBy("page_id", "pos").collect()
-    assert [r.href for r in found] == ["img_emb_0000.npy", "img_emb_0001.npy", "img_emb_2.npy?a=1&b=2", "img_emb_it's", "img_emb_3"]
+    found = extract_links(pages, "part_emb").orderBy("page_id", "pos").collect()
+    assert [r.href for r in found] == ["part_emb_0000.npy", "part_emb_0001.npy", "part_emb_2.npy?a=1&b=2", "part_emb_it's", "part_emb_3"]
     assert [r.pos for r in found] == sorted(r.pos for r in found)
 
 
 def test_names(spark):
     df = spark.createDataFrame(
-        [("/a/b/img_emb_0042.npy",), ("x_7.parquet",), ("none.txt",), ("v2/plain",)], "p string"
+        [("/a/b/part_emb_0042.npy",), ("x_7.parquet",), ("none.txt",), ("v2/plain",)], "p string"
     )
     assert [tuple(r) for r in df.select(base_name("p"), shard_number("p")).collect()] == [
-        ("img_emb_0042.npy", 42), ("x_7.parquet", 7), ("none.txt", None), ("plain", None),
+        ("part_emb_0042.npy", 42), ("x_7.parquet", 7), ("none.txt", None), ("plain", None),
     ]
