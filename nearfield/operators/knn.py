@@ -206,8 +206,8 @@ def _two_way_split(plan: Search, base: DataFrame, queries: DataFrame, n_base: in
     or a repeated vector does not pile up in one cell. A cell's queries come first in its sort
     order and are bounded by the block size; its base rows stream past them.
     """
-    share = max(1, min(plan.broadcast_bytes, plan.task_bytes) // 4)
-    n_blocks = plan.query_blocks or max(2, math.ceil(plan.state_bytes() / share))
+    # Every block re-sends the base, so blocks are as large as a task can hold with room for skew.
+    n_blocks = plan.query_blocks or max(2, math.ceil(2 * plan.state_bytes() / plan.task_bytes))
     n_parts = max(1, math.ceil(n_base / CELL_ROWS))
     left = queries.select(
         F.pmod(F.xxhash64("qid"), F.lit(n_blocks)).alias("qb"),
