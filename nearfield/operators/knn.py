@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -86,19 +87,28 @@ def knn(
         query_blocks, broadcast_bytes, task_bytes,
     )
     if not plan.fits_broadcast():
-        if per is not None:
-            raise ValueError("per needs a query set that can be broadcast")
         if queries.agg(F.count_distinct("qid")).first()[0] != size.n:
             raise ValueError(UNIQUE_QIDS)
 
+    if per is not None:
+        # A list per shard is as long as the shard allows, so there is no bound to prune with. Query
+        # sets too large for one broadcast take one pass over the base per block.
+        blocks = [queries]
+        if not plan.fits_broadcast():
+            n_blocks = plan.blocks()
+            number = F.pmod(F.xxhash64("qid"), F.lit(n_blocks))
+            blocks = [queries.where(number == i) for i in range(n_blocks)]
+        pairs = [_per_shard(plan, base, q, per) for q in blocks]
+        return top_k(reduce(DataFrame.unionByName, pairs), k, metric, per=per)
+
     n_base = None
-    if prune_fraction is None and per is None:
+    if prune_fraction is None:
         n_base = base.count()
         prune_fraction = PILOT_FRACTION if n_base >= PILOT_FROM else 0
     bounded = queries.withColumn("bound", F.lit(None).cast("double"))
     if prune_fraction:
         bounded = _bounds_from_pilot(plan, base, bounded, prune_fraction)
-    return plan.run(base, bounded, n_base, per)
+    return plan.run(base, bounded, n_base)
 
 
 @dataclass(frozen=True)
@@ -130,19 +140,19 @@ class Search:
             qids, vectors, bounds, self.k, self.metric.name, self.normalize_query, self.query_block
         )
 
-    def run(
-        self, base: DataFrame, queries: DataFrame, n_base: int | None, per: str | None = None
-    ) -> DataFrame:
+    def blocks(self) -> int:
+        """Blocks a query set is cut into: as large as a task can hold, with room for skew."""
+        by_state = 2 * self.state_bytes() / self.task_bytes
+        by_size = 2 * self.n_queries * (4 * self.dim + 16) / self.broadcast_bytes
+        return self.query_blocks or max(2, math.ceil(max(by_state, by_size)))
+
+    def run(self, base: DataFrame, queries: DataFrame, n_base: int | None) -> DataFrame:
         if self.fits_broadcast():
-            if per:  # local sort: rows of one shard come together, no shuffle
-                base = base.sortWithinPartitions(per)
-            pairs = base.mapInArrow(
-                _stationary_base(self, queries, per), (f"{per} long, " if per else "") + PAIRS
-            )
+            pairs = base.mapInArrow(_stationary_base(self, queries), PAIRS)
         else:
             n_base = base.count() if n_base is None else n_base
             pairs = _two_way_split(self, base, queries, n_base)
-        return top_k(pairs, self.k, self.metric, per=per)
+        return top_k(pairs, self.k, self.metric)
 
 
 def _bounds_from_pilot(
@@ -153,7 +163,7 @@ def _bounds_from_pilot(
     # Few large partitions: each one emits up to k rows per query.
     packed = pilot.repartition(max(1, math.ceil(rows / CELL_ROWS)), "id")
     if rows >= PILOT_FROM:
-        queries = _bounds_from_pilot(plan, packed, queries, PILOT_FRACTION)
+        queries = _bounds_from_pilot(plan, pilot, queries, PILOT_FRACTION)
     kth = plan.run(packed, queries, rows).where(F.col("rank") == plan.k)
     worst = -F.col("distance") if plan.metric.higher_is_better else F.col("distance")
     # A little wider than needed: bounds only prune.
@@ -161,16 +171,18 @@ def _bounds_from_pilot(
     return cut_lineage(queries.drop("bound").join(bounds, "qid", "left"), "bounds")
 
 
-def _stationary_base(plan: Search, queries: DataFrame, per: str | None) -> Callable:
-    """Task function for a broadcast query set, whose size the caller has checked."""
+def _broadcast(queries: DataFrame):
+    """(qids, vectors, bounds) for all tasks; the caller has checked the size."""
     table = queries.toArrow()
     qids = table["qid"]
     if qids.null_count or len(qids.unique()) != len(qids):
         raise ValueError(UNIQUE_QIDS)
-    bounds = table["bound"].fill_null(float("inf")).to_numpy()
-    shared = queries.sparkSession.sparkContext.broadcast(
-        (qids.to_numpy(), to_matrix(table["vector"]), bounds)
-    )
+    bounds = table["bound"].fill_null(float("inf")).to_numpy() if "bound" in queries.columns else None
+    return queries.sparkSession.sparkContext.broadcast((qids.to_numpy(), to_matrix(table["vector"]), bounds))
+
+
+def _stationary_base(plan: Search, queries: DataFrame) -> Callable:
+    shared = _broadcast(queries)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = plan.block(*shared.value)
@@ -178,7 +190,14 @@ def _stationary_base(plan: Search, queries: DataFrame, per: str | None) -> Calla
             held.add(batch.column(0).to_numpy(), to_matrix(batch.column(1)), plan.normalize_base)
         yield from held.results()
 
-    def run_per_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return run
+
+
+def _per_shard(plan: Search, base: DataFrame, queries: DataFrame, per: str) -> DataFrame:
+    """Candidate lists kept apart by ``per``; a sort inside tasks brings a shard's rows together."""
+    shared = _broadcast(queries)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, held = None, None
 
         def lists():
@@ -196,7 +215,7 @@ def _stationary_base(plan: Search, queries: DataFrame, per: str | None) -> Calla
         if held is not None:
             yield from lists()
 
-    return run_per_shard if per else run
+    return base.sortWithinPartitions(per).mapInArrow(run, f"{per} long, {PAIRS}")
 
 
 def _two_way_split(plan: Search, base: DataFrame, queries: DataFrame, n_base: int) -> DataFrame:
@@ -206,8 +225,7 @@ def _two_way_split(plan: Search, base: DataFrame, queries: DataFrame, n_base: in
     or a repeated vector does not pile up in one cell. A cell's queries come first in its sort
     order and are bounded by the block size; its base rows stream past them.
     """
-    # Every block re-sends the base, so blocks are as large as a task can hold with room for skew.
-    n_blocks = plan.query_blocks or max(2, math.ceil(2 * plan.state_bytes() / plan.task_bytes))
+    n_blocks = plan.blocks()
     n_parts = max(1, math.ceil(n_base / CELL_ROWS))
     left = queries.select(
         F.pmod(F.xxhash64("qid"), F.lit(n_blocks)).alias("qb"),

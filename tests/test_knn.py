@@ -124,11 +124,12 @@ def test_normalized_base_orders_like_cosine(spark, data):
     assert {(r.qid, r.rank): r.id for r in found.collect()} == {(r.qid, r.rank): r.id for r in by_angle}
 
 
-def test_lists_per_shard(spark, data):
+@pytest.mark.parametrize("options", [{}, {"broadcast_bytes": 700}])
+def test_lists_per_shard(spark, data, options):
     ids, base, qids, qs = data
     shards = (np.arange(400) % 3).tolist()
     b, q = frames(spark, data, shard_no=shards)
-    found = knn(b, q, 5, "l2", per="shard_no")
+    found = knn(b, q, 5, "l2", per="shard_no", **options)
     for s in range(3):
         keep = [i for i in range(400) if shards[i] == s]
         assert_neighbors(found.where(f"shard_no = {s}"), brute_force(ids[keep], base[keep], qids, qs, 5, "l2"))
