@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from nearfield.llm.langid import fit_languages, identify_languages
 from nearfield.llm.simhash import simhash_groups
+from nearfield.llm.substring import substring_digest
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +23,31 @@ def fold(n: int, key: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % n
 
 
+SQL_OP2 = r"""
+WITH words AS (
+    SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents
+), windows AS (
+    SELECT doc_id, p, md5(array_to_string(w[p:p + 12], ' ')) AS h
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS p FROM words)
+), firsts AS (
+    SELECT h, min(doc_id) AS first_id FROM windows GROUP BY h
+), gone AS (
+    SELECT DISTINCT doc_id, unnest(range(p, p + 13)) AS p
+    FROM windows JOIN firsts USING (h) WHERE doc_id > first_id
+), lists AS (
+    SELECT doc_id, list(p) AS ps FROM gone GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(ps), 0) AS BIGINT) AS n_removed,
+       sha256(array_to_string(list_filter(w, lambda x, i: ps IS NULL OR NOT list_contains(ps, i)), ' '))
+           AS kept_sha256
+FROM words LEFT JOIN lists USING (doc_id)
+"""
+
+
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_digest(documents(spark, sf_dir))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).withColumn("held_out", fold(5) == 0)
     model = fit_languages(docs.where(~F.col("held_out")), sample_key=F.col("doc_id"))
@@ -33,6 +59,7 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_substring_dedup": (op2_substring_dedup, SQL_OP2),
     "op6_language_id": (op6_language_id, None),
     "op10_simhash_near_dedup": (op10_simhash_near_dedup, None),
 }
