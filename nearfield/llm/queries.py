@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nearfield.llm.langid import fit_languages, identify_languages
+from nearfield.llm.mixing import mixing_plan
 from nearfield.llm.simhash import simhash_groups
 from nearfield.llm.substring import substring_digest
 
@@ -54,6 +55,54 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_languages(docs, model, keep=["held_out"])
 
 
+SQL_OP7 = r"""
+WITH sized AS (
+    SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
+           substr(md5('0:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS k
+    FROM documents
+), per AS (
+    SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+           (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS w
+    FROM sized GROUP BY source
+), levels AS (
+    SELECT *, CAST(sum(source_size) OVER () - coalesce(sum(3 * source_size) OVER before, 0) AS DOUBLE)
+              / CAST(sum(w) OVER after AS DOUBLE) AS level
+    FROM per
+    WINDOW before AS (ORDER BY 3 * source_size / w, source NULLS LAST
+                      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+           after AS (ORDER BY 3 * source_size / w, source NULLS LAST
+                     ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
+), targets AS (
+    SELECT source, source_size, least(CAST(3 * source_size AS DOUBLE), w * max(level) OVER ()) AS target
+    FROM levels
+), rests AS (
+    SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS whole FROM targets
+), groups AS (
+    SELECT source, k, sum(size) AS g FROM sized GROUP BY source, k
+), placed AS (
+    SELECT source, k, g, coalesce(sum(g) OVER (PARTITION BY source ORDER BY k
+           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS c FROM groups
+)
+SELECT s.doc_id, s.size, r.source_size, r.target,
+       CAST(s.size * (r.whole + CASE WHEN p.c + p.g / 2.0 <= r.target - r.whole * r.source_size
+                                     THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM sized s
+JOIN rests r ON s.source IS NOT DISTINCT FROM r.source
+JOIN placed p ON s.source IS NOT DISTINCT FROM p.source AND s.k = p.k
+"""
+
+
+def op7_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    plan = mixing_plan(documents(spark, sf_dir).select("doc_id", "text", "source"))
+    return plan.select(
+        "doc_id",
+        F.col("_size").alias("size"),
+        F.col("_source_size").alias("source_size"),
+        F.col("_target").alias("target"),
+        (F.col("_size") * F.size("_draws")).alias("taken"),
+    )
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(documents(spark, sf_dir))
 
@@ -61,5 +110,6 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_substring_dedup": (op2_substring_dedup, SQL_OP2),
     "op6_language_id": (op6_language_id, None),
+    "op7_mixing_sources": (op7_mixing_sources, SQL_OP7),
     "op10_simhash_near_dedup": (op10_simhash_near_dedup, None),
 }
