@@ -10,6 +10,7 @@ from nearfield.llm.mixing import mixing_plan
 from nearfield.llm.packing import pack_documents
 from nearfield.llm.simhash import simhash_groups
 from nearfield.llm.substring import substring_digest
+from nearfield.llm.syncmers import fingerprint_edits
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,6 +55,10 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(documents(spark, sf_dir))
 
 
+def op5_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_edits(documents(spark, sf_dir))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).withColumn("held_out", fold(5) == 0)
     model = fit_languages(docs.where(~F.col("held_out")), sample_key=F.col("doc_id"))
@@ -115,6 +120,7 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_substring_dedup": (op2_substring_dedup, SQL_OP2),
     "op3_packing": (op3_packing, None),
+    "op5_document_fingerprints": (op5_document_fingerprints, None),
     "op6_language_id": (op6_language_id, None),
     "op7_mixing_sources": (op7_mixing_sources, SQL_OP7),
     "op10_simhash_near_dedup": (op10_simhash_near_dedup, None),
