@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from nearfield.llm.capfilters import vector_links
 from nearfield.llm.langid import fit_languages, identify_languages
 from nearfield.llm.mixing import mixing_plan
 from nearfield.llm.packing import pack_documents
@@ -113,6 +114,32 @@ def op7_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+SQL_OP9 = """
+WITH RECURSIVE usable AS (
+    SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x != 0)) > 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b
+    ON a.label = b.label AND a.vec_id != b.vec_id AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.93
+), reach(id, seen) AS (
+    SELECT vec_id, vec_id FROM embeddings
+    UNION
+    SELECT reach.id, links.b FROM reach JOIN links ON links.a = reach.seen
+), components AS (
+    SELECT id, min(seen) AS component_id FROM reach GROUP BY id
+), counts AS (
+    SELECT a, count(*) AS n FROM links GROUP BY a
+)
+SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN components ON id = vec_id LEFT JOIN counts ON a = vec_id
+"""
+
+
+def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_links(table(spark, sf_dir, "embeddings"))
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(documents(spark, sf_dir))
 
@@ -123,5 +150,6 @@ QUERIES = {
     "op5_document_fingerprints": (op5_document_fingerprints, None),
     "op6_language_id": (op6_language_id, None),
     "op7_mixing_sources": (op7_mixing_sources, SQL_OP7),
+    "op9_embedding_near_dedup": (op9_embedding_near_dedup, SQL_OP9),
     "op10_simhash_near_dedup": (op10_simhash_near_dedup, None),
 }
