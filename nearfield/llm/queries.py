@@ -12,6 +12,9 @@ from nearfield.llm.packing import pack_documents
 from nearfield.llm.simhash import simhash_groups
 from nearfield.llm.substring import substring_digest
 from nearfield.llm.syncmers import fingerprint_edits
+from nearfield.llm.tokenfile import read_token_files, write_token_files
+from nearfield.llm.warc import read_packages, write_packages
+from nearfield.session import scratch_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +30,10 @@ def fold(n: int, key: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % n
 
 
+def op1_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_token_files(write_token_files(documents(spark, sf_dir), scratch_path(spark, "ids")))
+
+
 SQL_OP2 = r"""
 WITH words AS (
     SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents
@@ -56,6 +63,24 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(documents(spark, sf_dir))
 
 
+SQL_OP4 = """
+WITH facts AS (
+    SELECT page_id, coalesce(strlen(html), 0) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+), firsts AS (
+    SELECT payload_digest, min(page_id) AS first_id FROM facts WHERE payload_bytes >= 100 GROUP BY payload_digest
+)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+       CASE WHEN first_id IS NOT NULL AND first_id != page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first_id != page_id THEN first_id END AS refers_to
+FROM facts LEFT JOIN firsts USING (payload_digest)
+"""
+
+
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packages = write_packages(table(spark, sf_dir, "pages"), scratch_path(spark, "warc"))
+    return read_packages(packages).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op5_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_edits(documents(spark, sf_dir))
 
@@ -145,8 +170,10 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_token_id_output": (op1_token_id_output, None),
     "op2_substring_dedup": (op2_substring_dedup, SQL_OP2),
     "op3_packing": (op3_packing, None),
+    "op4_warc": (op4_warc, SQL_OP4),
     "op5_document_fingerprints": (op5_document_fingerprints, None),
     "op6_language_id": (op6_language_id, None),
     "op7_mixing_sources": (op7_mixing_sources, SQL_OP7),
