@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nearfield.llm.capfilters import vector_links
+from nearfield.llm.kneserney import fit_bigrams, score_texts
 from nearfield.llm.langid import fit_languages, identify_languages
 from nearfield.llm.mixing import mixing_plan
 from nearfield.llm.packing import pack_documents
@@ -139,6 +140,11 @@ def op7_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).withColumn("held_out", fold(7) == 2)
+    return score_texts(docs, fit_bigrams(docs.where(~F.col("held_out"))), keep=["held_out"])
+
+
 SQL_OP9 = """
 WITH RECURSIVE usable AS (
     SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings
@@ -177,6 +183,7 @@ QUERIES = {
     "op5_document_fingerprints": (op5_document_fingerprints, None),
     "op6_language_id": (op6_language_id, None),
     "op7_mixing_sources": (op7_mixing_sources, SQL_OP7),
+    "op8_lm_scoring": (op8_lm_scoring, None),
     "op9_embedding_near_dedup": (op9_embedding_near_dedup, SQL_OP9),
     "op10_simhash_near_dedup": (op10_simhash_near_dedup, None),
 }
