@@ -21,7 +21,7 @@ from nearfield.session import cut_lineage
 
 UNKNOWN = "und"
 WORD_BYTES = 32  # longer words are scored in runs of so many bytes, which bounds the exponent
-CHUNK_WORDS = 20_000
+CHUNK_WORDS = 6_000
 SCALE = 64.0  # per byte; keeps products of probabilities inside a double
 MAX_LANGUAGES = 256
 _PRIME = np.uint64(0x100000001B3)
@@ -254,10 +254,10 @@ def identify_languages(
     """
     languages, log_p, vocabulary = model.languages, model.log_p, model.vocabulary
     keep = [key, *(keep or [])]
-    inner = [f"_c{i}" for i in range(len(keep))]
+    inner = ["_text" if c == text else f"_c{i}" for i, c in enumerate(keep)]
     picked = docs.select(
         *[F.col(c).alias(i) for c, i in zip(keep, inner)],
-        F.col(text).alias("_text"),
+        *([] if text in keep else [F.col(text).alias("_text")]),
         F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)).alias("_letters"),
     )
 
