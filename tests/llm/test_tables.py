@@ -11,6 +11,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from odd_rows import documents, empty  # noqa: F401  (fixtures)
 from pyspark.sql import functions as F
 
 import corpus_pipeline

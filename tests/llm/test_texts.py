@@ -24,6 +24,7 @@ from nearfield.llm.substring import remove_repeats, substring_digest
 from nearfield.llm.syncmers import anchors, fingerprint_edits, matches
 from nearfield.llm.tokenfile import read_token_file, read_token_files, write_token_files
 from nearfield.llm.tokens import TokenEncoder, default_tokenizer
+from odd_rows import documents, empty  # noqa: F401  (fixtures)
 from pyspark.sql import functions as F
 
 SPLIT = re.compile(r"[^\x20\x09-\x0D]+")
