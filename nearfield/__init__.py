@@ -39,7 +39,7 @@ from nearfield.sources.tables import (
     write_neighbors,
     write_vectors,
 )
-from nearfield.sources.vecfiles import scan_npy, scan_vecs, write_npy, write_vecs
+from nearfield.sources.vecfiles import scan_npy, scan_npy_set, scan_vecs, write_npy, write_vecs
 from nearfield.streaming.ingest import ingest_incremental
 from nearfield.streaming.neighbors import knn_incremental
 
@@ -49,7 +49,7 @@ __all__ = [
     "export_json_chunks", "extract_links", "filter_vectors", "ingest_incremental", "knn",
     "knn_incremental", "l2_normalize", "l2_sq", "latency_stats", "link_manifest", "list_shards", "merge_topk",
     "pending_shards", "recall", "recall_diff", "recall_per_query", "renumber_shards",
-    "round_vector", "sample_queries", "scan_latency", "scan_neighbors", "scan_npy", "scan_pages",
+    "round_vector", "sample_queries", "scan_latency", "scan_neighbors", "scan_npy", "scan_npy_set", "scan_pages",
     "scan_vecs", "scan_vectors", "search_pages", "shard_counts", "shard_names", "shard_number",
     "shard_paths", "to_long", "to_wide", "with_chunk", "with_ordinal", "with_page", "write_latency",
     "write_links", "write_neighbors", "write_npy", "write_vecs", "write_vectors", "zip_shards",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from nearfield.operators.ordinals import join_sized, running_offsets, with_ordinal
+from nearfield.operators.ordinals import join_sized, with_ordinal
 
 
 def filter_vectors(df: DataFrame, expr: str | None) -> DataFrame:
@@ -16,7 +16,7 @@ def filter_vectors(df: DataFrame, expr: str | None) -> DataFrame:
 def shard_counts(df: DataFrame, shard: str = "shard_no") -> DataFrame:
     """Rows per shard and the total up to and including it, in shard order."""
     counts = df.groupBy(shard).agg(F.count(F.lit(1)).alias("n_rows"))
-    return running_offsets(counts, shard, "n_rows", "_before").select(
+    return with_ordinal(counts, [shard], "_before", weight="n_rows").select(
         shard, "n_rows", (F.col("_before") + F.col("n_rows")).alias("running_total")
     )
 
@@ -48,7 +48,12 @@ def assign_pk(
             sizes = sizes.select(
                 shard, F.col("n_rows").alias("_n"), F.lit(0).alias("_lo"), (F.col("n_rows") - 1).alias("_hi")
             )
-        starts = running_offsets(sizes, shard, "_n", "_start")
+            sizes = sizes.groupBy(shard).agg(
+                F.sum("_n").alias("_n"), F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi"), F.count(F.lit(1)).alias("_given")
+            )
+            twice = F.raise_error(F.concat(F.lit("two sizes for shard "), F.col(shard).cast("string")))
+            sizes = sizes.withColumn("_n", F.when(F.col("_given") > 1, twice).otherwise(F.col("_n"))).drop("_given")
+        starts = with_ordinal(sizes, [shard], "_start", weight="_n")
         gap = (F.col("_lo") != 0) | (F.col("_hi") + 1 != F.col("_n"))
         at = F.when(
             gap,

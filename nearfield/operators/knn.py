@@ -5,24 +5,26 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.dataset as ds
+import pyarrow.fs as pafs
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from nearfield.functions.metrics import Metric, get_metric
 from nearfield.operators.kernel import QueryBlock, to_matrix
 from nearfield.operators.topk import top_k
-from nearfield.session import cut_lineage
+from nearfield.session import cut_lineage, scratch_path
+from nearfield.sources.vecfiles import open_fs
 
 UNIQUE_QIDS = "query ids must be unique and not NULL"
 PAIRS = "qid long, id long, distance double"
 TASK_BYTES = 3 << 29  # working memory one task may spend on queries and their lists
 BROADCAST_BYTES = 128 << 20
-CELL_ROWS = 1 << 18  # base rows per cell of the two-way split
-MAX_CELL_TASKS = 50_000  # beyond this a task works through several cells
+CELL_ROWS = 1 << 18  # base rows per task of a pilot search
+HELD_BYTES = 128 << 20  # base vectors a task keeps while query blocks stream past
 PILOT_FROM = 10_000_000  # base rows from which a pilot pass pays for itself
 PILOT_FRACTION = 0.01
 
@@ -52,8 +54,9 @@ def knn(
     (a shard number) whose values get neighbour lists of their own.
 
     A query set that fits ``broadcast_bytes`` and ``task_bytes`` is broadcast and the base is
-    read in place. A larger one, or any with ``query_blocks``, is split in two ways, query
-    blocks by base blocks, with no data on the driver.
+    read in place. A larger one, or any with ``query_blocks``, is written to the shared folder in
+    blocks; the base stays in place all the same, and every task streams the blocks past the base
+    rows it holds. Nothing but candidates is shuffled, and no vector reaches the driver.
 
     ``prune_fraction`` first searches that share of the base. Each query's k-th distance there
     is an upper bound for the final one, so the main pass sends on about k / fraction rows per
@@ -64,8 +67,8 @@ def knn(
     metric = get_metric(metric)
     if k < 1:
         raise ValueError("k must be positive")
-    if per is not None and (query_blocks or prune_fraction):
-        raise ValueError("per does not combine with query_blocks or prune_fraction")
+    if per is not None and prune_fraction:
+        raise ValueError("per does not combine with prune_fraction")
     if expr is not None:
         base = base.where(F.expr(expr))
     base = base.select(
@@ -91,24 +94,15 @@ def knn(
             raise ValueError(UNIQUE_QIDS)
 
     if per is not None:
-        # A list per shard is as long as the shard allows, so there is no bound to prune with. Query
-        # sets too large for one broadcast take one pass over the base per block.
-        blocks = [queries]
-        if not plan.fits_broadcast():
-            n_blocks = plan.blocks()
-            number = F.pmod(F.xxhash64("qid"), F.lit(n_blocks))
-            blocks = [queries.where(number == i) for i in range(n_blocks)]
-        pairs = [_per_shard(plan, base, q, per) for q in blocks]
-        return top_k(reduce(DataFrame.unionByName, pairs), k, metric, per=per)
-
-    n_base = None
+        # A list per shard is as long as the shard allows, so there is no bound to prune with.
+        return top_k(_per_shard(plan, base, queries, per), k, metric, per=per)
+
     if prune_fraction is None:
-        n_base = base.count()
-        prune_fraction = PILOT_FRACTION if n_base >= PILOT_FROM else 0
+        prune_fraction = PILOT_FRACTION if base.count() >= PILOT_FROM else 0
     bounded = queries.withColumn("bound", F.lit(None).cast("double"))
     if prune_fraction:
         bounded = _bounds_from_pilot(plan, base, bounded, prune_fraction)
-    return plan.run(base, bounded, n_base)
+    return plan.run(base, bounded)
 
 
 @dataclass(frozen=True)
@@ -146,12 +140,11 @@ class Search:
         by_size = 2 * self.n_queries * (4 * self.dim + 16) / self.broadcast_bytes
         return self.query_blocks or max(2, math.ceil(max(by_state, by_size)))
 
-    def run(self, base: DataFrame, queries: DataFrame, n_base: int | None) -> DataFrame:
+    def run(self, base: DataFrame, queries: DataFrame) -> DataFrame:
         if self.fits_broadcast():
             pairs = base.mapInArrow(_stationary_base(self, queries), PAIRS)
         else:
-            n_base = base.count() if n_base is None else n_base
-            pairs = _two_way_split(self, base, queries, n_base)
+            pairs = base.mapInArrow(_streamed_queries(self, _store_blocks(self, queries)), PAIRS)
         return top_k(pairs, self.k, self.metric)
 
 
@@ -164,7 +157,7 @@ def _bounds_from_pilot(
     packed = pilot.repartition(max(1, math.ceil(rows / CELL_ROWS)), "id")
     if rows >= PILOT_FROM:
         queries = _bounds_from_pilot(plan, pilot, queries, PILOT_FRACTION)
-    kth = plan.run(packed, queries, rows).where(F.col("rank") == plan.k)
+    kth = plan.run(packed, queries).where(F.col("rank") == plan.k)
     worst = -F.col("distance") if plan.metric.higher_is_better else F.col("distance")
     # A little wider than needed: bounds only prune.
     bounds = kth.select("qid", (worst + F.abs(worst) * 1e-9 + 1e-12).alias("bound"))
@@ -193,90 +186,92 @@ def _stationary_base(plan: Search, queries: DataFrame) -> Callable:
     return run
 
 
+def _store_blocks(plan: Search, queries: DataFrame) -> list[str]:
+    """Write the queries in hashed blocks a task can hold; returns the blocks' folders."""
+    n = plan.blocks()
+    path = scratch_path(queries.sparkSession, "queries")
+    numbered = queries.withColumn("block", F.pmod(F.xxhash64("qid"), F.lit(n)))
+    numbered.repartition(n, "block").write.partitionBy("block").parquet(path)
+    return [f"{path}/block={i}" for i in range(n)]
+
+
+def _read_block(folder: str) -> tuple | None:
+    """(qids, vectors, bounds) of a stored block; None if no query fell into it."""
+    fs, path = open_fs(folder)
+    if fs.get_file_info(path).type == pafs.FileType.NotFound:
+        return None
+    table = ds.dataset(path, filesystem=fs, format="parquet").to_table()
+    bounds = table["bound"].fill_null(float("inf")).to_numpy() if "bound" in table.column_names else None
+    return table["qid"].to_numpy(), to_matrix(table["vector"]), bounds
+
+
+def _candidates(plan: Search, held: list[tuple], blocks: list[str]) -> Iterator[pa.RecordBatch]:
+    """Lists of the held base rows for every query, one stored block after the other."""
+    ids, vectors = (np.concatenate(c) for c in zip(*held))
+    for folder in blocks:
+        if (block := _read_block(folder)) is not None:
+            part = plan.block(*block)
+            part.add(ids, vectors, plan.normalize_base)
+            yield from part.results()
+
+
+def _streamed_queries(plan: Search, blocks: list[str]) -> Callable:
+    """The base stays where it is read: each task keeps a run of its rows while the query blocks, read
+    from the shared folder, stream past."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            held.append((batch.column(0).to_numpy(), to_matrix(batch.column(1))))
+            size += held[-1][1].nbytes
+            if size >= HELD_BYTES:
+                yield from _candidates(plan, held, blocks)
+                held, size = [], 0
+        if held:
+            yield from _candidates(plan, held, blocks)
+
+    return run
+
+
 def _per_shard(plan: Search, base: DataFrame, queries: DataFrame, per: str) -> DataFrame:
     """Candidate lists kept apart by ``per``; a sort inside tasks brings a shard's rows together."""
-    shared = _broadcast(queries)
+    small = plan.fits_broadcast()
+    shared = _broadcast(queries) if small else None
+    blocks = [] if small else _store_blocks(plan, queries)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, held = None, None
+        shard, one, held, size = None, None, [], 0
 
         def lists():
-            for out in held.results():
+            for out in one.results() if small else _candidates(plan, held, blocks):
                 labels = pa.array(np.full(out.num_rows, shard, dtype=np.int64))
                 yield pa.RecordBatch.from_arrays([labels, *out.columns], names=[per, *out.schema.names])
 
         for batch in batches:
-            for key, rows in _runs(batch, [2]):
-                if key != shard:
-                    if held is not None:
-                        yield from lists()
-                    shard, held = key, plan.block(*shared.value)
-                held.add(rows.column(0).to_numpy(), to_matrix(rows.column(1)), plan.normalize_base)
-        if held is not None:
+            for key, rows in _runs(batch, 2):
+                if shard is not None and (key != shard or size >= HELD_BYTES):
+                    yield from lists()
+                if shard is None or key != shard or size >= HELD_BYTES:
+                    shard, one, held, size = key, plan.block(*shared.value) if small else None, [], 0
+                ids, vectors = rows.column(0).to_numpy(), to_matrix(rows.column(1))
+                if small:
+                    one.add(ids, vectors, plan.normalize_base)
+                else:
+                    held.append((ids, vectors))
+                    size += vectors.nbytes
+        if shard is not None:
             yield from lists()
 
     return base.sortWithinPartitions(per).mapInArrow(run, f"{per} long, {PAIRS}")
 
 
-def _two_way_split(plan: Search, base: DataFrame, queries: DataFrame, n_base: int) -> DataFrame:
-    """Compare query blocks with base blocks, one (block, block) cell after another per task.
-
-    Both sides are dealt out by hash, the base by id and content together, so a repeated id
-    or a repeated vector does not pile up in one cell. A cell's queries come first in its sort
-    order and are bounded by the block size; its base rows stream past them.
-    """
-    n_blocks = plan.blocks()
-    n_parts = max(1, math.ceil(n_base / CELL_ROWS))
-    left = queries.select(
-        F.pmod(F.xxhash64("qid"), F.lit(n_blocks)).alias("qb"),
-        F.explode(_numbers(n_parts)).alias("bb"),
-        F.lit(0).alias("side"), F.col("qid").alias("id"), "vector", "bound",
-    )
-    right = base.select(
-        F.explode(_numbers(n_blocks)).alias("qb"),
-        F.pmod(F.xxhash64("id", "vector"), F.lit(n_parts)).alias("bb"),
-        F.lit(1).alias("side"), "id", "vector", F.lit(None).cast("double").alias("bound"),
-    )
-    cells = (
-        left.unionByName(right)
-        .repartition(min(n_blocks * n_parts, MAX_CELL_TASKS), "qb", "bb")
-        .sortWithinPartitions("qb", "bb", "side")
-    )
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cell, held, arriving = None, None, []
-        for batch in batches:
-            for (qb, bb, side), rows in _runs(batch, [0, 1, 2]):
-                if (qb, bb) != cell:
-                    if held is not None:
-                        yield from held.results()
-                    cell, held, arriving = (qb, bb), None, []
-                ids, vectors = rows.column(3).to_numpy(), to_matrix(rows.column(4))
-                if side == 0:
-                    bounds = rows.column(5).fill_null(float("inf")).to_numpy()
-                    arriving.append((ids, vectors, bounds))
-                    continue
-                if held is None and arriving:
-                    held = plan.block(*(np.concatenate(c) for c in zip(*arriving)))
-                    arriving = []
-                if held is not None:
-                    held.add(ids, vectors, plan.normalize_base)
-        if held is not None:
-            yield from held.results()
-
-    return cells.mapInArrow(run, PAIRS)
-
-
-def _numbers(n: int) -> Column:
-    return F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))
-
-
-def _runs(batch: pa.RecordBatch, columns: list[int]):
-    """Cut a batch wherever one of ``columns`` changes: (values, rows) pairs."""
+def _runs(batch: pa.RecordBatch, column: int):
+    """Cut a batch wherever ``column`` changes: (value, rows) pairs."""
     if not batch.num_rows:
         return
-    keys = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in columns], axis=1)
-    edges = [0, *(np.nonzero((np.diff(keys, axis=0) != 0).any(axis=1))[0] + 1).tolist(), len(keys)]
+    keys = batch.column(column).to_numpy()
+    edges = [0, *(np.flatnonzero(np.diff(keys)) + 1).tolist(), len(keys)]
     for lo, hi in zip(edges, edges[1:]):
-        key = tuple(keys[lo].tolist())
-        yield (key if len(columns) > 1 else key[0]), batch.slice(lo, hi - lo)
+        yield int(keys[lo]), batch.slice(lo, hi - lo)

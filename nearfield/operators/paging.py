@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from nearfield.functions.metrics import Metric, get_metric
@@ -20,6 +20,23 @@ def _check_total(paged: DataFrame, limit: int) -> None:
         raise ValueError(f"paged {n} rows, expected {limit}")
 
 
+def first_rows(df: DataFrame, order: Column, limit: int) -> DataFrame:
+    """Rows among which the first ``limit`` by ``order`` (ascending, numeric) certainly are, few others.
+
+    An approximate percentile of the key proposes a bound; a count confirms that enough rows lie at or
+    below it, else it is widened. Keys alone are read for that.
+    """
+    keys = df.select(order.alias("_o"))
+    total = keys.count()
+    share = min(1.0, 1.2 * limit / max(total, 1) + 1e-4)
+    while share < 0.5:
+        bound = keys.agg(F.percentile_approx("_o", F.lit(share), F.lit(10_000))).first()[0]
+        if bound is not None and keys.where(F.col("_o") <= F.lit(bound)).limit(limit).count() == limit:
+            return df.where(order.isNull() | (order <= F.lit(bound)))
+        share *= 2
+    return df
+
+
 def scan_pages(
     df: DataFrame,
     expr: str | None,
@@ -30,10 +47,14 @@ def scan_pages(
 ) -> DataFrame:
     """Filtered rows in key order with their page number, up to ``limit`` rows.
 
-    The limit is a test on the position, so no task ever holds the limited rows.
+    A limit first becomes a bound on the key (see ``first_rows``), so only about that many rows are
+    sorted; it is then a test on the position, so no task ever holds the limited rows.
     ``verify`` raises unless exactly ``limit`` rows come out.
     """
-    paged = with_page(filter_vectors(df, expr), [key], batch)
+    rows = filter_vectors(df, expr)
+    if limit is not None:
+        rows = first_rows(rows, F.col(key), limit)
+    paged = with_page(rows, [key], batch)
     if limit is not None:
         paged = paged.where(F.col("ordinal") < limit)
         if verify:
@@ -86,6 +107,9 @@ def search_pages(
     rows = base.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("vector"))
     # Stored narrow first: the range sort reads its input twice, the vectors are read once.
     measured = cut_lineage(distances_to(rows, query, metric), "distances")
+    if limit is not None:
+        worst = -F.col("distance") if metric.higher_is_better else F.col("distance")
+        measured = first_rows(measured, worst, limit)
     paged = with_page(measured, metric.order(), batch)
     if limit is not None:
         paged = paged.where(F.col("ordinal") < limit)

@@ -17,12 +17,13 @@ def sample_queries(
     nq: int,
     seed: int = 0,
     *,
-    first_shards: int | None = 100,
+    first_shards: int | None = None,
     shard: str = "shard_no",
     key: str = "pk",
 ) -> DataFrame:
-    """Draw ``n_shards`` of the first shards, then ``nq // n_shards`` rows of each.
+    """Draw ``n_shards`` shards, then ``nq // n_shards`` rows of each.
 
+    ``first_shards`` limits the draw to shards below that number; by default all take part.
     Both draws are without replacement and depend only on the seed and the keys. A shard or a
     pool that is too small is an error. The drawn shard numbers become a filter that reaches the
     scan, and each map task keeps only its best rows per shard.

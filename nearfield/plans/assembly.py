@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from nearfield import schemas
 from nearfield.operators.assembly import (
     assign_pk,
+    audit_shards,
     count_mismatches,
     missing_shards,
     pending_shards,
@@ -16,10 +20,11 @@ from nearfield.operators.assembly import (
     zip_shards,
 )
 from nearfield.operators.checks import enforce_schema
-from nearfield.plans.common import SHARD_ROWS, SQL_VECTORS, table, vectors
+from nearfield.operators.kernel import to_matrix
+from nearfield.plans.common import SQL_VECTORS, id_range, sharded, sql_sharded, table, vectors
 from nearfield.session import scratch_path
 from nearfield.sources.tables import scan_vectors, write_vectors
-from nearfield.sources.vecfiles import write_npy
+from nearfield.sources.vecfiles import open_fs, write_npy
 from nearfield.streaming.ingest import ingest_incremental
 
 GLOBAL_START = 1_229_565_156  # fixed value: first global key of a second dataset
@@ -27,11 +32,8 @@ GLOBAL_START = 1_229_565_156  # fixed value: first global key of a second datase
 
 def _documents(spark, sf_dir) -> DataFrame:
     """``documents`` in shards of the same layout as the vectors."""
-    return table(spark, sf_dir, "documents").select(
-        F.floor(F.col("doc_id") / SHARD_ROWS).cast("long").alias("shard_no"),
-        (F.col("doc_id") % SHARD_ROWS).alias("row_index"),
-        "doc_id", "lang", "source", "n_chars",
-    )
+    rows = sharded(table(spark, sf_dir, "documents"), "doc_id", id_range(spark, sf_dir))
+    return rows.select("shard_no", "row_index", "doc_id", "lang", "source", "n_chars")
 
 
 def keys(spark, sf_dir) -> DataFrame:
@@ -49,7 +51,18 @@ def keys_two_sources(spark, sf_dir) -> DataFrame:
 
 
 def zipped(spark, sf_dir) -> DataFrame:
-    pairs = zip_shards(_documents(spark, sf_dir), vectors(spark, sf_dir), on_mismatch="skip")
+    """Every vector with the document of its place; shards of unequal length would raise."""
+    rows = vectors(spark, sf_dir)
+    docs = _documents(spark, sf_dir)
+    docs = docs.join(rows.select(F.col("pk").alias("doc_id")), "doc_id", "left_semi")
+    rows = rows.join(docs.select(F.col("doc_id").alias("pk")), "pk", "left_semi")
+    return zip_shards(docs, rows).select("shard_no", "row_index", "doc_id", "pk", "lang", "label")
+
+
+def zipped_even(spark, sf_dir) -> DataFrame:
+    """Only shards whose sides have the same length; documents from id 3 on, so one shard is short."""
+    docs = _documents(spark, sf_dir).where("doc_id >= 3")
+    pairs = zip_shards(docs, vectors(spark, sf_dir), on_mismatch="skip")
     return pairs.select("shard_no", "row_index", "doc_id", "pk", "lang", "label")
 
 
@@ -69,6 +82,12 @@ def missing(spark, sf_dir) -> DataFrame:
     return missing_shards(expected, vectors(spark, sf_dir), "shard_no")
 
 
+def audited(spark, sf_dir) -> DataFrame:
+    """Expected shards that exist; missing ones are left out."""
+    expected = _documents(spark, sf_dir).select("shard_no").distinct()
+    return audit_shards(expected, vectors(spark, sf_dir), "skip", "shard_no")
+
+
 def pending(spark, sf_dir) -> DataFrame:
     shards = shard_counts(_documents(spark, sf_dir)).select("shard_no", "n_rows")
     manifest = shard_counts(vectors(spark, sf_dir))
@@ -119,10 +138,71 @@ def ingested(spark, sf_dir) -> DataFrame:
     )
 
 
-SQL_DOCUMENTS = f"""
-    SELECT doc_id // {SHARD_ROWS} AS shard_no, doc_id % {SHARD_ROWS} AS row_index,
-           doc_id, lang, source, n_chars FROM documents
-"""
+def _files_by_number(df: DataFrame, n_ids: int, folder: str, save) -> None:
+    """Three numbered files of id ranges, each written by the task that holds its rows."""
+
+    def write(key: tuple, part: pa.Table) -> pa.Table:
+        fs, path = open_fs(folder)
+        fs.create_dir(path, recursive=True)
+        save(fs, path, key[0].as_py(), part.sort_by("vec_id"))
+        return pa.table({"file": [key[0].as_py()]})
+
+    numbered = df.withColumn("file", F.expr(f"vec_id * 3 DIV {n_ids}"))
+    numbered.groupBy("file").applyInArrow(write, "file long").count()
+
+
+def _save_npy(fs, folder: str, number: int, part: pa.Table) -> None:
+    with fs.open_output_stream(f"{folder}/emb_{number:04d}.npy") as out:
+        np.lib.format.write_array(out, to_matrix(part["vector"]), allow_pickle=False)
+
+
+def _save_parquet(name: str):
+    def save(fs, folder: str, number: int, part: pa.Table) -> None:
+        pq.write_table(part.drop_columns(["file"]), f"{folder}/{name}_{number:04d}.parquet", filesystem=fs)
+
+    return save
+
+
+def _metadata(spark, sf_dir) -> DataFrame:
+    """The eight metadata columns, made from the document of a vector's id."""
+    docs = table(spark, sf_dir, "documents")
+    return table(spark, sf_dir, "embeddings").join(docs, F.col("vec_id") == F.col("doc_id"), "left").select(
+        "vec_id", F.substring("text", 1, 20).alias("caption"), F.col("lang").alias("NSFW"),
+        (F.col("n_chars") / 8).alias("similarity"), F.col("n_chars").alias("width"),
+        F.length("text").cast("long").alias("height"), F.col("doc_id").alias("original_width"),
+        (F.col("doc_id") * 2).alias("original_height"), F.md5(F.col("text").cast("binary")).alias("md5"),
+    )
+
+
+def _ingested(spark, work: str, **options) -> DataFrame:
+    ingest_incremental(
+        spark, f"{work}/source", f"{work}/dest", f"{work}/manifest",
+        checkpoint=f"{work}/checkpoint", global_start=GLOBAL_START, shards_per_step=2, **options,
+    )
+    rows = spark.read.parquet(f"{work}/dest").drop("shard_no")
+    rest = [c for c in rows.columns if c != "float32_vector"]
+    rows = rows.select(*rest, F.posexplode("float32_vector").alias("pos", "value"))
+    return rows.withColumn("value", F.round(F.col("value").cast("double"), 6))
+
+
+def ingested_with_metadata(spark, sf_dir) -> DataFrame:
+    """Row i of a metadata file beside row i of the vector file of its number, keyed and typed."""
+    work, n = scratch_path(spark, "ingest"), id_range(spark, sf_dir)
+    vecs = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("vector"))
+    _files_by_number(vecs, n, f"{work}/source", _save_npy)
+    _files_by_number(_metadata(spark, sf_dir), n, f"{work}/meta", _save_parquet("metadata"))
+    return _ingested(spark, work, metadata_template=f"{work}/meta/metadata_%04d.parquet")
+
+
+def ingested_parquet(spark, sf_dir) -> DataFrame:
+    """Parquet shards with keys of their own, keyed anew."""
+    work, n = scratch_path(spark, "ingest"), id_range(spark, sf_dir)
+    vecs = table(spark, sf_dir, "embeddings").select("vec_id", (F.col("vec_id") + 7).alias("pk"), F.col("embedding").alias("emb"))
+    _files_by_number(vecs, n, f"{work}/source", _save_parquet("emb"))
+    return _ingested(spark, work, fmt="parquet", vector_col="emb")
+
+
+SQL_DOCUMENTS = sql_sharded("doc_id", "doc_id, lang, source, n_chars", "documents")
 SQL_UNEVEN = f"""
     SELECT coalesce(m.shard_no, v.shard_no) AS shard_no, coalesce(m.n, 0) AS n_meta, coalesce(v.n, 0) AS n_vectors
     FROM (SELECT shard_no, count(*) AS n FROM ({SQL_DOCUMENTS}) GROUP BY 1) m
@@ -147,8 +227,16 @@ QUERIES = {
         zipped,
         f"""SELECT m.shard_no, m.row_index, m.doc_id, v.pk, m.lang, v.label
             FROM ({SQL_DOCUMENTS}) m JOIN ({SQL_VECTORS}) v
-              ON m.shard_no = v.shard_no AND m.row_index = v.row_index
-            WHERE m.shard_no NOT IN (SELECT shard_no FROM ({SQL_UNEVEN}))""",
+              ON m.shard_no = v.shard_no AND m.row_index = v.row_index""",
+    ),
+    "positional_zip_skip": (
+        zipped_even,
+        f"""WITH m AS (SELECT * FROM ({SQL_DOCUMENTS}) WHERE doc_id >= 3), v AS ({SQL_VECTORS}),
+                 even AS (SELECT shard_no FROM (SELECT shard_no, count(*) AS n FROM m GROUP BY 1)
+                          JOIN (SELECT shard_no, count(*) AS n FROM v GROUP BY 1) USING (shard_no, n))
+            SELECT m.shard_no, m.row_index, m.doc_id, v.pk, m.lang, v.label
+            FROM m JOIN v ON m.shard_no = v.shard_no AND m.row_index = v.row_index
+            WHERE m.shard_no IN (SELECT shard_no FROM even)""",
     ),
     "zip_count_mismatch": (uneven, SQL_UNEVEN),
     "renumber_shards": (
@@ -162,6 +250,11 @@ QUERIES = {
         f"""SELECT DISTINCT shard_no FROM ({SQL_DOCUMENTS})
             WHERE shard_no NOT IN (SELECT shard_no FROM ({SQL_VECTORS}))""",
     ),
+    "audit_shards_skip": (
+        audited,
+        f"""SELECT DISTINCT shard_no FROM ({SQL_DOCUMENTS})
+            WHERE shard_no IN (SELECT shard_no FROM ({SQL_VECTORS}))""",
+    ),
     "resume_pending_shards": (
         pending,
         f"""SELECT shard_no, count(*) AS n_rows FROM ({SQL_DOCUMENTS})
@@ -183,6 +276,23 @@ QUERIES = {
                    round(sum(vector[1]::DOUBLE), 6) AS first_elements
             FROM ({SQL_VECTORS}) GROUP BY shard_no""",
     ),
+    "ingest_with_metadata": (
+        ingested_with_metadata,
+        f"""SELECT pk, pk + {GLOBAL_START} AS pk_5b, substr(text, 1, 20) AS caption, lang AS NSFW,
+                   n_chars / 8 AS similarity, n_chars AS width, length(text) AS height,
+                   doc_id AS original_width, doc_id * 2 AS original_height, md5(text) AS md5,
+                   CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS pos,
+                   round(unnest(embedding)::DOUBLE, 6) AS value
+            FROM (SELECT row_number() OVER (ORDER BY vec_id) - 1 AS pk, * FROM embeddings)
+            LEFT JOIN documents ON doc_id = vec_id""",
+    ),
+    "ingest_parquet": (
+        ingested_parquet,
+        f"""SELECT pk, pk + {GLOBAL_START} AS pk_5b, vec_id,
+                   CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS pos,
+                   round(unnest(embedding)::DOUBLE, 6) AS value
+            FROM (SELECT row_number() OVER (ORDER BY vec_id) - 1 AS pk, vec_id, embedding FROM embeddings)""",
+    ),
     "ingest_incremental": (
         ingested,
         f"""SELECT pk, pk + {GLOBAL_START} AS pk_5b,

@@ -5,18 +5,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SHARD_ROWS = 64  # rows per derived shard
+N_SHARDS = 8  # derived shards: equal ranges of the vectors' ids, however many there are
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def sharded(df: DataFrame, id_col: str, n_ids: int) -> DataFrame:
+    """Add ``shard_no`` and ``row_index``: shards are equal ranges of 0..n_ids-1, continued beyond."""
+    shard = F.expr(f"{id_col} * {N_SHARDS} DIV {n_ids}")
+    first = F.expr(f"(shard_no * {n_ids} + {N_SHARDS - 1}) DIV {N_SHARDS}")
+    return df.withColumn("shard_no", shard).withColumn("row_index", F.col(id_col) - first)
+
+
+def id_range(spark: SparkSession, sf_dir: str) -> int:
+    """One more than the largest vector id."""
+    return (table(spark, sf_dir, "embeddings").agg(F.max("vec_id")).first()[0] or 0) + 1
+
+
 def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``embeddings`` as a keyed vector table in derived shards."""
-    return table(spark, sf_dir, "embeddings").select(
-        F.floor(F.col("vec_id") / SHARD_ROWS).cast("long").alias("shard_no"),
-        (F.col("vec_id") % SHARD_ROWS).alias("row_index"),
+    rows = sharded(table(spark, sf_dir, "embeddings"), "vec_id", id_range(spark, sf_dir))
+    return rows.select(
+        "shard_no",
+        "row_index",
         F.col("vec_id").alias("pk"),
         "label",
         F.col("embedding").alias("vector"),
@@ -54,11 +67,15 @@ def sql_cosine(a: str, b: str) -> str:
     return f"({sql_dot(a, b)} / ({sql_norm(a)} * {sql_norm(b)}))"
 
 
-SQL_VECTORS = f"""
-    SELECT vec_id // {SHARD_ROWS} AS shard_no, vec_id % {SHARD_ROWS} AS row_index,
-           vec_id AS pk, label, embedding AS vector
-    FROM embeddings
-"""
+def sql_sharded(id_col: str, columns: str, source: str) -> str:
+    return f"""
+    SELECT shard_no, {id_col} - (shard_no * n_ids + {N_SHARDS - 1}) // {N_SHARDS} AS row_index, {columns}
+    FROM (SELECT *, {id_col} * {N_SHARDS} // n_ids AS shard_no
+          FROM {source}, (SELECT max(vec_id) + 1 AS n_ids FROM embeddings))
+    """
+
+
+SQL_VECTORS = sql_sharded("vec_id", "vec_id AS pk, label, embedding AS vector", "embeddings")
 
 
 def sql_pairs(metric: str, base_where: str = "true", queries_sql: str | None = None) -> str:

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from nearfield.functions.names import base_name, shard_number
-from nearfield.operators.assembly import zip_shards
 from nearfield.operators.latency import latency_stats
 from nearfield.operators.ordinals import with_chunk, with_ordinal
 from nearfield.operators.paging import scan_pages, search_pages
@@ -21,9 +21,9 @@ from nearfield.plans.common import (
 )
 from nearfield.session import scratch_path
 from nearfield.sources.json_chunks import export_json_chunks
-from nearfield.sources.links import extract_links, link_manifest, shard_names, write_links
+from nearfield.sources.links import extract_links, link_manifest, shard_names, shard_paths, write_links
 from nearfield.sources.tables import scan_latency, write_latency
-from nearfield.sources.vecfiles import scan_npy, scan_vecs, write_npy, write_vecs
+from nearfield.sources.vecfiles import scan_npy, scan_vecs, with_position, write_npy, write_vecs
 from nearfield.streaming.neighbors import knn_incremental
 
 PAGE_ROWS = 1000
@@ -38,6 +38,24 @@ def paged_scan(spark, sf_dir) -> DataFrame:
     return scan_pages(events, "event_id >= 0", PAGE_ROWS, key="event_id")
 
 
+def paged_scan_limited(spark, sf_dir) -> DataFrame:
+    """The first rows only, their number verified."""
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
+    return scan_pages(events, "event_id >= 5", 7, limit=40, key="event_id", verify=True)
+
+
+def paged_search_limited(spark, sf_dir) -> DataFrame:
+    base = vectors(spark, sf_dir)
+    query = base.orderBy("pk").select("vector").first()[0]
+    return rounded(search_pages(base, query, "cosine", batch=7, limit=40, verify=True), "distance")
+
+
+def shard_files(spark, sf_dir) -> DataFrame:
+    """Paths of every derived shard, and of the pieces inside it."""
+    top = vectors(spark, sf_dir).agg(F.max("shard_no")).first()[0]
+    return shard_paths(spark, "passage_%02d-%d.parquet", 1, top + 1, 3)
+
+
 def paged_search(spark, sf_dir) -> DataFrame:
     """The table's first vector is the query, as in a query file read from its start."""
     base = vectors(spark, sf_dir)
@@ -91,10 +109,9 @@ def latency(spark, sf_dir) -> DataFrame:
 
 def latency_prefix(spark, sf_dir) -> DataFrame:
     """The first 150 entries of every series."""
-    series = with_ordinal(
-        table(spark, sf_dir, "events").select("event_type", "ts", "event_id", "value"),
-        ["ts", "event_id"], "seq", by=["event_type"],
-    )
+    place = F.row_number().over(Window.partitionBy("event_type").orderBy("ts", "event_id"))
+    series = table(spark, sf_dir, "events").select("event_type", "ts", "event_id", "value")
+    series = series.withColumn("place", place).where("place <= 150").withColumn("seq", F.col("place").cast("long") - 1)
     stats = latency_stats(series, "value", first_n=150, by=["event_type"])
     return rounded(stats, "avg", "sum", "min", "max", "p50", "p95", "p99")
 
@@ -140,16 +157,14 @@ def vec_files(spark, sf_dir) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings").select(
         "vec_id", F.array("vec_id", F.col("label").cast("long")).alias("ids"), "embedding"
     )
-    write_vecs(rows, "vec_id", f"{path}/f", "fvecs", "embedding", partitions=1)
-    write_vecs(rows, "vec_id", f"{path}/i", "ivecs", "ids", partitions=1)
+    write_vecs(rows, "vec_id", f"{path}/f", "fvecs", "embedding")
+    write_vecs(rows, "vec_id", f"{path}/i", "ivecs", "ids")
 
     def scan(kind: str, name: str) -> DataFrame:
-        found = scan_vecs(spark, f"{path}/{name}", kind, rows_per_split=256)
-        return found.select(
-            shard_number("shard").alias("shard_no"), "row_index", F.col("vector").alias(kind)
-        )
+        found = with_position(scan_vecs(spark, f"{path}/{name}", kind, rows_per_split=256))
+        return found.select("position", F.col("vector").alias(kind))
 
-    both = zip_shards(scan("ivecs", "i"), scan("fvecs", "f"))
+    both = scan("ivecs", "i").join(scan("fvecs", "f"), "position")
     return both.select(
         F.col("ivecs")[0].alias("vec_id"), F.col("ivecs")[1].alias("label"),
         F.posexplode("fvecs").alias("pos", "value"),
@@ -188,7 +203,7 @@ SQL_CHUNKS = f"""
     FROM (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY shard_no, row_index) - 1 AS ord
           FROM ({SQL_GROUPED}))
 """
-SQL_NUMBERS = "SELECT DISTINCT vec_id // 64 AS n FROM embeddings"
+SQL_NUMBERS = f"SELECT DISTINCT shard_no AS n FROM ({SQL_VECTORS})"
 SQL_LINKS = " UNION ALL ".join(
     f"SELECT n, printf('{LINK_BASE}{template}', n) AS url FROM ({SQL_NUMBERS})"
     for template in LINK_KINDS.values()
@@ -211,6 +226,26 @@ QUERIES = {
                         FROM embeddings b,
                              (SELECT embedding FROM embeddings ORDER BY vec_id LIMIT 1) q))""",
     ),
+    "scan_pages_limited": (
+        paged_scan_limited,
+        """SELECT event_id, user_id, event_type, ordinal, ordinal // 7 AS page
+           FROM (SELECT *, row_number() OVER (ORDER BY event_id) - 1 AS ordinal FROM events WHERE event_id >= 5)
+           WHERE ordinal < 40""",
+    ),
+    "search_pages_limited": (
+        paged_search_limited,
+        f"""SELECT rank, (rank - 1) // 7 AS page, id, round(d, 6) AS distance
+            FROM (SELECT *, row_number() OVER (ORDER BY d DESC, id) AS rank
+                  FROM (SELECT b.vec_id AS id, {sql_cosine("b.embedding", "q.embedding")} AS d
+                        FROM embeddings b,
+                             (SELECT embedding FROM embeddings ORDER BY vec_id LIMIT 1) q))
+            WHERE rank <= 40""",
+    ),
+    "shard_files": (
+        shard_files,
+        f"""SELECT n AS i, j, printf('passage_%02d-%d.parquet', n, j) AS path
+            FROM ({SQL_NUMBERS}), (SELECT unnest([0, 1, 2])::BIGINT AS j) WHERE n >= 1""",
+    ),
     "chunk_rows": (chunked, f"SELECT grp, shard_no, row_index, pk, ord, chunk FROM ({SQL_CHUNKS})"),
     "chunk_rows_ordered": (
         chunked_by_order,

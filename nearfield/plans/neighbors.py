@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from nearfield.functions.metrics import cosine_distance, cosine_similarity, l2_n
 from nearfield.operators.assembly import shard_counts
 from nearfield.operators.checks import dimension_report
 from nearfield.operators.knn import knn
+from nearfield.operators.pairs import pair_metrics
 from nearfield.operators.recall import recall, recall_diff, recall_per_query
 from nearfield.operators.sampling import sample_queries
 from nearfield.operators.topk import merge_topk, to_long, to_wide
@@ -24,12 +27,17 @@ from nearfield.plans.common import (
     sql_ranked,
     vectors,
 )
-from nearfield.functions.names import shard_number
-from nearfield.operators.assembly import zip_shards
-from nearfield.operators.ordinals import with_ordinal
 from nearfield.session import cut_lineage, scratch_path
 from nearfield.sources.tables import scan_neighbors, write_neighbors
-from nearfield.sources.vecfiles import scan_vecs, write_vecs
+from nearfield.sources.vecfiles import (
+    open_fs,
+    scan_npy_neighbors,
+    scan_npy_set,
+    scan_vecs,
+    with_position,
+    write_npy,
+    write_vecs,
+)
 
 K = 10
 FILTER = "label IN (1, 3)"
@@ -78,6 +86,25 @@ def stored_partials(spark, sf_dir) -> DataFrame:
     return rounded(scan_neighbors(spark, path), "distance")
 
 
+def merged_files(spark, sf_dir) -> DataFrame:
+    """Partial lists saved as one matrix of (id, distance) pairs per shard, read back and merged."""
+    path = scratch_path(spark, "matrices")
+    parts = _partials(spark, sf_dir, "l2")
+
+    def save(key: tuple, part: pa.Table) -> pa.Table:
+        part = part.sort_by([("qid", "ascending"), ("rank", "ascending")])
+        pairs = np.empty(len(part), dtype=[("idx", "<i8"), ("distance", "<f8")])
+        pairs["idx"], pairs["distance"] = part["id"].to_numpy(), part["distance"].to_numpy()
+        fs, folder = open_fs(path)
+        fs.create_dir(folder, recursive=True)
+        with fs.open_output_stream(f"{folder}/gnd_{key[0].as_py():04d}.npy") as out:
+            np.lib.format.write_array(out, pairs.reshape(-1, K), allow_pickle=False)
+        return pa.table({"shard_no": [key[0].as_py()]})
+
+    parts.groupBy("shard_no").applyInArrow(save, "shard_no long").count()
+    return rounded(merge_topk(scan_npy_neighbors(spark, path), k=K, metric="l2"), "distance")
+
+
 def wide(spark, sf_dir) -> DataFrame:
     lists = to_wide(knn(vectors(spark, sf_dir), queries(spark, sf_dir), K, "l2"))
     micro = F.transform("distance", lambda d: F.round(d * 1e6, 0).cast("long").cast("string"))
@@ -103,15 +130,14 @@ def truth_files(spark, sf_dir) -> DataFrame:
     """Ids and distances as binary files in query order, read back row by row."""
     path = scratch_path(spark, "truth")
     lists = cut_lineage(to_wide(knn(vectors(spark, sf_dir), queries(spark, sf_dir), K, "l2")), "lists")
-    write_vecs(lists, "id", f"{path}/ids", "ivecs", "neighbors_id", partitions=1)
-    write_vecs(lists, "id", f"{path}/distances", "fvecs", "distance", partitions=1)
+    write_vecs(lists, "id", f"{path}/ids", "ivecs", "neighbors_id")
+    write_vecs(lists, "id", f"{path}/distances", "fvecs", "distance")
 
     def scan(kind: str, name: str) -> DataFrame:
-        found = scan_vecs(spark, f"{path}/{name}", kind)
-        return found.select(shard_number("shard").alias("part"), "row_index", F.col("vector").alias(name))
+        found = with_position(scan_vecs(spark, f"{path}/{name}", kind))
+        return found.select(F.col("position").alias("row"), F.col("vector").alias(name))
 
-    both = zip_shards(scan("ivecs", "ids"), scan("fvecs", "distances"), shard="part")
-    return with_ordinal(both, ["part", "row_index"], "row").select(
+    return scan("ivecs", "ids").join(scan("fvecs", "distances"), "row").select(
         "row", F.posexplode(F.arrays_zip("ids", "distances")).alias("pos", "hit")
     ).select("row", "pos", F.col("hit.ids").alias("id"), F.round(F.col("hit.distances").cast("double"), 4).alias("distance"))
 
@@ -137,19 +163,50 @@ def sampled(spark, sf_dir) -> DataFrame:
     return sample_queries(vectors(spark, sf_dir), 3, 30, seed=7).select("shard_no", "pk")
 
 
+def query_file_truth(spark, sf_dir) -> DataFrame:
+    """A drawn query set written as a matrix in parts, read by place, and searched for."""
+    base, path = vectors(spark, sf_dir), scratch_path(spark, "query")
+    write_npy(sample_queries(base, 3, 30, seed=7), "pk", path, min_parts=3)
+    return rounded(knn(base, scan_npy_set(spark, path), K, "l2"), "distance")
+
+
+def small_shards(spark, sf_dir) -> DataFrame:
+    """Lists longer than a shard: a drawn query set against shards cut down by a filter."""
+    base = vectors(spark, sf_dir)
+    drawn = sample_queries(base, 3, 12, seed=7).select(F.col("pk").alias("qid"), "vector")
+    found = knn(base, drawn, K, "l2", per="shard_no", expr="row_index < 7")
+    return rounded(found, "distance")
+
+
+def recall_at_5(spark, sf_dir) -> DataFrame:
+    """Both lists cut below their length."""
+    return recall(*_evaluated(spark, sf_dir), k=5)
+
+
 def sampled_truth(spark, sf_dir) -> DataFrame:
     base = vectors(spark, sf_dir)
     drawn = sample_queries(base, 3, 30, seed=7).select(F.col("pk").alias("qid"), "vector")
     return rounded(knn(base, drawn, K, "cosine"), "distance")
 
 
-def measured_pairs(spark, sf_dir) -> DataFrame:
-    """Column metrics on every found pair, joined back to both vectors."""
+def _found_pairs(spark, sf_dir, k: int) -> DataFrame:
+    """Every found pair joined back to both vectors."""
     base = vectors(spark, sf_dir)
-    found = knn(base, queries(spark, sf_dir), K, "l2").select("qid", "id")
-    pairs = found.join(base.select(F.col("pk").alias("qid"), F.col("vector").alias("a")), "qid").join(
+    found = knn(base, queries(spark, sf_dir), k, "l2").select("qid", "id")
+    return found.join(base.select(F.col("pk").alias("qid"), F.col("vector").alias("a")), "qid").join(
         base.select(F.col("pk").alias("id"), F.col("vector").alias("b")), "id"
     )
+
+
+def measured_pairs(spark, sf_dir) -> DataFrame:
+    """All metrics of every found pair, in Arrow batches."""
+    metrics = ["l2", "similarity", "cosine_distance", "l2_normalized"]
+    return rounded(pair_metrics(_found_pairs(spark, sf_dir, K)).select("qid", "id", *metrics), *metrics)
+
+
+def measured_columns(spark, sf_dir) -> DataFrame:
+    """The metrics as column expressions, on every vector and its two nearest."""
+    pairs = _found_pairs(spark, sf_dir, 2)
     half = F.transform("b", lambda x: x / 2)
     return rounded(
         pairs.select(
@@ -183,8 +240,8 @@ def sql_sample(n_shards: int, per_shard: int, seed: int) -> str:
     return f"""
     SELECT * FROM ({SQL_VECTORS})
     WHERE shard_no IN (
-        SELECT shard_no FROM (SELECT DISTINCT vec_id // 64 AS shard_no FROM embeddings)
-        WHERE shard_no < 100 ORDER BY md5('{seed}:' || shard_no), shard_no LIMIT {n_shards})
+        SELECT shard_no FROM (SELECT DISTINCT shard_no FROM ({SQL_VECTORS}))
+        ORDER BY md5('{seed}:' || shard_no), shard_no LIMIT {n_shards})
     QUALIFY row_number() OVER (PARTITION BY shard_no ORDER BY md5('{seed}:' || pk), pk) <= {per_shard}
     """
 
@@ -202,6 +259,21 @@ SQL_NORMALIZED = f"""
     ''', K)})
 """
 
+def sql_metrics(found: str) -> str:
+    return f"""WITH found AS ({found}),
+            pairs AS (
+                SELECT f.qid, f.id, x.embedding AS a, y.embedding AS b,
+                       {sql_norm("x.embedding")} AS na, {sql_norm("y.embedding")} AS nb
+                FROM found f JOIN embeddings x ON x.vec_id = f.qid JOIN embeddings y ON y.vec_id = f.id)
+            SELECT qid, id, round({sql_l2("a", "b")}, 6) AS l2,
+                   round({sql_cosine("a", "b")}, 6) AS similarity,
+                   round(greatest(0, 1 - {sql_cosine("a", "b")}), 6) AS cosine_distance,
+                   round(list_sum(list_transform(list_zip(a, b), lambda p:
+                       (p[1]::DOUBLE / na - p[2]::DOUBLE / nb) * (p[1]::DOUBLE / na - p[2]::DOUBLE / nb))), 6)
+                       AS l2_normalized
+            FROM pairs"""
+
+
 QUERIES = {
     "knn_l2_top10": (_knn("l2"), sql_neighbors("l2", K)),
     "knn_cosine_top10": (_knn("cosine"), sql_neighbors("cosine", K)),
@@ -211,9 +283,27 @@ QUERIES = {
     "knn_filtered": (_knn("l2", expr=FILTER), sql_neighbors("l2", K, FILTER)),
     "knn_normalized_base": (_knn("l2", scale=2.0, normalize_base=True), SQL_NORMALIZED),
     "knn_shard_partial": (_knn("l2", per="shard_no"), sql_neighbors("l2", K, per_shard=True)),
+    "knn_two_way_per_shard": (
+        _knn("l2", per="shard_no", query_blocks=3),
+        sql_neighbors("l2", K, per_shard=True),
+    ),
     "knn_small_shard": (
-        _knn("l2", per="shard_no", expr="label = 3"),
-        sql_neighbors("l2", K, "label = 3", per_shard=True),
+        small_shards,
+        sql_neighbors("l2", K, "row_index < 7", f"SELECT pk AS qid, vector FROM ({sql_sample(3, 4, 7)})", per_shard=True),
+    ),
+    "query_file_truth": (
+        query_file_truth,
+        sql_neighbors(
+            "l2", K, queries_sql=f"SELECT row_number() OVER (ORDER BY pk) - 1 AS qid, vector FROM ({SAMPLE})"
+        ),
+    ),
+    "recall_at_smaller_k": (
+        recall_at_5,
+        f"""SELECT count(*) AS n_queries, round(avg(recall), 3) AS recall FROM (
+                SELECT r.qid, count(DISTINCT t.id) / count(*) AS recall
+                FROM (FROM ({SQL_RESULT}) WHERE rank <= 5) r
+                LEFT JOIN (FROM ({SQL_TRUTH}) WHERE rank <= 5) t ON t.qid = r.qid AND t.id = r.id
+                GROUP BY r.qid)""",
     ),
     "knn_merge_topk": (merge_parts, sql_neighbors("l2", K)),
     "knn_merge_incremental": (merge_running, sql_neighbors("l2", K)),
@@ -223,6 +313,7 @@ QUERIES = {
         stored_partials,
         f"SELECT qid, rank, id, distance FROM ({sql_neighbors('l2', K, per_shard=True)})",
     ),
+    "merge_npy_partials": (merged_files, sql_neighbors("l2", K)),
     "neighbors_wide": (
         wide,
         f"""SELECT qid AS id, string_agg(id::VARCHAR, ',' ORDER BY rank) AS neighbors_id,
@@ -260,21 +351,8 @@ QUERIES = {
         sampled_truth,
         sql_neighbors("cosine", K, queries_sql=f"SELECT pk AS qid, vector FROM ({SAMPLE})"),
     ),
-    "neighbor_metrics": (
-        measured_pairs,
-        f"""WITH found AS ({SQL_TRUTH}),
-            pairs AS (
-                SELECT f.qid, f.id, x.embedding AS a, y.embedding AS b,
-                       {sql_norm("x.embedding")} AS na, {sql_norm("y.embedding")} AS nb
-                FROM found f JOIN embeddings x ON x.vec_id = f.qid JOIN embeddings y ON y.vec_id = f.id)
-            SELECT qid, id, round({sql_l2("a", "b")}, 6) AS l2,
-                   round({sql_cosine("a", "b")}, 6) AS similarity,
-                   round(greatest(0, 1 - {sql_cosine("a", "b")}), 6) AS cosine_distance,
-                   round(list_sum(list_transform(list_zip(a, b), lambda p:
-                       (p[1]::DOUBLE / na - p[2]::DOUBLE / nb) * (p[1]::DOUBLE / na - p[2]::DOUBLE / nb))), 6)
-                       AS l2_normalized
-            FROM pairs""",
-    ),
+    "neighbor_metrics": (measured_pairs, sql_metrics(SQL_TRUTH)),
+    "neighbor_metrics_columns": (measured_columns, sql_metrics(sql_ranked(sql_pairs("l2"), 2))),
     "dimension_check": (
         dimensions,
         """SELECT count(*) AS n_rows, CAST(min(len(embedding)) AS INTEGER) AS min_dim,

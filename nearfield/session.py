@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import sys
 import tempfile
 import uuid
@@ -11,6 +13,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 _fallback_root: dict[str, str] = {}
+_made: list[str] = []
 
 
 def local_session(app: str = "nearfield", cpus: int | str = "*") -> SparkSession:
@@ -47,12 +50,27 @@ def shared_root(spark: SparkSession) -> str:
     app = spark.sparkContext.applicationId
     if app not in _fallback_root:
         _fallback_root[app] = tempfile.mkdtemp(prefix="nearfield-")
+        atexit.register(shutil.rmtree, _fallback_root[app], ignore_errors=True)
     return _fallback_root[app]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused path below the shared folder."""
-    return os.path.join(shared_root(spark), f"{name}-{uuid.uuid4().hex}")
+    path = os.path.join(shared_root(spark), f"{name}-{uuid.uuid4().hex}")
+    _made.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete every intermediate table of this process; results that still read them become unusable.
+
+    For the end of an application. The temporary folder of local sessions goes by itself.
+    """
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    while _made:
+        path = hadoop.Path(_made.pop())
+        path.getFileSystem(conf).delete(path, True)
 
 
 def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:

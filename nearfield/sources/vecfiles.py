@@ -26,6 +26,8 @@ from pyspark.sql.datasource import (
     WriterCommitMessage,
 )
 
+from nearfield.operators.ordinals import join_sized, with_ordinal
+
 FORMAT = "vecfile"
 ROWS_PER_SPLIT = 65_536
 ROWS_PER_BATCH = 4_096
@@ -42,32 +44,45 @@ FILES_PER_TASK = 64
 HEADER_THREADS = 16
 
 
-def _open_fs(path: str) -> tuple[pafs.FileSystem, str]:
+def open_fs(path: str) -> tuple[pafs.FileSystem, str]:
     """File system and path for a URI or an absolute local path."""
     if path.startswith("file:"):
         path = "/" + path[len("file:"):].lstrip("/")
     return pafs.FileSystem.from_uri(re.sub("^s3[an]://", "s3://", path))
 
 
+def _around(uri: str, path: str) -> tuple[str, str]:
+    """What stands before and after ``path`` in ``uri``: scheme and authority, and query options."""
+    base, mark, options = uri.partition("?") if "://" in uri else (uri, "", "")
+    base, path = base.rstrip("/"), path.rstrip("/")
+    if not base.endswith(path):
+        raise ValueError(f"cannot tell the file system's part of {uri}")
+    return base[: len(base) - len(path)], mark + options
+
+
 def _files(paths: list[str], suffix: str) -> list[str]:
     """Data files below the given files and directories, in name order."""
     found = []
     for path in paths:
-        fs, p = _open_fs(path)
-        scheme = path.split("://")[0] + "://" if "://" in path else ""
+        fs, p = open_fs(path)
+        before, after = _around(path, p)
         if fs.get_file_info(p).type == pafs.FileType.File:
-            found.append(scheme + p)
+            found.append(before + p + after)
             continue
         inside = fs.get_file_info(pafs.FileSelector(p, recursive=True))
         names = sorted(f.path for f in inside if f.type == pafs.FileType.File)
         found += [
-            scheme + n
+            before + n + after
             for n in names
             if n.endswith(suffix) and not n.rsplit("/", 1)[-1].startswith(("_", "."))
         ]
     return found
 
 
+def _base_name(uri: str) -> str:
+    return (uri.partition("?")[0] if "://" in uri else uri).rsplit("/", 1)[-1]
+
+
 @dataclass
 class RowRange(InputPartition):
     path: str
@@ -111,7 +126,7 @@ class VecFileReader(DataSourceReader):
 
     def _header(self, path: str) -> RowRange:
         """The whole file as one range."""
-        fs, p = _open_fs(path)
+        fs, p = open_fs(path)
         with fs.open_input_file(p) as f:
             if self.kind in ("ivecs", "fvecs"):
                 size = f.size()
@@ -137,10 +152,10 @@ class VecFileReader(DataSourceReader):
         if isinstance(part, FileGroup):
             for path in part.paths:
                 head = self._header(path)
-                yield (path.rsplit("/", 1)[-1], head.total, head.dim)
+                yield (_base_name(path), head.total, head.dim)
             return
-        fs, p = _open_fs(part.path)
-        shard = part.path.rsplit("/", 1)[-1]
+        fs, p = open_fs(part.path)
+        shard = _base_name(part.path)
         dtype = np.dtype([tuple(d) for d in part.dtype] if isinstance(part.dtype, list) else part.dtype)
         with fs.open_input_file(p) as f:
             for first in range(part.first, part.first + part.rows, ROWS_PER_BATCH):
@@ -194,6 +209,7 @@ class PartWritten(WriterCommitMessage):
     temp: str
     number: int
     rows: int
+    dim: int | None
 
 
 class VecFileWriter(DataSourceArrowWriter):
@@ -206,7 +222,7 @@ class VecFileWriter(DataSourceArrowWriter):
     def write(self, iterator) -> PartWritten:
         number = TaskContext.get().partitionId()
         attempt = TaskContext.get().taskAttemptId()
-        fs, root = _open_fs(self.dest)
+        fs, root = open_fs(self.dest)
         fs.create_dir(root, recursive=True)
         temp = f"{root}/.{self.job}-{number}-{attempt}"
         dim, rows, kept = None, 0, []
@@ -230,7 +246,7 @@ class VecFileWriter(DataSourceArrowWriter):
             np.lib.format.write_array(out, np.concatenate(kept), allow_pickle=False)
         if out is not None:
             out.close()
-        return PartWritten(temp, number, rows)
+        return PartWritten(temp, number, rows, dim)
 
     def _matrix(self, col: pa.Array) -> np.ndarray:
         values = col.flatten()
@@ -241,7 +257,11 @@ class VecFileWriter(DataSourceArrowWriter):
         return np.ascontiguousarray(values.to_numpy(zero_copy_only=False).reshape(len(col), widths[0]), want)
 
     def commit(self, messages) -> None:
-        fs, root = _open_fs(self.dest)
+        dims = sorted({m.dim for m in messages if m and m.rows})
+        if len(dims) > 1:  # parts concatenate to one file, so they must agree
+            self.abort(messages)
+            raise ValueError(f"vectors of dimension {dims[0]} and {dims[-1]}")
+        fs, root = open_fs(self.dest)
         suffix = f".{self.kind}"
         existing = [
             f.path
@@ -259,7 +279,7 @@ class VecFileWriter(DataSourceArrowWriter):
     def abort(self, messages) -> None:
         for m in messages:
             if m and m.rows:
-                fs, _ = _open_fs(self.dest)
+                fs, _ = open_fs(self.dest)
                 fs.delete_file(m.temp)
 
 
@@ -306,6 +326,24 @@ def scan_npy(spark: SparkSession, path: str | list[str], rows_per_split: int = R
     return _scan(spark, "npy", path, rows_per_split)
 
 
+def with_position(rows: DataFrame, sizes: DataFrame | None = None) -> DataFrame:
+    """Add ``position``: the row's place in all parts (``shard``, ``row_index``) of a set together.
+
+    Only the parts' sizes are summed, no row is sorted. ``sizes`` (``shard``, ``n_rows``) saves counting.
+    """
+    if sizes is None:
+        sizes = rows.groupBy("shard").agg(F.count(F.lit(1)).alias("n_rows"))
+    starts = with_ordinal(sizes.select("shard", "n_rows"), ["shard"], "start", weight="n_rows")
+    placed = join_sized(rows, starts.select("shard", "start"), ["shard"])
+    return placed.withColumn("position", F.col("start") + F.col("row_index")).drop("start")
+
+
+def scan_npy_set(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """``qid, vector`` of a matrix written in one or more parts; sizes come from the headers."""
+    rows = with_position(scan_npy(spark, path), npy_shapes(spark, path))
+    return rows.select(F.col("position").alias("qid"), "vector")
+
+
 def npy_shapes(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """``shard, n_rows, dim`` from the file headers alone."""
     return _scan(spark, "shape", path, ROWS_PER_SPLIT)

@@ -34,7 +34,7 @@ def new_shards(paths: DataFrame, manifest: DataFrame) -> list:
     """The batch's unprocessed shards in number order: names only, one row per new file."""
     named = paths.select("path", base_name("path").alias("shard"))
     named = named.withColumn("shard_no", shard_number("shard"))
-    return pending_shards(named, manifest).orderBy("shard_no").collect()
+    return pending_shards(named, manifest).orderBy("shard_no", "shard").collect()
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
@@ -73,6 +73,9 @@ def ingest_incremental(
         todo = new_shards(paths, read_manifest(paths.sparkSession, manifest))
         if any(s.shard_no is None for s in todo):
             raise ValueError("shard file without a number in its name")
+        for one, other in zip(todo, todo[1:]):  # in number order
+            if one.shard_no == other.shard_no:
+                raise ValueError(f"{one.shard} and {other.shard} have the same shard number")
         for at in range(0, len(todo), shards_per_step):
             step(paths.sparkSession, todo[at : at + shards_per_step])
 
@@ -115,7 +118,7 @@ def ingest_incremental(
             clustered=metadata_template is None,
         )
         # Counted from what was written, so keys and manifest cannot disagree.
-        written = _key_ranges(session.read.parquet(dest), [s.shard_no for s in todo])
+        written = _key_ranges(_written(session, dest, todo), [s.shard_no for s in todo])
         names = session.createDataFrame(
             [(s.shard, s.shard_no) for s in todo], "shard string, shard_no int"
         )
@@ -135,6 +138,17 @@ def ingest_incremental(
     return read_manifest(spark, manifest)
 
 
+def _written(spark: SparkSession, dest: str, todo: list) -> DataFrame:
+    """This step's shards: only their directories are listed. A shard without rows has none."""
+    paths = [f"{dest.rstrip('/')}/shard_no={s.shard_no}" for s in todo]
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    there = [p for p in paths if (at := hadoop.Path(p)).getFileSystem(conf).exists(at)]
+    if not there:
+        return spark.createDataFrame([], "shard_no int, pk long, pk_5b long")
+    return spark.read.option("basePath", dest).parquet(*there)
+
+
 def _key_ranges(table: DataFrame, shard_nos: list[int]) -> DataFrame:
     return (
         table.where(F.col("shard_no").isin(shard_nos))

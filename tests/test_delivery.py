@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from nearfield.functions.names import base_name, shard_number
 from nearfield.operators.ordinals import with_chunk, with_ordinal, with_page
-from nearfield.operators.paging import scan_pages, search_pages
+from nearfield.operators.paging import first_rows, scan_pages, search_pages
 from nearfield.sources.json_chunks import export_json_chunks
 from nearfield.sources.links import extract_links, link_manifest, shard_paths, write_links
 
@@ -135,3 +135,13 @@ def test_names(spark):
     assert [tuple(r) for r in df.select(base_name("p"), shard_number("p")).collect()] == [
         ("part_emb_0042.npy", 42), ("x_7.parquet", 7), ("none.txt", None), ("plain", None),
     ]
+
+
+def test_a_limit_bounds_what_is_sorted(spark):
+    rows = spark.range(20_000).selectExpr("id * 7919 % 20011 pk")
+    kept = first_rows(rows, F.col("pk"), 50)
+    assert 50 <= kept.count() < 500
+    expected = sorted(r.pk for r in rows.collect())[:50]
+    assert [r.pk for r in scan_pages(rows, None, 10, limit=50).orderBy("ordinal").collect()] == expected
+    ties = spark.range(5_000).selectExpr("0 pk")
+    assert scan_pages(ties, None, 10, limit=50, verify=True).count() == 50

@@ -84,6 +84,8 @@ def test_sampling(spark):
     assert len(rows) == 18 and len({r.shard_no for r in rows}) == 3 and len({r.pk for r in rows}) == 18
     assert set(sample_queries(df.repartition(7), 3, 20, seed=1).collect()) == set(rows)
     assert set(sample_queries(df, 3, 20, seed=2).collect()) != set(rows)
+    many = spark.range(130).selectExpr("id shard_no", "id pk")  # no shard is left out by default
+    assert sample_queries(many, 130, 130).count() == 130
     early = sample_queries(df, 2, 10, seed=1, first_shards=2).collect()
     assert {r.shard_no for r in early} == {0, 1}
 

@@ -37,8 +37,8 @@ def test_broadcast_matches_brute_force(spark, data, metric):
 
 
 @pytest.mark.parametrize("metric", METRICS)
-def test_two_way_split_matches_brute_force(spark, data, metric, monkeypatch):
-    monkeypatch.setattr(knn_module, "CELL_ROWS", 100)
+def test_streamed_query_blocks_match_brute_force(spark, data, metric, monkeypatch):
+    monkeypatch.setattr(knn_module, "HELD_BYTES", 500)  # several runs of base rows a task
     b, q = frames(spark, data)
     ids, base, qids, qs = data
     found = knn(b, q, 9, metric, query_blocks=3, query_block=4)
@@ -68,12 +68,25 @@ def test_pilot_smaller_than_k(spark, data):
     assert_neighbors(found, brute_force(ids, base, qids, qs, 30, "l2"))
 
 
-def test_large_query_set_goes_two_ways(spark, data):
+@pytest.mark.parametrize("per", [None, "shard"])
+def test_large_query_set_moves_no_base_row(spark, tmp_path, data, monkeypatch, per):
     b, q = frames(spark, data)
     ids, base, qids, qs = data
-    found = knn(b, q, 4, "l2", broadcast_bytes=500)
-    assert "Exchange" in plan_text(found).split("MapInArrow")[-1]
-    assert_neighbors(found, brute_force(ids, base, qids, qs, 4, "l2"))
+    b.selectExpr("*", "pk % 3 shard").write.parquet(str(tmp_path / "b"))
+    stored = spark.read.parquet(str(tmp_path / "b"))
+    whole = knn(stored, q, 4, "l2", per=per)
+
+    def refused(*_):
+        raise AssertionError("vectors came to the driver")
+
+    monkeypatch.setattr(knn_module, "_broadcast", refused)
+    monkeypatch.setattr(knn_module, "HELD_BYTES", 500)
+    found = knn(stored, q, 4, "l2", broadcast_bytes=500, per=per)
+    assert "Exchange" not in plan_text(found).split("MapInArrow")[-1]
+    if per is None:
+        assert_neighbors(found, brute_force(ids, base, qids, qs, 4, "l2"))
+    else:
+        assert sorted(map(tuple, found.collect())) == sorted(map(tuple, whole.collect()))
 
 
 def plan_text(df):

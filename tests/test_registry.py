@@ -46,6 +46,7 @@ def test_same_as_sql(spark, duck, name):
     assert sorted(ours.columns) == columns
 
     def table(df):
-        return sorted(df[columns].itertuples(index=False, name=None), key=repr)
+        df = df[columns].astype(object)
+        return sorted(df.where(df.notna(), None).itertuples(index=False, name=None), key=repr)
 
     assert table(ours) == table(theirs)

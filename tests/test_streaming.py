@@ -64,6 +64,14 @@ def test_crash_between_table_and_manifest(spark, tmp_path, rng, monkeypatch):
     np.testing.assert_array_equal(vectors, np.concatenate([parts[i] for i in range(3)]))
 
 
+def test_equal_shard_numbers_are_an_error(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    for name, rows in (("a_0001.npy", 5), ("b_0001.npy", 7)):
+        np.save(tmp_path / "in" / name, np.zeros((rows, 2), np.float32))
+    with pytest.raises(Exception, match="a_0001.npy and b_0001.npy have the same shard number"):
+        run(spark, tmp_path)
+
+
 def test_late_lower_shard_is_an_error(spark, tmp_path):
     save(tmp_path / "in", {5: np.zeros((2, 2), np.float32)})
     run(spark, tmp_path)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from nearfield.functions.names import shard_number
 from nearfield.operators.topk import merge_topk
 from nearfield.sources.tables import scan_neighbors, write_neighbors
-from nearfield.sources.vecfiles import npy_shapes, scan_npy, scan_vecs, write_npy, write_vecs
+from nearfield.sources.vecfiles import _around, npy_shapes, scan_npy, scan_npy_set, scan_vecs, write_npy, write_vecs
 
 
 def matrix(df):
@@ -71,6 +71,32 @@ def test_ivecs_range_and_shape_checks(spark, tmp_path):
         scan_vecs(spark, "x", "bvecs")
 
 
+def test_parts_of_different_dimension_are_not_committed(spark, tmp_path):
+    good = spark.createDataFrame([(0, [7])], "k long, vector array<long>")
+    write_vecs(good, "k", str(tmp_path / "d"), "ivecs")
+    rows = [(i, [1, 2, 3] if i < 50 else [1, 2]) for i in range(100)]
+    mixed = spark.createDataFrame(rows, "k long, vector array<long>")
+    with pytest.raises(Exception, match="dimension"):
+        write_vecs(mixed, "k", str(tmp_path / "d"), "ivecs", partitions=8)
+    assert matrix(scan_vecs(spark, str(tmp_path / "d"))).tolist() == [[7]]  # the old set is untouched
+
+
+def test_uri_keeps_its_authority_and_options():
+    assert _around("hdfs://nn:8020/a/x", "/a/x") == ("hdfs://nn:8020", "")
+    assert _around("s3://bucket/a/?region=eu", "bucket/a") == ("s3://", "?region=eu")
+    assert _around("/a/b?c", "/a/b?c") == ("", "")
+    assert _around("file:/a", "/a") == ("file:", "")
+
+
+def test_query_set_in_parts_is_numbered_through(spark, tmp_path, rng):
+    m = rng.normal(size=(100, 3)).astype(np.float32)
+    write_npy(vector_frame(spark, range(100), m, "k"), "k", str(tmp_path / "q"), min_parts=3)
+    assert len(list((tmp_path / "q").glob("*.npy"))) == 3
+    rows = scan_npy_set(spark, str(tmp_path / "q")).orderBy("qid").collect()
+    assert [r.qid for r in rows] == list(range(100))
+    np.testing.assert_array_equal(np.array([r.vector for r in rows]), m)
+
+
 def test_npy_round_trip(spark, tmp_path, rng):
     m = rng.normal(size=(60, 4)).astype(np.float32)
     df = vector_frame(spark, range(60), m, "k")
