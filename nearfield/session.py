@@ -61,25 +61,32 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def discard(spark: SparkSession, *paths: str) -> None:
+    """Delete intermediate tables that nothing reads any more."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        at = hadoop.Path(path)
+        at.getFileSystem(conf).delete(at, True)
+        if path in _made:
+            _made.remove(path)
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Delete every intermediate table of this process; results that still read them become unusable.
 
     For the end of an application. The temporary folder of local sessions goes by itself.
     """
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    while _made:
-        path = hadoop.Path(_made.pop())
-        path.getFileSystem(conf).delete(path, True)
+    discard(spark, *list(_made))
 
 
-def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
-    """Write ``df`` as Parquet to the shared folder and read it back.
+def cut_lineage(df: DataFrame, name: str = "stage", path: str | None = None) -> DataFrame:
+    """Write ``df`` as Parquet to the shared folder (to ``path`` if given) and read it back.
 
     Unlike a row checkpoint, later passes over the result still prune columns, and the
     table outlives lost executors.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, name)
+    path = path or scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
