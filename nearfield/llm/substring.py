@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import gc
 import hashlib
+import time
 from collections.abc import Callable, Iterator
 from itertools import compress
 
@@ -26,9 +27,14 @@ _CHECK = np.uint64(0xD6E8FEB86659FD93)
 
 
 def release(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of finished steps now, not at some later collection."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    """Let Spark delete the shuffle files of finished steps now, not at some later collection.
+
+    Python's handles go first, then what they held in the JVM; that takes two rounds.
+    """
+    for _ in range(3):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.3)
 
 
 class Windows:
