@@ -252,8 +252,13 @@ def identify_languages(
     language by name. A null text, one without a letter, and an unfitted model give ``und`` and 0.
     Empty tables give empty results, repeated rows are answered each. Other columns are not read.
     """
+    found, names = _identify(docs, model, [key, *(keep or [])], text)
+    return found.select(*[F.col(i).alias(c) for c, i in names], "lang_pred", "score")
+
+
+def _identify(docs: DataFrame, model: LanguageModel, keep: list[str], text: str) -> tuple[DataFrame, list[tuple[str, str]]]:
+    """Predictions beside the kept columns, which stand under inner names, and (name, inner name) of each."""
     languages, log_p, vocabulary = model.languages, model.log_p, model.vocabulary
-    keep = [key, *(keep or [])]
     inner = ["_text" if c == text else f"_c{i}" for i, c in enumerate(keep)]
     picked = docs.select(
         *[F.col(c).alias(i) for c, i in zip(keep, inner)],
@@ -288,11 +293,11 @@ def identify_languages(
                 )
 
     kinds = ", ".join(f"{i} {docs.schema[c].dataType.simpleString()}" for c, i in zip(keep, inner))
-    out = picked.mapInArrow(run, f"{kinds}, lang_pred string, score double")
-    return out.select(*[F.col(i).alias(c) for c, i in zip(keep, inner)], "lang_pred", "score")
+    return picked.mapInArrow(run, f"{kinds}, lang_pred string, score double"), list(zip(keep, inner))
 
 
-def keep_identified(docs: DataFrame, model: LanguageModel, key: str = "doc_id", text: str = "text", least: float = 0.0) -> DataFrame:
+def keep_identified(docs: DataFrame, model: LanguageModel, text: str = "text", least: float = 0.0) -> DataFrame:
     """The rows of ``docs`` with a language and a score of at least ``least``, all their columns unchanged."""
-    found = identify_languages(docs, model, key, text, keep=[c for c in docs.columns if c != key])
-    return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select(*docs.columns)
+    found, names = _identify(docs, model, docs.columns, text)
+    found = found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least))
+    return found.select(*[F.col(i).alias(c) for c, i in names])

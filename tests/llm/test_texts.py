@@ -218,7 +218,9 @@ def test_languages(spark, empty, documents):
     found = {x.doc_id: x for x in identify_languages(docs, model).collect()}
     assert all(found[i].lang_pred == l and found[i].score > 0.9 for i, _, l in data)
     assert all((found[i].lang_pred, found[i].score) == ("und", 0.0) for i in (900, 901, 902))
-    assert keep_identified(docs, model).count() == 80
+    named = docs.withColumn("score", F.lit(7)).withColumn("lang_pred", F.lit("x")).withColumn("_letters", F.lit(1))
+    kept = keep_identified(named, model)  # names the operator uses itself
+    assert kept.columns == named.columns and kept.count() == 80 and kept.first().score == 7
     assert fit_languages(empty).languages == []
     assert {x.lang_pred for x in identify_languages(documents, fit_languages(empty)).collect()} == {"und"}
     assert identify_languages(empty, model).count() == 0
