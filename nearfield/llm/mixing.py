@@ -10,6 +10,9 @@ shuffle. Inside a shard rows follow a hash order.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -93,13 +96,19 @@ def _cuts(sized: DataFrame, targets: DataFrame) -> DataFrame:
     return state.select("_src", "source_size", "target", "full", (F.col("at") - 1).alias("cut"))
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is written and computed once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def _log_factorial(k: Column) -> Column:
     """Natural log of k!, by Stirling's series at k + 8."""
-    x = k + F.lit(8.0)
-    series = x * F.log(x) - x + 0.5 * F.log(F.lit(6.283185307179586) * x) + 1 / (12 * x) - 1 / (360 * x * x * x)
-    for i in range(1, 9):
-        series = series - F.log(k + F.lit(float(i)))
-    return series
+    shifted = reduce(Column.__mul__, [k + F.lit(float(i)) for i in range(1, 9)])
+
+    def series(x: Column) -> Column:
+        return (x + 0.5) * F.log(x) - x + F.lit(0.9189385332046727) + 1 / (12 * x) - 1 / (360 * x * x * x)
+
+    return _let(k + F.lit(8.0), series) - F.log(shifted)
 
 
 def _hypergeometric(total: Column, marked: Column, drawn: Column, u: Column) -> Column:
@@ -108,28 +117,43 @@ def _hypergeometric(total: Column, marked: Column, drawn: Column, u: Column) ->
     Weights are taken within 9 standard deviations (and 9) of the mode; what lies outside is below
     1e-15.
     """
-    low, high = F.greatest(_long(0), drawn + marked - total), F.least(marked, drawn)
-    mode = F.floor((drawn + 1) * (marked + 1) / (total + 2)).cast("long")
     share = marked / F.greatest(total, _long(1))
     variance = drawn * share * (1 - share) * (total - drawn) / F.greatest(total - 1, _long(1))
-    reach = F.ceil(9 * F.sqrt(F.greatest(variance, F.lit(0.0))) + 9).cast("long")
-    a, b = F.greatest(low, F.least(mode - reach, high)), F.least(high, F.greatest(mode + reach, low))
+    facts = F.struct(
+        F.greatest(_long(0), drawn + marked - total).alias("low"),
+        F.least(marked, drawn).alias("high"),
+        F.floor((drawn + 1) * (marked + 1) / (total + 2)).cast("long").alias("mode"),
+        F.ceil(9 * F.sqrt(F.greatest(variance, F.lit(0.0))) + 9).cast("long").alias("reach"),
+    )
+
+    def limits(x: Column) -> Column:
+        return F.struct(
+            F.greatest(x["low"], F.least(x["mode"] - x["reach"], x["high"])).alias("a"),
+            F.least(x["high"], F.greatest(x["mode"] + x["reach"], x["low"])).alias("b"),
+        )
 
     def weight(k: Column) -> Column:
-        parts = [k, marked - k, drawn - k, total - marked - drawn + k]
-        return -sum((_log_factorial(p) for p in parts[1:]), _log_factorial(parts[0]))
-
-    top = weight(F.least(F.greatest(mode, a), b))
-    weights = F.transform(F.sequence(a, b), lambda k: F.exp(weight(k) - top))
-    goal = u * F.aggregate(weights, F.lit(0.0), lambda s, w: s + w)
-    start = F.struct(F.lit(0.0).alias("sum"), _long(0).alias("n"))
-    below = F.aggregate(
-        weights,
-        start,
-        lambda s, w: F.struct((s["sum"] + w).alias("sum"), (s["n"] + (s["sum"] + w < goal).cast("long")).alias("n")),
-        lambda s: s["n"],
-    )
-    return F.least(a + below, b)
+        parts = F.array(k, marked - k, drawn - k, total - marked - drawn + k)
+        return -F.aggregate(parts, F.lit(0.0), lambda s, p: s + _log_factorial(p))
+
+    def search(w: Column) -> Column:
+        goal = u * F.aggregate(w, F.lit(0.0), lambda s, x: s + x)
+        start = F.struct(F.lit(0.0).alias("sum"), _long(0).alias("n"))
+
+        def count(g: Column) -> Column:
+            def step(s: Column, x: Column) -> Column:
+                return _let(s["sum"] + x, lambda y: F.struct(y.alias("sum"), (s["n"] + (y < g).cast("long")).alias("n")))
+
+            return F.aggregate(w, start, step, lambda s: s["n"])
+
+        return _let(goal, count)
+
+    def draw(x: Column) -> Column:
+        logs = F.transform(F.sequence(x["a"], x["b"]), weight)
+        weights = _let(logs, lambda w: _let(F.array_max(w), lambda top: F.transform(w, lambda v: F.exp(v - top))))
+        return F.least(x["a"] + _let(weights, search), x["b"])
+
+    return _let(_let(facts, limits), draw)
 
 
 def _split(node: dict[str, Column], seed: int) -> Column:
@@ -143,9 +167,11 @@ def _split(node: dict[str, Column], seed: int) -> Column:
     def step(s: Column, q: Column) -> Column:
         h = F.xxhash64(F.lit(seed), node["lo"], node["n"], F.size(s["left"]))
         u = F.shiftrightunsigned(h, 11) / F.lit(float(1 << 53))
-        x = _hypergeometric(s["total"], q, s["drawn"], u)
-        return F.struct(
-            (s["total"] - q).alias("total"), (s["drawn"] - x).alias("drawn"), F.concat(s["left"], F.array(x)).alias("left")
+        return _let(
+            _hypergeometric(s["total"], q, s["drawn"], u),
+            lambda x: F.struct(
+                (s["total"] - q).alias("total"), (s["drawn"] - x).alias("drawn"), F.concat(s["left"], F.array(x)).alias("left")
+            ),
         )
 
     return F.aggregate(quotas, start, step, lambda s: s["left"])
@@ -175,8 +201,7 @@ def shard_quotas(quotas: DataFrame, shards: int, seed: int) -> DataFrame:
             ),
         )
         nodes = nodes.select(F.explode(F.when(F.col("n") > 1, children).otherwise(leaf)).alias("x")).select("x.*")
-        if level % 4 == 3:  # deeply nested expressions are slow to plan
-            nodes = cut_lineage(nodes, "tree")
+        nodes = cut_lineage(nodes, "tree")  # nested levels would make one very large expression
     return nodes.select(F.col("lo").alias("shard"), "quotas")
 
 
