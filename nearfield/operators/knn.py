@@ -42,6 +42,7 @@ def knn(
     prune_fraction: float | None = None,
     query_blocks: int | None = None,
     per: str | None = None,
+    bounds: DataFrame | None = None,
     id_col: str = "pk",
     vector_col: str = "vector",
     broadcast_bytes: int = BROADCAST_BYTES,
@@ -58,7 +59,8 @@ def knn(
     blocks; the base stays in place all the same, and every task streams the blocks past the base
     rows it holds. Nothing but candidates is shuffled, and no vector reaches the driver.
 
-    ``prune_fraction`` first searches that share of the base. Each query's k-th distance there
+    ``bounds`` (``qid``, ``bound``, see ``kth_bounds``) are known limits of each query's k-th distance;
+    base rows beyond them may be left out of the result. ``prune_fraction`` first searches that share of the base. Each query's k-th distance there
     is an upper bound for the final one, so the main pass sends on about k / fraction rows per
     query instead of k per task. The answer is the same. ``None`` decides by the base's row
     count, 0 turns it off. The base is evaluated for the count, the pilot and the search, so
@@ -99,7 +101,10 @@ def knn(
 
     if prune_fraction is None:
         prune_fraction = PILOT_FRACTION if base.count() >= PILOT_FROM else 0
-    bounded = queries.withColumn("bound", F.lit(None).cast("double"))
+    if bounds is None:
+        bounded = queries.withColumn("bound", F.lit(None).cast("double"))
+    else:
+        bounded = queries.join(bounds.select("qid", "bound"), "qid", "left")
     if prune_fraction:
         bounded = _bounds_from_pilot(plan, base, bounded, prune_fraction)
     return plan.run(base, bounded)
@@ -148,6 +153,13 @@ class Search:
         return top_k(pairs, self.k, self.metric)
 
 
+def kth_bounds(found: DataFrame, k: int, metric: str | Metric) -> DataFrame:
+    """``(qid, bound)`` from lists that are full: no better list can end beyond their last distance."""
+    worst = -F.col("distance") if get_metric(metric).higher_is_better else F.col("distance")
+    # A little wider than needed: bounds only prune.
+    return found.where(F.col("rank") == k).select("qid", (worst + F.abs(worst) * 1e-9 + 1e-12).alias("bound"))
+
+
 def _bounds_from_pilot(
     plan: Search, base: DataFrame, queries: DataFrame, fraction: float
 ) -> DataFrame:
@@ -157,11 +169,9 @@ def _bounds_from_pilot(
     packed = pilot.repartition(max(1, math.ceil(rows / CELL_ROWS)), "id")
     if rows >= PILOT_FROM:
         queries = _bounds_from_pilot(plan, pilot, queries, PILOT_FRACTION)
-    kth = plan.run(packed, queries).where(F.col("rank") == plan.k)
-    worst = -F.col("distance") if plan.metric.higher_is_better else F.col("distance")
-    # A little wider than needed: bounds only prune.
-    bounds = kth.select("qid", (worst + F.abs(worst) * 1e-9 + 1e-12).alias("bound"))
-    return cut_lineage(queries.drop("bound").join(bounds, "qid", "left"), "bounds")
+    bounds = kth_bounds(plan.run(packed, queries), plan.k, plan.metric).withColumnRenamed("bound", "pilot")
+    tighter = F.least("bound", "pilot").alias("bound")  # skips NULL
+    return cut_lineage(queries.join(bounds, "qid", "left").select("qid", "vector", tighter), "bounds")
 
 
 def _broadcast(queries: DataFrame):

@@ -184,7 +184,7 @@ def neighbors_incremental(spark, sf_dir) -> DataFrame:
     base = vectors(spark, sf_dir).select("pk", "vector")
     base.repartitionByRange(4, "pk").write.parquet(f"{work}/source")
     found = knn_incremental(
-        spark, f"{work}/source", queries(spark, sf_dir), 10, "l2", f"{work}/state"
+        spark, f"{work}/source", queries(spark, sf_dir), 10, "l2", f"{work}/state", files_per_step=2
     )
     return rounded(found, "distance")
 

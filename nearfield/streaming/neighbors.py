@@ -7,10 +7,13 @@ from pyspark.sql import functions as F
 
 from nearfield import schemas
 from nearfield.functions.metrics import Metric
-from nearfield.operators.knn import knn
+from nearfield.operators.knn import knn, kth_bounds
 from nearfield.operators.topk import merge_topk
+from nearfield.session import cut_lineage
 from nearfield.streaming.ingest import stream_files
 
+FILES_PER_STEP = 1_000
+
 
 def knn_incremental(
     spark: SparkSession,
@@ -22,10 +25,14 @@ def knn_incremental(
     *,
     id_col: str = "pk",
     vector_col: str = "vector",
+    files_per_step: int = FILES_PER_STEP,
     **options,
 ) -> DataFrame:
     """Fold every new Parquet shard below ``source_dir`` into the running top k.
 
+    New files are taken ``files_per_step`` at a time. Each step knows the k-th distances found so far and
+    looks for closer rows only.
+
     Results alternate between two folders: a batch reads the one its predecessor wrote and
     replaces the other, so repeating a batch after a failure gives the same result.
     """
@@ -35,13 +42,15 @@ def knn_incremental(
 
     def process(paths: DataFrame, epoch: int) -> None:
         session = paths.sparkSession
-        files = [r.path for r in paths.collect()]  # names only
-        base = session.read.parquet(*files)
-        parts = [knn(base, queries, k, metric, id_col=id_col, vector_col=vector_col, **options)]
-        if epoch > 0:
-            parts.append(session.read.parquet(slot(epoch - 1)))
-        merged = merge_topk(*parts, k=k, metric=metric).withColumn("epoch", F.lit(epoch))
-        merged.write.mode("overwrite").parquet(slot(epoch))
+        files = sorted(r.path for r in paths.collect())  # names only
+        running = session.read.parquet(slot(epoch - 1)).drop("epoch") if epoch > 0 else None
+        for at in range(0, len(files), files_per_step):
+            base = session.read.parquet(*files[at : at + files_per_step])
+            bounds = None if running is None else kth_bounds(running, k, metric)
+            found = knn(base, queries, k, metric, id_col=id_col, vector_col=vector_col, bounds=bounds, **options)
+            parts = [found] if running is None else [found, running]
+            running = cut_lineage(merge_topk(*parts, k=k, metric=metric), "running")
+        running.withColumn("epoch", F.lit(epoch)).write.mode("overwrite").parquet(slot(epoch))
 
     query = (
         stream_files(spark, source_dir, ".parquet")

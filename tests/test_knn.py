@@ -53,6 +53,19 @@ def test_pilot_keeps_the_answer(spark, data, blocks):
     assert_neighbors(found, brute_force(ids, base, qids, qs, 7, "l2"))
 
 
+@pytest.mark.parametrize("metric", METRICS)
+@pytest.mark.parametrize("blocks", [None, 2])
+def test_known_bounds_prune_and_keep_the_answer(spark, data, metric, blocks):
+    b, q = frames(spark, data)
+    ids, base, qids, qs = data
+    first = knn(b.where("pk % 2 = 0"), q, 5, metric)
+    bounds = knn_module.kth_bounds(first, 5, metric)
+    rest = knn(b.where("pk % 2 = 1"), q, 5, metric, bounds=bounds, query_blocks=blocks)
+    assert rest.count() < 5 * len(qids)  # rows beyond the bounds were left out
+    merged = knn_module.top_k(first.drop("rank").unionByName(rest.drop("rank")), 5, knn_module.get_metric(metric))
+    assert_neighbors(merged, brute_force(ids, base, qids, qs, 5, metric))
+
+
 def test_nested_pilot_is_chosen_by_row_count(spark, data, monkeypatch):
     monkeypatch.setattr(knn_module, "PILOT_FROM", 100)
     monkeypatch.setattr(knn_module, "PILOT_FRACTION", 0.4)
