@@ -20,16 +20,17 @@ SLOTS1, SLOTS2 = 11, 12  # bits of the context tables
 CONFIDENT = 7
 LOW32 = np.uint64(1 << 32)
 TOP = np.uint64(1 << 48)
+_ONES = np.uint64(0x0101010101010101)
 _U16, _U32, _U48 = np.uint64(16), np.uint64(32), np.uint64(48)
 
 
 def _steps(n: int) -> tuple[np.ndarray, np.ndarray]:
     """First cumulative counts of ``n`` symbols, and what each symbol pulls them towards."""
     whole = 1 << SCALE
-    start = np.array([whole * i // n for i in range(n)], dtype=np.int32)
+    start = np.array([whole * i // n for i in range(n)], dtype=np.int16)
     room = whole - n * LEAST
-    pull = np.array([[LEAST * i + (room if i > s else 0) for i in range(n)] for s in range(n)], dtype=np.int32)
-    return start, pull
+    pull = np.array([[LEAST * i + (room if i > s else 0) for i in range(n)] for s in range(n)], dtype=np.int16)
+    return start, pull  # below 2**15, as are all differences, so 16 bits do
 
 
 START16, PULL16 = _steps(16)
@@ -43,8 +44,8 @@ class _Model:
         self.nibbles = nibbles
         self.one = np.zeros((lanes, 1 << SLOTS1), dtype=np.uint32)  # id << 3 | confidence
         self.two = np.zeros((lanes, 1 << SLOTS2), dtype=np.uint32)
-        self.weights = np.broadcast_to(START3.astype(np.uint16), (lanes, 128, 3)).copy()
-        self.zero = np.broadcast_to(START16.astype(np.uint16), (lanes, nibbles * 256, 16)).copy()
+        self.weights = np.tile(START3, (lanes * 128, 1))
+        self.zero = np.tile(START16, (lanes * nibbles * 256, 1))
         self.last = np.zeros(lanes, dtype=np.uint32)
         self.before = np.zeros(lanes, dtype=np.uint32)
 
@@ -54,15 +55,15 @@ class _Model:
         rows = np.arange(n)
         self.at1 = rows * (1 << SLOTS1) + ((a * np.uint32(0x9E3779B1)) >> np.uint32(32 - SLOTS1))
         self.at2 = rows * (1 << SLOTS2) + ((a * np.uint32(0x85EBCA6B) + b * np.uint32(0xC2B2AE35)) >> np.uint32(32 - SLOTS2))
-        self.s1, self.s2 = self.one.reshape(-1)[self.at1], self.two.reshape(-1)[self.at2]
+        self.s1, self.s2 = self.one.reshape(-1).take(self.at1), self.two.reshape(-1).take(self.at2)
         self.id1, self.id2 = self.s1 >> np.uint32(3), self.s2 >> np.uint32(3)
         sure1, sure2 = self.s1 & np.uint32(7), self.s2 & np.uint32(7)
         pair = sure2 * np.uint32(8) + sure1 + np.where(self.id1 == self.id2, np.uint32(64), np.uint32(0))
         self.wat = rows * 128 + pair.astype(np.int64)
-        self.w = self.weights.reshape(-1, 3)[self.wat].astype(np.int32)
+        self.w = self.weights.take(self.wat, axis=0)
 
     def learn(self, n: int, ids: np.ndarray, slot: np.ndarray) -> None:
-        self.weights.reshape(-1, 3)[self.wat] = self.w + ((PULL3[slot] - self.w) >> RATE)
+        self.weights[self.wat] = self.w + ((PULL3.take(slot, axis=0) - self.w) >> RATE)
         for table, at, state, known in ((self.one, self.at1, self.s1, self.id1), (self.two, self.at2, self.s2, self.id2)):
             sure = state & np.uint32(7)
             right = known == ids
@@ -76,10 +77,21 @@ class _Model:
 
 def _bounds(counts: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Start and share of a symbol in rows of cumulative counts."""
-    rows = np.arange(len(symbol))
-    start = counts[rows, symbol]
-    end = np.where(symbol + 1 < counts.shape[1], counts[rows, np.minimum(symbol + 1, counts.shape[1] - 1)], 1 << SCALE)
-    return start.astype(np.uint64), (end - start).astype(np.uint64)
+    width = counts.shape[1]
+    at = np.arange(0, counts.size, width) + symbol
+    flat = counts.reshape(-1)
+    start = flat.take(at).astype(np.int64)
+    end = np.where(symbol == width - 1, 1 << SCALE, flat.take(at + 1, mode="clip").astype(np.int64))
+    return start.view(np.uint64), (end - start).view(np.uint64)
+
+
+def _symbol(counts: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """The last symbol of each row that starts at or below ``value``."""
+    below = counts <= value[:, None]
+    if counts.shape[1] == 3:
+        return below[:, 1].astype(np.int64) + below[:, 2]
+    halves = below.view(np.uint64)  # sixteen 0/1 bytes; a product adds up their bytes
+    return (((halves[:, 0] + halves[:, 1]) * _ONES) >> np.uint64(56)).view(np.int64) - 1
 
 
 class _Encoder:
@@ -89,14 +101,15 @@ class _Encoder:
         self.words = np.zeros((lanes, steps * (nibbles + 1) + 8), dtype=np.uint16)
         self.used = np.zeros(lanes, dtype=np.int64)
 
-    def put(self, lanes: np.ndarray, start: np.ndarray, share: np.ndarray) -> None:
+    def put(self, lanes: np.ndarray | slice, start: np.ndarray, share: np.ndarray) -> None:
         step = self.range[lanes] >> np.uint64(SCALE)
         low, size = self.low[lanes] + step * start, step * share
         while len(small := np.flatnonzero(size < LOW32)):
             at, part = low[small], size[small]
             open_ = (at ^ (at + part)) >= TOP  # the top bits are not settled: give up what lies beyond
-            part = np.where(open_, (~at + np.uint64(1)) & (LOW32 - np.uint64(1)), part)
-            who = lanes[small]
+            if open_.any():
+                part = np.where(open_, (~at + np.uint64(1)) & (LOW32 - np.uint64(1)), part)
+            who = small if isinstance(lanes, slice) else lanes[small]
             self.words[who, self.used[who]] = (at >> _U48).astype(np.uint16)
             self.used[who] += 1
             low[small], size[small] = at << _U16, part << _U16
@@ -123,18 +136,19 @@ class _Decoder:
             self.code = (self.code << _U16) | self.words[:, i].astype(np.uint64)
         self.used = np.full(len(words), 4)
 
-    def get(self, lanes: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    def get(self, lanes: np.ndarray | slice, counts: np.ndarray) -> np.ndarray:
         step = self.range[lanes] >> np.uint64(SCALE)
         low = self.low[lanes]
-        value = np.minimum((self.code[lanes] - low) // step, np.uint64((1 << SCALE) - 1)).astype(np.int32)
-        symbol = (counts <= value[:, None]).sum(axis=1) - 1
+        value = np.minimum((self.code[lanes] - low) // step, np.uint64((1 << SCALE) - 1)).astype(np.int16)
+        symbol = _symbol(counts, value)
         start, share = _bounds(counts, symbol)
         low, size = low + step * start, step * share
         while len(small := np.flatnonzero(size < LOW32)):
             at, part = low[small], size[small]
             open_ = (at ^ (at + part)) >= TOP
-            part = np.where(open_, (~at + np.uint64(1)) & (LOW32 - np.uint64(1)), part)
-            who = lanes[small]
+            if open_.any():
+                part = np.where(open_, (~at + np.uint64(1)) & (LOW32 - np.uint64(1)), part)
+            who = small if isinstance(lanes, slice) else lanes[small]
             at_word = np.minimum(self.used[who], self.words.shape[1] - 1)
             self.code[who] = (self.code[who] << _U16) | self.words[who, at_word].astype(np.uint64)
             self.used[who] += 1
@@ -146,7 +160,7 @@ class _Decoder:
 def _nibble(model: _Model, lanes: np.ndarray, i: int, past: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Where the counts of nibble ``i`` lie, given the two nibbles before it, and the counts."""
     at = lanes * (model.nibbles * 256) + i * 256 + past
-    return at, model.zero.reshape(-1, 16)[at].astype(np.int32)
+    return at, model.zero.take(at, axis=0)
 
 
 def _nibbles(ids_bits: int) -> int:
@@ -167,14 +181,14 @@ def encode_blocks(blocks: list[np.ndarray], nibbles: int) -> list[bytes]:
         ids = table[t, :n]
         model.predict(n)
         slot = np.where(model.id2 == ids, 0, np.where(model.id1 == ids, 1, 2))
-        coder.put(np.arange(n), *_bounds(model.w, slot))
+        coder.put(slice(0, n), *_bounds(model.w, slot))
         missed = np.flatnonzero(slot == 2)
         past, rest = np.zeros(len(missed), dtype=np.int64), ids[missed].astype(np.int64)
         for i in range(nibbles):
             at, counts = _nibble(model, missed, i, past)
             symbol = (rest >> (4 * (nibbles - 1 - i))) & 15
             coder.put(missed, *_bounds(counts, symbol))
-            model.zero.reshape(-1, 16)[at] = counts + ((PULL16[symbol] - counts) >> RATE)
+            model.zero[at] = counts + ((PULL16.take(symbol, axis=0) - counts) >> RATE)
             past = ((past << 4) | symbol) & 255
         model.learn(n, ids, slot)
     out: list[bytes] = [b""] * len(blocks)
@@ -192,14 +206,14 @@ def decode_blocks(payloads: list[bytes], lengths: list[int], nibbles: int) -> li
     for t in range(sizes[0]):
         n = int(np.searchsorted(-sizes, -t, side="left"))
         model.predict(n)
-        slot = coder.get(np.arange(n), model.w)
+        slot = coder.get(slice(0, n), model.w)
         ids = np.where(slot == 0, model.id2, model.id1)
         missed = np.flatnonzero(slot == 2)
         past, value = np.zeros(len(missed), dtype=np.int64), np.zeros(len(missed), dtype=np.int64)
         for i in range(nibbles):
             at, counts = _nibble(model, missed, i, past)
             symbol = coder.get(missed, counts)
-            model.zero.reshape(-1, 16)[at] = counts + ((PULL16[symbol] - counts) >> RATE)
+            model.zero[at] = counts + ((PULL16.take(symbol, axis=0) - counts) >> RATE)
             past = ((past << 4) | symbol) & 255
             value = (value << 4) | symbol
         ids[missed] = value
