@@ -11,14 +11,17 @@ import os
 import re
 import sys
 import types
+from collections import ChainMap
 
 import numpy as np
 import pyarrow as pa
 
 _BLANK = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"  # fixed: Unicode White_Space
 PIECE = re.compile(f"[{_BLANK}]?[^{_BLANK}]+|[{_BLANK}]+(?![^{_BLANK}])|[{_BLANK}]")
-STORE_PIECES = 700_000
+STORE_PIECES = 1_000_000  # about 200 MB
+JOINED = 1_000  # pieces encoded as one text; one call for each would cost more than their merges
 LONG_PIECE = 64  # characters; longer pieces are encoded where they occur and not stored
+_JOINS = re.compile(f"[{_BLANK}][^{_BLANK}]")
 _HOME = "_nearfield_piece_store"  # functions travel by value; a module outlives the task
 
 
@@ -35,6 +38,13 @@ class _Store:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        if type(self.tokenizer.pre_tokenizer).__name__ != "ByteLevel":
+            raise ValueError(f"{path} is no byte-level BPE")
+        special = {i: len(t.content.encode()) for i, t in self.tokenizer.get_added_tokens_decoder().items()}
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.width = np.zeros(max(vocabulary.values()) + 1, dtype=np.int64)  # bytes that an id stands for
+        for token, i in vocabulary.items():
+            self.width[i] = special.get(i, len(token))
         self.clear()
 
     def clear(self) -> None:
@@ -44,19 +54,24 @@ class _Store:
         self.used = 0
 
     def add(self, pieces: list[str]) -> None:
-        encoded = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
-        found = [e.ids for e in encoded]
-        lengths = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
-        total, n = int(lengths.sum()), len(self.number)
-        flat = np.fromiter((i for ids in found for i in ids), dtype=np.uint32, count=total)
+        """Encode new pieces. Those that begin with white space are joined, as no id crosses such a start."""
+        apart = [p for p in pieces if not _JOINS.match(p)]
+        joined = [p for p in pieces if _JOINS.match(p)]
+        texts = apart + ["".join(joined[at : at + JOINED]) for at in range(0, len(joined), JOINED)]
+        encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        flat = np.concatenate([np.array(e.ids, dtype=np.uint32) for e in encoded]) if encoded else np.zeros(0, np.uint32)
+        pieces = apart + joined
+        sizes = np.fromiter((len(p.encode()) for p in pieces), dtype=np.int64, count=len(pieces))
+        ends = np.searchsorted(np.cumsum(self.width[flat]), np.cumsum(sizes)) + 1
+        total, n = len(flat), len(self.number)
         if total and flat.max() > np.iinfo(self.ids.dtype).max:
             self.ids = self.ids.astype(np.uint32)
         self.ids = _grown(self.ids, self.used + total)
-        self.ends = _grown(self.ends, n + len(found))
+        self.ends = _grown(self.ends, n + len(pieces))
         self.ids[self.used : self.used + total] = flat
-        self.ends[n : n + len(found)] = self.used + np.cumsum(lengths)
+        self.ends[n : n + len(pieces)] = self.used + ends
         self.used += total
-        self.number.update(zip(pieces, range(n, n + len(found))))
+        self.number.update(zip(pieces, range(n, n + len(pieces))))
 
 
 def _grown(array: np.ndarray, size: int) -> np.ndarray:
@@ -84,19 +99,17 @@ class TokenEncoder:
             found = PIECE.findall(text)
             counts.append(len(found))
             pieces += found
-        missing = {p for p in pieces if p not in store.number}
+        missing = [p for p in set(pieces) if p not in store.number]
         long = {p for p in missing if len(p) > LONG_PIECE}
-        new = list(missing - long)
-        for at in range(0, len(new), 20_000):
-            store.add(new[at : at + 20_000])
+        new = [p for p in missing if p not in long] if long else missing
+        for at in range(0, len(new), 50_000):
+            store.add(new[at : at + 50_000])
         own = {}
         for p in long:
             own[p] = -1 - len(own)
         rare = [np.array(self.store.tokenizer.encode(p, add_special_tokens=False).ids, dtype=np.uint32) for p in own]
-        get = store.number.get
-        number = np.fromiter((get(p, -1) for p in pieces), dtype=np.int64, count=len(pieces))
-        for at in np.flatnonzero(number < 0).tolist() if own else ():
-            number[at] = own[pieces[at]]
+        find = store.number.__getitem__ if not own else ChainMap(own, store.number).__getitem__
+        number = np.fromiter(map(find, pieces), dtype=np.int64, count=len(pieces))
 
         ends = store.ends[np.maximum(number, 0)] if len(number) else number
         starts = np.where(number > 0, store.ends[np.maximum(number - 1, 0)], 0)
