@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from nearfield import schemas
 from nearfield.functions.names import base_name, shard_number
 from nearfield.operators.assembly import assign_pk, pending_shards, zip_shards
-from nearfield.operators.checks import check_dimension, checked_vector
+from nearfield.operators.checks import checked_vector
 from nearfield.sources.tables import scan_vectors, write_vectors
 from nearfield.sources.vecfiles import npy_shapes, scan_npy
 
@@ -98,7 +98,8 @@ def ingest_incremental(
             sizes = shapes.where("n_rows > 0").select("shard_no", "n_rows")
         else:
             rows = scan_vectors(session, files).withColumnRenamed(vector_col, "vector")
-            rows = check_dimension(rows, "vector")
+            head = rows.where("vector IS NOT NULL").select(F.size("vector")).first()
+            rows = rows.withColumn("vector", checked_vector("vector", head[0] if head else 0))
         rows = rows.drop("shard", "pk", "pk_5b")
         if metadata_template is not None:
             meta = scan_vectors(
