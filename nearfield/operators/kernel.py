@@ -58,11 +58,16 @@ def _without_surplus_copies(ids: np.ndarray, vectors: np.ndarray, k: int) -> np.
         return None
     suspects = np.nonzero(sizes[group] > k)[0]
     keep = np.ones(len(ids), dtype=bool)
-    seen: dict[bytes, int] = {}
-    for row in suspects[np.argsort(ids[suspects], kind="stable")]:
-        copy = vectors[row].tobytes()
-        seen[copy] = seen.get(copy, 0) + 1
-        keep[row] = seen[copy] <= k
+    ordered = suspects[np.argsort(ids[suspects], kind="stable")]
+    rows = np.ascontiguousarray(vectors[ordered])
+    if rows.shape[1]:
+        _, group = np.unique(rows.view(f"V{rows.shape[1] * rows.itemsize}").ravel(), return_inverse=True)
+    else:
+        group = np.zeros(len(rows), dtype=np.int64)
+    by = np.argsort(group, kind="stable")  # copies side by side, still by id
+    first = np.flatnonzero(np.append(True, np.diff(group[by]) != 0))
+    place = np.arange(len(by)) - np.repeat(first, np.diff(np.append(first, len(by))))
+    keep[ordered[by[place >= k]]] = False
     return keep
 
 
