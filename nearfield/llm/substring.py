@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nearfield.llm.words import find_words, hash_windows, hash_words, slices, text_bytes
-from nearfield.session import cut_lineage
+from nearfield.session import cut_lineage, discard, scratch_path
 
 WINDOW = 13
 _CHECK = np.uint64(0xD6E8FEB86659FD93)
@@ -86,10 +86,12 @@ def _levels(docs: DataFrame, window: int) -> DataFrame:
                 (h,), doc = _per_document([w.run.view(np.int64)], w.doc)
                 yield pa.RecordBatch.from_arrays([part.column("id").take(pa.array(doc)), pa.array(h)], names=["id", "h"])
 
-    level = cut_lineage(texts.mapInArrow(runs, "id long, h long"), "runs")
+    at = {name: scratch_path(spark, name) for name in ("runs", "repeated", "windows", "removed")}
+    level = cut_lineage(texts.mapInArrow(runs, "id long, h long"), path=at["runs"])
     repeated = level.groupBy("h").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a < b").select("h")
-    kept = cut_lineage(level.join(repeated, "h").select("id", "h"), "repeated")
+    kept = cut_lineage(level.join(repeated, "h").select("id", "h"), path=at["repeated"])
     del level, repeated
+    discard(spark, at["runs"])
     release(spark)
 
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -108,18 +110,22 @@ def _levels(docs: DataFrame, window: int) -> DataFrame:
                 )
 
     by_doc = kept.groupBy("id").agg(F.collect_set("h").alias("runs"))
-    windows = cut_lineage(texts.join(by_doc, "id").mapInArrow(extend, "id long, h long, c int"), "windows")
+    windows = cut_lineage(texts.join(by_doc, "id").mapInArrow(extend, "id long, h long, c int"), path=at["windows"])
+    del kept, by_doc
+    discard(spark, at["repeated"])
     release(spark)
     first = windows.groupBy("h", "c").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a < b")
-    return windows.join(first, ["h", "c"]).where("id > a").select("id", "h")
+    removed = cut_lineage(windows.join(first, ["h", "c"]).where("id > a").select("id", "h"), path=at["removed"])
+    del windows, first
+    discard(spark, at["windows"])
+    release(spark)
+    return removed
 
 
 def _apply(docs: DataFrame, key: str, text: str, window: int, extra: dict[str, tuple[str, Callable]]) -> DataFrame:
     """``docs`` under inner names with what ``extra`` makes of (words, removed mask) of every row."""
     keys = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
-    gone = cut_lineage(_levels(keys, window), "removed")
-    release(docs.sparkSession)
-    gone = gone.groupBy("id").agg(F.collect_set("h").alias("gone"))
+    gone = _levels(keys, window).groupBy("id").agg(F.collect_set("h").alias("gone"))
     inner = {c: f"_c{i}" for i, c in enumerate(docs.columns)}
     own = docs.select(*[F.col(c).alias(i) for c, i in inner.items()], F.col(key).cast("long").alias("id"))
     joined = own.join(gone, "id", "left").drop("id")
