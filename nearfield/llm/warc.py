@@ -25,6 +25,7 @@ from nearfield.session import cut_lineage
 LEAST_BYTES = 100  # smaller payloads are always stored
 PACKAGE_BYTES = 256 << 20
 READ_BYTES = 4 << 20
+RUNS_PER_TASK = 4
 DATE = "1970-01-01T00:00:00Z"  # pages carry no time; one value keeps reruns equal
 RECORD = "urn:nearfield:page:"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -216,5 +217,7 @@ def read_packages(packages: DataFrame, with_payload: bool = False) -> DataFrame:
     names = ["page_id", "url", "record_type", "payload_bytes", "payload_digest", "refers_to"] + ["payload"] * with_payload
     types = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64()] + [pa.binary()] * with_payload
     kinds = "page_id long, url string, record_type string, payload_bytes long, payload_digest string, refers_to long"
-    runs = locate_records(packages)
-    return runs.repartition("path", "start").mapInArrow(read, kinds + ", payload binary" * with_payload)
+    runs = cut_lineage(locate_records(packages), "runs")
+    # A given number of partitions is kept; by size alone these few rows would end up in one task.
+    spread = runs.repartitionByRange(max(1, -(-runs.count() // RUNS_PER_TASK)), "path", "start")
+    return spread.mapInArrow(read, kinds + ", payload binary" * with_payload)
