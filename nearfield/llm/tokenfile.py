@@ -197,6 +197,7 @@ def read_token_files(files: DataFrame, key: str = "doc_id", with_ids: bool = Fal
 
     names = ["k", "start", "n_tokens", "ids_crc32"] + ["ids"] * with_ids
     types = [pa.int64()] * 4 + [pa.list_(pa.int64())] * with_ids
-    spread = files.select("path", "start").repartition("path")
+    # A given number of partitions is kept; by size alone these few rows would end up in one task.
+    spread = files.select("path", "start").repartitionByRange(max(1, files.count()), "path")
     out = spread.mapInArrow(read, "k long, start long, n_tokens long, ids_crc32 long" + ", ids array<long>" * with_ids)
     return out.withColumnRenamed("k", key)
