@@ -1,9 +1,9 @@
-"""Interpolated modified Kneser-Ney bigram model, counted in Spark and read from sorted hash arrays.
+"""Interpolated modified Kneser-Ney models of order 2 or 3, counted in Spark and read from sorted hash arrays.
 
-Words and bigrams are 64-bit hashes. Tasks count their part of the text and send each shard one packed
-row; a shard merges them, writes its bigrams as a sorted array of hashes with counts, and passes on
-what it knows of contexts and continuations. Scoring tasks map the arrays into memory and look up
-the distinct words and bigrams of a slice of text, in hash order.
+Words, bigrams and trigrams are 64-bit hashes. Tasks count their part of the text and send each shard one packed
+row; a shard merges them, writes its bigrams and trigrams as sorted arrays of hashes with counts, and passes on
+what it knows of contexts and continuations. Trigrams lie in the shard of the bigram they end in. Scoring tasks map the arrays into memory and look up
+the distinct words, bigrams and trigrams of a slice of text, in hash order.
 """
 
 from __future__ import annotations
@@ -113,6 +113,7 @@ class HashArray:
 
 PAIR_KINDS = ["<u8", "<u4"]
 WORD_KINDS = ["<u8", "<f8", "<f8", "<f8", "<f8"]
+CONTEXT_KINDS = ["<u8", "<u4", "<u4", "<u4", "<u4"]  # context, total, words seen once, twice, more often
 
 
 @dataclass
@@ -127,6 +128,11 @@ class BigramModel:
     train_tokens: int
     vocabulary: int
     p_unknown: float
+    order: int = 2
+    triples: dict[int, str] | None = None
+    near: dict[int, str] | None = None  # contexts of two words, in the shard of their second
+    spread: dict[int, str] | None = None  # those whose second word is frequent, by their own hash
+    triple_discounts: tuple[float, float, float] = (0.5, 1.0, 1.5)
 
 
 def _discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]:
@@ -143,11 +149,24 @@ def _signed(a: np.ndarray) -> pa.Array:
 
 
 def fit_bigrams(docs: DataFrame, text: str = "text", shard_tokens: int = SHARD_TOKENS) -> BigramModel:
-    """Count all rows of ``docs`` and write the model below the shared folder.
+    """``fit_ngrams`` of order 2."""
+    return fit_ngrams(docs, text, 2, shard_tokens)
 
-    Null texts are empty; each text adds one end token. Every word and bigram is kept. The driver holds one
-    path per shard (about ``shard_tokens`` tokens) and at most four frequent contexts per shard.
+
+def _u4(a: np.ndarray) -> np.ndarray:
+    return np.minimum(a, np.iinfo(np.uint32).max).astype(np.uint32)
+
+
+def fit_ngrams(docs: DataFrame, text: str = "text", order: int = 3, shard_tokens: int = SHARD_TOKENS) -> BigramModel:
+    """Count all rows of ``docs`` and write the model of order 2 or 3 below the shared folder.
+
+    Null texts are empty; each text adds one end token. Every word, bigram and trigram is kept. At order 3
+    bigrams count the different words before them; those that begin a text have none and keep their
+    counts, and the first word of a text is scored by its bigram. The driver holds a few
+    paths per shard (about ``shard_tokens`` tokens) and at most four frequent contexts per shard.
     """
+    if order not in (2, 3):
+        raise ValueError("order must be 2 or 3")
     spark = docs.sparkSession
     texts = docs.select(F.col(text).alias("t"))
 
@@ -183,31 +202,35 @@ def fit_bigrams(docs: DataFrame, text: str = "text", shard_tokens: int = SHARD_T
         held, size = [], 0
 
         def flush() -> pa.RecordBatch:
-            u, w = (np.concatenate(x) for x in zip(*held))
+            t, u, w = (np.concatenate(x) for x in zip(*held))
             held.clear()
-            pair = pair_hash(u, w)
-            order = np.argsort(pair, kind="stable")
-            first = np.flatnonzero(np.append(True, np.diff(pair[order]) != 0))
-            n = np.diff(np.append(first, len(pair))).astype(np.uint32)
-            u, w, pair = u[order][first], w[order][first], pair[order][first]
-            shard = _home(u, pair, hot, bits)
-            order = np.lexsort((w, u, shard))
-            u, w, n, shard = u[order], w[order], n[order], shard[order]
+            triple = pair_hash(pair_hash(t, u), w)
+            at = np.argsort(triple, kind="stable")
+            first = np.flatnonzero(np.append(True, np.diff(triple[at]) != 0))
+            n = np.diff(np.append(first, len(triple))).astype(np.uint32)
+            t, u, w = (x[at][first] for x in (t, u, w))
+            shard = _home(u, pair_hash(u, w), hot, bits)
+            at = np.lexsort((t, w, u, shard))
+            t, u, w, n, shard = t[at], u[at], w[at], n[at], shard[at]
             cuts = np.append(np.flatnonzero(np.append(True, np.diff(shard) != 0)), len(shard))
             rows = []
             for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-                starts = np.flatnonzero(np.append(True, np.diff(u[a:b]) != 0))
-                runs = np.diff(np.append(starts, b - a)).astype(np.uint32)
-                rows.append((int(shard[a]), u[a:b][starts].tobytes(), runs.tobytes(), w[a:b].tobytes(), n[a:b].tobytes()))
-            kinds = [pa.int64()] + [pa.binary()] * 4
+                v, x = u[a:b], w[a:b]
+                new = np.append(True, np.diff(v) != 0)
+                starts, pairs = np.flatnonzero(new), np.flatnonzero(new | np.append(True, np.diff(x) != 0))
+                runs, sizes = (np.diff(np.append(p, b - a)).astype(np.uint32) for p in (starts, pairs))
+                columns = (v[starts], runs, x[pairs], sizes, n[a:b], t[a:b] if order == 3 else t[:0])
+                rows.append((int(shard[a]), *(c.tobytes() for c in columns)))
+            kinds = [pa.int64()] + [pa.binary()] * 6
             return pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["shard", "u", "runs", "w", "n"]
+                [pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["shard", "u", "runs", "w", "sizes", "n", "t"]
             )
 
         for batch in batches:
             for part in slices(batch, "t"):
                 words, bounds = tokens(part.column("t"))
-                held.append((contexts(words, bounds), words))
+                before = contexts(words, bounds)
+                held.append((contexts(before, bounds) if order == 3 else np.zeros_like(words), before, words))
                 size += len(words)
                 if size >= FLUSH_TOKENS:
                     yield flush()
@@ -216,22 +239,44 @@ def fit_bigrams(docs: DataFrame, text: str = "text", shard_tokens: int = SHARD_T
             yield flush()
 
     folder = scratch_path(spark, "bigrams")
+    triple_folder, near_folder, spread_folder = (scratch_path(spark, x) for x in ("trigrams", "contexts", "frequent"))
 
     def merge(key: tuple, group: pa.Table) -> pa.Table:
-        """Bigrams of a shard: an array file; rows of kind 1 (contexts), 2 (continuations) and 0 (the shard)."""
-        us, ws, ns = [], [], []
-        for u, runs, w, n in zip(*(group.column(c).to_pylist() for c in ("u", "runs", "w", "n"))):
+        """N-grams of a shard: array files; rows of kind 1 (contexts), 2 (continuations), 0 (the shard), and at
+        order 3 of kind 3 (contexts that other shards know too), 4 and 5 (the files of trigrams and their contexts)."""
+        ts, us, ws, ns = [], [], [], []
+        for u, runs, w, sizes, n, t in zip(*(group.column(c).to_pylist() for c in ("u", "runs", "w", "sizes", "n", "t"))):
             us.append(np.repeat(np.frombuffer(u, np.uint64), np.frombuffer(runs, np.uint32)))
-            ws.append(np.frombuffer(w, np.uint64))
+            ws.append(np.repeat(np.frombuffer(w, np.uint64), np.frombuffer(sizes, np.uint32)))
             ns.append(np.frombuffer(n, np.uint32))
+            ts.append(np.frombuffer(t, np.uint64))
         u, w, n = np.concatenate(us), np.concatenate(ws), np.concatenate(ns).astype(np.int64)
+        number, longer = key[0].as_py(), []
+        if order == 3:
+            t = np.concatenate(ts)
+            triple = pair_hash(pair_hash(t, u), w)
+            at = np.argsort(triple, kind="stable")
+            triple = triple[at]
+            first = np.flatnonzero(np.append(True, np.diff(triple) != 0))
+            n = np.add.reduceat(n[at], first)
+            triple, t, u, w = triple[first], t[at][first], u[at][first], w[at][first]
+            inner = u != BEGIN
+            m = n[inner]
+            counts = [int((m == k).sum()) for k in (1, 2, 3, 4)]
+            longer.append((4, number, *counts, _write_array(triple_folder, number, [triple[inner], _u4(m)])))
+            shared = np.isin(u[inner], hot)
+            facts = (m, *((x).astype(np.int64) for x in (m == 1, m == 2, m > 2)))
+            own = _totals(pair_hash(t, u)[inner][~shared], *(x[~shared] for x in facts))
+            longer.append((5, number, 0, 0, 0, 0, _write_array(near_folder, number, [own[0], *map(_u4, own[1:])])))
+            split = _totals(pair_hash(t, u)[inner][shared], *(x[shared] for x in facts))
+            n = np.where(inner, 1, n)
         pair = pair_hash(u, w)
-        order = np.argsort(pair, kind="stable")
-        pair = pair[order]
+        at = np.argsort(pair, kind="stable")
+        pair = pair[at]
         first = np.flatnonzero(np.append(True, np.diff(pair) != 0))
-        n = np.add.reduceat(n[order], first)
-        pair, u, w = pair[first], u[order][first], w[order][first]
-        path = _write_array(folder, key[0].as_py(), [pair, np.minimum(n, np.iinfo(np.uint32).max).astype(np.uint32)])
+        n = np.add.reduceat(n[at], first)
+        pair, u, w = pair[first], u[at][first], w[at][first]
+        path = _write_array(folder, number, [pair, _u4(n)])
         of = [(n == k).astype(np.int64) for k in (1, 2, 3, 4)]
         context, total, one, two = _totals(u, n, of[0], of[1])
         more = _totals(u, (n > 2).astype(np.int64))[1]
@@ -242,23 +287,52 @@ def fit_bigrams(docs: DataFrame, text: str = "text", shard_tokens: int = SHARD_T
             return pa.array(np.concatenate([a, b, [c]]).astype(np.int64))
 
         kinds = np.repeat([1, 2, 0], [len(context), len(follower), 1])
-        return pa.table({
+        names = ["kind", "id", "a", "b", "c", "d", "path"]
+        out = pa.table({
             "kind": pa.array(kinds, pa.int32()),
-            "id": column(context.view(np.int64), follower.view(np.int64), key[0].as_py()),
+            "id": column(context.view(np.int64), follower.view(np.int64), number),
             "a": column(total, lefts, of[0].sum()),
             "b": column(one, zeros, of[1].sum()),
             "c": column(two, zeros, of[2].sum()),
             "d": column(more, zeros, of[3].sum()),
             "path": pa.array([None] * (size - 1) + [path], pa.string()),
         })
-
-    packed = texts.mapInArrow(count_pairs, "shard long, u binary, runs binary, w binary, n binary")
+        if order == 2:
+            return out
+        files = pa.table([pa.array(c, k) for c, k in zip(zip(*longer), out.schema.types)], names=names)
+        columns = [_signed(split[0]), *map(pa.array, split[1:])]
+        count = len(split[0])
+        parts = pa.table([pa.array(np.full(count, 3), pa.int32()), *columns, pa.nulls(count, pa.string())], names=names)
+        return pa.concat_tables([out, files, parts])
+
+    packed = texts.mapInArrow(count_pairs, "shard long, u binary, runs binary, w binary, sizes binary, n binary, t binary")
     known = packed.groupBy("shard").applyInArrow(merge, "kind int, id long, a long, b long, c long, d long, path string")
     known = cut_lineage(known, "merged")
     del packed
     release(spark)
     shards = known.where("kind = 0").collect()  # one row per shard
     discounts = _discounts(*(sum(r[c] for r in shards) for c in "abcd"))
+    extra = {"order": order}
+    if order == 3:
+        triples, near = known.where("kind = 4").collect(), known.where("kind = 5").collect()
+
+        def store_contexts(key: tuple, group: pa.Table) -> pa.Table:
+            ids = group.column("id").to_numpy().view(np.uint64)
+            at = np.argsort(ids)
+            columns = [ids[at], *(_u4(group.column(c).to_numpy()[at]) for c in "abcd")]
+            return pa.table({"shard": [key[0].as_py()], "path": [_write_array(spread_folder, key[0].as_py(), columns)]})
+
+        split = known.where("kind = 3").groupBy("id").agg(*[F.sum(c).alias(c) for c in "abcd"])
+        split = split.withColumn("shard", F.shiftrightunsigned("id", 64 - bits) if bits else F.lit(0).cast("long"))
+        split = split.groupBy("shard").applyInArrow(store_contexts, "shard long, path string")
+        split = cut_lineage(split, "frequent").collect()
+        release(spark)
+        extra |= {
+            "triples": {r.id: r.path for r in triples},
+            "near": {r.id: r.path for r in near},
+            "spread": {r.shard: r.path for r in split},
+            "triple_discounts": _discounts(*(sum(r[c] for r in triples) for c in "abcd")),
+        }
 
     tagged = unigrams.selectExpr("id", "n count", "0L lefts", "0L total", "0L one", "0L two", "0L more")
     tagged = tagged.unionByName(known.where("kind = 1").selectExpr("id", "0L count", "0L lefts", "a total", "b one", "c two", "d more"))
@@ -299,7 +373,7 @@ def fit_bigrams(docs: DataFrame, text: str = "text", shard_tokens: int = SHARD_T
     stored = cut_lineage(entries.groupBy("shard").applyInArrow(store, "shard long, path string"), "stored").collect()
     release(spark)
     return BigramModel(
-        {r.id: r.path for r in shards}, {r.shard: r.path for r in stored}, bits, hot, discounts, train, vocabulary, p_unknown
+        {r.id: r.path for r in shards}, {r.shard: r.path for r in stored}, bits, hot, discounts, train, vocabulary, p_unknown, **extra
     )
 
 
@@ -339,6 +413,26 @@ class _Reader:
             out[own] = array.columns[1][at]
         return out
 
+    def triples(self, u: np.ndarray, w: np.ndarray, triple: np.ndarray) -> np.ndarray:
+        """Counts of trigrams that end in ``u w``."""
+        m = self.model
+        out = np.zeros(len(triple), dtype=np.int64)
+        for own, at, array in self._visit(m.triples, PAIR_KINDS, _home(u, pair_hash(u, w), m.hot, m.bits), triple):
+            out[own] = array.columns[1][at]
+        return out
+
+    def contexts(self, u: np.ndarray, context: np.ndarray) -> np.ndarray:
+        """Total, and words seen once, twice and more often, after contexts that end in ``u``: one column each."""
+        m = self.model
+        out = np.zeros((4, len(context)))
+        hot = np.isin(u, m.hot)
+        for paths, of, shard in ((m.near, ~hot, mix(u)), (m.spread, hot, context)):
+            pick = np.flatnonzero(of)
+            if len(pick):
+                for own, at, array in self._visit(paths, CONTEXT_KINDS, _shard(shard[pick], m.bits), context[pick]):
+                    out[:, pick[own]] = [c[at] for c in array.columns[1:]]
+        return out
+
 
 def score_texts(docs: DataFrame, model: BigramModel, key: str = "doc_id", text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """``(key, *keep, n_tokens, n_known, train_tokens, base_score, score)`` for every row's whole text.
@@ -352,6 +446,7 @@ def score_texts(docs: DataFrame, model: BigramModel, key: str = "doc_id", text:
     picked = docs.select(*[F.col(c).alias(i) for c, i in zip(keep, inner)], F.col(text).alias("_text"))
     base = log10(model.train_tokens + model.vocabulary + 1)
     d = np.array([0.0, *model.discounts])
+    d3 = np.array([0.0, *model.triple_discounts])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = _Reader(model)
@@ -367,6 +462,15 @@ def score_texts(docs: DataFrame, model: BigramModel, key: str = "doc_id", text:
                 total = known["total"][context]
                 p = known["gamma"][context] * known["p"][at]
                 p += np.where(total > 0, (n - d[np.minimum(n, 3)]) / np.maximum(total, 1), 0.0)
+                if model.order == 3:
+                    two = pair_hash(contexts(before, bounds), before)
+                    triple, first, back = np.unique(pair_hash(two, words), return_index=True, return_inverse=True)
+                    n = reader.triples(before[first], words[first], triple)[back]
+                    two, first, back = np.unique(two, return_index=True, return_inverse=True)
+                    total, *seen = reader.contexts(before[first], two)[:, back]
+                    held = (total > 0) & (before != BEGIN)
+                    longer = (n - d3[np.minimum(n, 3)] + (d3[1:] @ np.array(seen)) * p) / np.maximum(total, 1)
+                    p = np.where(held, longer, p)
                 count = known["count"][at]
                 starts = bounds[:-1]
                 columns = [

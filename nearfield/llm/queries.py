@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nearfield.llm.capfilters import vector_links
-from nearfield.llm.kneserney import fit_bigrams, score_texts
+from nearfield.llm.kneserney import fit_ngrams, score_texts
 from nearfield.llm.langid import fit_languages, identify_languages
 from nearfield.llm.mixing import mixing_plan
 from nearfield.llm.packing import pack_documents
@@ -142,7 +142,7 @@ def op7_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).withColumn("held_out", fold(7) == 2)
-    return score_texts(docs, fit_bigrams(docs.where(~F.col("held_out"))), keep=["held_out"])
+    return score_texts(docs, fit_ngrams(docs.where(~F.col("held_out")), order=3), keep=["held_out"])
 
 
 SQL_OP9 = """

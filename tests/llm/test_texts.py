@@ -294,6 +294,38 @@ def test_kneser_ney(documents, empty):
     assert {(r.train_tokens, r.n_known, r.score) for r in untrained} == {(0, 0, 0.0)}
 
 
+def test_kneser_ney_of_order_three(documents, empty):
+    from nearfield.llm.kneserney import fit_ngrams
+
+    texts = given(documents)
+    tokens = {t: [w.encode() for w in SPLIT.findall(re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))] + ["end"] for _, t in texts}
+    train = [tokens[t] for k, t in texts if k is not None and k != 7]
+    uni = Counter(w for t in train for w in t)
+    triples = Counter(x for t in train for x in zip(["begin", *t], t, t[1:]))
+    pairs = Counter((v, w) for _, v, w in triples) + Counter(("begin", t[0]) for t in train)
+    lefts = Counter(w for _, w in pairs)
+
+    def level(grams):
+        d = kneserney._discounts(*(sum(1 for c in grams.values() if c == k) for k in (1, 2, 3, 4)))
+        mass, rest = Counter(), defaultdict(float)
+        for g, c in grams.items():
+            mass[g[:-1]] += c
+            rest[g[:-1]] += d[min(c, 3) - 1]
+        return lambda g, p: p if not mass[g[:-1]] else (grams[g] - (d[min(grams[g], 3) - 1] if grams[g] else 0) + rest[g[:-1]] * p) / mass[g[:-1]]
+
+    one, two, three = (level(x) for x in (Counter({(w,): c for w, c in lefts.items()}), pairs, triples))
+
+    def p(t, i):
+        best = two((["begin", *t][i], t[i]), one((t[i],), 1 / (len(uni) + 1)))
+        return three((["begin", *t][i - 1], t[i - 1], t[i]), best) if i else best
+
+    expected = sorted(((k, round(sum(math.log10(p(tokens[t], i)) for i in range(len(tokens[t]))), 6)) for k, t in texts), key=repr)
+    for shard_tokens in (10_000_000, 300, 20):
+        model = fit_ngrams(documents.where("doc_id IS NOT NULL AND doc_id != 7"), order=3, shard_tokens=shard_tokens)
+        assert rows(score_texts(documents, model).withColumn("score", F.round("score", 6)), "doc_id", "score") == expected
+    assert {r.score for r in score_texts(documents, fit_ngrams(empty)).collect()} == {0.0}
+
+
 # --- op 10 --------------------------------------------------------------------------------
 
 def simhash(text):
