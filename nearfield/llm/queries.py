@@ -6,6 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nearfield.llm.capfilters import vector_links
+from nearfield.llm.conversations import repair_digest
+from nearfield.llm.decontaminate import contamination_digest, index_items
+from nearfield.llm.importance import importance_ranks
 from nearfield.llm.kneserney import fit_ngrams, score_texts
 from nearfield.llm.langid import fit_languages, identify_languages
 from nearfield.llm.mixing import mixing_plan
@@ -175,6 +178,102 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(documents(spark, sf_dir))
 
 
+# Words of a text as op11 and op12 take them.
+SQL_TERMS = r"""coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), [])"""
+
+SQL_OP11 = """
+WITH words AS (
+    SELECT row_number() OVER () AS row_no, doc_id, WORDS AS w FROM documents
+), items AS (
+    SELECT item_id, w, least(10, len(w)) AS m FROM (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item_id, WORDS AS w FROM benchmark)
+    WHERE len(w) > 0
+), wanted AS (
+    SELECT DISTINCT item_id, m, array_to_string(w[p:p + m - 1], ' ') AS s
+    FROM (SELECT *, unnest(range(1, len(w) - m + 2)) AS p FROM items)
+), sizes AS (
+    SELECT DISTINCT m FROM wanted
+), windows AS (
+    SELECT row_no, m, p, array_to_string(w[p:p + m - 1], ' ') AS s
+    FROM (SELECT row_no, w, m, unnest(range(1, len(w) - m + 2)) AS p FROM words, sizes WHERE len(w) >= m)
+), met AS (
+    SELECT row_no, m, p, item_id FROM windows JOIN wanted USING (m, s)
+), hits AS (
+    SELECT row_no, count(DISTINCT p) AS n_hit FROM (SELECT row_no, unnest(range(p, p + m)) AS p FROM met) GROUP BY row_no
+), found AS (
+    SELECT row_no, count(*) AS n_items, sha256(string_agg(item_id, ',' ORDER BY item_id)) AS items_sha256
+    FROM (SELECT DISTINCT row_no, item_id FROM met) GROUP BY row_no
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, coalesce(items_sha256, sha256('')) AS items_sha256,
+       n_hit IS NOT NULL AS contaminated
+FROM words LEFT JOIN hits USING (row_no) LEFT JOIN found USING (row_no)
+""".replace("WORDS", SQL_TERMS)
+
+
+def op11_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination_digest(documents(spark, sf_dir), index_items(table(spark, sf_dir, "benchmark")))
+
+
+SQL_OP12 = """
+WITH RECURSIVE bits AS (
+    SELECT i, 0 AS step, i AS r FROM range(256) t(i)
+    UNION ALL
+    SELECT i, step + 1, CASE WHEN r % 2 = 1 THEN xor(r // 2, 3988292384) ELSE r // 2 END FROM bits WHERE step < 8
+), register AS (
+    SELECT list(r ORDER BY i) AS tab FROM bits WHERE step = 8
+), words AS (
+    SELECT 0 AS side, doc_id AS id, row_number() OVER () AS row_no, WORDS AS w FROM documents
+    UNION ALL
+    SELECT 1, NULL, row_number() OVER (), WORDS FROM benchmark
+), features AS (
+    SELECT side, row_no, unnest(w) AS f FROM words
+    UNION ALL
+    SELECT side, row_no, unnest(list_transform(list_zip(w[:-2], w[2:]), lambda p: p[1] || ' ' || p[2])) FROM words WHERE len(w) > 1
+), counted AS (
+    SELECT side, row_no, f, count(*) AS n FROM features GROUP BY ALL
+), hashed AS (
+    SELECT f, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(regexp_extract_all(hex(encode(f)), '..'),
+               lambda x: ('0x' || x)::BIGINT)),
+               lambda c, b: xor(tab[1 + (xor(c, b) & 255)]::BIGINT, c // 256)), 4294967295) % 10000 AS bucket
+    FROM (SELECT DISTINCT f FROM counted), register
+), placed AS (
+    SELECT side, row_no, bucket, n FROM counted JOIN hashed USING (f)
+), totals AS (
+    SELECT bucket, sum(n) FILTER (side = 0) AS s, sum(n) FILTER (side = 1) AS t FROM placed GROUP BY bucket
+), gains AS (
+    SELECT bucket, CAST(floor(1000 * ln(((coalesce(t, 0) + 1)::DOUBLE * (sum(s) OVER () + 10000)::DOUBLE)
+           / ((coalesce(s, 0) + 1)::DOUBLE * (coalesce(sum(t) OVER (), 0) + 10000)::DOUBLE))) AS BIGINT) AS gain
+    FROM totals
+), weights AS (
+    SELECT row_no, CAST(sum(n) AS BIGINT) AS n_features, CAST(sum(n * gain) AS BIGINT) AS total
+    FROM placed JOIN gains USING (bucket) WHERE side = 0 GROUP BY row_no
+), scored AS (
+    SELECT id AS doc_id, len(w) AS n_words, coalesce(n_features, 0) AS n_features,
+           CASE WHEN n_features IS NULL THEN 0 ELSE (total - ((total % n_features) + n_features) % n_features) // n_features END AS weight,
+           CAST(('0x' || substr(sha256('7:' || coalesce(CAST(id AS VARCHAR), '')), 1, 8)) AS BIGINT) AS h
+    FROM words LEFT JOIN weights USING (row_no) WHERE side = 0
+), noisy AS (
+    SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score FROM scored
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id NULLS FIRST) AS place,
+           count(*) FILTER (n_words >= 20) OVER () AS able
+    FROM noisy
+)
+SELECT doc_id, CAST(n_features AS BIGINT) AS n_features, CAST(weight AS BIGINT) AS weight, CAST(score AS BIGINT) AS score,
+       CASE WHEN n_words >= 20 AND place <= 25 * able // 100 THEN CAST(place AS BIGINT) END AS "rank"
+FROM ranked
+""".replace("WORDS", SQL_TERMS)
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance_ranks(documents(spark, sf_dir), table(spark, sf_dir, "benchmark")).drop("n_words")
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_digest(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_token_id_output": (op1_token_id_output, None),
     "op2_substring_dedup": (op2_substring_dedup, SQL_OP2),
@@ -186,4 +285,7 @@ QUERIES = {
     "op8_lm_scoring": (op8_lm_scoring, None),
     "op9_embedding_near_dedup": (op9_embedding_near_dedup, SQL_OP9),
     "op10_simhash_near_dedup": (op10_simhash_near_dedup, None),
+    "op11_benchmark_decontamination": (op11_benchmark_decontamination, SQL_OP11),
+    "op12_importance_resampling": (op12_importance_resampling, SQL_OP12),
+    "op13_conversation_repair": (op13_conversation_repair, None),
 }

@@ -153,12 +153,15 @@ def simhash_groups(
     return prints.join(of, "fp").select(key, shown, "component_id")
 
 
-def simhash_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", distance: int = 2) -> DataFrame:
+def simhash_dedup(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, distance: int = 2
+) -> DataFrame:
     """``docs`` with one row of every near-duplicate group: that of the smallest ``key``.
 
-    Of repeated rows with that key one stays; rows without a key stay as they are.
+    Of repeated rows with that key one stays; rows without a key stay as they are. Other columns may have any name.
     """
-    keep = simhash_groups(docs, key, text, distance=distance).where(F.col(key) == F.col("component_id"))
-    keep = keep.select(F.col(key).alias("_keep")).distinct()
-    known = docs.join(keep, F.col(key) == F.col("_keep"), "left_semi").dropDuplicates([key])
+    groups = simhash_groups(docs, key, text, shingle, distance)
+    own = "_keep_" + "_".join(docs.columns)
+    keep = groups.where(F.col(key) == F.col("component_id")).select(F.col(key).alias(own)).distinct()
+    known = docs.join(keep, F.col(key) == F.col(own), "left_semi").dropDuplicates([key])
     return known.unionByName(docs.where(F.col(key).isNull()))

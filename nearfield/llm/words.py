@@ -44,9 +44,14 @@ def slices(batch: pa.RecordBatch, text: str = "text") -> Iterator[pa.RecordBatch
         at = end
 
 
-def find_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end of every word, and each document's first word (n + 1 values)."""
-    inside = ~SPACE[data]
+def find_words(
+    data: np.ndarray, offsets: np.ndarray, outside: np.ndarray = SPACE
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end of every word, and each document's first word (n + 1 values).
+
+    ``outside`` tells of each byte value whether it separates words.
+    """
+    inside = ~outside[data]
     opens, closes = inside.copy(), inside.copy()
     opens[1:] &= ~inside[:-1]
     closes[:-1] &= ~inside[1:]
