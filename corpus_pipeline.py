@@ -7,14 +7,14 @@ from pyspark.sql import functions as F
 
 from nearfield.llm.langid import fit_languages, keep_identified
 from nearfield.llm.mixing import mix_sources
-from nearfield.llm.nearcopies import near_copy_dedup
 from nearfield.llm.packing import pack_documents
+from nearfield.llm.simhash import simhash_dedup
 from nearfield.llm.substring import remove_repeats
 from nearfield.session import cut_lineage, ship_with_tasks
 
 ship_with_tasks()
 
-# Language models, near copies and packing have no SQL form; tests compare the rows with brute force.
+# Language models, SimHash and packing have no SQL form; tests compare the rows with brute force.
 ORACLE_SQL = None
 
 
@@ -24,8 +24,8 @@ def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of every group of near copies: five-word shingles, exact Jaccard of at least 0.8."""
-    return near_copy_dedup(docs)
+    """One document of every group whose SimHashes of three-word shingles link at two or fewer bits."""
+    return simhash_dedup(docs, shingle=3, distance=2)
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
