@@ -39,7 +39,16 @@ from nearfield.sources.tables import (
     write_neighbors,
     write_vectors,
 )
-from nearfield.sources.vecfiles import scan_npy, scan_npy_set, scan_vecs, write_npy, write_vecs
+from nearfield.sources.vecfiles import (
+    current_folder,
+    scan_npy,
+    scan_npy_set,
+    scan_vecs,
+    write_npy,
+    write_npy_neighbors,
+    write_shards,
+    write_vecs,
+)
 from nearfield.streaming.ingest import ingest_incremental
 from nearfield.streaming.neighbors import knn_incremental
 
@@ -52,5 +61,5 @@ __all__ = [
     "round_vector", "sample_queries", "scan_latency", "scan_neighbors", "scan_npy", "scan_npy_set", "scan_pages",
     "scan_vecs", "scan_vectors", "search_pages", "shard_counts", "shard_names", "shard_number",
     "shard_paths", "to_long", "to_wide", "with_chunk", "with_ordinal", "with_page", "write_latency",
-    "write_links", "write_neighbors", "write_npy", "write_vecs", "write_vectors", "zip_shards",
+    "write_links", "write_neighbors", "write_npy", "write_npy_neighbors", "write_shards", "write_vecs", "write_vectors", "zip_shards",
 ]

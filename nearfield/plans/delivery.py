@@ -161,7 +161,7 @@ def vec_files(spark, sf_dir) -> DataFrame:
     write_vecs(rows, "vec_id", f"{path}/i", "ivecs", "ids")
 
     def scan(kind: str, name: str) -> DataFrame:
-        found = with_position(scan_vecs(spark, f"{path}/{name}", kind, rows_per_split=256))
+        found = with_position(scan_vecs(spark, f"{path}/{name}", kind, split_bytes=1 << 16))
         return found.select("position", F.col("vector").alias(kind))
 
     both = scan("ivecs", "i").join(scan("fvecs", "f"), "position")
@@ -174,7 +174,7 @@ def vec_files(spark, sf_dir) -> DataFrame:
 def npy_files(spark, sf_dir) -> DataFrame:
     path = scratch_path(spark, "npy")
     write_npy(table(spark, sf_dir, "embeddings"), "vec_id", path, "embedding", min_parts=4)
-    found = with_ordinal(scan_npy(spark, path, rows_per_split=100), ["shard", "row_index"])
+    found = with_ordinal(scan_npy(spark, path, split_bytes=1 << 16), ["shard", "row_index"])
     return found.select("ordinal", F.posexplode("vector").alias("pos", "value"))
 
 

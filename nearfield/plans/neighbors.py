@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,12 +28,12 @@ from nearfield.plans.common import (
 from nearfield.session import cut_lineage, scratch_path
 from nearfield.sources.tables import scan_neighbors, write_neighbors
 from nearfield.sources.vecfiles import (
-    open_fs,
     scan_npy_neighbors,
     scan_npy_set,
     scan_vecs,
     with_position,
     write_npy,
+    write_npy_neighbors,
     write_vecs,
 )
 
@@ -87,21 +85,9 @@ def stored_partials(spark, sf_dir) -> DataFrame:
 
 
 def merged_files(spark, sf_dir) -> DataFrame:
-    """Partial lists saved as one matrix of (id, distance) pairs per shard, read back and merged."""
+    """Partial lists saved as a matrix of (id, distance) pairs per shard, each in parts, read back and merged."""
     path = scratch_path(spark, "matrices")
-    parts = _partials(spark, sf_dir, "l2")
-
-    def save(key: tuple, part: pa.Table) -> pa.Table:
-        part = part.sort_by([("qid", "ascending"), ("rank", "ascending")])
-        pairs = np.empty(len(part), dtype=[("idx", "<i8"), ("distance", "<f8")])
-        pairs["idx"], pairs["distance"] = part["id"].to_numpy(), part["distance"].to_numpy()
-        fs, folder = open_fs(path)
-        fs.create_dir(folder, recursive=True)
-        with fs.open_output_stream(f"{folder}/gnd_{key[0].as_py():04d}.npy") as out:
-            np.lib.format.write_array(out, pairs.reshape(-1, K), allow_pickle=False)
-        return pa.table({"shard_no": [key[0].as_py()]})
-
-    parts.groupBy("shard_no").applyInArrow(save, "shard_no long").count()
+    write_npy_neighbors(_partials(spark, sf_dir, "l2"), path, K, group="shard_no", part_bytes=1 << 16)
     return rounded(merge_topk(scan_npy_neighbors(spark, path), k=K, metric="l2"), "distance")
 
 

@@ -10,11 +10,13 @@ import json
 import re
 import uuid
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
+import pyarrow.parquet as pq
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,9 +31,12 @@ from pyspark.sql.datasource import (
 from nearfield.operators.ordinals import join_sized, with_ordinal
 
 FORMAT = "vecfile"
-ROWS_PER_SPLIT = 65_536
+SPLIT_BYTES = 64 << 20
+OPEN_BYTES = 4 << 20  # what opening a file counts for when small ones share a task
 ROWS_PER_BATCH = 4_096
 PART_BYTES = 128 << 20
+POINTER = "_current-"  # and a number: the file of the highest names the version that counts
+COMMIT_THREADS = 16
 
 SCHEMAS = {
     "npy": "shard string, row_index long, vector array<float>",
@@ -40,8 +45,10 @@ SCHEMAS = {
     "neighbors": "shard string, qid long, rank int, id long, distance double",
     "shape": "shard string, n_rows long, dim int",
 }
-FILES_PER_TASK = 64
-HEADER_THREADS = 16
+SUFFIXES = {"ivecs": ".ivecs", "fvecs": ".fvecs", "parquet": ".parquet"}
+FIRST_ROW = re.compile(r"-r(\d+)\.npy$")  # a matrix part tells the row it begins at
+NEIGHBOR = np.dtype([("idx", "<i8"), ("distance", "<f8")])
+NO_ID = -1  # pads rows of a matrix beyond their list
 
 
 def open_fs(path: str) -> tuple[pafs.FileSystem, str]:
@@ -60,22 +67,45 @@ def _around(uri: str, path: str) -> tuple[str, str]:
     return base[: len(base) - len(path)], mark + options
 
 
-def _files(paths: list[str], suffix: str) -> list[str]:
-    """Data files below the given files and directories, in name order."""
+def _versions(fs: pafs.FileSystem, root: str) -> list[tuple[int, str]]:
+    """Number and version folder of every pointer in ``root``, the current one last."""
+    out = []
+    for f in fs.get_file_info(pafs.FileSelector(root, allow_not_found=True)):
+        if f.base_name.startswith(POINTER):
+            with fs.open_input_file(f.path) as data:
+                out.append((int(f.base_name[len(POINTER):]), data.read().decode()))
+    return sorted(out)
+
+
+def current_folder(path: str) -> str:
+    """The committed version of a folder of files; a folder without versions is its own."""
+    fs, p = open_fs(path)
+    versions = _versions(fs, p)
+    before, after = _around(path, p)
+    return f"{before}{p.rstrip('/')}/{versions[-1][1]}{after}" if versions else path
+
+
+def list_files(paths: list[str], suffix: str) -> list[tuple[str, int]]:
+    """Data files below the given files and directories with their sizes, in name order; none is opened.
+
+    Of a directory written by this module only the committed version counts.
+    """
     found = []
     for path in paths:
         fs, p = open_fs(path)
         before, after = _around(path, p)
-        if fs.get_file_info(p).type == pafs.FileType.File:
-            found.append(before + p + after)
+        info = fs.get_file_info(p)
+        if info.type == pafs.FileType.File:
+            found.append((before + p + after, info.size))
             continue
-        inside = fs.get_file_info(pafs.FileSelector(p, recursive=True))
-        names = sorted(f.path for f in inside if f.type == pafs.FileType.File)
-        found += [
-            before + n + after
-            for n in names
-            if n.endswith(suffix) and not n.rsplit("/", 1)[-1].startswith(("_", "."))
-        ]
+        inside = [f for f in fs.get_file_info(pafs.FileSelector(p, recursive=True)) if f.type == pafs.FileType.File]
+        roots = {f.path.rpartition("/")[0] for f in inside if f.base_name.startswith(POINTER)}
+        current = {f"{root}/": f"{root}/{_versions(fs, root)[-1][1]}/" for root in roots}
+        for f in sorted(inside, key=lambda f: f.path):
+            if not f.base_name.endswith(suffix) or f.base_name.startswith(("_", ".")):
+                continue
+            if all(f.path.startswith(version) or not f.path.startswith(root) for root, version in current.items()):
+                found.append((before + f.path + after, f.size))
     return found
 
 
@@ -84,22 +114,24 @@ def _base_name(uri: str) -> str:
 
 
 @dataclass
-class RowRange(InputPartition):
+class Pieces(InputPartition):
+    """What a task reads: part ``i`` of ``n`` equal parts of each file's rows."""
+
+    parts: list[tuple[str, int, int]]
+
+
+@dataclass
+class Matrix:
+    """What a file's header says."""
+
     path: str
     data_start: int
-    first: int
-    rows: int
     total: int
     dim: int
-    dtype: object  # numpy dtype description
+    dtype: np.dtype
     by_column: bool
 
 
-@dataclass
-class FileGroup(InputPartition):
-    paths: list[str]
-
-
 def _npy_header(stream) -> tuple[tuple[int, ...], bool, np.dtype]:
     version = np.lib.format.read_magic(stream)
     read = {
@@ -111,85 +143,95 @@ def _npy_header(stream) -> tuple[tuple[int, ...], bool, np.dtype]:
     return read(stream)
 
 
+def open_matrix(kind: str, path: str, f) -> Matrix:
+    """Read the header of an open file."""
+    if kind in ("ivecs", "fvecs"):
+        size = f.size()
+        dim = int(np.frombuffer(f.read(4), "<i4")[0]) if size else 0
+        if dim < 0 or size % (4 * (dim + 1)):
+            raise ValueError(f"{path}: size does not fit records of dimension {dim}")
+        return Matrix(path, 0, size // (4 * (dim + 1)), dim, np.dtype("<i4"), False)
+    shape, by_column, dtype = _npy_header(f)
+    if len(shape) != 2 or dtype.hasobject:
+        raise ValueError(f"{path}: not a plain 2-D matrix")
+    return Matrix(path, f.tell(), *shape, dtype, by_column)
+
+
+def read_rows(kind: str, f, m: Matrix, first: int, rows: int) -> np.ndarray:
+    """Rows ``first`` to ``first + rows`` of an open file, read as one range (one a column if stored by column)."""
+    if kind in ("ivecs", "fvecs"):
+        width = m.dim + 1
+        f.seek(4 * width * first)
+        records = np.frombuffer(f.read(4 * width * rows), "<i4").reshape(rows, width)
+        if (records[:, 0] != m.dim).any():
+            raise ValueError(f"{m.path}: records of different dimensions")
+        return records[:, 1:].copy()
+    size = m.dtype.itemsize
+    if not m.by_column:
+        f.seek(m.data_start + size * m.dim * first)
+        return np.frombuffer(f.read(size * m.dim * rows), m.dtype).reshape(rows, m.dim)
+    out = np.empty((rows, m.dim), m.dtype)
+    for j in range(m.dim):
+        f.seek(m.data_start + size * (j * m.total + first))
+        out[:, j] = np.frombuffer(f.read(size * rows), m.dtype)
+    return out
+
+
+def plan_pieces(files: list[tuple[str, int]], split_bytes: int) -> list[Pieces]:
+    """Cut large files into equal parts and let small ones share a task, by size alone."""
+    out, held, size = [], [], 0
+    opening = min(OPEN_BYTES, split_bytes)
+    for path, n_bytes in files:
+        n = -(-n_bytes // split_bytes)
+        if n > 1:
+            out += [Pieces([(path, i, n)]) for i in range(n)]
+            continue
+        if held and size + n_bytes + opening > split_bytes:
+            out.append(Pieces(held))
+            held, size = [], 0
+        held, size = [*held, (path, 0, 1)], size + n_bytes + opening
+    return out + [Pieces(held)] * bool(held)
+
+
 class VecFileReader(DataSourceReader):
-    def __init__(self, kind: str, paths: list[str], rows_per_split: int):
-        self.kind, self.paths, self.rows_per_split = kind, paths, rows_per_split
+    """Plans from listed sizes; headers are read by the tasks."""
+
+    def __init__(self, kind: str, paths: list[str], split_bytes: int):
+        self.kind, self.paths, self.split_bytes = kind, paths, split_bytes
 
     def partitions(self) -> list[InputPartition]:
-        files = _files(self.paths, "." + self.kind if self.kind in ("ivecs", "fvecs") else ".npy")
+        files = list_files(self.paths, SUFFIXES.get(self.kind, ".npy"))
         if self.kind == "shape":
-            return [
-                FileGroup(files[at : at + FILES_PER_TASK]) for at in range(0, len(files), FILES_PER_TASK)
-            ]
-        with ThreadPoolExecutor(HEADER_THREADS) as pool:
-            return [part for parts in pool.map(self._ranges, files) for part in parts]
-
-    def _header(self, path: str) -> RowRange:
-        """The whole file as one range."""
-        fs, p = open_fs(path)
-        with fs.open_input_file(p) as f:
-            if self.kind in ("ivecs", "fvecs"):
-                size = f.size()
-                dim = int(np.frombuffer(f.read(4), "<i4")[0]) if size else 0
-                if dim < 0 or size % (4 * (dim + 1)):
-                    raise ValueError(f"{path}: size does not fit records of dimension {dim}")
-                rows = size // (4 * (dim + 1))
-                return RowRange(path, 0, 0, rows, rows, dim, "<i4", False)
-            shape, by_column, dtype = _npy_header(f)
-            if len(shape) != 2 or dtype.hasobject:
-                raise ValueError(f"{path}: not a plain 2-D matrix")
-            kind = dtype.descr if dtype.names else dtype.str
-            return RowRange(path, f.tell(), 0, shape[0], shape[0], shape[1], kind, by_column)
-
-    def _ranges(self, path: str) -> list[RowRange]:
-        whole = self._header(path)
-        return [
-            replace(whole, first=first, rows=min(self.rows_per_split, whole.total - first))
-            for first in range(0, whole.total, self.rows_per_split)
-        ]
-
-    def read(self, part: RowRange | FileGroup):
-        if isinstance(part, FileGroup):
-            for path in part.paths:
-                head = self._header(path)
-                yield (_base_name(path), head.total, head.dim)
-            return
-        fs, p = open_fs(part.path)
-        shard = _base_name(part.path)
-        dtype = np.dtype([tuple(d) for d in part.dtype] if isinstance(part.dtype, list) else part.dtype)
-        with fs.open_input_file(p) as f:
-            for first in range(part.first, part.first + part.rows, ROWS_PER_BATCH):
-                rows = min(ROWS_PER_BATCH, part.first + part.rows - first)
-                yield self._batch(shard, first, self._rows(f, part, dtype, first, rows))
-
-    def _rows(self, f, part: RowRange, dtype: np.dtype, first: int, rows: int) -> np.ndarray:
-        if self.kind in ("ivecs", "fvecs"):
-            width = part.dim + 1
-            f.seek(4 * width * first)
-            records = np.frombuffer(f.read(4 * width * rows), "<i4").reshape(rows, width)
-            if (records[:, 0] != part.dim).any():
-                raise ValueError(f"{part.path}: records of different dimensions")
-            return records[:, 1:].copy()
-        if not part.by_column:
-            f.seek(part.data_start + dtype.itemsize * part.dim * first)
-            return np.frombuffer(f.read(dtype.itemsize * part.dim * rows), dtype).reshape(rows, part.dim)
-        out = np.empty((rows, part.dim), dtype)
-        for j in range(part.dim):
-            f.seek(part.data_start + dtype.itemsize * (j * part.total + first))
-            out[:, j] = np.frombuffer(f.read(dtype.itemsize * rows), dtype)
-        return out
+            files = [(path, 0) for path, _ in files]
+        return plan_pieces(files, self.split_bytes) or [Pieces([])]
+
+    def read(self, part: Pieces):
+        for path, i, n in part.parts:
+            fs, p = open_fs(path)
+            shard = _base_name(path)
+            with fs.open_input_file(p) as f:
+                m = open_matrix(self.kind, path, f)
+                if self.kind == "shape":
+                    yield (shard, m.total, m.dim)
+                    continue
+                first, end = m.total * i // n, m.total * (i + 1) // n
+                for at in range(first, end, ROWS_PER_BATCH):
+                    rows = min(ROWS_PER_BATCH, end - at)
+                    yield self._batch(shard, at, read_rows(self.kind, f, m, at, rows))
 
     def _batch(self, shard: str, first: int, m: np.ndarray) -> pa.RecordBatch:
         rows, dim = m.shape
         if self.kind == "neighbors":
             id_name, distance_name = m.dtype.names
-            q = np.arange(first, first + rows, dtype=np.int64)
+            first += int(found[1]) if (found := FIRST_ROW.search(shard)) else 0
+            ids = m[id_name].astype(np.int64).ravel()
+            there = ids != NO_ID
             columns = {
-                "shard": pa.array([shard] * (rows * dim), pa.string()),
-                "qid": pa.array(np.repeat(q, dim)),
-                "rank": pa.array(np.tile(np.arange(1, dim + 1, dtype=np.int32), rows)),
-                "id": pa.array(m[id_name].astype(np.int64).ravel()),
-                "distance": pa.array(m[distance_name].astype(np.float64).ravel()),
+                "shard": pa.array([shard] * int(there.sum()), pa.string()),
+                "qid": pa.array(np.repeat(np.arange(first, first + rows, dtype=np.int64), dim)[there]),
+                "rank": pa.array(np.tile(np.arange(1, dim + 1, dtype=np.int32), rows)[there]),
+                "id": pa.array(ids[there]),
+                "distance": pa.array(m[distance_name].astype(np.float64).ravel()[there]),
             }
             return pa.RecordBatch.from_pydict(columns)
         if self.kind == "fvecs":
@@ -204,87 +246,186 @@ class VecFileReader(DataSourceReader):
         return pa.RecordBatch.from_pydict(columns)
 
 
+class _Npy:
+    """A float matrix; its header needs the row count, so its rows are held. Parts are sized by the caller."""
+
+    kind, dim = "npy", None
+
+    def __init__(self, fs, path: str):
+        self.fs, self.path, self.rows, self.kept = fs, path, 0, []
+
+    def add(self, batch: pa.RecordBatch) -> None:
+        m = _plain(batch.column("vector"), "<i4" if self.kind == "ivecs" else "<f4")
+        if self.dim is not None and m.shape[1] != self.dim:
+            raise ValueError(f"vectors of dimension {self.dim} and {m.shape[1]}")
+        self.dim, self.rows = m.shape[1], self.rows + len(m)
+        self.put(m)
+
+    def put(self, m: np.ndarray) -> None:
+        self.kept.append(m)
+
+    def close(self) -> None:
+        with self.fs.open_output_stream(self.path) as out:
+            np.lib.format.write_array(out, np.concatenate(self.kept), allow_pickle=False)
+
+
+class _Vecs(_Npy):
+    """Records of a dimension and its values, written as they come."""
+
+    def __init__(self, fs, path: str):
+        super().__init__(fs, path)
+        self.out = fs.open_output_stream(path)
+
+    def put(self, m: np.ndarray) -> None:
+        records = np.empty((len(m), self.dim + 1), "<i4")
+        records[:, 0], records[:, 1:] = self.dim, m.view("<i4")
+        self.out.write(records.tobytes())
+
+    def close(self) -> None:
+        self.out.close()
+
+
+class _IdVecs(_Vecs):
+    kind = "ivecs"
+
+
+class _Neighbors(_Npy):
+    """Rows of (id, distance) pairs at their places; ``row`` counts from the row in the file's name."""
+
+    def __init__(self, fs, path: str):
+        super().__init__(fs, path)
+        self.places = []
+
+    def add(self, batch: pa.RecordBatch) -> None:
+        ids, distances = (_plain(batch.column(c), kind) for c, kind in (("ids", "<i8"), ("distances", "<f8")))
+        self.dim = ids.shape[1]
+        m = np.empty(ids.shape, NEIGHBOR)
+        m["idx"], m["distance"] = ids, distances
+        self.kept.append(m)
+        self.places.append(batch.column("row").to_numpy())
+
+    def close(self) -> None:
+        places = np.concatenate(self.places)
+        if len(np.unique(places)) != len(places):
+            raise ValueError(f"{self.path}: two lists for one row")
+        self.rows = int(places.max()) + 1
+        out = np.empty((self.rows, self.dim), NEIGHBOR)
+        out["idx"], out["distance"] = NO_ID, np.inf  # rows without a list
+        out[places] = np.concatenate(self.kept)
+        self.kept = [out]
+        super().close()
+
+
+class _Parquet:
+    """Rows as they come, in row groups of a batch or more."""
+
+    dim = None
+
+    def __init__(self, fs, path: str):
+        self.fs, self.path, self.rows, self.out = fs, path, 0, None
+
+    def add(self, batch: pa.RecordBatch) -> None:
+        batch = batch.drop_columns(["file"])
+        self.out = self.out or pq.ParquetWriter(self.path, batch.schema, filesystem=self.fs)
+        self.out.write_batch(batch)
+        self.rows += batch.num_rows
+
+    def close(self) -> None:
+        self.out.close()
+
+
+WRITERS = {"npy": _Npy, "fvecs": _Vecs, "ivecs": _IdVecs, "neighbors": _Neighbors, "parquet": _Parquet}
+
+
+def _plain(col: pa.Array, kind: str) -> np.ndarray:
+    values = col.flatten()
+    widths = np.diff(col.offsets.to_numpy())
+    if col.null_count or values.null_count or (widths != widths[0]).any():
+        raise ValueError("NULL or ragged vectors cannot be written")
+    return np.ascontiguousarray(values.to_numpy(zero_copy_only=False).reshape(len(col), widths[0]), kind)
+
+
 @dataclass
-class PartWritten(WriterCommitMessage):
-    temp: str
-    number: int
-    rows: int
-    dim: int | None
+class FilesWritten(WriterCommitMessage):
+    files: list[tuple[str, str, int | None]]  # temporary name, name, dimension
 
 
 class VecFileWriter(DataSourceArrowWriter):
-    """Each task writes a hidden file; the commit on the driver only renames them."""
+    """A job writes a version of the folder of its own; the commit names its files and then switches the
+    pointer to it, in one write. Until then readers see the old version, which is kept for those under way.
 
-    def __init__(self, kind: str, dest: str, overwrite: bool):
-        self.kind, self.dest, self.overwrite = kind, dest, overwrite
-        self.job = uuid.uuid4().hex
+    Tasks write one file per run of equal ``file`` names (null: one named after the task).
+    """
 
-    def write(self, iterator) -> PartWritten:
-        number = TaskContext.get().partitionId()
-        attempt = TaskContext.get().taskAttemptId()
+    def __init__(self, kind: str, dest: str):
+        self.kind, self.dest = kind, dest
+        self.folder = f"version-{uuid.uuid4().hex}"
+
+    def write(self, iterator) -> FilesWritten:
+        context = TaskContext.get()
         fs, root = open_fs(self.dest)
-        fs.create_dir(root, recursive=True)
-        temp = f"{root}/.{self.job}-{number}-{attempt}"
-        dim, rows, kept = None, 0, []
-        out = None
+        fs.create_dir(f"{root}/{self.folder}", recursive=True)
+        own = f"part-{context.partitionId():06d}" + SUFFIXES.get(self.kind, ".npy")
+        files, name, out = [], None, None
+
+        def close() -> None:
+            if out is not None:
+                out.close()
+                files.append((out.path, name, out.dim))
+
         for batch in iterator:
             if not batch.num_rows:
                 continue
-            m = self._matrix(batch.column(batch.schema.get_field_index("vector")))
-            if dim is not None and m.shape[1] != dim:
-                raise ValueError(f"vectors of dimension {dim} and {m.shape[1]}")
-            dim, rows = m.shape[1], rows + len(m)
-            if self.kind == "npy":
-                kept.append(m)
-                continue
-            out = out or fs.open_output_stream(temp)
-            records = np.empty((len(m), dim + 1), "<i4")
-            records[:, 0], records[:, 1:] = dim, m.view("<i4")
-            out.write(records.tobytes())
-        if kept:  # the header needs the row count; parts are sized by the caller
-            out = fs.open_output_stream(temp)
-            np.lib.format.write_array(out, np.concatenate(kept), allow_pickle=False)
-        if out is not None:
-            out.close()
-        return PartWritten(temp, number, rows, dim)
-
-    def _matrix(self, col: pa.Array) -> np.ndarray:
-        values = col.flatten()
-        widths = np.diff(col.offsets.to_numpy())
-        if col.null_count or values.null_count or (widths != widths[0]).any():
-            raise ValueError("NULL or ragged vectors cannot be written")
-        want = "<i4" if self.kind == "ivecs" else "<f4"
-        return np.ascontiguousarray(values.to_numpy(zero_copy_only=False).reshape(len(col), widths[0]), want)
+            names = batch.column("file").fill_null(own)
+            runs = pc.run_end_encode(names)
+            at = 0
+            for end, value in zip(runs.run_ends.to_pylist(), runs.values.to_pylist()):
+                if value != name:
+                    close()
+                    name = value
+                    temp = f"{root}/{self.folder}/.{name}-{context.taskAttemptId()}"
+                    out = WRITERS[self.kind](fs, temp)
+                out.add(batch.slice(at, end - at))
+                at = end
+        close()
+        return FilesWritten(files)
 
     def commit(self, messages) -> None:
-        dims = sorted({m.dim for m in messages if m and m.rows})
-        if len(dims) > 1:  # parts concatenate to one file, so they must agree
+        files = [f for m in messages if m for f in m.files]
+        try:
+            if len({name for _, name, _ in files}) != len(files):
+                raise ValueError("a file's rows lie in two tasks")
+            dims = sorted({dim for _, _, dim in files if dim is not None})
+            if len(dims) > 1:  # parts concatenate to one file, so they must agree
+                raise ValueError(f"vectors of dimension {dims[0]} and {dims[-1]}")
+        except ValueError:
             self.abort(messages)
-            raise ValueError(f"vectors of dimension {dims[0]} and {dims[-1]}")
+            raise
         fs, root = open_fs(self.dest)
-        suffix = f".{self.kind}"
-        existing = [
-            f.path
-            for f in fs.get_file_info(pafs.FileSelector(root, allow_not_found=True))
-            if f.path.endswith(suffix)
-        ]
-        if existing and not self.overwrite:
-            self.abort(messages)
-            raise FileExistsError(f"{self.dest} already holds {suffix} files")
-        for path in existing:
-            fs.delete_file(path)
-        for m in sorted((m for m in messages if m and m.rows), key=lambda m: m.number):
-            fs.move(m.temp, f"{root}/part-{m.number:06d}{suffix}")
+        fs.create_dir(f"{root}/{self.folder}", recursive=True)
+        with ThreadPoolExecutor(COMMIT_THREADS) as pool:
+            list(pool.map(lambda f: fs.move(f[0], f"{root}/{self.folder}/{f[1]}"), files))
+        old = _versions(fs, root)
+        number = old[-1][0] + 1 if old else 0
+        temp = f"{root}/.{self.folder}"
+        with fs.open_output_stream(temp) as out:
+            out.write(self.folder.encode())
+        fs.move(temp, f"{root}/{POINTER}{number:010d}")  # the commit: one rename to a new name
+        kept = {self.folder, *(folder for _, folder in old[-1:])}
+        for f in fs.get_file_info(pafs.FileSelector(root)):
+            if f.base_name.startswith("version-") and f.base_name not in kept:
+                fs.delete_dir(f.path)
+            elif f.base_name.startswith(POINTER) and int(f.base_name[len(POINTER):]) < number - 1:
+                fs.delete_file(f.path)
 
     def abort(self, messages) -> None:
-        for m in messages:
-            if m and m.rows:
-                fs, _ = open_fs(self.dest)
-                fs.delete_file(m.temp)
+        fs, root = open_fs(self.dest)
+        if fs.get_file_info(f"{root}/{self.folder}").type == pafs.FileType.Directory:
+            fs.delete_dir(f"{root}/{self.folder}")
 
 
 class VecFileSource(DataSource):
-    """Options: ``kind`` (npy, neighbors, ivecs, fvecs), ``paths`` (JSON list), ``rows_per_split``."""
+    """Options: ``kind`` (npy, neighbors, ivecs, fvecs; parquet for writing), ``paths`` (JSON list) or ``dest``, ``split_bytes``."""
 
     @classmethod
     def name(cls) -> str:
@@ -292,38 +433,38 @@ class VecFileSource(DataSource):
 
     def _kind(self) -> str:
         kind = self.options.get("kind", "npy")
-        if kind not in SCHEMAS:
+        if kind not in SCHEMAS and kind not in WRITERS:
             raise ValueError(f"unknown vector file kind {kind!r}")
         return kind
 
     def schema(self) -> str:
-        return SCHEMAS[self._kind()]
+        return SCHEMAS.get(self._kind(), "file string")
 
     def reader(self, schema) -> VecFileReader:
         paths = json.loads(self.options["paths"])
-        return VecFileReader(
-            self._kind(), paths, int(self.options.get("rows_per_split", ROWS_PER_SPLIT))
-        )
+        return VecFileReader(self._kind(), paths, int(self.options.get("split_bytes", SPLIT_BYTES)))
 
     def writer(self, schema, overwrite: bool) -> VecFileWriter:
-        return VecFileWriter(self._kind(), self.options["dest"], overwrite)
+        if not overwrite:
+            raise ValueError("vector files are replaced whole: use mode overwrite")
+        return VecFileWriter(self._kind(), self.options["dest"])
 
 
-def _scan(spark: SparkSession, kind: str, path: str | list[str], rows_per_split: int) -> DataFrame:
+def _scan(spark: SparkSession, kind: str, path: str | list[str], split_bytes: int) -> DataFrame:
     spark.dataSource.register(VecFileSource)
     paths = [path] if isinstance(path, str) else path
     return (
         spark.read.format(FORMAT)
         .option("kind", kind)
         .option("paths", json.dumps(paths))
-        .option("rows_per_split", rows_per_split)
+        .option("split_bytes", split_bytes)
         .load()
     )
 
 
-def scan_npy(spark: SparkSession, path: str | list[str], rows_per_split: int = ROWS_PER_SPLIT) -> DataFrame:
+def scan_npy(spark: SparkSession, path: str | list[str], split_bytes: int = SPLIT_BYTES) -> DataFrame:
     """``shard, row_index, vector`` of 2-D matrices of any numeric type, as float32."""
-    return _scan(spark, "npy", path, rows_per_split)
+    return _scan(spark, "npy", path, split_bytes)
 
 
 def with_position(rows: DataFrame, sizes: DataFrame | None = None) -> DataFrame:
@@ -346,26 +487,28 @@ def scan_npy_set(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 def npy_shapes(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """``shard, n_rows, dim`` from the file headers alone."""
-    return _scan(spark, "shape", path, ROWS_PER_SPLIT)
+    return _scan(spark, "shape", path, SPLIT_BYTES)
 
 
 def scan_vecs(
-    spark: SparkSession, path: str | list[str], kind: str = "ivecs", rows_per_split: int = ROWS_PER_SPLIT
+    spark: SparkSession, path: str | list[str], kind: str = "ivecs", split_bytes: int = SPLIT_BYTES
 ) -> DataFrame:
     if kind not in ("ivecs", "fvecs"):
         raise ValueError("kind must be 'ivecs' or 'fvecs'")
-    return _scan(spark, kind, path, rows_per_split)
+    return _scan(spark, kind, path, split_bytes)
 
 
 def scan_npy_neighbors(
-    spark: SparkSession, path: str | list[str], rows_per_split: int = ROWS_PER_SPLIT
+    spark: SparkSession, path: str | list[str], split_bytes: int = SPLIT_BYTES
 ) -> DataFrame:
     """Partial results saved as ``[queries, k]`` matrices of (id, distance) pairs; qid is the row."""
-    return _scan(spark, "neighbors", path, rows_per_split).drop("shard")
+    return _scan(spark, "neighbors", path, split_bytes).drop("shard")
 
 
 def _write(df: DataFrame, kind: str, dest: str) -> None:
     df.sparkSession.dataSource.register(VecFileSource)
+    if "file" not in df.columns:
+        df = df.withColumn("file", F.lit(None).cast("string"))
     df.write.format(FORMAT).option("kind", kind).option("dest", dest).mode("overwrite").save()
 
 
@@ -403,3 +546,49 @@ def write_npy(
     rows = df.select(key.alias("_key"), F.col(vector).cast("array<float>").alias("vector"))
     ranged = rows.repartitionByRange(parts, "_key").sortWithinPartitions("_key")
     _write(ranged.select("vector"), "npy", dest)
+
+
+def write_shards(
+    df: DataFrame, shard: str, order: str, dest: str, kind: str = "npy", template: str = "part-%06d.npy"
+) -> None:
+    """One file per shard number, named by ``template``, with the shard's rows in ``order``.
+
+    ``npy`` files take the column ``vector`` and are held by the writing task, so shards are to be cut to size; ``parquet``
+    files stream all columns but ``shard``.
+    """
+    name = F.format_string(template, F.col(shard))
+    rows = df.withColumn("vector", F.col("vector").cast("array<float>")).select(shard, order, "vector") if kind == "npy" else df
+    rows = rows.withColumn("file", name).repartition(shard).sortWithinPartitions(shard, order)
+    _write(rows.select("file", "vector") if kind == "npy" else rows.drop(shard), kind, dest)
+
+
+def write_npy_neighbors(
+    neighbors: DataFrame, dest: str, k: int, group: str | None = None, part_bytes: int = PART_BYTES
+) -> None:
+    """Neighbour lists in long form as ``[queries, k]`` matrices of (id, distance) pairs; row i belongs to query i.
+
+    A group (a shard number) has a matrix of its own, in parts of about ``part_bytes`` that begin at
+    the row in their name. Lists shorter than ``k`` and queries without one are padded with id -1. Query ids count from 0.
+    """
+    rows = max(1, part_bytes // (NEIGHBOR.itemsize * k))
+    number = F.col(group).cast("long") if group else F.lit(0).cast("long")
+    wrong = F.raise_error(F.concat(F.lit("cannot be a row of a matrix: query, rank or id "), F.concat_ws(", ", "qid", "rank", "id")))
+    fits = (F.col("qid") >= 0) & F.col("rank").between(1, k) & (F.col("id") >= 0)
+    lists = (
+        neighbors.select(number.alias("number"), "qid", F.when(fits, F.col("rank")).otherwise(wrong.cast("int")).alias("rank"), "id", "distance")
+        .groupBy("number", "qid")
+        .agg(F.map_from_entries(F.collect_list(F.struct("rank", F.struct("id", "distance")))).alias("hits"))
+        .withColumn("first", F.floor(F.col("qid") / rows).cast("long") * rows)
+    )
+    places = F.sequence(F.lit(1), F.lit(k))
+
+    def column(field: str, missing) -> Column:
+        return F.transform(places, lambda r: F.coalesce(F.try_element_at("hits", r)[field], F.lit(missing)))
+
+    lists = lists.select(
+        F.format_string("part-%06d-r%012d.npy", "number", "first").alias("file"),
+        (F.col("qid") - F.col("first")).alias("row"),
+        column("id", NO_ID).cast("array<long>").alias("ids"),
+        column("distance", float("inf")).cast("array<double>").alias("distances"),
+    )
+    _write(lists.repartition("file").sortWithinPartitions("file", "row"), "neighbors", dest)
