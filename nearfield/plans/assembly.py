@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pyarrow as pa
-import pyarrow.parquet as pq
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,13 +17,15 @@ from nearfield.operators.assembly import (
     zip_shards,
 )
 from nearfield.operators.checks import enforce_schema
-from nearfield.operators.kernel import to_matrix
+from nearfield.operators.coread import zip_in_place
+from nearfield.operators.ordinals import with_ordinal
 from nearfield.plans.common import SQL_VECTORS, id_range, sharded, sql_sharded, table, vectors
 from nearfield.session import scratch_path
 from nearfield.sources.tables import scan_vectors, write_vectors
-from nearfield.sources.vecfiles import open_fs, write_npy
+from nearfield.sources.vecfiles import current_folder, write_npy, write_shards
 from nearfield.streaming.ingest import ingest_incremental
 
+FILE_ROWS = 500  # rows of a vector or metadata file made for an ingest
 GLOBAL_START = 1_229_565_156  # fixed value: first global key of a second dataset
 
 
@@ -129,7 +128,7 @@ def ingested(spark, sf_dir) -> DataFrame:
     source = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("vector"))
     write_npy(source, "vec_id", f"{work}/source", min_parts=4)
     ingest_incremental(
-        spark, f"{work}/source", f"{work}/dest", f"{work}/manifest",
+        spark, current_folder(f"{work}/source"), f"{work}/dest", f"{work}/manifest",
         checkpoint=f"{work}/checkpoint", global_start=GLOBAL_START, shards_per_step=2,
     )
     back = spark.read.parquet(f"{work}/dest")
@@ -138,29 +137,10 @@ def ingested(spark, sf_dir) -> DataFrame:
     )
 
 
-def _files_by_number(df: DataFrame, n_ids: int, folder: str, save) -> None:
-    """Three numbered files of id ranges, each written by the task that holds its rows."""
-
-    def write(key: tuple, part: pa.Table) -> pa.Table:
-        fs, path = open_fs(folder)
-        fs.create_dir(path, recursive=True)
-        save(fs, path, key[0].as_py(), part.sort_by("vec_id"))
-        return pa.table({"file": [key[0].as_py()]})
-
-    numbered = df.withColumn("file", F.expr(f"vec_id * 3 DIV {n_ids}"))
-    numbered.groupBy("file").applyInArrow(write, "file long").count()
-
-
-def _save_npy(fs, folder: str, number: int, part: pa.Table) -> None:
-    with fs.open_output_stream(f"{folder}/emb_{number:04d}.npy") as out:
-        np.lib.format.write_array(out, to_matrix(part["vector"]), allow_pickle=False)
-
-
-def _save_parquet(name: str):
-    def save(fs, folder: str, number: int, part: pa.Table) -> None:
-        pq.write_table(part.drop_columns(["file"]), f"{folder}/{name}_{number:04d}.parquet", filesystem=fs)
-
-    return save
+def _numbered(df: DataFrame) -> DataFrame:
+    """Rows in files of ``FILE_ROWS`` by id: as many files as the table asks for."""
+    placed = with_ordinal(df, ["vec_id"], "_at")
+    return placed.withColumn("file", F.floor(F.col("_at") / FILE_ROWS).cast("int")).drop("_at")
 
 
 def _metadata(spark, sf_dir) -> DataFrame:
@@ -174,9 +154,9 @@ def _metadata(spark, sf_dir) -> DataFrame:
     )
 
 
-def _ingested(spark, work: str, **options) -> DataFrame:
+def _ingested(spark, work: str, source: str, **options) -> DataFrame:
     ingest_incremental(
-        spark, f"{work}/source", f"{work}/dest", f"{work}/manifest",
+        spark, source, f"{work}/dest", f"{work}/manifest",
         checkpoint=f"{work}/checkpoint", global_start=GLOBAL_START, shards_per_step=2, **options,
     )
     rows = spark.read.parquet(f"{work}/dest").drop("shard_no")
@@ -185,21 +165,38 @@ def _ingested(spark, work: str, **options) -> DataFrame:
     return rows.withColumn("value", F.round(F.col("value").cast("double"), 6))
 
 
+def _shard_pair(spark, sf_dir, work: str) -> tuple[str, str]:
+    """Vector files and metadata files of the same numbers and rows; their folder and template."""
+    vecs = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("vector"))
+    write_shards(_numbered(vecs), "file", "vec_id", f"{work}/source", template="emb_%04d.npy")
+    write_shards(_numbered(_metadata(spark, sf_dir)), "file", "vec_id", f"{work}/meta", "parquet", "metadata_%04d.parquet")
+    return current_folder(f"{work}/source"), f"{current_folder(f'{work}/meta')}/metadata_%04d.parquet"
+
+
 def ingested_with_metadata(spark, sf_dir) -> DataFrame:
     """Row i of a metadata file beside row i of the vector file of its number, keyed and typed."""
-    work, n = scratch_path(spark, "ingest"), id_range(spark, sf_dir)
-    vecs = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("vector"))
-    _files_by_number(vecs, n, f"{work}/source", _save_npy)
-    _files_by_number(_metadata(spark, sf_dir), n, f"{work}/meta", _save_parquet("metadata"))
-    return _ingested(spark, work, metadata_template=f"{work}/meta/metadata_%04d.parquet")
+    work = scratch_path(spark, "ingest")
+    source, template = _shard_pair(spark, sf_dir, work)
+    return _ingested(spark, work, source, metadata_template=template)
 
 
 def ingested_parquet(spark, sf_dir) -> DataFrame:
     """Parquet shards with keys of their own, keyed anew."""
-    work, n = scratch_path(spark, "ingest"), id_range(spark, sf_dir)
+    work = scratch_path(spark, "ingest")
     vecs = table(spark, sf_dir, "embeddings").select("vec_id", (F.col("vec_id") + 7).alias("pk"), F.col("embedding").alias("emb"))
-    _files_by_number(vecs, n, f"{work}/source", _save_parquet("emb"))
-    return _ingested(spark, work, fmt="parquet", vector_col="emb")
+    write_shards(_numbered(vecs), "file", "vec_id", f"{work}/source", "parquet", "emb_%04d.parquet")
+    return _ingested(spark, work, current_folder(f"{work}/source"), fmt="parquet", vector_col="emb")
+
+
+def zipped_in_place(spark, sf_dir) -> DataFrame:
+    """Metadata rows, each beside the vector read from its place in the file of the same number."""
+    work = scratch_path(spark, "zip")
+    source, template = _shard_pair(spark, sf_dir, work)
+    meta = scan_vectors(spark, template.rpartition("/")[0], ["vec_id", "NSFW", "height"])
+    pairs = zip_in_place(meta.drop("shard"), f"{source}/emb_%04d.npy")
+    return pairs.select("shard_no", "row_index", "vec_id", "NSFW", "height", F.posexplode("vector").alias("pos", "value")).withColumn(
+        "value", F.round(F.col("value").cast("double"), 6)
+    )
 
 
 SQL_DOCUMENTS = sql_sharded("doc_id", "doc_id, lang, source, n_chars", "documents")
@@ -229,6 +226,14 @@ QUERIES = {
             FROM ({SQL_DOCUMENTS}) m JOIN ({SQL_VECTORS}) v
               ON m.shard_no = v.shard_no AND m.row_index = v.row_index""",
     ),
+    "zip_in_place": (
+        zipped_in_place,
+        f"""SELECT CAST(pos // {FILE_ROWS} AS INTEGER) AS shard_no, pos % {FILE_ROWS} AS row_index, vec_id, lang AS NSFW,
+                   length(text) AS height, CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS pos,
+                   round(unnest(embedding)::DOUBLE, 6) AS value
+            FROM (SELECT row_number() OVER (ORDER BY vec_id) - 1 AS pos, * FROM embeddings)
+            LEFT JOIN documents ON doc_id = vec_id""",
+    ),
     "positional_zip_skip": (
         zipped_even,
         f"""WITH m AS (SELECT * FROM ({SQL_DOCUMENTS}) WHERE doc_id >= 3), v AS ({SQL_VECTORS}),

@@ -46,6 +46,7 @@ SCHEMAS = {
     "shape": "shard string, n_rows long, dim int",
 }
 SUFFIXES = {"ivecs": ".ivecs", "fvecs": ".fvecs", "parquet": ".parquet"}
+FILE = "_file"  # column of the name of the file a row goes to
 FIRST_ROW = re.compile(r"-r(\d+)\.npy$")  # a matrix part tells the row it begins at
 NEIGHBOR = np.dtype([("idx", "<i8"), ("distance", "<f8")])
 NO_ID = -1  # pads rows of a matrix beyond their list
@@ -325,7 +326,7 @@ class _Parquet:
         self.fs, self.path, self.rows, self.out = fs, path, 0, None
 
     def add(self, batch: pa.RecordBatch) -> None:
-        batch = batch.drop_columns(["file"])
+        batch = batch.drop_columns([FILE])
         self.out = self.out or pq.ParquetWriter(self.path, batch.schema, filesystem=self.fs)
         self.out.write_batch(batch)
         self.rows += batch.num_rows
@@ -354,7 +355,7 @@ class VecFileWriter(DataSourceArrowWriter):
     """A job writes a version of the folder of its own; the commit names its files and then switches the
     pointer to it, in one write. Until then readers see the old version, which is kept for those under way.
 
-    Tasks write one file per run of equal ``file`` names (null: one named after the task).
+    Tasks write one file per run of equal names in the column ``_file`` (null: one named after the task).
     """
 
     def __init__(self, kind: str, dest: str):
@@ -376,7 +377,7 @@ class VecFileWriter(DataSourceArrowWriter):
         for batch in iterator:
             if not batch.num_rows:
                 continue
-            names = batch.column("file").fill_null(own)
+            names = batch.column(FILE).fill_null(own)
             runs = pc.run_end_encode(names)
             at = 0
             for end, value in zip(runs.run_ends.to_pylist(), runs.values.to_pylist()):
@@ -438,7 +439,7 @@ class VecFileSource(DataSource):
         return kind
 
     def schema(self) -> str:
-        return SCHEMAS.get(self._kind(), "file string")
+        return SCHEMAS.get(self._kind(), f"{FILE} string")
 
     def reader(self, schema) -> VecFileReader:
         paths = json.loads(self.options["paths"])
@@ -507,8 +508,8 @@ def scan_npy_neighbors(
 
 def _write(df: DataFrame, kind: str, dest: str) -> None:
     df.sparkSession.dataSource.register(VecFileSource)
-    if "file" not in df.columns:
-        df = df.withColumn("file", F.lit(None).cast("string"))
+    if FILE not in df.columns:
+        df = df.withColumn(FILE, F.lit(None).cast("string"))
     df.write.format(FORMAT).option("kind", kind).option("dest", dest).mode("overwrite").save()
 
 
@@ -558,8 +559,8 @@ def write_shards(
     """
     name = F.format_string(template, F.col(shard))
     rows = df.withColumn("vector", F.col("vector").cast("array<float>")).select(shard, order, "vector") if kind == "npy" else df
-    rows = rows.withColumn("file", name).repartition(shard).sortWithinPartitions(shard, order)
-    _write(rows.select("file", "vector") if kind == "npy" else rows.drop(shard), kind, dest)
+    rows = rows.withColumn(FILE, name).repartition(shard).sortWithinPartitions(shard, order)
+    _write(rows.select(FILE, "vector") if kind == "npy" else rows.drop(shard), kind, dest)
 
 
 def write_npy_neighbors(
@@ -586,9 +587,9 @@ def write_npy_neighbors(
         return F.transform(places, lambda r: F.coalesce(F.try_element_at("hits", r)[field], F.lit(missing)))
 
     lists = lists.select(
-        F.format_string("part-%06d-r%012d.npy", "number", "first").alias("file"),
+        F.format_string("part-%06d-r%012d.npy", "number", "first").alias(FILE),
         (F.col("qid") - F.col("first")).alias("row"),
         column("id", NO_ID).cast("array<long>").alias("ids"),
         column("distance", float("inf")).cast("array<double>").alias("distances"),
     )
-    _write(lists.repartition("file").sortWithinPartitions("file", "row"), "neighbors", dest)
+    _write(lists.repartition(FILE).sortWithinPartitions(FILE, "row"), "neighbors", dest)

@@ -1,7 +1,9 @@
+import numpy as np
 import pytest
 
 from nearfield import schemas
 from nearfield.operators import ordinals
+from nearfield.operators.coread import zip_in_place
 from nearfield.operators.assembly import (
     assign_pk,
     audit_shards,
@@ -149,3 +151,33 @@ def test_audit_of_a_folder(spark, tmp_path):
     with pytest.raises(FileNotFoundError, match="part_0002.npy"):
         audit_shards(expected, present)
     assert audit_shards(expected, present, "skip").count() == 3
+
+
+def test_zip_in_place(spark, tmp_path, rng):
+    """No exchange, ranges of the vector files only; uneven shards raise or go; filters come first."""
+    sizes = {0: 7, 1: 9000, 2: 5}
+    parts = {n: rng.normal(size=(rows, 3)).astype(np.float32) for n, rows in sizes.items()}
+    for n, m in parts.items():
+        np.save(tmp_path / f"emb_{n:04d}.npy", np.asfortranarray(m) if n == 2 else m)
+    rows = [(n, i, f"{n}-{i}") for n, size in sizes.items() for i in range(size)]
+    spark.createDataFrame(rows, "shard_no int, row_index long, caption string").repartition(3, "shard_no").sortWithinPartitions(
+        "shard_no", "row_index"
+    ).write.parquet(str(tmp_path / "meta"))
+    meta = spark.read.parquet(str(tmp_path / "meta"))
+    template = str(tmp_path / "emb_%04d.npy")
+    found = zip_in_place(meta, template)
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+    assert found.columns == ["shard_no", "row_index", "caption", "vector"]
+    for r in found.collect():
+        assert r.caption == f"{r.shard_no}-{r.row_index}"
+        np.testing.assert_array_equal(np.array(r.vector, np.float32), parts[r.shard_no][r.row_index])
+    some = zip_in_place(meta.where("row_index % 1000 = 3"), template, on_mismatch="ignore").collect()
+    assert sorted((r.shard_no, r.row_index) for r in some) == [(0, 3)] + [(1, 1000 * i + 3) for i in range(9)] + [(2, 3)]
+    short = meta.where("NOT (shard_no = 0 AND row_index = 6)")
+    with pytest.raises(ValueError, match="shard 0: 6 metadata rows, 7 vectors"):
+        zip_in_place(short, template)
+    assert {r.shard_no for r in zip_in_place(short, template, on_mismatch="skip").collect()} == {1, 2}
+    more = meta.unionByName(spark.createDataFrame([(2, 5, "x")], meta.schema))
+    with pytest.raises(Exception, match="no vector for metadata row 5"):
+        zip_in_place(more, template, on_mismatch="ignore").collect()
+    assert zip_in_place(meta.limit(0), template).count() == 0

@@ -265,9 +265,9 @@ def test_neighbor_matrices(spark, tmp_path):
 
 def test_files_by_shard(spark, tmp_path, rng):
     m = rng.normal(size=(50, 3)).astype(np.float32)
-    df = vector_frame(spark, range(50), m, "k").withColumn("no", F.expr("k DIV 8"))
-    write_shards(df, "no", "k", str(tmp_path / "v"), template="emb_%04d.npy")
+    df = vector_frame(spark, range(50), m, "k").withColumn("file", F.expr("k DIV 8"))
+    write_shards(df, "file", "k", str(tmp_path / "v"), template="emb_%04d.npy")
     np.testing.assert_array_equal(np.load(Path(current_folder(str(tmp_path / "v"))) / "emb_0002.npy"), m[16:24])
-    write_shards(df, "no", "k", str(tmp_path / "p"), "parquet", "meta_%04d.parquet")
+    write_shards(df, "file", "k", str(tmp_path / "p"), "parquet", "meta_%04d.parquet")
     table = pq.read_table(Path(current_folder(str(tmp_path / "p"))) / "meta_0006.parquet")
     assert table.column_names == ["k", "vector"] and table["k"].to_pylist() == [48, 49]
