@@ -80,9 +80,7 @@ def knn(
     )
     queries = queries.select(F.col("qid").cast("long").alias("qid"), "vector")
 
-    size = queries.agg(
-        F.count(F.lit(1)).alias("n"), F.coalesce(F.max(F.size("vector")), F.lit(0)).alias("dim")
-    ).first()
+    size = _size(queries)
     if size.n == 0:
         return queries.sparkSession.createDataFrame(
             [], (f"{per} long, " if per else "") + "qid long, rank int, id long, distance double"
@@ -110,6 +108,44 @@ def knn(
     return plan.run(base, bounded)
 
 
+def _size(queries: DataFrame):
+    return queries.agg(
+        F.count(F.lit(1)).alias("n"), F.coalesce(F.max(F.size("vector")), F.lit(0)).alias("dim")
+    ).first()
+
+
+def candidate_pairs(
+    base: DataFrame,
+    queries: DataFrame,
+    k: int,
+    metric: str | Metric,
+    *,
+    expr: str | None = None,
+    normalize_base: bool = False,
+    normalize_query: bool = False,
+    query_block: int = 512,
+    bounds: DataFrame | None = None,
+    id_col: str = "pk",
+    vector_col: str = "vector",
+    broadcast_bytes: int = BROADCAST_BYTES,
+    task_bytes: int = TASK_BYTES,
+) -> DataFrame:
+    """The part of :func:`knn` that reads the base: ``(qid, id, distance)``, at most ``k`` per task and query.
+
+    The base is only mapped, so it may be a stream. Rows beyond ``bounds`` may be left out.
+    """
+    queries = queries.select(F.col("qid").cast("long").alias("qid"), "vector")
+    size = _size(queries)
+    plan = Search(
+        k, get_metric(metric), normalize_base, normalize_query, query_block, size.n, size.dim, None, broadcast_bytes, task_bytes
+    )
+    base = base if expr is None else base.where(F.expr(expr))
+    base = base.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("vector"))
+    if bounds is not None:
+        queries = queries.join(bounds.select("qid", "bound"), "qid", "left")
+    return plan.pairs(base, queries)
+
+
 @dataclass(frozen=True)
 class Search:
     k: int
@@ -145,12 +181,14 @@ class Search:
         by_size = 2 * self.n_queries * (4 * self.dim + 16) / self.broadcast_bytes
         return self.query_blocks or max(2, math.ceil(max(by_state, by_size)))
 
-    def run(self, base: DataFrame, queries: DataFrame) -> DataFrame:
+    def pairs(self, base: DataFrame, queries: DataFrame) -> DataFrame:
+        """Each task's best ``k`` rows of every query: ``(qid, id, distance)``, without a shuffle."""
         if self.fits_broadcast():
-            pairs = base.mapInArrow(_stationary_base(self, queries), PAIRS)
-        else:
-            pairs = base.mapInArrow(_streamed_queries(self, _store_blocks(self, queries)), PAIRS)
-        return top_k(pairs, self.k, self.metric)
+            return base.mapInArrow(_stationary_base(self, queries), PAIRS)
+        return base.mapInArrow(_streamed_queries(self, _store_blocks(self, queries)), PAIRS)
+
+    def run(self, base: DataFrame, queries: DataFrame) -> DataFrame:
+        return top_k(self.pairs(base, queries), self.k, self.metric)
 
 
 def kth_bounds(found: DataFrame, k: int, metric: str | Metric) -> DataFrame:

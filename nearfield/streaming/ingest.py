@@ -6,35 +6,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nearfield import schemas
-from nearfield.functions.names import base_name, shard_number
+from nearfield.functions.names import shard_number
 from nearfield.operators.assembly import assign_pk, pending_shards, zip_shards
 from nearfield.operators.checks import checked_vector
-from nearfield.sources.tables import scan_vectors, write_vectors
-from nearfield.sources.vecfiles import npy_shapes, scan_npy
+from nearfield.sources.tables import list_shards, scan_vectors, write_vectors
+from nearfield.sources.vecfiles import current_folder, npy_shapes, scan_npy
+from nearfield.streaming.shards import stream_shards
 
 SHARDS_PER_STEP = 1_000
 
 
-def stream_files(spark: SparkSession, source_dir: str, suffix: str) -> DataFrame:
-    """Paths of new files. Their content is not read by the stream.
+def new_shards(shards: DataFrame, manifest: DataFrame) -> list:
+    """The batch's unprocessed shards in number order; a batch has at most ``shards_per_step`` of them."""
+    return pending_shards(shards, manifest).orderBy("shard_no", "shard").collect()
 
-    One batch lists everything new: the source orders files by time, and splitting its list
-    would separate shards that belong together in number order.
-    """
-    return (
-        spark.readStream.format("binaryFile")
-        .schema("path string, modificationTime timestamp, length long, content binary")
-        .option("pathGlobFilter", f"*{suffix}")
-        .load(source_dir)
-        .select("path")
-    )
 
-
-def new_shards(paths: DataFrame, manifest: DataFrame) -> list:
-    """The batch's unprocessed shards in number order: names only, one row per new file."""
-    named = paths.select("path", base_name("path").alias("shard"))
-    named = named.withColumn("shard_no", shard_number("shard"))
-    return pending_shards(named, manifest).orderBy("shard_no", "shard").collect()
+def check_late(spark: SparkSession, source_dir: str, suffix: str, manifest: DataFrame, last: int) -> None:
+    """Raise if a file of a number up to ``last`` is not in the manifest: its keys are taken."""
+    late = pending_shards(list_shards(spark, source_dir, f"*{suffix}").where(F.col("shard_no") <= last), manifest)
+    if (first := late.orderBy("shard_no", "shard").first()) is not None:
+        raise ValueError(f"shard {first.shard_no} arrived after shard {last}")
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
@@ -61,23 +52,21 @@ def ingest_incremental(
 ) -> DataFrame:
     """Ingest every shard not in the manifest yet, then stop; returns the manifest.
 
-    Keys continue where the manifest ends. Each step of ``shards_per_step`` shards writes the
-    shards (each replaced whole), then their manifest rows, so a crash in between repeats the
-    same shards with the same keys. Vector files are read once, their sizes come from the headers.
+    Keys continue where the manifest ends. Shards come in number order, ``shards_per_step`` a batch: the stream's
+    offsets are shard numbers. A batch writes the shards (each replaced whole), then their manifest rows, so a
+    crash in between repeats the same shards with the same keys. Vector files are read once, their sizes come from the headers.
     ``metadata_template`` (e.g. ``'/meta/metadata_%04d.parquet'``) adds row i of the metadata
     file of the same number to vector i. There is one writer per manifest.
     """
     suffix = ".npy" if fmt == "npy" else ".parquet"
 
-    def process(paths: DataFrame, epoch: int) -> None:
-        todo = new_shards(paths, read_manifest(paths.sparkSession, manifest))
-        if any(s.shard_no is None for s in todo):
-            raise ValueError("shard file without a number in its name")
+    def process(shards: DataFrame, epoch: int) -> None:
+        todo = new_shards(shards, read_manifest(shards.sparkSession, manifest))
         for one, other in zip(todo, todo[1:]):  # in number order
             if one.shard_no == other.shard_no:
                 raise ValueError(f"{one.shard} and {other.shard} have the same shard number")
-        for at in range(0, len(todo), shards_per_step):
-            step(paths.sparkSession, todo[at : at + shards_per_step])
+        if todo:
+            step(shards.sparkSession, todo)
 
     def step(session: SparkSession, todo: list) -> None:
         last = read_manifest(session, manifest).agg(
@@ -128,14 +117,21 @@ def ingest_incremental(
             "pk_start", "pk_global_start", F.lit("done").alias("status"),
         ).coalesce(1).write.mode("append").parquet(manifest)
 
+    source = current_folder(source_dir)
+    done = read_manifest(spark, manifest)
+    last = done.agg(F.max("shard_no")).first()[0]
+    if last is not None:
+        check_late(spark, source, suffix, done, last)
     query = (
-        stream_files(spark, source_dir, suffix)
+        stream_shards(spark, source, suffix, -1 if last is None else last, shards_per_step)
         .writeStream.foreachBatch(process)
         .option("checkpointLocation", checkpoint or f"{manifest.rstrip('/')}-checkpoint")
-        .trigger(availableNow=True)
         .start()
     )
-    query.awaitTermination()
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
     return read_manifest(spark, manifest)
 
 

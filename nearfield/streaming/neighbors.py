@@ -2,17 +2,43 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import reduce
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nearfield import schemas
-from nearfield.functions.metrics import Metric
-from nearfield.operators.knn import knn, kth_bounds
-from nearfield.operators.topk import merge_topk
-from nearfield.session import cut_lineage
-from nearfield.streaming.ingest import stream_files
+from nearfield.functions.metrics import Metric, get_metric
+from nearfield.operators.knn import candidate_pairs, kth_bounds
+from nearfield.operators.topk import to_long
+from nearfield.session import discard
 
 FILES_PER_STEP = 1_000
+COMPACT_FROM = 16  # steps whose lists are kept apart before they are written as one table
+LISTS = "qid long, ids array<long>, distances array<double>"
+
+
+def _fold(k: int, descending: bool):
+    """Merge a query's new candidates into its list; a list that stays as it is, is neither stored nor handed on."""
+
+    def run(key: tuple, parts: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+        old = state.get if state.exists else ([], [])
+        ids, distances = [np.array(old[0], dtype=np.int64)], [np.array(old[1], dtype=np.float64)]
+        for part in parts:
+            ids.append(part["id"].to_numpy())
+            distances.append(part["distance"].to_numpy())
+        i, d = np.concatenate(ids), np.concatenate(distances)
+        best = np.lexsort((i, -d if descending else d))[:k]
+        if len(best) == len(old[0]) and (best < len(old[0])).all():
+            return
+        i, d = i[best].tolist(), d[best].tolist()
+        state.update((i, d))
+        yield pd.DataFrame({"qid": [key[0]], "ids": [i], "distances": [d]})
+
+    return run
 
 
 def knn_incremental(
@@ -26,55 +52,89 @@ def knn_incremental(
     id_col: str = "pk",
     vector_col: str = "vector",
     files_per_step: int = FILES_PER_STEP,
+    progress: list | None = None,
     **options,
 ) -> DataFrame:
     """Fold every new Parquet shard below ``source_dir`` into the running top k.
 
-    New files are taken ``files_per_step`` at a time. Each step knows the k-th distances found so far and
-    looks for closer rows only.
+    New files are taken ``files_per_step`` at a time. The running lists are keyed state of the stream: a step
+    touches the queries whose lists it changes, and only these are stored and written. Lists found by earlier
+    calls bound the search. ``options`` go to :func:`candidate_pairs`; ``progress`` gets what Spark reports of each step.
 
-    Results alternate between two folders: a batch reads the one its predecessor wrote and
-    replaces the other, so repeating a batch after a failure gives the same result.
+    A step writes the lists it changed to a folder named after it, replaced if the step is repeated; the result
+    has each query's latest list. From ``COMPACT_FROM`` folders on they are put together at the end of a call.
     """
+    source = spark.readStream.schema(_schema(spark, source_dir)).option("maxFilesPerTrigger", files_per_step)
+    running = _latest(spark, state_dir)
+    bounds = None if running is None else kth_bounds(to_long(_wide(running)), k, metric)
+    pairs = candidate_pairs(
+        source.parquet(source_dir), queries, k, metric, id_col=id_col, vector_col=vector_col, bounds=bounds, **options
+    )
+    changed = pairs.groupBy("qid").applyInPandasWithState(
+        _fold(k, get_metric(metric).higher_is_better), LISTS, "ids array<long>, distances array<double>", "update", "NoTimeout"
+    )
 
-    def slot(epoch: int) -> str:
-        return f"{state_dir}/result-{epoch % 2}"
-
-    def process(paths: DataFrame, epoch: int) -> None:
-        session = paths.sparkSession
-        files = sorted(r.path for r in paths.collect())  # names only
-        running = session.read.parquet(slot(epoch - 1)).drop("epoch") if epoch > 0 else None
-        for at in range(0, len(files), files_per_step):
-            base = session.read.parquet(*files[at : at + files_per_step])
-            bounds = None if running is None else kth_bounds(running, k, metric)
-            found = knn(base, queries, k, metric, id_col=id_col, vector_col=vector_col, bounds=bounds, **options)
-            parts = [found] if running is None else [found, running]
-            running = cut_lineage(merge_topk(*parts, k=k, metric=metric), "running")
-        running.withColumn("epoch", F.lit(epoch)).write.mode("overwrite").parquet(slot(epoch))
+    def save(lists: DataFrame, epoch: int) -> None:
+        lists.write.mode("overwrite").parquet(f"{state_dir}/changed/step={epoch}")
 
     query = (
-        stream_files(spark, source_dir, ".parquet")
-        .writeStream.foreachBatch(process)
+        changed.writeStream.outputMode("update").foreachBatch(save)
         .option("checkpointLocation", f"{state_dir}/checkpoint")
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-    return _latest(spark, [slot(0), slot(1)])
-
-
-def _latest(spark: SparkSession, slots: list[str]) -> DataFrame:
-    best = None
-    for path in slots:
-        try:
-            found = spark.read.parquet(path)
-        except Exception as e:
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-            continue
-        epoch = found.agg(F.max("epoch")).first()[0]
-        if epoch is not None and (best is None or epoch > best[0]):
-            best = (epoch, found)
-    if best is None:
+    if progress is not None:
+        progress.extend(query.recentProgress)
+    _compact(spark, state_dir)
+    lists = _latest(spark, state_dir)
+    if lists is None:
         return spark.createDataFrame([], schemas.NEIGHBORS)
-    return best[1].select(schemas.NEIGHBORS.fieldNames())
+    return to_long(_wide(lists)).select(schemas.NEIGHBORS.fieldNames())
+
+
+def _schema(spark: SparkSession, source_dir: str):
+    return spark.read.parquet(source_dir).schema
+
+
+def _wide(lists: DataFrame) -> DataFrame:
+    return lists.select(F.col("qid").alias("id"), F.col("ids").alias("neighbors_id"), F.col("distances").alias("distance"))
+
+
+def _steps(spark: SparkSession, folder: str) -> list[int]:
+    """Numbers of the committed ``step=`` folders."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    root = hadoop.Path(folder)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return []
+    names = [f.getPath() for f in fs.listStatus(root)]
+    return sorted(int(p.getName().partition("=")[2]) for p in names if fs.exists(hadoop.Path(p, "_SUCCESS")))
+
+
+def _tables(spark: SparkSession, state_dir: str) -> tuple[list[str], list[str]]:
+    """Folders that make up the result, and such that a later compaction replaces."""
+    whole, changed = (_steps(spark, f"{state_dir}/{name}") for name in ("whole", "changed"))
+    upto = whole[-1] if whole else -1
+    used = [f"{state_dir}/whole/step={upto}"] * bool(whole) + [f"{state_dir}/changed/step={n}" for n in changed if n > upto]
+    old = [f"{state_dir}/whole/step={n}" for n in whole[:-1]] + [f"{state_dir}/changed/step={n}" for n in changed if n <= upto]
+    return used, old
+
+
+def _latest(spark: SparkSession, state_dir: str) -> DataFrame | None:
+    """Each query's latest list."""
+    used, _ = _tables(spark, state_dir)
+    if not used:
+        return None
+    parts = [spark.read.schema(LISTS).parquet(path).withColumn("at", F.lit(n)) for n, path in enumerate(used)]
+    lists = reduce(DataFrame.unionByName, parts)
+    best = F.max_by(F.struct("ids", "distances"), "at").alias("list")
+    return lists.groupBy("qid").agg(best).select("qid", "list.ids", "list.distances")
+
+
+def _compact(spark: SparkSession, state_dir: str) -> None:
+    used, old = _tables(spark, state_dir)
+    discard(spark, *old)
+    if len(used) >= COMPACT_FROM:
+        last = used[-1].rpartition("=")[2]
+        _latest(spark, state_dir).write.mode("overwrite").parquet(f"{state_dir}/whole/step={last}")

@@ -4,8 +4,10 @@ from conftest import vector_frame
 
 from nearfield.operators.knn import knn
 from nearfield.streaming import ingest as ingest_module
+from nearfield.streaming import neighbors as neighbors_module
 from nearfield.streaming.ingest import ingest_incremental
 from nearfield.streaming.neighbors import knn_incremental
+from nearfield.streaming.shards import ShardReader
 
 
 def save(folder, shards):
@@ -26,10 +28,19 @@ def content(spark, tmp_path):
     return [r.pk for r in rows], [r.pk_5b for r in rows], np.array([r.float32_vector for r in rows])
 
 
-def test_keys_continue_over_restarts(spark, tmp_path, rng):
+def test_keys_continue_over_restarts(spark, tmp_path, rng, monkeypatch):
     parts = {n: rng.normal(size=(r, 3)).astype(np.float32) for n, r in enumerate([5, 2, 7, 4])}
     save(tmp_path / "in", {2: parts[2], 0: parts[0], 1: parts[1]})  # arrival is not number order
+    batches = []
+    real = ingest_module.new_shards
+
+    def seen(shards, manifest):
+        batches.append([r.shard_no for r in real(shards, manifest)])
+        return real(shards, manifest)
+
+    monkeypatch.setattr(ingest_module, "new_shards", seen)
     first = run(spark, tmp_path, shards_per_step=2)
+    assert batches == [[0, 1], [2]]  # number order, two names at a time
     assert [(r.shard_no, r.n_rows, r.pk_start) for r in first.orderBy("shard_no").collect()] == [
         (0, 5, 0), (1, 2, 5), (2, 7, 7),
     ]
@@ -126,6 +137,41 @@ def test_unequal_metadata_is_an_error(spark, tmp_path):
         run(spark, tmp_path, metadata_template=str(tmp_path / "meta" / "metadata_%04d.parquet"))
 
 
+def test_shard_offsets(tmp_path):
+    """Offsets go up in steps, a repeated range lists the same shards, a restart begins behind the manifest."""
+    save(tmp_path / "in", {n: np.zeros((1, 2)) for n in (3, 0, 7, 12, 5)})
+    reader = ShardReader(str(tmp_path / "in"), ".npy", -1, 2)
+    ends = [reader.initialOffset()["shard"]] + [reader.latestOffset()["shard"] for _ in range(4)]
+    assert ends == [-1, 3, 7, 12, 12]
+    (part,) = reader.partitions({"shard": 3}, {"shard": 7})
+    assert [(no, shard) for _, shard, no in reader.read(part)] == [(5, "emb_0005.npy"), (7, "emb_0007.npy")]
+    again = ShardReader(str(tmp_path / "in"), ".npy", 3, 2)
+    again.partitions({"shard": 3}, {"shard": 7})  # the batch under way when the job died
+    assert again.latestOffset() == {"shard": 12}
+    np.save(tmp_path / "in" / "nameless.npy", np.zeros((1, 2)))
+    with pytest.raises(ValueError, match="without a number"):
+        reader.latestOffset()
+
+
+def test_steps_store_changed_lists_only(spark, tmp_path, rng, monkeypatch):
+    """State rows and written lists of a step are those of the queries it changes; tables are put together later."""
+    monkeypatch.setattr(neighbors_module, "COMPACT_FROM", 3)
+    qs = np.array([[0.0, 0.0], [10.0, 0.0], [0.0, 10.0], [10.0, 10.0]])
+    q = vector_frame(spark, range(4), qs, "qid")
+    near = np.concatenate([qs + rng.normal(scale=0.01, size=(4, 2)) for _ in range(3)])
+    steps = [near, np.array([[0.001, 0.0]]), np.array([[500.0, 500.0]]), np.array([[10.0, 10.0], [0.0, 9.999]])]
+    source, state, start = str(tmp_path / "in"), str(tmp_path / "state"), 0
+    for m, touched in zip(steps, (4, 1, 0, 2)):
+        vector_frame(spark, range(start, start + len(m)), m).coalesce(1).write.mode("append").parquet(source)
+        start += len(m)
+        progress = []
+        found = knn_incremental(spark, source, q, 3, "l2", state, progress=progress)
+        assert sum(p.stateOperators[0].numRowsUpdated for p in progress if p.stateOperators) == touched
+        everything = vector_frame(spark, range(start), np.concatenate(steps)[:start])
+        assert set(found.collect()) == set(knn(everything, q, 3, "l2").collect())
+    assert (tmp_path / "state" / "whole").exists()
+
+
 @pytest.mark.parametrize("metric", ["l2", "cosine"])
 def test_running_neighbors_equal_the_batch_result(spark, tmp_path, rng, metric):
     base, qs = rng.normal(size=(90, 4)), rng.normal(size=(6, 4))
