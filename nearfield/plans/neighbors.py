@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from nearfield.functions.metrics import cosine_distance, cosine_similarity, l2_normalize, l2_sq
 from nearfield.operators.assembly import shard_counts
+from nearfield.operators.balls import knn_balls, write_balls
 from nearfield.operators.checks import dimension_report
 from nearfield.operators.knn import knn
 from nearfield.operators.pairs import pair_metrics
@@ -106,6 +107,12 @@ def long_again(spark, sf_dir) -> DataFrame:
     return rounded(to_long(lists), "distance")
 
 
+def ball_pruned(spark, sf_dir) -> DataFrame:
+    """Search over stored blocks, leaving out those the triangle inequality rules out."""
+    stored = write_balls(vectors(spark, sf_dir), scratch_path(spark, "balls"), block_rows=256)
+    return rounded(knn_balls(stored, queries(spark, sf_dir), K), "distance")
+
+
 def _evaluated(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame]:
     """True lists, the lists a search restricted by an attribute finds, and the queries."""
     base, qs = vectors(spark, sf_dir), queries(spark, sf_dir)
@@ -266,6 +273,7 @@ QUERIES = {
     "knn_cosine_distance_top10": (_knn("cosine_distance"), sql_neighbors("cosine_distance", K)),
     "knn_two_way_top10": (_knn("l2", query_blocks=4), sql_neighbors("l2", K)),
     "knn_pruned_top10": (_knn("cosine", prune_fraction=0.25), sql_neighbors("cosine", K)),
+    "knn_ball_pruned": (ball_pruned, sql_neighbors("l2", K)),
     "knn_filtered": (_knn("l2", expr=FILTER), sql_neighbors("l2", K, FILTER)),
     "knn_normalized_base": (_knn("l2", scale=2.0, normalize_base=True), SQL_NORMALIZED),
     "knn_shard_partial": (_knn("l2", per="shard_no"), sql_neighbors("l2", K, per_shard=True)),
