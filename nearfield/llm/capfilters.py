@@ -138,11 +138,11 @@ def vector_links(
     links, ``kept`` tells whether it is the row's own. Rows whose label or vector is null, or whose
     vector is empty, zero, or holds a null, NaN or infinity, link with nothing; vectors of different
     lengths are not compared. Equal vectors of a label are one node with a weight, so copies cost
-    nothing. Keys must not be null. An empty table gives an empty result.
+    nothing. Rows with a null key link with nothing either and are kept. An empty table gives an empty result.
     """
     rows = vectors.select(F.col(key).alias("id"), F.col(vector).alias("v"), F.col(label).cast("string").alias("l"))
     bad = F.exists("v", lambda x: x.isNull() | F.isnan(x.cast("double")) | (F.abs(x) == float("inf")))
-    good = F.col("l").isNotNull() & F.col("v").isNotNull() & ~bad & F.exists("v", lambda x: x != 0)
+    good = F.col("id").isNotNull() & F.col("l").isNotNull() & F.col("v").isNotNull() & ~bad & F.exists("v", lambda x: x != 0)
     usable = rows.where(F.coalesce(good, F.lit(False)))
     classes = usable.groupBy("l", "v").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("m"))
     classes = cut_lineage(classes, "vectors")
@@ -223,5 +223,5 @@ def vector_links(
         F.col("id").alias(key),
         F.col("links").alias("n_links"),
         F.col("component").alias("component_id"),
-        (F.col("id") == F.col("component")).alias("kept"),
+        F.col("id").eqNullSafe(F.col("component")).alias("kept"),
     )

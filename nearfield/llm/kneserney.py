@@ -154,7 +154,9 @@ def fit_bigrams(docs: DataFrame, text: str = "text", shard_tokens: int = SHARD_T
 
 
 def _u4(a: np.ndarray) -> np.ndarray:
-    return np.minimum(a, np.iinfo(np.uint32).max).astype(np.uint32)
+    if len(a) and a.max() > np.iinfo(np.uint32).max:
+        raise OverflowError("a count of the model exceeds 32 bits")
+    return a.astype(np.uint32)
 
 
 def fit_ngrams(docs: DataFrame, text: str = "text", order: int = 3, shard_tokens: int = SHARD_TOKENS) -> BigramModel:

@@ -205,6 +205,9 @@ def shard_quotas(quotas: DataFrame, shards: int, seed: int) -> DataFrame:
     return nodes.select(F.col("lo").alias("shard"), "quotas")
 
 
+FACTS = ["_size", "_source_size", "_target", "_draws"]
+
+
 def mixing_plan(
     docs: DataFrame,
     key: str = "doc_id",
@@ -214,14 +217,22 @@ def mixing_plan(
     block_words: int = BLOCK_WORDS,
     shard_words: int = SHARD_WORDS,
 ) -> DataFrame:
-    """``docs`` with ``_size``, ``_source_size``, ``_target`` and ``_draws``: ``array<struct<pass, shard>>``.
+    """``docs`` with ``_size``, ``_source_size``, ``_target`` and ``_draws``: ``array<struct<pass, shard>>``; columns of
+    ``docs`` with those names are left out.
 
     A row occurs in the mix once for each draw, at most three times. A null source is a source of
     its own and comes last; a null text has size 0; rows of one key are drawn together. Sources
     without words have target 0 and are drawn 0 times, as is everything in a table without words.
-    Names beginning with ``_`` are taken by the operator.
     """
-    spark = docs.sparkSession
+    out, names = _plan(docs, key, text, source, seed, block_words, shard_words)
+    return out.select(*[F.col(i).alias(c) for c, i in names if c not in FACTS], *FACTS)
+
+
+def _plan(
+    docs: DataFrame, key: str, text: str, source: str, seed: int, block_words: int = BLOCK_WORDS, shard_words: int = SHARD_WORDS
+) -> tuple[DataFrame, list[tuple[str, str]]]:
+    """``docs`` under inner names with the facts of the plan, and (name, inner name) of each column."""
+    names = [(c, f"c{i}") for i, c in enumerate(docs.columns)]
     src = F.coalesce(F.concat(F.lit("="), F.col(source).cast("string")), F.lit(""))
     sized = docs.select(src.alias("_src"), word_count(F.col(text)).alias("size"), hash_order(key, seed).alias("k"))
     sized = cut_lineage(sized, "sizes")
@@ -258,7 +269,8 @@ def mixing_plan(
     )
     dealt = dealt.withColumnRenamed("block", "_block").withColumnRenamed("list", "_list")
 
-    out = docs.withColumn("_src", src).withColumn("_size", word_count(F.col(text))).withColumn("_k", hash_order(key, seed))
+    made = [src.alias("_src"), word_count(F.col(text)).alias("_size"), hash_order(key, seed).alias("_k")]
+    out = docs.select(*[F.col(f"`{c}`").alias(i) for c, i in names], *made)
     facts = cuts.select("_src", F.col("source_size").alias("_source_size"), F.col("target").alias("_target"),
                         F.col("full").alias("_full"), F.col("cut").alias("_cut"), F.col("shift").alias("_shift"))
     out = join_sized(out, facts, ["_src"]).withColumn("_block", F.call_function("shiftright", "_k", "_shift"))
@@ -266,7 +278,7 @@ def mixing_plan(
     times = F.col("_full") + (F.col("_k") <= F.col("_cut")).cast("long")
     taken = F.filter("_list", lambda d: (d["pass"] <= times) & (F.col("_size") > 0))
     out = out.withColumn("_draws", F.coalesce(taken, F.array().cast("array<struct<pass:bigint,shard:bigint>>")))
-    return out.drop("_src", "_k", "_full", "_cut", "_shift", "_block", "_list")
+    return out.select(*[i for _, i in names], *FACTS), names
 
 
 def mix_sources(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", seed: int = 0) -> DataFrame:
@@ -274,6 +286,8 @@ def mix_sources(docs: DataFrame, key: str = "doc_id", text: str = "text", source
 
     A shard is a contiguous range of the result's partitions. Columns are those of ``docs``.
     """
-    rows = mixing_plan(docs, key, text, source, seed).withColumn("_draw", F.explode("_draws"))
-    order = [F.col("_draw.shard"), F.xxhash64(F.lit(seed), F.col(key).cast("string"), "_draw.pass")]
-    return rows.repartitionByRange(*order).sortWithinPartitions(*order).select(*docs.columns)
+    rows, names = _plan(docs, key, text, source, seed)
+    rows = rows.withColumn("_draw", F.explode("_draws"))
+    order = [F.col("_draw.shard"), F.xxhash64(F.lit(seed), F.col(dict(names)[key]).cast("string"), "_draw.pass")]
+    rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    return rows.select(*[F.col(i).alias(c) for c, i in names])

@@ -32,14 +32,18 @@ class Limits:
     segments: int = 256
     loss_tokens: int = SEQUENCE
 
+    def __post_init__(self) -> None:
+        if min(self.tokens, self.segments, self.loss_tokens) < 1:
+            raise ValueError("limits must be at least 1")
+
 
 def pack(tokens: np.ndarray, loss: np.ndarray, limits: Limits) -> list[list[tuple[int, int, int]]]:
     """Sequences as lists of (document, start, length) over documents of the given lengths.
 
     ``loss`` counts the loss-bearing tokens at the end of each document (a prompt comes first). Full
     sequences are cut from long documents at once, as far as the loss limit allows. When no piece fits the rest
-    of a sequence, the largest waiting one is cut to fill it. The last, partly filled sequence is
-    cut into lengths that are powers of two, so it needs no padding.
+    of a sequence, the largest waiting one is cut to fill it. A sequence that another limit or the end closes below
+    its token limit is cut into ones whose lengths are powers of two, which need no padding.
     """
     sequences: list[list[tuple[int, int, int]]] = []
     pieces: dict[tuple[int, int], list[tuple[int, int]]] = {}  # (tokens, loss) -> [(document, start)]
@@ -99,10 +103,9 @@ def pack(tokens: np.ndarray, loss: np.ndarray, limits: Limits) -> list[list[tupl
                     break
             now.append((doc, start, length))
             room = room - (length, 1, cost)
-        sequences.append(now)
-    if sequences and 0 < (total := sum(p[2] for p in sequences[-1])) < limits.tokens:
-        sequences.extend(_powers_of_two(sequences.pop(), total))
-    return [s for s in sequences if s]
+        total = limits.tokens - int(room[0])
+        sequences.extend([now] if total == limits.tokens else _powers_of_two(now, total))
+    return sequences
 
 
 def _powers_of_two(sequence: list[tuple[int, int, int]], total: int) -> Iterator[list[tuple[int, int, int]]]:
@@ -135,8 +138,8 @@ def pack_documents(
 
     A row's ids are those of its whole text and ``end_id``. All tokens bear loss but the first
     ``prompt_tokens`` (a long column; none by default). Rows are packed in groups of about four
-    million tokens inside the task that read them, so nothing is shuffled, memory is bounded, and a
-    group leaves at most one sequence below its limit, which is cut to powers of two. Null and
+    million tokens inside the task that read them, so nothing is shuffled, memory is bounded, and any
+    sequence closed below its token limit is cut to powers of two. Null and
     empty texts have the end id only; rows with a null or repeated key are packed each; an empty
     table gives no rows. ``with_ids`` adds the ids themselves.
     """

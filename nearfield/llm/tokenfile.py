@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from nearfield.llm.files import Ranges, open_fs, own_name
 from nearfield.llm.idcoder import BLOCK, LANES, checksum, decode_blocks, encode_blocks
@@ -117,17 +118,21 @@ def write_token_files(
     text: str = "text",
     tokenizer: str | None = None,
     end_id: int = 0,
-    id_bits: int = 16,
+    id_bits: int | None = None,
     file_ids: int = FILE_IDS,
 ) -> DataFrame:
     """Encode every whole text, append ``end_id`` and write the ids in ascending ``key`` order.
 
     Returns the files that count: ``(path, start, ids)``, ``start`` being the ids in all files before. Keys are
     long; null keys come first, rows of one key follow each other by hash of the text; null texts
-    are empty. An empty table writes no file. A text goes through one sort by ranges of the key.
+    are empty. An empty table writes no file. A text goes through one sort by ranges of the key. The width of an id
+    comes from the vocabulary; a smaller ``id_bits`` raises.
     """
     path = tokenizer or default_tokenizer()
-    nibbles = 4 if id_bits <= 16 else 7
+    needed = max(end_id, *Tokenizer.from_file(path).get_vocab().values()).bit_length()
+    if needed > min(28, id_bits or 28):
+        raise ValueError(f"ids of {needed} bits do not fit {min(28, id_bits or 28)}")
+    nibbles = 4 if (id_bits or needed) <= 16 else 7
     order = [F.col("k").asc_nulls_first(), F.xxhash64("t")]
     rows = docs.select(F.col(key).cast("long").alias("k"), F.col(text).alias("t"))
     rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)

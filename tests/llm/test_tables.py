@@ -125,6 +125,20 @@ def test_hypergeometric_law(spark):
         assert abs(r["count"] / n - exact) < 2 / n
 
 
+def test_mix_of_clashing_columns(documents):
+    """Columns named like the operator's own stay in the mix, and give way to its facts in the plan."""
+    own = ["_src", "_k", "_size", "_block", "_list", "_draws", "_cut", "c0"]
+    clash = documents.withColumns({c: F.col("id") for c in own})
+    mixed = mix_sources(clash)
+    assert mixed.columns == clash.columns
+    assert all(r[c] == r.id for r in mixed.collect() for c in own)
+    assert sorted(r.doc_id or -1 for r in mixed.collect()) == sorted(r.doc_id or -1 for r in mix_sources(documents).collect())
+    plan = mixing_plan(clash)
+    assert sorted(plan.columns) == sorted({*clash.columns, "_source_size", "_target"})
+    facts = ["doc_id", "_size", "_source_size", "_target"]
+    assert sorted(map(repr, plan.select(facts).collect())) == sorted(map(repr, mixing_plan(documents).select(facts).collect()))
+
+
 # --- op 9 ---------------------------------------------------------------------------------
 
 def brute_links(data, cosine=0.93):
@@ -164,6 +178,10 @@ def test_vector_links(spark, rng):
     assert all(f[1] <= e[1] for f, e in zip(found, expected))
     assert [f for f in found if f[0] >= 500] == [e for e in expected if e[0] >= 500]
     assert vector_links(df.limit(0)).count() == 0
+    nameless = df.where("vec_id < 50").unionByName(df.where("vec_id = 0").withColumn("vec_id", F.lit(None).cast("long")))
+    rows = {r.vec_id: tuple(r) for r in vector_links(nameless).collect()}
+    assert rows.pop(None) == (None, 0, None, True)
+    assert rows == {r.vec_id: tuple(r) for r in vector_links(df.where("vec_id < 50")).collect()}
 
 
 def test_listing_finds_every_passed_filter(rng):

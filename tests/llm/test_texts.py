@@ -143,6 +143,41 @@ def test_packing_keeps_all_limits(rng):
         assert sum(max(0, a + n - max(a, tokens[d] - loss[d])) for d, a, n in s) <= 400
 
 
+def test_short_rows_need_no_padding(spark, tokenizer):
+    """The segment limit closes every sequence here, below its token limit."""
+    lengths = [[p[2] for p in s] for s in pack(np.full(20_000, 5), np.full(20_000, 5), Limits())]
+    assert sum(map(sum, lengths)) == 100_000 and all(len(s) <= 256 for s in lengths)
+    assert all(sum(s) & (sum(s) - 1) == 0 for s in lengths)
+    texts = [(i, "Yes. No.") for i in range(2000)]
+    found = pack_documents(spark.createDataFrame(texts, "doc_id long, text string").coalesce(2)).collect()
+    assert check_packing(found, texts, tokenizer) == 0
+
+
+def test_scarce_segments_and_loss(rng):
+    """Loss and segments both bind; what they close early is cut, nothing is lost, and all limits hold."""
+    tokens = rng.integers(1, 60, 3000)
+    loss = np.where(rng.random(3000) < 0.7, tokens, tokens // 3)
+    limits = Limits(1024, 20, 300)
+    sequences = pack(tokens, loss, limits)
+    cover = Counter()
+    for s in sequences:
+        total = sum(p[2] for p in s)
+        assert total == 1024 or total & (total - 1) == 0
+        assert len(s) <= 20 and sum(max(0, a + n - max(a, tokens[d] - loss[d])) for d, a, n in s) <= 300
+        cover.update((d, i) for d, a, n in s for i in range(a, a + n))
+    assert len(cover) == tokens.sum() and set(cover.values()) == {1}
+    for bad in ({"loss_tokens": 0}, {"segments": 0}, {"tokens": 0}):
+        with pytest.raises(ValueError):
+            Limits(**bad)
+
+
+def test_ids_wider_than_the_file(documents, tmp_path):
+    with pytest.raises(ValueError, match="do not fit 8"):
+        write_token_files(documents, f"file://{tmp_path}/a", id_bits=8)
+    files = write_token_files(documents, f"file://{tmp_path}/b", end_id=70_000)
+    assert all(r.ids[-1] == 70_000 for r in read_token_files(files, with_ids=True).collect())
+
+
 # --- op 2 ---------------------------------------------------------------------------------
 
 def brute_substring(texts, n=13):
