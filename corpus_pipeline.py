@@ -19,8 +19,8 @@ ORACLE_SQL = None
 
 
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a language; those without a letter go."""
-    return keep_identified(docs, fit_languages(docs, sample_key=F.col("doc_id")))
+    """Documents with a language; those without a letter go, and those for which no language is likelier than all others."""
+    return keep_identified(docs, fit_languages(docs, sample_key=F.col("doc_id")), least=0.5)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
