@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -43,23 +43,25 @@ def with_ordinal(
     name: str = "ordinal",
     by: list[str] | None = None,
     weight: str | None = None,
+    at_least: int | None = None,
 ) -> DataFrame:
     """Add each row's position, from 0, in the total order ``order`` (within ``by`` if given).
 
     ``order`` should end in a unique column; that makes positions repeatable and lets range
     partitioning split a hot leading key. Each task numbers its own sorted range; the ranges'
     sizes then give every range its start. A row with a ``weight`` stands for that many
-    positions and gets its first one.
+    positions and gets its first one. With ``at_least``, fewer rows raise; the job that stores the sorted rows counts them in passing.
     """
     by = by or []
     keys = [F.col(c) for c in by] + [F.col(c) if isinstance(c, str) else c for c in order]
     # Range bounds come from a sample, so the sorted rows are written once before any count.
-    placed = cut_lineage(
-        df.repartitionByRange(*keys)
-        .sortWithinPartitions(*keys)
-        .withColumn("_place", F.monotonically_increasing_id()),
-        "ordinal",
-    ).withColumn("_range", F.shiftright("_place", ROW_BITS))
+    placed = df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("_place", F.monotonically_increasing_id())
+    if at_least is not None:
+        seen = Observation()
+        placed = placed.observe(seen, F.count(F.lit(1)).alias("n"))
+    placed = cut_lineage(placed, "ordinal").withColumn("_range", F.shiftright("_place", ROW_BITS))
+    if at_least is not None and seen.get["n"] < at_least:
+        raise ValueError(f"placed {seen.get['n']} rows, expected {at_least}")
     if weight is None:
         size = F.count(F.lit(1))
         placed = placed.withColumn("_row", F.col("_place").bitwiseAND(F.lit((1 << ROW_BITS) - 1)))
@@ -105,7 +107,7 @@ def with_chunk(
     return placed.withColumn("chunk", F.floor(F.col("ord") / n).cast("long"))
 
 
-def with_page(df: DataFrame, order: list[str | Column], batch: int) -> DataFrame:
-    """Number pages of ``batch`` rows over the ordered result."""
-    placed = with_ordinal(df, order, "ordinal")
+def with_page(df: DataFrame, order: list[str | Column], batch: int, at_least: int | None = None) -> DataFrame:
+    """Number pages of ``batch`` rows over the ordered result; fewer rows than ``at_least`` raise."""
+    placed = with_ordinal(df, order, "ordinal", at_least=at_least)
     return placed.withColumn("page", F.floor(F.col("ordinal") / batch).cast("long"))

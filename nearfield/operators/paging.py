@@ -14,12 +14,6 @@ from nearfield.operators.ordinals import with_page
 from nearfield.session import cut_lineage
 
 
-def _check_total(paged: DataFrame, limit: int) -> None:
-    n = paged.count()
-    if n != limit:
-        raise ValueError(f"paged {n} rows, expected {limit}")
-
-
 def first_rows(df: DataFrame, order: Column, limit: int) -> DataFrame:
     """Rows among which the first ``limit`` by ``order`` (ascending, numeric) certainly are, few others.
 
@@ -49,17 +43,13 @@ def scan_pages(
 
     A limit first becomes a bound on the key (see ``first_rows``), so only about that many rows are
     sorted; it is then a test on the position, so no task ever holds the limited rows.
-    ``verify`` raises unless exactly ``limit`` rows come out.
+    ``verify`` raises unless exactly ``limit`` rows come out; they are counted by the job that sorts them.
     """
     rows = filter_vectors(df, expr)
     if limit is not None:
         rows = first_rows(rows, F.col(key), limit)
-    paged = with_page(rows, [key], batch)
-    if limit is not None:
-        paged = paged.where(F.col("ordinal") < limit)
-        if verify:
-            _check_total(paged, limit)
-    return paged
+    paged = with_page(rows, [key], batch, limit if verify else None)
+    return paged if limit is None else paged.where(F.col("ordinal") < limit)
 
 
 def distances_to(
@@ -110,9 +100,7 @@ def search_pages(
     if limit is not None:
         worst = -F.col("distance") if metric.higher_is_better else F.col("distance")
         measured = first_rows(measured, worst, limit)
-    paged = with_page(measured, metric.order(), batch)
+    paged = with_page(measured, metric.order(), batch, limit if verify else None)
     if limit is not None:
         paged = paged.where(F.col("ordinal") < limit)
-        if verify:
-            _check_total(paged, limit)
     return paged.select((F.col("ordinal") + 1).alias("rank"), "page", "id", "distance")

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from nearfield.functions.names import base_name, shard_number
+from nearfield.operators.cursor import Cursor, index_pages, page_count, scan_page_at, store_pages
 from nearfield.operators.latency import latency_stats
 from nearfield.operators.ordinals import with_chunk, with_ordinal
 from nearfield.operators.paging import scan_pages, search_pages
@@ -23,7 +26,7 @@ from nearfield.session import scratch_path
 from nearfield.sources.json_chunks import export_json_chunks
 from nearfield.sources.links import extract_links, link_manifest, shard_names, shard_paths, write_links
 from nearfield.sources.tables import scan_latency, write_latency
-from nearfield.sources.vecfiles import scan_npy, scan_vecs, with_position, write_npy, write_vecs
+from nearfield.sources.vecfiles import current_folder, scan_npy, scan_vecs, with_position, write_npy, write_vecs
 from nearfield.streaming.neighbors import knn_incremental
 
 PAGE_ROWS = 1000
@@ -63,6 +66,33 @@ def paged_search(spark, sf_dir) -> DataFrame:
     return rounded(search_pages(base, query, "cosine", batch=CHUNK_ROWS), "distance")
 
 
+def _some_pages(spark, cursor: Cursor, columns: list[str] | None = None) -> DataFrame:
+    """The middle page, the page its token leads to, and the last one; each is read by itself."""
+    last = page_count(spark, cursor.index) - 1
+    page, after = scan_page_at(spark, Cursor(cursor.index, last // 2), columns)
+    found = [page]
+    if after is not None and after.page < last:
+        found.append(scan_page_at(spark, Cursor.of(after.token()), columns)[0])
+    if last > last // 2:
+        found.append(scan_page_at(spark, Cursor(cursor.index, last), columns)[0])
+    return reduce(DataFrame.unionByName, found)
+
+
+def pages_at(spark, sf_dir) -> DataFrame:
+    events = table(spark, sf_dir, "events")
+    cursor = index_pages(events, scratch_path(spark, "index"), PAGE_ROWS, "event_id", "event_id >= 0")
+    return _some_pages(spark, cursor, ["event_id", "user_id", "event_type"])
+
+
+def found_pages_at(spark, sf_dir) -> DataFrame:
+    """Pages of a stored search."""
+    base = vectors(spark, sf_dir)
+    query = base.orderBy("pk").select("vector").first()[0]
+    pages = search_pages(base, query, "cosine", batch=CHUNK_ROWS)
+    cursor = store_pages(pages, scratch_path(spark, "found"), CHUNK_ROWS)
+    return rounded(_some_pages(spark, cursor).drop("ordinal"), "distance")
+
+
 def _grouped(spark, sf_dir) -> DataFrame:
     rows = vectors(spark, sf_dir)
     return rows.select(
@@ -87,7 +117,9 @@ def exported(spark, sf_dir) -> DataFrame:
     """Documents written as text, then parsed line by line."""
     path = scratch_path(spark, "json")
     export_json_chunks(_grouped(spark, sf_dir), path, CHUNK_ROWS, shard="shard_no", row="row_index")
-    lines = spark.read.text(path)
+    lines = spark.read.text(current_folder(path)).withColumn(
+        "chunk", F.regexp_extract(F.col("_metadata.file_name"), r"chunk-(\d+)", 1)
+    )
     body = F.regexp_replace("value", r'^\{"rows":\[|(,|\]\})$', "")
     row = F.from_json(body, "pk long, float32_vector array<double>")
     parsed = lines.select(
@@ -209,9 +241,28 @@ SQL_LINKS = " UNION ALL ".join(
     for template in LINK_KINDS.values()
 )
 ANCHOR = r"""(?i)<a(?:\s[^>]*?)?\shref\s*=\s*("[^"]*"|''[^'']*''|[^\s"''>]+)"""
+NO_TAGS = "(?is)<!--.*?-->|<(script|style|title|textarea)[^>]*>.*?</(script|style|title|textarea)>"
 QUOTES = """^["'']|["'']$"""
 
+SQL_SOME_PAGES = "page IN (last // 2, last // 2 + 1, last)"
+
 QUERIES = {
+    "scan_page_at": (
+        pages_at,
+        f"""SELECT event_id, user_id, event_type, ordinal, page
+            FROM (SELECT *, ordinal // {PAGE_ROWS} AS page, max(ordinal) OVER () // {PAGE_ROWS} AS last
+                  FROM (SELECT *, row_number() OVER (ORDER BY event_id) - 1 AS ordinal FROM events WHERE event_id >= 0))
+            WHERE {SQL_SOME_PAGES}""",
+    ),
+    "search_page_at": (
+        found_pages_at,
+        f"""SELECT rank, page, id, round(d, 6) AS distance
+            FROM (SELECT *, (rank - 1) // {CHUNK_ROWS} AS page, (max(rank) OVER () - 1) // {CHUNK_ROWS} AS last
+                  FROM (SELECT *, row_number() OVER (ORDER BY d DESC, id) AS rank
+                        FROM (SELECT b.vec_id AS id, {sql_cosine("b.embedding", "q.embedding")} AS d
+                              FROM embeddings b, (SELECT embedding FROM embeddings ORDER BY vec_id LIMIT 1) q)))
+            WHERE {SQL_SOME_PAGES}""",
+    ),
     "scan_pages": (
         paged_scan,
         f"""SELECT event_id, user_id, event_type, ordinal, ordinal // {PAGE_ROWS} AS page
@@ -281,7 +332,8 @@ QUERIES = {
         f"""SELECT page_id, pos, replace(regexp_replace(raw, '{QUOTES}', '', 'g'), '&amp;', '&') AS href
             FROM (SELECT page_id, unnest(found) AS raw,
                          CAST(generate_subscripts(found, 1) - 1 AS INTEGER) AS pos
-                  FROM (SELECT page_id, regexp_extract_all(html, '{ANCHOR}', 1) AS found FROM pages))
+                  FROM (SELECT page_id, regexp_extract_all(regexp_replace(html, '{NO_TAGS}', '', 'g'), '{ANCHOR}', 1)
+                                              AS found FROM pages))
             WHERE starts_with(href, '/')""",
     ),
     "shard_number": (

@@ -27,7 +27,7 @@ from nearfield.plans.common import (
     vectors,
 )
 from nearfield.session import cut_lineage, scratch_path
-from nearfield.sources.tables import scan_neighbors, write_neighbors
+from nearfield.sources.tables import scan_neighbors, write_clustered, write_neighbors
 from nearfield.sources.vecfiles import (
     scan_npy_neighbors,
     scan_npy_set,
@@ -39,6 +39,7 @@ from nearfield.sources.vecfiles import (
 )
 
 K = 10
+SHORT = 5  # rows of a shard that is shorter than its lists
 FILTER = "label IN (1, 3)"
 SOME_LABELS = "label < 5"
 
@@ -107,6 +108,13 @@ def long_again(spark, sf_dir) -> DataFrame:
     return rounded(to_long(lists), "distance")
 
 
+def clustered_filter(spark, sf_dir) -> DataFrame:
+    """A filtered search over a copy that is clustered by the filter's attribute."""
+    path = scratch_path(spark, "clustered")
+    write_clustered(vectors(spark, sf_dir), path, ["label"])
+    return rounded(knn(spark.read.parquet(path), queries(spark, sf_dir), K, "l2", expr=FILTER), "distance")
+
+
 def ball_pruned(spark, sf_dir) -> DataFrame:
     """Search over stored blocks, leaving out those the triangle inequality rules out."""
     stored = write_balls(vectors(spark, sf_dir), scratch_path(spark, "balls"), block_rows=256)
@@ -164,10 +172,10 @@ def query_file_truth(spark, sf_dir) -> DataFrame:
 
 
 def small_shards(spark, sf_dir) -> DataFrame:
-    """Lists longer than a shard: a drawn query set against shards cut down by a filter."""
+    """Lists longer than a shard: a drawn query set against many shards of few rows each, all rows taken."""
     base = vectors(spark, sf_dir)
     drawn = sample_queries(base, 3, 12, seed=7).select(F.col("pk").alias("qid"), "vector")
-    found = knn(base, drawn, K, "l2", per="shard_no", expr="row_index < 7")
+    found = knn(base.withColumn("shard_no", F.expr(f"pk DIV {SHORT}")), drawn, K, "l2", per="shard_no")
     return rounded(found, "distance")
 
 
@@ -240,6 +248,7 @@ def sql_sample(n_shards: int, per_shard: int, seed: int) -> str:
 
 
 SAMPLE = sql_sample(3, 10, 7)
+SMALL_PAIRS = sql_pairs("l2", queries_sql=f"SELECT pk AS qid, vector FROM ({sql_sample(3, 4, 7)})")
 DOUBLED = """
     SELECT vec_id AS qid, list_transform(embedding, lambda x: (x * 2)::FLOAT) AS vector FROM embeddings
 """
@@ -275,6 +284,7 @@ QUERIES = {
     "knn_pruned_top10": (_knn("cosine", prune_fraction=0.25), sql_neighbors("cosine", K)),
     "knn_ball_pruned": (ball_pruned, sql_neighbors("l2", K)),
     "knn_filtered": (_knn("l2", expr=FILTER), sql_neighbors("l2", K, FILTER)),
+    "knn_filtered_clustered": (clustered_filter, sql_neighbors("l2", K, FILTER)),
     "knn_normalized_base": (_knn("l2", scale=2.0, normalize_base=True), SQL_NORMALIZED),
     "knn_shard_partial": (_knn("l2", per="shard_no"), sql_neighbors("l2", K, per_shard=True)),
     "knn_two_way_per_shard": (
@@ -283,7 +293,8 @@ QUERIES = {
     ),
     "knn_small_shard": (
         small_shards,
-        sql_neighbors("l2", K, "row_index < 7", f"SELECT pk AS qid, vector FROM ({sql_sample(3, 4, 7)})", per_shard=True),
+        f"""SELECT shard_no, qid, CAST(rank AS INTEGER) AS rank, id, round(d, 6) AS distance FROM ({sql_ranked(
+            f"SELECT id // {SHORT} AS shard_no, qid, id, d FROM ({SMALL_PAIRS})", K, per_shard=True)})""",
     ),
     "query_file_truth": (
         query_file_truth,

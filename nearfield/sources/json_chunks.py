@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from nearfield.functions.metrics import round_vector
 from nearfield.operators.ordinals import join_sized, with_chunk
+from nearfield.sources.vecfiles import write_text_files
 
 CHUNK_ROWS = 40_000  # fixed value: rows per document
 
@@ -57,13 +58,10 @@ def export_json_chunks(
     shard: str | None = None,
     row: str | None = None,
 ) -> None:
-    """Write one text file per (``group``, ``chunk``) under ``dest``."""
+    """Write one file per (``group``, ``chunk``): ``<group>=<value>/chunk-<number>.json`` in the committed version of ``dest``.
+
+    A group has one folder, whatever its number of chunks; ``current_folder(dest)`` is where they lie.
+    """
     lines = chunk_lines(df, chunk_size, group, order, key, vector, decimals, shard, row)
-    (
-        lines.repartition(group, "chunk")
-        .sortWithinPartitions(group, "chunk", "ord")
-        .select(group, "chunk", "value")
-        .write.partitionBy(group, "chunk")
-        .mode("overwrite")
-        .text(dest)
-    )
+    file = F.concat(F.lit(f"{group}="), F.col(group).cast("string"), F.format_string("/chunk-%06d.json", "chunk"))
+    write_text_files(lines, file, ["ord"], dest)

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# The href of every anchor, in either kind of quotes or none.
-ANCHOR_HREF = r"""(?i)<a(?:\s[^>]*?)?\shref\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
-QUOTES = r"""^["']|["']$"""
+from nearfield.sources.html import anchor_targets
+
+PAGES_AT_ONCE = 256
 
 
 def shard_names(numbers: DataFrame, template: str, columns: list[str], name: str = "shard") -> DataFrame:
@@ -50,11 +53,25 @@ def write_links(df: DataFrame, dest: str, mode: str = "overwrite", col: str = "u
 def extract_links(
     pages: DataFrame, prefix: str = "", page: str = "page_id", html: str = "html"
 ) -> DataFrame:
-    """Anchor targets that start with ``prefix``, in document order."""
-    hrefs = F.regexp_extract_all(F.col(html), F.lit(ANCHOR_HREF), F.lit(1))
-    return (
-        pages.select(page, F.posexplode(hrefs).alias("pos", "href"))
-        .withColumn("href", F.regexp_replace("href", QUOTES, ""))
-        .withColumn("href", F.replace("href", F.lit("&amp;"), F.lit("&")))
-        .where(F.startswith("href", F.lit(prefix)))
-    )
+    """``(page, pos, href)``: anchor targets that start with ``prefix``; ``pos`` counts a page's anchors in document order.
+
+    Comments, scripts and other raw text hold no anchors; character references are decoded. Null pages have none.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, PAGES_AT_ONCE):
+                part = batch.slice(at, PAGES_AT_ONCE)
+                found = [
+                    (i, pos, href)
+                    for i, text in enumerate(part.column(1).to_pylist())
+                    for pos, href in enumerate(anchor_targets(text or ""))
+                    if href.startswith(prefix)
+                ]
+                rows = pa.array([f[0] for f in found], pa.int64())
+                columns = [part.column(0).take(rows), pa.array([f[1] for f in found], pa.int32()), pa.array([f[2] for f in found], pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, names=["page", "pos", "href"])
+
+    kind = pages.schema[page].dataType.simpleString()
+    picked = pages.select(F.col(page).alias("page"), F.col(html).alias("html"))
+    return picked.mapInArrow(run, f"page {kind}, pos int, href string").withColumnRenamed("page", page)

@@ -75,6 +75,22 @@ def write_vectors(
     )
 
 
+def write_clustered(
+    df: DataFrame, dest: str, by: list[str], key: str = "pk", rows_per_file: int = ROWS_PER_FILE, rows_per_group: int = 100_000
+) -> None:
+    """One table clustered by the attributes searches filter on, with Bloom filters on them.
+
+    Rows lie in order of ``by`` and ``key``, so a predicate on ``by`` leaves most row groups unread by their
+    least and greatest values, and an equality on a value that lies between those by the filter. A frequent value takes several files.
+    """
+    parts = max(1, -(-df.count() // rows_per_file))
+    writer = df.repartitionByRange(parts, *by, key).sortWithinPartitions(*by, key).write.mode("overwrite")
+    for column in by:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
+        writer = writer.option(f"parquet.bloom.filter.expected.ndv#{column}", str(rows_per_group))
+    writer.option("parquet.block.row.count.limit", rows_per_group).parquet(dest)
+
+
 def scan_neighbors(spark: SparkSession, paths: str | list[str], fmt: str = "parquet") -> DataFrame:
     """Neighbour lists in long form, from Parquet or from structured ``.npy`` matrices."""
     paths = [paths] if isinstance(paths, str) else paths

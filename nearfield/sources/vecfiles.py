@@ -45,7 +45,7 @@ SCHEMAS = {
     "neighbors": "shard string, qid long, rank int, id long, distance double",
     "shape": "shard string, n_rows long, dim int",
 }
-SUFFIXES = {"ivecs": ".ivecs", "fvecs": ".fvecs", "parquet": ".parquet"}
+SUFFIXES = {"ivecs": ".ivecs", "fvecs": ".fvecs", "parquet": ".parquet", "text": ".txt"}
 FILE = "_file"  # column of the name of the file a row goes to
 FIRST_ROW = re.compile(r"-r(\d+)\.npy$")  # a matrix part tells the row it begins at
 NEIGHBOR = np.dtype([("idx", "<i8"), ("distance", "<f8")])
@@ -335,7 +335,24 @@ class _Parquet:
         self.out.close()
 
 
-WRITERS = {"npy": _Npy, "fvecs": _Vecs, "ivecs": _IdVecs, "neighbors": _Neighbors, "parquet": _Parquet}
+class _Text:
+    """Lines as they come."""
+
+    dim = None
+
+    def __init__(self, fs, path: str):
+        self.path, self.rows, self.out = path, 0, fs.open_output_stream(path)
+
+    def add(self, batch: pa.RecordBatch) -> None:
+        lines = batch.column("value").to_pylist()
+        self.out.write("".join(f"{line}\n" for line in lines).encode())
+        self.rows += len(lines)
+
+    def close(self) -> None:
+        self.out.close()
+
+
+WRITERS = {"text": _Text, "npy": _Npy, "fvecs": _Vecs, "ivecs": _IdVecs, "neighbors": _Neighbors, "parquet": _Parquet}
 
 
 def _plain(col: pa.Array, kind: str) -> np.ndarray:
@@ -355,7 +372,8 @@ class VecFileWriter(DataSourceArrowWriter):
     """A job writes a version of the folder of its own; the commit names its files and then switches the
     pointer to it, in one write. Until then readers see the old version, which is kept for those under way.
 
-    Tasks write one file per run of equal names in the column ``_file`` (null: one named after the task).
+    Tasks write one file per run of equal names in the column ``_file`` (null: one named after the task). A name may
+    begin with a subfolder.
     """
 
     def __init__(self, kind: str, dest: str):
@@ -384,7 +402,7 @@ class VecFileWriter(DataSourceArrowWriter):
                 if value != name:
                     close()
                     name = value
-                    temp = f"{root}/{self.folder}/.{name}-{context.taskAttemptId()}"
+                    temp = f"{root}/{self.folder}/.{name.replace('/', '-')}-{context.taskAttemptId()}"
                     out = WRITERS[self.kind](fs, temp)
                 out.add(batch.slice(at, end - at))
                 at = end
@@ -403,7 +421,8 @@ class VecFileWriter(DataSourceArrowWriter):
             self.abort(messages)
             raise
         fs, root = open_fs(self.dest)
-        fs.create_dir(f"{root}/{self.folder}", recursive=True)
+        for folder in {name.rpartition("/")[0] for _, name, _ in files} | {""}:
+            fs.create_dir(f"{root}/{self.folder}/{folder}".rstrip("/"), recursive=True)
         with ThreadPoolExecutor(COMMIT_THREADS) as pool:
             list(pool.map(lambda f: fs.move(f[0], f"{root}/{self.folder}/{f[1]}"), files))
         old = _versions(fs, root)
@@ -426,7 +445,7 @@ class VecFileWriter(DataSourceArrowWriter):
 
 
 class VecFileSource(DataSource):
-    """Options: ``kind`` (npy, neighbors, ivecs, fvecs; parquet for writing), ``paths`` (JSON list) or ``dest``, ``split_bytes``."""
+    """Options: ``kind`` (npy, neighbors, ivecs, fvecs; parquet and text for writing), ``paths`` (JSON list) or ``dest``, ``split_bytes``."""
 
     @classmethod
     def name(cls) -> str:
@@ -593,3 +612,10 @@ def write_npy_neighbors(
         column("distance", float("inf")).cast("array<double>").alias("distances"),
     )
     _write(lists.repartition(FILE).sortWithinPartitions(FILE, "row"), "neighbors", dest)
+
+
+def write_text_files(df: DataFrame, file: Column, order: list[str], dest: str, value: str = "value") -> None:
+    """One text file per name ``file`` with its lines in ``order``; a name may begin with a subfolder."""
+    rows = df.select(file.alias(FILE), *order, F.col(value).alias("value"))
+    rows = rows.repartition(FILE).sortWithinPartitions(FILE, *order)
+    _write(rows.select(FILE, "value"), "text", dest)
