@@ -1,9 +1,9 @@
 """Substring dedup by level-wise doubling: passages repeated across documents are found and removed.
 
-A window of ``n`` words can repeat only if each of its runs of half that length does. So the first
-level looks at runs of ``ceil(n / 2)`` words, and only windows built on repeated runs are extended to
-full length and compared again. Of the runs of a window one, picked by content, stands for it
-(the smallest hash), so the first level carries about a quarter of all positions.
+A run of words can repeat only if each of its runs of half that length does. So the levels begin with short runs
+and double their length: what repeats at one length alone is extended to the next, until the window's
+length is reached or nothing repeats. On the first level one run, picked by content (the smallest hash), stands for
+each run of the second, so it carries about a quarter of all positions.
 """
 
 from __future__ import annotations
@@ -23,6 +23,7 @@ from nearfield.llm.words import find_words, hash_windows, hash_words, slices, te
 from nearfield.session import cut_lineage, discard, scratch_path
 
 WINDOW = 13
+START = 7  # the shortest runs are of at most so many words
 _CHECK = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -37,26 +38,39 @@ def release(spark: SparkSession) -> None:
         time.sleep(0.3)
 
 
+def level_lengths(window: int) -> list[int]:
+    """Lengths of the levels: the window's, halved until it is short; at least two."""
+    out = [window]
+    while out[0] > START or len(out) == 1:
+        out.insert(0, (out[0] + 1) // 2)
+    return out
+
+
 class Windows:
-    """The windows of a slice of documents: where they start, and the run that stands for each."""
+    """The runs of ``window`` words in a slice of documents: where they start, and in which document."""
 
     def __init__(self, column: pa.Array, window: int):
         self.data, self.offsets = text_bytes(column)
         starts, ends, self.first = find_words(self.data, self.offsets)
-        words = hash_words(self.data, starts, ends)
-        half = (window + 1) // 2
-        runs, choices = hash_windows(words, half), window - half + 1
-        count = max(0, len(words) - window + 1)
-        least, where = np.full(count, np.iinfo(np.uint64).max, dtype=np.uint64), np.zeros(count, dtype=np.int64)
-        for at in range(choices):  # the leftmost smallest run
-            part = runs[at : at + count]
-            better = part < least
-            least, where = np.where(better, part, least), np.where(better, np.arange(at, at + count), where)
-        last = np.repeat(self.first[1:], np.diff(self.first))[:count]
+        self._words, self._window = hash_words(self.data, starts, ends), window
+        count = max(0, len(starts) - window + 1)
+        sizes = np.diff(self.first)
+        last = np.repeat(self.first[1:], sizes)[:count]
         self.at = np.flatnonzero(np.arange(count) + window <= last)
-        self.doc = np.repeat(np.arange(len(self.first) - 1), np.diff(self.first))[:count][self.at]
-        self.run, self.run_at = least[self.at], where[self.at]
-        self._words, self._window = words, window
+        self.doc = np.repeat(np.arange(len(self.first) - 1), sizes)[:count][self.at]
+
+    def standing(self, n: int) -> np.ndarray:
+        """For every window the least hash of its runs of ``n`` words."""
+        runs, count = hash_windows(self._words, n), max(0, len(self._words) - self._window + 1)
+        least = np.full(count, np.iinfo(np.uint64).max, dtype=np.uint64)
+        for at in range(self._window - n + 1):
+            np.minimum(least, runs[at : at + count], out=least)
+        return least[self.at].view(np.int64)
+
+    def ends(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of the first and the last ``n`` words of every window."""
+        runs = hash_windows(self._words, n).view(np.int64)
+        return runs[self.at], runs[self.at + self._window - n]
 
     def full(self) -> tuple[np.ndarray, np.ndarray]:
         """Hash (64 bits) and check value (32 more) of every window."""
@@ -74,58 +88,81 @@ def _per_document(values: list[np.ndarray], doc: np.ndarray) -> tuple[list[np.nd
     return [v[new] for v in values], doc[new]
 
 
-def _levels(docs: DataFrame, window: int) -> DataFrame:
-    """``(id, h)``: windows of a document whose words also start in one with a smaller id."""
+def _levels(docs: DataFrame, window: int) -> DataFrame | None:
+    """``(id, h)``: windows of a document whose words also start in one with a smaller id; None if nothing repeats."""
     spark = docs.sparkSession
     texts = docs.where("id IS NOT NULL AND text IS NOT NULL").select("id", "text")
+    lengths = level_lengths(window)
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
-                w = Windows(part.column("text"), window)
-                (h,), doc = _per_document([w.run.view(np.int64)], w.doc)
+                w = Windows(part.column("text"), lengths[1])
+                (h,), doc = _per_document([w.standing(lengths[0])], w.doc)
                 yield pa.RecordBatch.from_arrays([part.column("id").take(pa.array(doc)), pa.array(h)], names=["id", "h"])
 
-    at = {name: scratch_path(spark, name) for name in ("runs", "repeated", "windows", "removed")}
-    level = cut_lineage(texts.mapInArrow(runs, "id long, h long"), path=at["runs"])
+    at = scratch_path(spark, "runs")
+    level = cut_lineage(texts.mapInArrow(runs, "id long, h long"), path=at)
     repeated = level.groupBy("h").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a < b").select("h")
-    kept = cut_lineage(level.join(repeated, "h").select("id", "h"), path=at["repeated"])
+    kept_at = scratch_path(spark, "repeated")
+    kept = cut_lineage(level.join(repeated, "h").select("id", "h"), path=kept_at)
     del level, repeated
-    discard(spark, at["runs"])
+    discard(spark, at)
     release(spark)
 
-    def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for number in range(1, len(lengths)):
+        if kept.isEmpty():
+            discard(spark, kept_at)
+            return None
+        by_doc = kept.groupBy("id").agg(F.collect_set("h").alias("runs"))
+        extend = _extension(lengths[number - 1], lengths[number], number == 1)
+        at = scratch_path(spark, "windows")
+        windows = cut_lineage(texts.join(by_doc, "id").mapInArrow(extend, "id long, h long, c int"), path=at)
+        del kept, by_doc
+        discard(spark, kept_at)
+        release(spark)
+        first = windows.groupBy("h", "c").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a < b")
+        met = windows.join(first, ["h", "c"])
+        if number == len(lengths) - 1:
+            met = met.where("id > a")
+        kept_at = scratch_path(spark, "repeated")
+        kept = cut_lineage(met.select("id", "h"), path=kept_at)
+        del windows, first, met
+        discard(spark, at)
+        release(spark)
+    return kept
+
+
+def _extension(short: int, long: int, first: bool) -> Callable:
+    """Runs of ``long`` words of texts with the repeated ``runs`` of ``short`` words they are built on."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
-                w = Windows(part.column("text"), window)
+                w = Windows(part.column("text"), long)
+                below = (w.standing(short),) if first else w.ends(short)
                 live = np.zeros(len(w.at), dtype=bool)
                 bounds = np.searchsorted(w.doc, np.arange(part.num_rows + 1))
                 for d in range(part.num_rows):
                     own = slice(bounds[d], bounds[d + 1])
-                    live[own] = np.isin(w.run[own].view(np.int64), part.column("runs")[d].values.to_numpy())
+                    known = part.column("runs")[d].values.to_numpy()
+                    live[own] = np.logical_and.reduce([np.isin(h[own], known) for h in below])
                 h, check = w.full()
                 (h, check), doc = _per_document([h[live], check[live]], w.doc[live])
                 yield pa.RecordBatch.from_arrays(
                     [part.column("id").take(pa.array(doc)), pa.array(h), pa.array(check)], names=["id", "h", "c"]
                 )
 
-    by_doc = kept.groupBy("id").agg(F.collect_set("h").alias("runs"))
-    windows = cut_lineage(texts.join(by_doc, "id").mapInArrow(extend, "id long, h long, c int"), path=at["windows"])
-    del kept, by_doc
-    discard(spark, at["repeated"])
-    release(spark)
-    first = windows.groupBy("h", "c").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a < b")
-    removed = cut_lineage(windows.join(first, ["h", "c"]).where("id > a").select("id", "h"), path=at["removed"])
-    del windows, first
-    discard(spark, at["windows"])
-    release(spark)
-    return removed
+    return run
 
 
 def _apply(docs: DataFrame, key: str, text: str, window: int, extra: dict[str, tuple[str, Callable]]) -> DataFrame:
     """``docs`` under inner names with what ``extra`` makes of (words, removed mask) of every row."""
     keys = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
-    gone = _levels(keys, window).groupBy("id").agg(F.collect_set("h").alias("gone"))
+    found = _levels(keys, window)
+    if found is None:
+        found = docs.sparkSession.createDataFrame([], "id long, h long")
+    gone = found.groupBy("id").agg(F.collect_set("h").alias("gone"))
     inner = {c: f"_c{i}" for i, c in enumerate(docs.columns)}
     own = docs.select(*[F.col(c).alias(i) for c, i in inner.items()], F.col(key).cast("long").alias("id"))
     joined = own.join(gone, "id", "left").drop("id")

@@ -19,7 +19,7 @@ LOWER[65:91] += 32
 WORD_REGEX = r"[^\x20\x09-\x0D]+"
 _STEP = (np.uint64(0x100000001B3), np.uint64(0x9E3779B97F4A7C15))
 _MIX = (np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53))
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -34,7 +34,7 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def slices(batch: pa.RecordBatch, text: str = "text") -> Iterator[pa.RecordBatch]:
-    """Cut a batch so that each part holds about 4 MB of text, or one longer document."""
+    """Cut a batch so that each part holds about 2 MB of text, or one longer document."""
     _, offsets = text_bytes(batch.column(text))
     at = 0
     while at < batch.num_rows:

@@ -13,14 +13,14 @@ import pytest
 import xxhash
 from tokenizers import Tokenizer
 
-from nearfield.llm import kneserney
+from nearfield.llm import kneserney, substring
 from nearfield.llm.components import connected_components
 from nearfield.llm.idcoder import decode_blocks, encode_blocks
 from nearfield.llm.kneserney import fit_bigrams, score_texts
 from nearfield.llm.langid import fit_languages, identify_languages, keep_identified
 from nearfield.llm.packing import Limits, pack, pack_documents
 from nearfield.llm.simhash import simhash_dedup, simhash_groups, simhash_links
-from nearfield.llm.substring import remove_repeats, substring_digest
+from nearfield.llm.substring import level_lengths, remove_repeats, substring_digest
 from nearfield.llm.syncmers import anchors, fingerprint_edits, matches
 from nearfield.llm.tokenfile import read_token_file, read_token_files, write_token_files
 from nearfield.llm.tokens import TokenEncoder, default_tokenizer
@@ -210,6 +210,35 @@ def test_substring(documents, empty, window):
     assert "k1" not in texts and texts["none"] and texts["k4"] == ""  # emptied by removal; no key; empty before
 
 
+def test_long_windows(spark, monkeypatch):
+    """A window of 200 words takes six levels; passages that repeat at shorter lengths only stay, and end the search."""
+    import random
+
+    r = random.Random(5)
+
+    def made(n):
+        return [f"w{r.randrange(3000)}" for _ in range(n)]
+
+    assert level_lengths(13) == [7, 13] and level_lengths(200) == [7, 13, 25, 50, 100, 200] and level_lengths(1) == [1, 1]
+    long, mid, short = made(260), made(150), made(20)
+    texts = [
+        (i, " ".join(made(r.randrange(80)) + (long if i % 3 == 0 else mid if i % 3 == 1 else short) + made(r.randrange(80)) + long * (i == 7)))
+        for i in range(12)
+    ]
+    df = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    found = rows(substring_digest(df, window=200), "doc_id", "n_words", "n_removed", "kept_sha256")
+    assert found == brute_substring(texts, 200) and sum(f[2] for f in found) >= 4 * 260
+    calls = []
+    real = substring._extension
+    monkeypatch.setattr(substring, "_extension", lambda a, b, first: calls.append(b) or real(a, b, first))
+    rest = df.where("doc_id % 3 = 1 AND doc_id != 7")
+    assert {r.n_removed for r in substring_digest(rest, window=200).collect()} == {0}
+    assert calls == [13, 25, 50, 100, 200]
+    calls.clear()
+    alone = df.where("doc_id IN (0, 1, 2)")
+    assert {r.n_removed for r in substring_digest(alone, window=200).collect()} == {0} and calls == []
+
+
 # --- op 5 ---------------------------------------------------------------------------------
 
 def test_fingerprints(documents, empty):
