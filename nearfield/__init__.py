@@ -20,7 +20,10 @@ from nearfield.operators.assembly import (
     shard_counts,
     zip_shards,
 )
+from nearfield.operators.balls import knn_balls, write_balls
 from nearfield.operators.checks import check_dimension, enforce_schema
+from nearfield.operators.coread import zip_in_place
+from nearfield.operators.cursor import Cursor, index_pages, page_count, scan_page_at, store_pages
 from nearfield.operators.knn import knn
 from nearfield.operators.latency import latency_stats
 from nearfield.operators.ordinals import with_chunk, with_ordinal, with_page
@@ -35,6 +38,7 @@ from nearfield.sources.tables import (
     scan_latency,
     scan_neighbors,
     scan_vectors,
+    write_clustered,
     write_latency,
     write_neighbors,
     write_vectors,
@@ -53,13 +57,13 @@ from nearfield.streaming.ingest import ingest_incremental
 from nearfield.streaming.neighbors import knn_incremental
 
 __all__ = [
-    "METRICS", "Metric", "assign_pk", "audit_shards", "base_name", "check_dimension",
-    "cosine_distance", "cosine_similarity", "count_mismatches", "enforce_schema",
-    "export_json_chunks", "extract_links", "filter_vectors", "ingest_incremental", "knn",
-    "knn_incremental", "l2_normalize", "l2_sq", "latency_stats", "link_manifest", "list_shards", "merge_topk",
-    "pending_shards", "recall", "recall_diff", "recall_per_query", "renumber_shards",
-    "round_vector", "sample_queries", "scan_latency", "scan_neighbors", "scan_npy", "scan_npy_set", "scan_pages",
+    "Cursor", "METRICS", "Metric", "assign_pk", "audit_shards", "base_name", "check_dimension",
+    "cosine_distance", "cosine_similarity", "count_mismatches", "current_folder", "enforce_schema",
+    "export_json_chunks", "extract_links", "filter_vectors", "index_pages", "ingest_incremental", "knn",
+    "knn_balls", "knn_incremental", "l2_normalize", "l2_sq", "latency_stats", "link_manifest", "list_shards", "merge_topk",
+    "page_count", "pending_shards", "recall", "recall_diff", "recall_per_query", "renumber_shards",
+    "round_vector", "sample_queries", "scan_latency", "scan_neighbors", "scan_npy", "scan_npy_set", "scan_page_at", "scan_pages",
     "scan_vecs", "scan_vectors", "search_pages", "shard_counts", "shard_names", "shard_number",
-    "shard_paths", "to_long", "to_wide", "with_chunk", "with_ordinal", "with_page", "write_latency",
-    "write_links", "write_neighbors", "write_npy", "write_npy_neighbors", "write_shards", "write_vecs", "write_vectors", "zip_shards",
+    "shard_paths", "store_pages", "to_long", "to_wide", "with_chunk", "with_ordinal", "with_page", "write_balls", "write_clustered", "write_latency",
+    "write_links", "write_neighbors", "write_npy", "write_npy_neighbors", "write_shards", "write_vecs", "write_vectors", "zip_in_place", "zip_shards",
 ]

@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.dataset as ds
 import pyarrow.fs as pafs
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +28,7 @@ CELL_ROWS = 1 << 18  # base rows per task of a pilot search
 HELD_BYTES = 128 << 20  # base vectors a task keeps while query blocks stream past
 PILOT_FROM = 10_000_000  # base rows from which a pilot pass pays for itself
 PILOT_FRACTION = 0.01
+PILOT_FILES = 4  # fewest files a pilot is made of
 
 
 def knn(
@@ -201,7 +203,7 @@ def kth_bounds(found: DataFrame, k: int, metric: str | Metric) -> DataFrame:
 def _bounds_from_pilot(
     plan: Search, base: DataFrame, queries: DataFrame, fraction: float
 ) -> DataFrame:
-    pilot = cut_lineage(base.sample(fraction, seed=17), "pilot")
+    pilot = cut_lineage(_pilot_rows(base, fraction), "pilot")
     rows = pilot.count()
     # Few large partitions: each one emits up to k rows per query.
     packed = pilot.repartition(max(1, math.ceil(rows / CELL_ROWS)), "id")
@@ -212,6 +214,21 @@ def _bounds_from_pilot(
     return cut_lineage(queries.join(bounds, "qid", "left").select("qid", "vector", tighter), "bounds")
 
 
+def _pilot_rows(base: DataFrame, fraction: float) -> DataFrame:
+    """About ``fraction`` of the base: whole files of it, so that the others are not read at all.
+
+    A base of few files, or one whose rows do not know their file, is sampled row by row. Which rows they are only matters for
+    how tight the bounds get.
+    """
+    if len(base.inputFiles()) >= PILOT_FILES / fraction:
+        draw = F.pmod(F.xxhash64(F.col("_metadata.file_path")), F.lit(10_000))
+        try:
+            return base.where(draw < round(10_000 * fraction))
+        except AnalysisException:  # joined or aggregated: no file column to filter on
+            pass
+    return base.sample(fraction, seed=17)
+
+
 def _broadcast(queries: DataFrame):
     """(qids, vectors, bounds) for all tasks; the caller has checked the size."""
     table = queries.toArrow()

@@ -3,6 +3,7 @@
 import numpy as np
 import pytest
 from conftest import assert_neighbors, brute_force, vector_frame
+from pyspark.sql import functions as F
 
 from nearfield.operators import knn as knn_module
 from nearfield.operators.knn import knn
@@ -213,3 +214,18 @@ def test_arguments(spark, data):
         knn(b, q, 2, "manhattan")
     with pytest.raises(ValueError, match="positive"):
         knn(b, q, 0, "l2")
+
+
+def test_pilot_of_whole_files(spark, tmp_path, rng):
+    """The pilot filters on the file, which the scan prunes by; other bases are sampled; the answer stays."""
+    x, q = rng.normal(size=(2000, 5)).astype(np.float32), rng.normal(size=(6, 5)).astype(np.float32)
+    vector_frame(spark, range(2000), x).repartition(50).write.parquet(str(tmp_path / "b"))
+    base = spark.read.parquet(str(tmp_path / "b")).where("pk >= 0").select("pk", "vector")
+    pilot = knn_module._pilot_rows(base, 0.1)
+    files = pilot.select(F.col("_metadata.file_path").alias("f")).distinct().count()
+    assert 1 <= files <= 15 and pilot.count() == 40 * files and "_metadata" in pilot._jdf.queryExecution().executedPlan().toString()
+    joined = base.groupBy("pk").agg(F.first("vector").alias("vector"))
+    assert 50 < knn_module._pilot_rows(joined, 0.1).count() < 400
+    assert "Sample" in knn_module._pilot_rows(base, 0.01)._jdf.queryExecution().toString()
+    queries = vector_frame(spark, range(6), q, "qid")
+    assert_neighbors(knn(base, queries, 7, "l2", prune_fraction=0.1), brute_force(range(2000), x, range(6), q, 7, "l2"))
