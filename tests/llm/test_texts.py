@@ -271,6 +271,52 @@ def test_anchors_do_not_depend_on_context(spark):
     assert gaps.max() <= 2 * 6 - 2 and len(row.x) < 0.6 * 200
 
 
+def plain_anchors(text, k=6, s=2):
+    """Closed syncmers word by word, with the hash the functions use: XXH64, columns chained through the seed."""
+
+    def signed(h):
+        return h - 2**64 if h >= 2**63 else h
+
+    def chained(*values):
+        seed = 42
+        for v in values:
+            seed = xxhash.xxh64_intdigest(v.to_bytes(8, "little", signed=True), seed)
+        return signed(seed)
+
+    tokens = [signed(xxhash.xxh64_intdigest(t.encode(), 42)) for t in re.findall(r"[^\x20\x09-\x0D]{1,16}", text)]
+    if len(tokens) < k:
+        return [xxhash.xxh64_intdigest(text.encode(), 42) & 0xFFFFFFFF]
+    mers = [chained(*tokens[i : i + s]) for i in range(len(tokens) - s + 1)]
+    out = []
+    for i in range(len(tokens) - k + 1):
+        inner = mers[i : i + k - s + 1]
+        if min(inner[0], inner[-1]) == min(inner):
+            out.append(chained(inner[0], inner[2], inner[4]) & 0xFFFFFFFF)
+    return out
+
+
+def test_fingerprints_against_plain_syncmers(spark):
+    import random
+
+    r = random.Random(8)
+    texts = {i: " ".join(r.choice(["a", "bb", "c", "ééé", "日本語", "x" * 40]) + r.choice(["", str(r.randrange(4))]) for _ in range(n))
+             for i, n in enumerate([0, 1, 5, 6, 7, 60, 200, 61, 400, 3])}
+    texts[20], texts[21] = None, texts[6] + "\n" + texts[8]
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    order = sorted(texts, reverse=True)
+    found = {x.doc_id: x for x in fingerprint_edits(df).collect()}
+    for here, there in zip(order, order[1:] + order[:1]):
+        own, other = texts[here] or "", texts[there] or ""
+        half = len(own) // 2
+        edited = own[: len(own) - half] + other[:half]
+        sets = [list(dict.fromkeys(plain_anchors(t))) for t in (own, edited, other)]
+        got = found[here]
+        assert got.fingerprint == "".join(f"{h:08x}" for h in sets[0])
+        assert got.edited_fingerprint == "".join(f"{h:08x}" for h in sets[1])
+        for likeness, after in ((got.near_edited, sets[1]), (got.near_next, sets[2])):
+            assert likeness == len(set(sets[0]) & set(after)) / max(len(sets[0]), len(after), 1)
+
+
 # --- op 6 ---------------------------------------------------------------------------------
 
 def test_languages(spark, empty, documents):
@@ -290,6 +336,64 @@ def test_languages(spark, empty, documents):
     assert identify_languages(empty, model).count() == 0
 
 
+def test_languages_against_plain_em(spark):
+    """Two rounds of plain expectation-maximisation over all segmentations, then the likeliest language."""
+    import sentencepiece
+
+    from nearfield.llm.langid import WORD_BYTES, default_vocabulary
+
+    tool = sentencepiece.SentencePieceProcessor(model_file=default_vocabulary())
+    known = {bytes([b]) for b in range(256)} | {
+        tool.id_to_piece(i).replace("▁", " ").encode() for i in range(tool.get_piece_size())
+        if not (tool.is_control(i) or tool.is_unknown(i) or tool.is_byte(i) or tool.is_unused(i))
+    }
+    number = {x: i for i, x in enumerate(sorted(x for x in known if len(x) <= WORD_BYTES))}
+    r = np.random.default_rng(3)
+    made = {"x": ["der", "hund", "läuft", "schnell"], "y": ["the", "dog", "runs", "fast"], "z": ["le", "chien", "court", "vite"]}
+    data = [(i, " ".join(r.choice(made[l] + made["y"][:2], 12)), l) for i, l in enumerate("xyz" * 10)]
+    data += [(100, "Der the", None), (101, "ünbekannt Wort le le", None), (102, "a", None)]
+    docs = spark.createDataFrame(data, "doc_id long, text string, lang string")
+
+    def cuts(word):
+        text = b" " + word
+        return text, [(a, b, number[text[a:b]]) for a in range(len(text)) for b in range(a + 1, len(text) + 1) if text[a:b] in number]
+
+    def forward(word, p):
+        text, edges = cuts(word)
+        ways = [1.0] + [0.0] * len(text)
+        for a, b, piece in sorted(edges):
+            ways[b] += ways[a] * p[piece]
+        return ways, edges
+
+    def words(text):
+        return [w.encode() for w in SPLIT.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text))]
+
+    models = {}
+    for l in "xyz":
+        p = [1 / len(number)] * len(number)
+        for _ in range(2):
+            uses = [0.02] * len(number)
+            for _, text, own in data:
+                for word in words(text) if own == l else []:
+                    ways, edges = forward(word, p)
+                    back = [0.0] * len(ways)
+                    back[-1] = 1.0
+                    for a, b, piece in sorted(edges, reverse=True):
+                        back[a] += p[piece] * back[b]
+                    for a, b, piece in edges:
+                        uses[piece] += ways[a] * p[piece] * back[b] / ways[-1]
+            p = [u / sum(uses) for u in uses]
+        models[l] = p
+    model = fit_languages(docs)
+    assert model.languages == ["x", "y", "z"]
+    np.testing.assert_allclose(model.log_p, np.log(np.array([models[l] for l in "xyz"]).T), atol=1e-7)
+    for found in identify_languages(docs, model).collect():
+        text = data[[d[0] for d in data].index(found.doc_id)][1]
+        logs = [sum(math.log(forward(w, models[l])[0][-1]) for w in words(text)) for l in "xyz"]
+        assert found.lang_pred == "xyz"[int(np.argmax(logs))]
+        assert abs(found.score - 1 / sum(math.exp(x - max(logs)) for x in logs)) < 1e-5
+
+
 def test_forward_sums_all_segmentations():
     from nearfield.llm.langid import Pieces, default_vocabulary, word_scores
 
