@@ -23,6 +23,7 @@ from nearfield.llm.words import find_words, hash_windows, hash_words, slices, te
 from nearfield.session import cut_lineage, discard, scratch_path
 
 WINDOW = 13
+ARROW = {"long": pa.int64(), "string": pa.string()}
 START = 7  # the shortest runs are of at most so many words
 _CHECK = np.uint64(0xD6E8FEB86659FD93)
 
@@ -192,7 +193,7 @@ def _apply(docs: DataFrame, key: str, text: str, window: int, extra: dict[str, t
                     for out, (_, make) in zip(made, extra.values()):
                         out.append(make(words, removed))
                 yield pa.RecordBatch.from_arrays(
-                    [*(part.column(c) for c in inner.values()), *(pa.array(m) for m in made)],
+                    [*(part.column(c) for c in inner.values()), *(pa.array(m, ARROW[kind]) for m, (kind, _) in zip(made, extra.values()))],
                     names=[*inner.values(), *extra],
                 )
 

@@ -13,7 +13,7 @@ import pytest
 import xxhash
 from tokenizers import Tokenizer
 
-from nearfield.llm import kneserney, substring
+from nearfield.llm import kneserney, substring, words
 from nearfield.llm.components import connected_components
 from nearfield.llm.idcoder import decode_blocks, encode_blocks
 from nearfield.llm.kneserney import fit_bigrams, score_texts
@@ -210,6 +210,13 @@ def test_substring(documents, empty, window):
     assert "k1" not in texts and texts["none"] and texts["k4"] == ""  # emptied by removal; no key; empty before
 
 
+def test_slices_without_repeats(documents, monkeypatch):
+    """A slice in which no text loses a word has the same columns as the others."""
+    whole = sorted(map(repr, remove_repeats(documents).collect()))
+    monkeypatch.setattr(words, "SLICE_BYTES", 100)
+    assert sorted(map(repr, remove_repeats(documents).collect())) == whole
+
+
 def test_long_windows(spark, monkeypatch):
     """A window of 200 words takes six levels; passages that repeat at shorter lengths only stay, and end the search."""
     import random
