@@ -2,7 +2,8 @@
 
 A filter is a direction; a vector passes if its inner product with it exceeds a threshold. Directions are
 all combinations of a codeword per half of the dimensions, so the filters that a vector passes can be
-listed without testing them all. Close vectors pass common filters with high probability; vectors
+listed without testing them all. Filters of one product code depend on each other, so there are several codes, each
+behind a random rotation. Close vectors pass common filters with high probability; vectors
 that share one are compared exactly.
 """
 
@@ -26,30 +27,43 @@ from nearfield.session import cut_lineage
 COSINE = 0.93
 OCCUPANCY = 16  # vectors of a label that an average filter holds
 MISS = 1e-5  # aimed-at share of lost pairs at the threshold
-TOP = 6  # best filters that every vector passes, however weak
+CODES = 4  # product codes with rotations of their own
+TOP = 4  # best filters of a code that every vector passes, however weak
+DECODE_BYTES = 64 << 20  # working memory of list decoding beside the codewords
 CHUNK = 512  # vectors on one side of a comparison
 
 
 @dataclass(frozen=True)
 class Code:
-    """Filters for vectors of one length: codewords of both halves and the threshold."""
+    """Filters for vectors of one length: codewords of a half of each code, and the threshold."""
 
     dim: int
     words: int
     threshold: float
     seed: int
 
-    def halves(self) -> tuple[np.ndarray, np.ndarray]:
-        out, cut = [], max(1, self.dim // 2)
-        for part, size in enumerate((cut, self.dim - cut)):
-            c = np.random.default_rng([self.seed, self.dim, part]).standard_normal((self.words, max(size, 1)))
+    def parts(self, number: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Rotation and the codewords of both halves of one of the ``CODES`` codes."""
+        rng = np.random.default_rng([self.seed, self.dim, number])
+        turn = np.linalg.qr(rng.standard_normal((self.dim, self.dim)))[0]
+        out, cut = [turn], max(1, self.dim // 2)
+        for size in (cut, self.dim - cut):
+            c = rng.standard_normal((self.words, max(size, 1)))
             c /= np.linalg.norm(c, axis=1, keepdims=True) * sqrt(2)
             out.append(c[:, :size])
-        return out[0], out[1]
-
-    def passed(self, unit: np.ndarray) -> list[np.ndarray]:
-        """Sorted numbers of the filters that each row of ``unit`` passes."""
-        first, second = self.halves()
+        return tuple(out)
+
+    def passed(self, unit: np.ndarray) -> Iterator[np.ndarray]:
+        """Sorted numbers of the filters that each row of ``unit`` passes; rows are taken in blocks of bounded size."""
+        codes = [self.parts(number) for number in range(CODES)]
+        step = max(1, DECODE_BYTES // (32 * self.words))  # four matrices of rows x codewords
+        for at in range(0, len(unit), step):
+            block = unit[at : at + step]
+            lists = [self._decode(block @ turn, first, second) for turn, first, second in codes]
+            for row in zip(*lists):
+                yield np.concatenate([found + number * self.words**2 for number, found in enumerate(row)])
+
+    def _decode(self, unit: np.ndarray, first: np.ndarray, second: np.ndarray) -> list[np.ndarray]:
         s1, s2 = unit[:, : first.shape[1]] @ first.T, unit[:, first.shape[1] :] @ second.T
         o1, o2 = np.argsort(-s1, axis=1, kind="stable"), np.argsort(-s2, axis=1, kind="stable")
         s1, s2 = np.take_along_axis(s1, o1, 1), np.take_along_axis(s2, o2, 1)
@@ -79,7 +93,7 @@ def choose_code(dim: int, most: int, cosine: float, seed: int = 0) -> Code:
     tail = np.array([1 - normal.cdf((level - cosine * x) / sqrt(1 - cosine**2)) for x in xs])
     both = float((density * tail).sum() / density.sum())
     filters = -log(MISS) / both / share
-    return Code(dim, max(8, int(sqrt(filters)) + 1), level / sqrt(dim), seed)
+    return Code(dim, max(8, int(sqrt(filters / CODES)) + 1), level / sqrt(dim), seed)
 
 
 def _units(column: pd.Series) -> np.ndarray:
@@ -152,7 +166,7 @@ def vector_links(
     def filters(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for dim, part in batch.groupby(batch["v"].map(len)):
-                passed = codes[dim].passed(_units(part["v"]))
+                passed = list(codes[dim].passed(_units(part["v"])))
                 counts = [len(p) for p in passed]
                 at = np.repeat(np.arange(len(part)), counts)
                 out = part.iloc[at][["l", "id", "m", "v"]].assign(
