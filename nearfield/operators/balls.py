@@ -18,6 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from nearfield import schemas
 from nearfield.functions.metrics import get_metric
 from nearfield.operators.kernel import to_matrix
 from nearfield.operators.knn import BROADCAST_BYTES, PAIRS, TASK_BYTES, Search, _broadcast, _size, knn, kth_bounds
@@ -170,7 +171,7 @@ def needed_blocks(balls: DataFrame, queries: DataFrame, plan: Search) -> DataFra
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                centres = np.array(part.column(centre_at).to_pylist())
+                centres = part.column(centre_at).flatten().to_numpy().reshape(part.num_rows, -1)
                 near = distances(centres, vectors) - part.column(radius_at).to_numpy()[:, None] <= reach
                 some = near.any(axis=1)
                 if some.any():
@@ -217,14 +218,14 @@ def knn_balls(
     queries = queries.select(F.col("qid").cast("long").alias("qid"), "vector")
     size = _size(queries)
     plan = Search(k, metric, False, False, query_block, size.n, size.dim, None, broadcast_bytes, task_bytes)
-    if size.n == 0 or not table.n_rows or not plan.fits_broadcast():
-        return knn(table.scan(spark), queries, k, metric, id_col="id", broadcast_bytes=broadcast_bytes, task_bytes=task_bytes) if table.n_rows else (
-            spark.createDataFrame([], "qid long, rank int, id long, distance double")
-        )
+    if size.n == 0 or not table.n_rows:
+        return spark.createDataFrame([], schemas.NEIGHBORS)
+    if not plan.fits_broadcast():
+        return knn(table.scan(spark), queries, k, metric, id_col="id", broadcast_bytes=broadcast_bytes, task_bytes=task_bytes)
     tasks = max(spark.sparkContext.defaultParallelism, math.ceil(table.n_rows * 4 * table.dim / PART_BYTES))
     balls = table.balls(spark)
-    facts = balls.agg(F.count(F.lit(1)).alias("n")).first()
-    probes = min(facts.n, 2 + math.ceil(2 * k * facts.n / table.n_rows))
+    n_balls = balls.count()
+    probes = min(n_balls, 2 + math.ceil(2 * k * n_balls / table.n_rows))
     centres = balls.select(F.col("block").alias("pk"), F.col("centre").cast("array<float>").alias("vector"))
     near = knn(centres, queries, probes, metric).select("qid", F.col("id").alias("block"))
     near = near.groupBy("block").agg(F.collect_list("qid").alias("qids"))  # at most all queries, which fit a broadcast
