@@ -103,8 +103,8 @@ def with_next(docs: DataFrame, key: str, text: str) -> DataFrame:
     """``(key, text, next_text)``: the text of the next document by descending key, at the end the first.
 
     Rows of one key and text count as one document; those of one key with other texts follow each other by hash. Null keys
-    come last, null texts count as empty. Keys alone are sorted; texts move once, in blocks of
-    neighbours, and a block's first text also goes to the block before.
+    come last, null texts count as empty. Keys alone are sorted; texts move in blocks of neighbours, and a block's first text
+    also goes to the block before. Where the order is too long to be broadcast, its join moves the texts once more.
     """
     rows = docs.select(F.col(key).alias("k"), F.coalesce(F.col(text), F.lit("")).alias("t"))
     rows = rows.withColumn("h", F.xxhash64("t"))
