@@ -14,22 +14,32 @@ from nearfield.session import cut_lineage, ship_with_tasks
 
 ship_with_tasks()
 
+BATCH_BYTES = 8 << 20
+
 # Language models, SimHash and packing have no SQL form; tests compare the rows with brute force.
 ORACLE_SQL = None
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Documents go to Python in Arrow batches of so many bytes at most, however long they are (Spark's default is 64 MB)."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a language; those without a letter go, and those for which no language is likelier than all others."""
+    bound_batches(spark)
     return keep_identified(docs, fit_languages(docs, sample_key=F.col("doc_id")), least=0.5)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of every group whose SimHashes of three-word shingles link at two or fewer bits."""
+    bound_batches(spark)
     return simhash_dedup(docs, shingle=3, distance=2)
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages of an earlier one; ``n_chars`` follows the text."""
+    bound_batches(spark)
     return remove_repeats(docs).withColumn("n_chars", F.length("text").cast("long"))
 
 
@@ -40,6 +50,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of at most 2,048 tokens with their places."""
+    bound_batches(spark)
     return pack_documents(docs)
 
 
