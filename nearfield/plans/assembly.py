@@ -22,10 +22,11 @@ from nearfield.operators.ordinals import with_ordinal
 from nearfield.plans.common import SQL_VECTORS, id_range, sharded, sql_sharded, table, vectors
 from nearfield.session import scratch_path
 from nearfield.sources.tables import scan_vectors, write_vectors
-from nearfield.sources.vecfiles import current_folder, write_npy, write_shards
+from nearfield.sources.vecfiles import PART_BYTES, current_folder, write_npy, write_shards
 from nearfield.streaming.ingest import ingest_incremental
 
-FILE_ROWS = 500  # rows of a vector or metadata file made for an ingest
+FILE_ROWS = 500  # rows of a vector or metadata file made for a positional join, and fewest of one made for an ingest
+INGEST_FILES = 16  # files made for an ingest, until they reach ``PART_BYTES`` of vectors
 GLOBAL_START = 1_229_565_156  # fixed value: first global key of a second dataset
 
 
@@ -137,10 +138,17 @@ def ingested(spark, sf_dir) -> DataFrame:
     )
 
 
-def _numbered(df: DataFrame) -> DataFrame:
-    """Rows in files of ``FILE_ROWS`` by id: as many files as the table asks for."""
+def _file_rows(spark, sf_dir) -> int:
+    """Rows of a file made for an ingest: the files grow with the table, up to ``PART_BYTES`` of vectors."""
+    size = table(spark, sf_dir, "embeddings").agg(F.count(F.lit(1)).alias("n"), F.max(F.size("embedding")).alias("dim")).first()
+    most = PART_BYTES // (4 * max(1, size.dim or 0))
+    return max(FILE_ROWS, min(most, -(-size.n // INGEST_FILES)))
+
+
+def _numbered(df: DataFrame, file_rows: int) -> DataFrame:
+    """Rows in files of ``file_rows`` by id: as many files as the table asks for."""
     placed = with_ordinal(df, ["vec_id"], "_at")
-    return placed.withColumn("file", F.floor(F.col("_at") / FILE_ROWS).cast("int")).drop("_at")
+    return placed.withColumn("file", F.floor(F.col("_at") / file_rows).cast("int")).drop("_at")
 
 
 def _metadata(spark, sf_dir) -> DataFrame:
@@ -165,18 +173,19 @@ def _ingested(spark, work: str, source: str, **options) -> DataFrame:
     return rows.withColumn("value", F.round(F.col("value").cast("double"), 6))
 
 
-def _shard_pair(spark, sf_dir, work: str) -> tuple[str, str]:
+def _shard_pair(spark, sf_dir, work: str, file_rows: int = FILE_ROWS) -> tuple[str, str]:
     """Vector files and metadata files of the same numbers and rows; their folder and template."""
     vecs = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("vector"))
-    write_shards(_numbered(vecs), "file", "vec_id", f"{work}/source", template="emb_%04d.npy")
-    write_shards(_numbered(_metadata(spark, sf_dir)), "file", "vec_id", f"{work}/meta", "parquet", "metadata_%04d.parquet")
+    write_shards(_numbered(vecs, file_rows), "file", "vec_id", f"{work}/source", template="emb_%04d.npy")
+    meta = _numbered(_metadata(spark, sf_dir), file_rows)
+    write_shards(meta, "file", "vec_id", f"{work}/meta", "parquet", "metadata_%04d.parquet")
     return current_folder(f"{work}/source"), f"{current_folder(f'{work}/meta')}/metadata_%04d.parquet"
 
 
 def ingested_with_metadata(spark, sf_dir) -> DataFrame:
     """Row i of a metadata file beside row i of the vector file of its number, keyed and typed."""
     work = scratch_path(spark, "ingest")
-    source, template = _shard_pair(spark, sf_dir, work)
+    source, template = _shard_pair(spark, sf_dir, work, _file_rows(spark, sf_dir))
     return _ingested(spark, work, source, metadata_template=template)
 
 
@@ -184,7 +193,7 @@ def ingested_parquet(spark, sf_dir) -> DataFrame:
     """Parquet shards with keys of their own, keyed anew."""
     work = scratch_path(spark, "ingest")
     vecs = table(spark, sf_dir, "embeddings").select("vec_id", (F.col("vec_id") + 7).alias("pk"), F.col("embedding").alias("emb"))
-    write_shards(_numbered(vecs), "file", "vec_id", f"{work}/source", "parquet", "emb_%04d.parquet")
+    write_shards(_numbered(vecs, FILE_ROWS), "file", "vec_id", f"{work}/source", "parquet", "emb_%04d.parquet")
     return _ingested(spark, work, current_folder(f"{work}/source"), fmt="parquet", vector_col="emb")
 
 

@@ -61,20 +61,19 @@ def ingest_incremental(
     suffix = ".npy" if fmt == "npy" else ".parquet"
 
     def process(shards: DataFrame, epoch: int) -> None:
-        todo = new_shards(shards, read_manifest(shards.sparkSession, manifest))
+        session = shards.sparkSession
+        # Batches come in number order: behind one that ingested shards, none can be in the manifest.
+        known = session.createDataFrame([], schemas.MANIFEST) if reached["beyond"] else read_manifest(session, manifest)
+        todo = new_shards(shards, known)
         for one, other in zip(todo, todo[1:]):  # in number order
             if one.shard_no == other.shard_no:
                 raise ValueError(f"{one.shard} and {other.shard} have the same shard number")
         if todo:
-            step(shards.sparkSession, todo)
+            step(session, todo)
 
     def step(session: SparkSession, todo: list) -> None:
-        last = read_manifest(session, manifest).agg(
-            F.max("shard_no").alias("no"),
-            F.coalesce(F.max(F.col("pk_start") + F.col("n_rows")), F.lit(0)).alias("next"),
-        ).first()
-        if last.no is not None and todo[0].shard_no <= last.no:
-            raise ValueError(f"shard {todo[0].shard_no} arrived after shard {last.no}")
+        if reached["no"] is not None and todo[0].shard_no <= reached["no"]:
+            raise ValueError(f"shard {todo[0].shard_no} arrived after shard {reached['no']}")
         files = [s.path for s in todo]
         sizes = None
         if fmt == "npy":
@@ -98,7 +97,7 @@ def ingest_incremental(
             )
             rows = zip_shards(meta.drop("shard"), rows, vector_sizes=sizes)
         keyed = assign_pk(
-            rows, start=last.next, global_start=last.next + global_start, sizes=sizes
+            rows, start=reached["next"], global_start=reached["next"] + global_start, sizes=sizes
         )
         table = keyed.withColumnsRenamed({"pk_global": "pk_5b", "vector": "float32_vector"})
         table = table.withColumn("float32_vector", F.col("float32_vector").cast("array<float>"))
@@ -112,14 +111,20 @@ def ingest_incremental(
         names = session.createDataFrame(
             [(s.shard, s.shard_no) for s in todo], "shard string, shard_no int"
         )
-        names.join(written, "shard_no", "left").select(
+        records = names.join(written, "shard_no", "left").select(
             "shard", "shard_no", F.coalesce("n_rows", F.lit(0)).alias("n_rows"),
             "pk_start", "pk_global_start", F.lit("done").alias("status"),
-        ).coalesce(1).write.mode("append").parquet(manifest)
+        )
+        found = records.collect()  # a row for each shard of the step
+        session.createDataFrame(found, records.schema).coalesce(1).write.mode("append").parquet(manifest)
+        ends = [r.pk_start + r.n_rows for r in found if r.pk_start is not None]
+        reached.update(no=todo[-1].shard_no, next=max(ends, default=reached["next"]), beyond=True)
 
     source = current_folder(source_dir)
     done = read_manifest(spark, manifest)
-    last = done.agg(F.max("shard_no")).first()[0]
+    last, after = done.agg(F.max("shard_no"), F.coalesce(F.max(F.col("pk_start") + F.col("n_rows")), F.lit(0))).first()
+    # What the manifest says is read once a call and carried on, so a step costs the same however many came before.
+    reached = {"no": last, "next": after, "beyond": False}
     if last is not None:
         check_late(spark, source, suffix, done, last)
     query = (

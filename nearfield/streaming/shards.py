@@ -30,31 +30,34 @@ def numbered_files(folder: str, suffix: str) -> list[tuple[int, str]]:
 
 
 class ShardReader(DataSourceStreamReader):
-    """Keeps the last number handed out, nothing else."""
+    """Keeps the last number handed out and the files of that batch; a batch lists the folder once."""
 
     def __init__(self, folder: str, suffix: str, after: int, per_batch: int):
         self.folder, self.suffix, self.per_batch = folder, suffix, per_batch
         self.first = self.last = after
+        self.listed: tuple[int, list] = (after, [])  # end of the batch planned last and its files
 
     def initialOffset(self) -> dict:
         return {"shard": self.first}
 
     def latestOffset(self) -> dict:
         """The end of the next batch: at most ``per_batch`` shards further."""
-        new = {no for no, _ in numbered_files(self.folder, self.suffix) if no > self.last}
-        if new:
-            self.last = heapq.nsmallest(self.per_batch, new)[-1]
+        files = [f for f in numbered_files(self.folder, self.suffix) if f[0] > self.last]
+        if files:
+            self.last = heapq.nsmallest(self.per_batch, {no for no, _ in files})[-1]
+            self.listed = self.last, [f for f in files if f[0] <= self.last]
         return {"shard": self.last}
 
     def partitions(self, start: dict, end: dict) -> list[InputPartition]:
         self.last = max(self.last, end["shard"])  # a batch repeated after a restart
-        return [InputPartition((start["shard"], end["shard"]))]
+        upto, files = self.listed
+        if upto != end["shard"]:
+            files = numbered_files(self.folder, self.suffix)
+        return [InputPartition(sorted(f for f in files if start["shard"] < f[0] <= end["shard"]))]
 
     def read(self, partition: InputPartition):
-        after, last = partition.value
-        for no, path in sorted(numbered_files(self.folder, self.suffix)):
-            if after < no <= last:
-                yield path, (path.partition("?")[0] if "://" in path else path).rsplit("/", 1)[-1], no
+        for no, path in partition.value:
+            yield path, (path.partition("?")[0] if "://" in path else path).rsplit("/", 1)[-1], no
 
     def commit(self, end: dict) -> None:
         self.last = max(self.last, end["shard"])

@@ -3,8 +3,10 @@ import pytest
 from conftest import vector_frame
 
 from nearfield.operators.knn import knn
+from nearfield.plans import assembly
 from nearfield.streaming import ingest as ingest_module
 from nearfield.streaming import neighbors as neighbors_module
+from nearfield.streaming import shards as shards_module
 from nearfield.streaming.ingest import ingest_incremental
 from nearfield.streaming.neighbors import knn_incremental
 from nearfield.streaming.shards import ShardReader
@@ -184,3 +186,37 @@ def test_running_neighbors_equal_the_batch_result(spark, tmp_path, rng, metric):
         so_far = knn(everything.where(f"pk < {hi}"), q, 5, metric)
         assert set(found.collect()) == set(so_far.collect()), step
     assert set(knn_incremental(spark, source, q, 5, metric, state).collect()) == set(so_far.collect())
+
+
+def test_steps_do_not_read_the_manifest_again(spark, tmp_path, rng, monkeypatch):
+    """What a step costs does not grow with the steps before it: the manifest is read at most three times a call."""
+    parts = {n: rng.normal(size=(2, 3)).astype(np.float32) for n in range(5)}
+    save(tmp_path / "in", parts)
+    reads = []
+    real = ingest_module.read_manifest
+    monkeypatch.setattr(ingest_module, "read_manifest", lambda *a: reads.append(1) or real(*a))
+    assert run(spark, tmp_path, shards_per_step=1).count() == 5
+    assert len(reads) <= 3
+    pk, _, vectors = content(spark, tmp_path)
+    assert pk == list(range(10))
+    np.testing.assert_array_equal(vectors, np.concatenate([parts[i] for i in range(5)]))
+
+
+def test_a_batch_lists_the_folder_once(tmp_path, monkeypatch):
+    save(tmp_path / "in", {n: np.zeros((1, 2)) for n in range(4)})
+    lists = []
+    real = shards_module.numbered_files
+    monkeypatch.setattr(shards_module, "numbered_files", lambda *a: lists.append(1) or real(*a))
+    reader = ShardReader(str(tmp_path / "in"), ".npy", -1, 2)
+    end = reader.latestOffset()
+    (part,) = reader.partitions({"shard": -1}, end)
+    assert [no for _, _, no in reader.read(part)] == [0, 1] and len(lists) == 1
+
+
+@pytest.mark.parametrize(("n", "files"), [(1_200, 3), (24_000, 16)])
+def test_files_of_an_ingest_grow_with_the_table(spark, tmp_path, n, files):
+    """Beyond 16 files it is their size that grows, so the steps of an ingest stay few."""
+    rows = spark.range(n).selectExpr("id AS vec_id", "array(float(id), float(1)) AS embedding", "int(0) AS label")
+    rows.write.parquet(str(tmp_path / "embeddings.parquet"))
+    file_rows = assembly._file_rows(spark, str(tmp_path))
+    assert file_rows >= assembly.FILE_ROWS and -(-n // file_rows) == files
