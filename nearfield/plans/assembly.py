@@ -193,7 +193,7 @@ def ingested_parquet(spark, sf_dir) -> DataFrame:
     """Parquet shards with keys of their own, keyed anew."""
     work = scratch_path(spark, "ingest")
     vecs = table(spark, sf_dir, "embeddings").select("vec_id", (F.col("vec_id") + 7).alias("pk"), F.col("embedding").alias("emb"))
-    write_shards(_numbered(vecs, FILE_ROWS), "file", "vec_id", f"{work}/source", "parquet", "emb_%04d.parquet")
+    write_shards(_numbered(vecs, _file_rows(spark, sf_dir)), "file", "vec_id", f"{work}/source", "parquet", "emb_%04d.parquet")
     return _ingested(spark, work, current_folder(f"{work}/source"), fmt="parquet", vector_col="emb")
 
 
