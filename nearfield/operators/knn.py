@@ -26,6 +26,9 @@ TASK_BYTES = 3 << 29  # working memory one task may spend on queries and their l
 BROADCAST_BYTES = 128 << 20
 CELL_ROWS = 1 << 18  # base rows per task of a pilot search
 HELD_BYTES = 128 << 20  # base vectors a task keeps while query blocks stream past
+STATE_BYTES = 64 << 20  # working memory of the queries compared with the held rows at once
+FEWEST_AT_ONCE = 2_048  # queries compared at once, however long their lists
+CELL_HELD = 8_192  # held rows are put together to about as many before they are compared
 PILOT_FROM = 10_000_000  # base rows from which a pilot pass pays for itself
 PILOT_FRACTION = 0.01
 PILOT_FILES = 4  # fewest files a pilot is made of
@@ -177,6 +180,10 @@ class Search:
             qids, vectors, bounds, self.k, self.metric.name, self.normalize_query, self.query_block
         )
 
+    def at_once(self) -> int:
+        """Queries whose lists a task keeps at a time; for more, it holds base rows and passes over the queries."""
+        return max(FEWEST_AT_ONCE, STATE_BYTES // (16 * self.dim + 128 * self.k))
+
     def blocks(self) -> int:
         """Blocks a query set is cut into: as large as a task can hold, with room for skew."""
         by_state = 2 * self.state_bytes() / self.task_bytes
@@ -241,16 +248,63 @@ def _broadcast(queries: DataFrame):
 
 def _stationary_base(plan: Search, queries: DataFrame) -> Callable:
     shared = _broadcast(queries)
+    at_once = plan.at_once()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = plan.block(*shared.value)
-        for batch in batches:
-            held.add(batch.column(0).to_numpy(), to_matrix(batch.column(1)), plan.normalize_base)
-        yield from held.results()
+        if plan.n_queries <= at_once:
+            block = plan.block(*shared.value)
+            for batch in batches:
+                block.add(batch.column(0).to_numpy(), to_matrix(batch.column(1)), plan.normalize_base)
+            yield from block.results()
+            return
+        qids, vectors, bounds = shared.value
+        bounds = np.full(len(qids), np.inf) if bounds is None else bounds.copy()
+        for held in _held_runs(batches):
+            yield from _compare(plan, at_once, qids, vectors, bounds, held)
 
     return run
 
 
+def _held_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
+    """Base rows in runs of about ``HELD_BYTES``."""
+    held, size = [], 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append((batch.column(0).to_numpy(), to_matrix(batch.column(1))))
+        size += held[-1][1].nbytes
+        if size >= HELD_BYTES:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
+def _cells(held: list[tuple]) -> Iterator[tuple]:
+    """Held rows, small pieces put together: one comparison's size does not grow with what is held."""
+    part, n = [], 0
+    for piece in held:
+        part.append(piece)
+        n += len(piece[0])
+        if n >= CELL_HELD:
+            yield tuple(np.concatenate(c) for c in zip(*part))
+            part, n = [], 0
+    if part:
+        yield tuple(np.concatenate(c) for c in zip(*part))
+
+
+def _compare(plan: Search, at_once: int, qids, vectors, bounds, held: list[tuple]) -> Iterator[pa.RecordBatch]:
+    """Lists of the held rows for all queries, ``at_once`` at a time; ``bounds``, if given, take on the distances found."""
+    for lo in range(0, len(qids), at_once):
+        own = slice(lo, lo + at_once)
+        part = plan.block(qids[own], vectors[own], None if bounds is None else bounds[own])
+        for ids, m in _cells(held):
+            part.add(ids, m, plan.normalize_base)
+        yield from part.results()
+        if bounds is not None:
+            bounds[own] = part.bounds
+
+
 def _store_blocks(plan: Search, queries: DataFrame) -> list[str]:
     """Write the queries in hashed blocks a task can hold; returns the blocks' folders."""
     n = plan.blocks()
@@ -266,36 +320,25 @@ def _read_block(folder: str) -> tuple | None:
     if fs.get_file_info(path).type == pafs.FileType.NotFound:
         return None
     table = ds.dataset(path, filesystem=fs, format="parquet").to_table()
-    bounds = table["bound"].fill_null(float("inf")).to_numpy() if "bound" in table.column_names else None
+    bounds = table["bound"].fill_null(float("inf")).to_numpy().copy() if "bound" in table.column_names else None
     return table["qid"].to_numpy(), to_matrix(table["vector"]), bounds
 
 
-def _candidates(plan: Search, held: list[tuple], blocks: list[str]) -> Iterator[pa.RecordBatch]:
+def _candidates(plan: Search, at_once: int, held: list[tuple], blocks: list[str]) -> Iterator[pa.RecordBatch]:
     """Lists of the held base rows for every query, one stored block after the other."""
-    ids, vectors = (np.concatenate(c) for c in zip(*held))
     for folder in blocks:
         if (block := _read_block(folder)) is not None:
-            part = plan.block(*block)
-            part.add(ids, vectors, plan.normalize_base)
-            yield from part.results()
+            yield from _compare(plan, at_once, *block, held)
 
 
 def _streamed_queries(plan: Search, blocks: list[str]) -> Callable:
     """The base stays where it is read: each task keeps a run of its rows while the query blocks, read
     from the shared folder, stream past."""
+    at_once = plan.at_once()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            held.append((batch.column(0).to_numpy(), to_matrix(batch.column(1))))
-            size += held[-1][1].nbytes
-            if size >= HELD_BYTES:
-                yield from _candidates(plan, held, blocks)
-                held, size = [], 0
-        if held:
-            yield from _candidates(plan, held, blocks)
+        for held in _held_runs(batches):
+            yield from _candidates(plan, at_once, held, blocks)
 
     return run
 
@@ -305,12 +348,21 @@ def _per_shard(plan: Search, base: DataFrame, queries: DataFrame, per: str) -> D
     small = plan.fits_broadcast()
     shared = _broadcast(queries) if small else None
     blocks = [] if small else _store_blocks(plan, queries)
+    at_once = plan.at_once()
+    whole = small and plan.n_queries <= at_once  # all queries' lists fit, so rows need not be held
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, one, held, size = None, None, [], 0
 
+        def found():
+            if whole:
+                return one.results()
+            if small:
+                return _compare(plan, at_once, *shared.value[:2], None, held)
+            return _candidates(plan, at_once, held, blocks)
+
         def lists():
-            for out in one.results() if small else _candidates(plan, held, blocks):
+            for out in found():
                 labels = pa.array(np.full(out.num_rows, shard, dtype=np.int64))
                 yield pa.RecordBatch.from_arrays([labels, *out.columns], names=[per, *out.schema.names])
 
@@ -319,9 +371,9 @@ def _per_shard(plan: Search, base: DataFrame, queries: DataFrame, per: str) -> D
                 if shard is not None and (key != shard or size >= HELD_BYTES):
                     yield from lists()
                 if shard is None or key != shard or size >= HELD_BYTES:
-                    shard, one, held, size = key, plan.block(*shared.value) if small else None, [], 0
+                    shard, one, held, size = key, plan.block(*shared.value) if whole else None, [], 0
                 ids, vectors = rows.column(0).to_numpy(), to_matrix(rows.column(1))
-                if small:
+                if whole:
                     one.add(ids, vectors, plan.normalize_base)
                 else:
                     held.append((ids, vectors))

@@ -229,3 +229,26 @@ def test_pilot_of_whole_files(spark, tmp_path, rng):
     assert "Sample" in knn_module._pilot_rows(base, 0.01)._jdf.queryExecution().toString()
     queries = vector_frame(spark, range(6), q, "qid")
     assert_neighbors(knn(base, queries, 7, "l2", prune_fraction=0.1), brute_force(range(2000), x, range(6), q, 7, "l2"))
+
+
+@pytest.mark.parametrize("metric", ["l2", "cosine"])
+@pytest.mark.parametrize("per", [None, "shard"])
+def test_queries_are_compared_in_bounded_parts(spark, rng, monkeypatch, metric, per):
+    """A task keeps the lists of ``at_once`` queries, not of all, and the answer is the same over several runs of held rows."""
+    base, qs = rng.normal(size=(400, 4)).astype(np.float32), rng.normal(size=(30, 4)).astype(np.float32)
+    base[50:90] = base[50]
+    monkeypatch.setattr(knn_module, "FEWEST_AT_ONCE", 7)
+    monkeypatch.setattr(knn_module, "STATE_BYTES", 1)
+    monkeypatch.setattr(knn_module, "HELD_BYTES", 500)
+    sizes, real = spark.sparkContext.accumulator(0), knn_module.Search.block
+
+    def counted(self, qids, vectors, bounds):
+        assert len(qids) <= 7
+        sizes.add(len(qids))
+        return real(self, qids, vectors, bounds)
+
+    monkeypatch.setattr(knn_module.Search, "block", counted)
+    frame = vector_frame(spark, range(400), base, shard=[0] * 400)
+    found = knn(frame, vector_frame(spark, range(30), qs, "qid"), 6, metric, per=per)
+    assert_neighbors(found.drop("shard"), brute_force(range(400), base, range(30), qs, 6, metric))
+    assert sizes.value >= 30
