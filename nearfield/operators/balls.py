@@ -28,6 +28,9 @@ from nearfield.session import cut_lineage
 from nearfield.sources.vecfiles import PART_BYTES, open_fs
 
 BLOCK_ROWS = 4096
+ROWS_AT_ONCE = 1024  # rows whose distances to all pivots a task holds
+QUERIES_AT_ONCE = 8192  # queries whose distances to a centre are computed together
+ASKED = 2048  # longest list of queries beside a block; a block asked for by more has several rows
 MOST_PIVOTS = 1024  # sampled vectors that shape the blocks; they go to the driver and to every writing task
 BALL = "path string, row_group int, n_rows long, centre array<double>, radius double"
 SLACK = 1e-9  # computed distances are off by far less
@@ -103,15 +106,16 @@ def write_balls(
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         squares = (shared.value**2).sum(axis=1)
         for batch in batches:
-            if batch.num_rows:
-                m = to_matrix(batch.column(1)).astype(np.float64)
+            for start in range(0, batch.num_rows, ROWS_AT_ONCE):
+                part = batch.slice(start, ROWS_AT_ONCE)
+                m = to_matrix(part.column(1)).astype(np.float64)
                 away = squares - 2 * m @ shared.value.T  # only orders the rows, so it may be rough
                 first = away.argmin(axis=1)
                 at = np.arange(len(m))
                 nearest = away[at, first]
                 away[at, first] = np.inf
                 columns = [pa.array(first), pa.array(away.argmin(axis=1)), pa.array(nearest)]
-                yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=["id", "vector", "a", "b", "away"])
+                yield pa.RecordBatch.from_arrays([*part.columns, *columns], names=["id", "vector", "a", "b", "away"])
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out, held, cell = None, [], None
@@ -159,24 +163,32 @@ def write_balls(
 def needed_blocks(balls: DataFrame, queries: DataFrame, plan: Search) -> DataFrame:
     """``balls`` that can hold a row of some query's list, with those queries in ``qids``.
 
-    ``queries`` have a ``bound`` on the square of their k-th distance (null: none known).
+    A block has a row for every ``ASKED`` of its queries, one after the other. ``queries`` have a ``bound`` on the
+    square of their k-th distance (null: none known).
     """
     shared = _broadcast(queries)
 
+    def asking(centre: np.ndarray, radius: float, qids, vectors, reach) -> np.ndarray:
+        found = []
+        for lo in range(0, len(qids), QUERIES_AT_ONCE):
+            own = slice(lo, lo + QUERIES_AT_ONCE)
+            near = distances(centre[None], vectors[own])[0] - radius <= reach[own]
+            found.append(qids[own][near])
+        return np.concatenate(found)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         qids, vectors, bounds = shared.value
         reach = np.sqrt(np.maximum(bounds, 0)) * (1 + SLACK) + SLACK
-        vectors = vectors.astype(np.float64)
         centre_at, radius_at = names.index("centre"), names.index("radius")
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                centres = part.column(centre_at).flatten().to_numpy().reshape(part.num_rows, -1)
-                near = distances(centres, vectors) - part.column(radius_at).to_numpy()[:, None] <= reach
-                some = near.any(axis=1)
-                if some.any():
-                    lists = pa.array([qids[row].tolist() for row in near[some]], pa.list_(pa.int64()))
-                    yield pa.RecordBatch.from_arrays([*part.filter(pa.array(some)).columns, lists], names=[*names, "qids"])
+            for at in range(batch.num_rows):
+                part = batch.slice(at, 1)
+                centre, radius = part.column(centre_at).flatten().to_numpy(), part.column(radius_at)[0].as_py()
+                asked = asking(centre, radius, qids, vectors, reach)
+                for lo in range(0, len(asked), ASKED):
+                    own = asked[lo : lo + ASKED]
+                    lists = pa.ListArray.from_arrays(pa.array([0, len(own)], pa.int32()), pa.array(own))
+                    yield pa.RecordBatch.from_arrays([*part.columns, lists], names=[*names, "qids"])
 
     names = balls.columns
     kinds = ", ".join(f"{n} {t}" for n, t in balls.dtypes)
@@ -186,21 +198,27 @@ def needed_blocks(balls: DataFrame, queries: DataFrame, plan: Search) -> DataFra
 def _search(blocks: DataFrame, queries: DataFrame, plan: Search) -> DataFrame:
     """Candidates ``(qid, id, distance)`` of every block for the queries that ask for it."""
     shared = _broadcast(queries)
+    at_once = plan.at_once()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         qids, vectors, bounds = shared.value
         order = np.argsort(qids)
-        opened, file = None, None
+        opened, file, read, rows = None, None, None, None
         for batch in batches:
-            for path, group, asked in zip(*(c.to_pylist() for c in batch.columns)):
+            asked, edges = batch.column(2).flatten().to_numpy(), np.cumsum([0, *batch.column(2).value_lengths().to_pylist()])
+            for i, (path, group) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
                 if path != opened:
                     fs, p = open_fs(path)
                     opened, file = path, pq.ParquetFile(fs.open_input_file(p))
-                rows = file.read_row_group(group)
-                own = order[np.searchsorted(qids, np.array(asked, dtype=np.int64), sorter=order)]
-                part = plan.block(qids[own], vectors[own], bounds[own])
-                part.add(rows["id"].combine_chunks().to_numpy(), to_matrix(rows["vector"]), False)
-                yield from part.results()
+                if (path, group) != read:
+                    table = file.read_row_group(group)
+                    read, rows = (path, group), (table["id"].combine_chunks().to_numpy(), to_matrix(table["vector"]))
+                for lo in range(edges[i], edges[i + 1], at_once):
+                    wanted = asked[lo : min(lo + at_once, edges[i + 1])]
+                    own = order[np.searchsorted(qids, wanted, sorter=order)]
+                    part = plan.block(qids[own], vectors[own], bounds[own])
+                    part.add(*rows, False)
+                    yield from part.results()
 
     return blocks.select("path", "row_group", "qids").mapInArrow(run, PAIRS)
 

@@ -65,3 +65,18 @@ def test_small_tables_and_large_query_sets(spark, tmp_path, rng):
     assert knn_balls(table, q.limit(0), 5).count() == 0
     none = write_balls(vector_frame(spark, [], np.zeros((0, 3))), str(tmp_path / "n"))
     assert knn_balls(BallTable(none.path, none.n_rows, none.dim), q, 5).count() == 0
+
+
+def test_lists_of_asking_queries_are_bounded(spark, tmp_path, rng, monkeypatch):
+    """A block that many queries ask for has several rows of few queries each; the answer stays."""
+    monkeypatch.setattr(balls, "ASKED", 4)
+    monkeypatch.setattr(balls, "QUERIES_AT_ONCE", 5)
+    base = clustered(rng, 300)
+    table = write_balls(vector_frame(spark, range(300), base), str(tmp_path / "t"), block_rows=20)
+    q = vector_frame(spark, range(30), base[:30], "qid")
+    plan = Search(5, get_metric("l2"), False, False, 512, 30, 6, None, 1 << 20, 1 << 30)
+    needed = needed_blocks(table.balls(spark), q.withColumn("bound", F.lit(None).cast("double")), plan).collect()
+    total = table.balls(spark).count()
+    assert max(len(r.qids) for r in needed) <= 4 and len(needed) == 8 * total
+    assert len({(r.block, i) for r in needed for i in r.qids}) == 30 * total
+    assert_neighbors(knn_balls(table, q, 5), brute_force(range(300), base, range(30), base[:30], 5, "l2"))
