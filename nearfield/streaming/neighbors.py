@@ -7,17 +7,20 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nearfield import schemas
 from nearfield.functions.metrics import Metric, get_metric
-from nearfield.operators.knn import candidate_pairs, kth_bounds
+from nearfield.operators.kernel import ROWS_OUT
+from nearfield.operators.knn import PAIRS, candidate_pairs, kth_bounds
 from nearfield.operators.topk import to_long
 from nearfield.session import discard
 
 FILES_PER_STEP = 1_000
 COMPACT_FROM = 16  # steps whose lists are kept apart before they are written as one table
+TRIM_ROWS = 1 << 18  # candidates a task takes in before it cuts them to the best of each query
 LISTS = "qid long, ids array<long>, distances array<double>"
 
 
@@ -41,6 +44,40 @@ def _fold(k: int, descending: bool):
     return run
 
 
+def _best(held: list[tuple], k: int, descending: bool) -> tuple:
+    """The best ``k`` of every query, ties by id."""
+    qids, ids, distances = (np.concatenate(c) for c in zip(*held))
+    order = np.lexsort((ids, -distances if descending else distances, qids))
+    qids = qids[order]
+    first = np.flatnonzero(np.append(True, np.diff(qids) != 0))
+    place = np.arange(len(qids)) - np.repeat(first, np.diff(np.append(first, len(qids))))
+    order = order[place < k]
+    return qids[place < k], ids[order], distances[order]
+
+
+def _trim(k: int, descending: bool):
+    """Cut candidates to the best ``k`` of each query, so the state sees one short list however many tasks searched."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n, limit = [], 0, TRIM_ROWS
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            held.append(tuple(c.to_numpy() for c in batch.columns))
+            n += batch.num_rows
+            if n >= limit:
+                held = [_best(held, k, descending)]
+                n = len(held[0][0])
+                limit = max(TRIM_ROWS, 2 * n)
+        if held:
+            qids, ids, distances = _best(held, k, descending)
+            for at in range(0, len(qids), ROWS_OUT):
+                part = slice(at, at + ROWS_OUT)
+                yield pa.RecordBatch.from_arrays([pa.array(c[part]) for c in (qids, ids, distances)], names=["qid", "id", "distance"])
+
+    return run
+
+
 def knn_incremental(
     spark: SparkSession,
     source_dir: str,
@@ -59,19 +96,25 @@ def knn_incremental(
 
     New files are taken ``files_per_step`` at a time. The running lists are keyed state of the stream: a step
     touches the queries whose lists it changes, and only these are stored and written. Lists found by earlier
-    calls bound the search. ``options`` go to :func:`candidate_pairs`; ``progress`` gets what Spark reports of each step.
+    calls bound the search. Steps of fewer files than the cluster has cores are dealt over the cores by id, and each
+    query's candidates are cut to ``k`` before they meet its state. ``options`` go to :func:`candidate_pairs`; ``progress`` gets what Spark reports of each step.
 
     A step writes the lists it changed to a folder named after it, replaced if the step is repeated; the result
     has each query's latest list. From ``COMPACT_FROM`` folders on they are put together at the end of a call.
     """
-    source = spark.readStream.schema(_schema(spark, source_dir)).option("maxFilesPerTrigger", files_per_step)
+    source = spark.readStream.schema(_schema(spark, source_dir)).option("maxFilesPerTrigger", files_per_step).parquet(source_dir)
+    tasks = spark.sparkContext.defaultParallelism
+    if files_per_step < tasks:
+        source = source.repartition(tasks, id_col)
     running = _latest(spark, state_dir)
     bounds = None if running is None else kth_bounds(to_long(_wide(running)), k, metric)
     pairs = candidate_pairs(
-        source.parquet(source_dir), queries, k, metric, id_col=id_col, vector_col=vector_col, bounds=bounds, **options
+        source, queries, k, metric, id_col=id_col, vector_col=vector_col, bounds=bounds, **options
     )
-    changed = pairs.groupBy("qid").applyInPandasWithState(
-        _fold(k, get_metric(metric).higher_is_better), LISTS, "ids array<long>, distances array<double>", "update", "NoTimeout"
+    descending = get_metric(metric).higher_is_better
+    best = pairs.repartition("qid").mapInArrow(_trim(k, descending), PAIRS)
+    changed = best.groupBy("qid").applyInPandasWithState(
+        _fold(k, descending), LISTS, "ids array<long>, distances array<double>", "update", "NoTimeout"
     )
 
     def save(lists: DataFrame, epoch: int) -> None:

@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import vector_frame
 
@@ -220,3 +221,34 @@ def test_files_of_an_ingest_grow_with_the_table(spark, tmp_path, n, files):
     rows.write.parquet(str(tmp_path / "embeddings.parquet"))
     file_rows = assembly._file_rows(spark, str(tmp_path))
     assert file_rows >= assembly.FILE_ROWS and -(-n // file_rows) == files
+
+
+@pytest.mark.parametrize("descending", [False, True])
+def test_candidates_are_trimmed_before_the_state(rng, monkeypatch, descending):
+    monkeypatch.setattr(neighbors_module, "TRIM_ROWS", 50)
+    qids, ids = rng.integers(0, 9, 400), rng.permutation(400)
+    distances = rng.integers(0, 12, 400).astype(float)  # many ties
+    frame = pa.RecordBatch.from_arrays([pa.array(c) for c in (qids, ids, distances)], names=["qid", "id", "distance"])
+    out = neighbors_module._trim(3, descending)(frame.slice(at, 40) for at in range(0, 400, 40))
+    found = [tuple(r.values()) for b in out for r in b.to_pylist()]
+    rows = sorted(zip(qids.tolist(), ids.tolist(), distances.tolist()), key=lambda r: (r[0], -r[2] if descending else r[2], r[1]))
+    assert found == [r for q in range(9) for r in [r for r in rows if r[0] == q][:3]]
+    assert list(neighbors_module._trim(3, descending)(iter([frame.slice(0, 0)]))) == []
+
+
+def test_few_files_are_searched_by_all_cores(spark, tmp_path, rng, monkeypatch):
+    """A step of one file is not one task's work, and its state gets k candidates a query all the same."""
+    m = rng.normal(size=(64, 3)).astype(np.float32)
+    vector_frame(spark, range(64), m).coalesce(1).write.parquet(str(tmp_path / "in"))
+    tasks, real = [], neighbors_module.candidate_pairs
+
+    def seen(base, *a, **b):
+        tasks.append(base._jdf.queryExecution().analyzed().toString())
+        return real(base, *a, **b)
+
+    monkeypatch.setattr(neighbors_module, "candidate_pairs", seen)
+    q = vector_frame(spark, range(64), m, "qid")
+    found = knn_incremental(spark, str(tmp_path / "in"), q, 4, "cosine", str(tmp_path / "state"), files_per_step=1)
+    assert "RepartitionByExpression" in tasks[0]
+    truth = knn(vector_frame(spark, range(64), m), q, 4, "cosine")
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, truth.select(found.columns).collect()))
