@@ -12,6 +12,7 @@ import re
 import sys
 import types
 from collections import ChainMap
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +22,7 @@ PIECE = re.compile(f"[{_BLANK}]?[^{_BLANK}]+|[{_BLANK}]+(?![^{_BLANK}])|[{_BLANK
 STORE_PIECES = 1_000_000  # about 200 MB
 JOINED = 1_000  # pieces encoded as one text; one call for each would cost more than their merges
 LONG_PIECE = 64  # characters; longer pieces are encoded where they occur and not stored
+UNKNOWN = -(1 << 62)  # number of a piece that is not stored
 _JOINS = re.compile(f"[{_BLANK}][^{_BLANK}]")
 _HOME = "_nearfield_piece_store"  # functions travel by value; a module outlives the task
 
@@ -99,17 +101,18 @@ class TokenEncoder:
             found = PIECE.findall(text)
             counts.append(len(found))
             pieces += found
-        missing = [p for p in set(pieces) if p not in store.number]
-        long = {p for p in missing if len(p) > LONG_PIECE}
-        new = [p for p in missing if p not in long] if long else missing
-        for at in range(0, len(new), 50_000):
-            store.add(new[at : at + 50_000])
-        own = {}
-        for p in long:
-            own[p] = -1 - len(own)
-        rare = [np.array(self.store.tokenizer.encode(p, add_special_tokens=False).ids, dtype=np.uint32) for p in own]
-        find = store.number.__getitem__ if not own else ChainMap(own, store.number).__getitem__
-        number = np.fromiter(map(find, pieces), dtype=np.int64, count=len(pieces))
+        number = np.fromiter(map(store.number.get, pieces, repeat(UNKNOWN)), dtype=np.int64, count=len(pieces))
+        unknown = np.flatnonzero(number == UNKNOWN).tolist()
+        rare = []
+        if unknown:
+            missing = {pieces[i] for i in unknown}
+            own = {p: -1 - i for i, p in enumerate(p for p in missing if len(p) > LONG_PIECE)}
+            new = [p for p in missing if p not in own]
+            for at in range(0, len(new), 50_000):
+                store.add(new[at : at + 50_000])
+            rare = [np.array(store.tokenizer.encode(p, add_special_tokens=False).ids, dtype=np.uint32) for p in own]
+            find = ChainMap(own, store.number).__getitem__
+            number[unknown] = [find(pieces[i]) for i in unknown]
 
         ends = store.ends[np.maximum(number, 0)] if len(number) else number
         starts = np.where(number > 0, store.ends[np.maximum(number - 1, 0)], 0)
@@ -124,9 +127,16 @@ class TokenEncoder:
         target = places[:-1] + np.repeat(np.arange(len(texts)), counts)
         stored = number >= 0
         n = lengths[stored]
-        total = int(n.sum())
-        step = np.arange(total) - np.repeat(np.cumsum(n) - n, n)
-        out[np.repeat(target[stored], n) + step] = store.ids[np.repeat(starts[stored], n) + step]
+        before = np.cumsum(n) - n
+        from_store = np.arange(int(n.sum()))
+        from_store += np.repeat(starts[stored] - before, n)
+        ids = store.ids[from_store]
+        if rare:
+            from_store += np.repeat(target[stored] - starts[stored], n)
+            out[from_store] = ids
+        else:  # a text's ids lie together
+            for i, (lo, hi) in enumerate(zip(offsets[:-1].tolist(), (offsets[1:] - 1).tolist())):
+                out[lo:hi] = ids[lo - i : hi - i]
         for at in np.flatnonzero(~stored).tolist():
             ids = rare[-1 - number[at]]
             out[target[at] : target[at] + len(ids)] = ids

@@ -596,3 +596,36 @@ def test_pipeline_drops_near_copies(spark, documents, empty, tmp_path):
     out = stage(spark, documents, str(tmp_path))
     assert out.columns == documents.columns and out.where("doc_id IS NULL").count() == 1
     assert stage(spark, empty, str(tmp_path)).count() == 0
+
+
+def test_known_pieces_are_looked_up_once(monkeypatch):
+    """A piece whose ids are stored costs one look into the store, and ids stay those of the whole text."""
+    from nearfield.llm import tokens
+
+    looks = []
+
+    class Counted(dict):
+        def get(self, *a):
+            looks.append(a[0])
+            return super().get(*a)
+
+        def __contains__(self, p):
+            looks.append(p)
+            return super().__contains__(p)
+
+        def __getitem__(self, p):
+            looks.append(p)
+            return super().__getitem__(p)
+
+    texts = ["", "one two  three\n\n four", "five " + "é" * 80 + " six", "x" * 200, "one two one two", " \t "]
+    monkeypatch.setattr(tokens, "_HOME", "_nearfield_piece_store_of_a_test")
+    encoder = tokens.TokenEncoder(tokens.default_tokenizer())
+    ids, offsets = encoder.encode(texts, 1)
+    for i, text in enumerate(texts):
+        whole = encoder.store.tokenizer.encode(text, add_special_tokens=False).ids + [1]
+        assert ids[offsets[i] : offsets[i + 1]].tolist() == whole
+    encoder.store.number = Counted(encoder.store.number)
+    again, _ = encoder.encode(["one two one two", "", "one two  three\n\n four"], 1)
+    pieces = tokens.PIECE.findall("one two one two") + tokens.PIECE.findall("one two  three\n\n four")
+    assert looks == pieces
+    assert again.tolist() == [*ids[offsets[4] : offsets[5]].tolist(), 1, *ids[offsets[1] : offsets[2]].tolist()]
