@@ -45,7 +45,9 @@ class _Model:
         self.one = np.zeros((lanes, 1 << SLOTS1), dtype=np.uint32)  # id << 3 | confidence
         self.two = np.zeros((lanes, 1 << SLOTS2), dtype=np.uint32)
         self.weights = np.tile(START3, (lanes * 128, 1))
-        self.zero = np.tile(START16, (lanes * nibbles * 256, 1))
+        rows = [min(16**i, 256) for i in range(nibbles)]  # a nibble's contexts: the two nibbles before it, if there are
+        self.places, self.rows = [sum(rows[:i]) for i in range(nibbles)], sum(rows)
+        self.zero = np.tile(START16, (lanes * self.rows, 1))
         self.last = np.zeros(lanes, dtype=np.uint32)
         self.before = np.zeros(lanes, dtype=np.uint32)
 
@@ -98,7 +100,8 @@ class _Encoder:
     def __init__(self, lanes: int, steps: int, nibbles: int):
         self.low = np.zeros(lanes, dtype=np.uint64)
         self.range = np.full(lanes, TOP, dtype=np.uint64)
-        self.words = np.zeros((lanes, steps * (nibbles + 1) + 8), dtype=np.uint16)
+        # Lanes side by side: they fill up at about one pace, so memory is touched as far as the longest payload only.
+        self.words = np.zeros((steps * (nibbles + 1) + 8, lanes), dtype=np.uint16)
         self.used = np.zeros(lanes, dtype=np.int64)
 
     def put(self, lanes: np.ndarray | slice, start: np.ndarray, share: np.ndarray) -> None:
@@ -110,7 +113,7 @@ class _Encoder:
             if open_.any():
                 part = np.where(open_, (~at + np.uint64(1)) & (LOW32 - np.uint64(1)), part)
             who = small if isinstance(lanes, slice) else lanes[small]
-            self.words[who, self.used[who]] = (at >> _U48).astype(np.uint16)
+            self.words[self.used[who], who] = (at >> _U48).astype(np.uint16)
             self.used[who] += 1
             low[small], size[small] = at << _U16, part << _U16
         self.low[lanes], self.range[lanes] = low, size
@@ -118,9 +121,10 @@ class _Encoder:
     def finish(self) -> list[bytes]:
         rows = np.arange(len(self.low))
         for shift in (48, 32, 16, 0):
-            self.words[rows, self.used] = (self.low >> np.uint64(shift)).astype(np.uint16)
+            self.words[self.used, rows] = (self.low >> np.uint64(shift)).astype(np.uint16)
             self.used += 1
-        return [w[:n].astype("<u2").tobytes() for w, n in zip(self.words, self.used.tolist())]
+        words = np.ascontiguousarray(self.words[: self.used.max()].T, dtype="<u2")
+        return [w[:n].tobytes() for w, n in zip(words, self.used.tolist())]
 
 
 class _Decoder:
@@ -159,7 +163,7 @@ class _Decoder:
 
 def _nibble(model: _Model, lanes: np.ndarray, i: int, past: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Where the counts of nibble ``i`` lie, given the two nibbles before it, and the counts."""
-    at = lanes * (model.nibbles * 256) + i * 256 + past
+    at = lanes * model.rows + (model.places[i] + past)
     return at, model.zero.take(at, axis=0)
 
 
@@ -171,14 +175,13 @@ def encode_blocks(blocks: list[np.ndarray], nibbles: int) -> list[bytes]:
     """Payloads of blocks of ids, each decodable alone. Ids need ``nibbles`` * 4 bits, 28 at most."""
     order = sorted(range(len(blocks)), key=lambda i: -len(blocks[i]))
     lengths = np.array([len(blocks[i]) for i in order])
-    table = np.zeros((len(blocks), lengths[0]), dtype=np.uint32)
-    for row, i in zip(table, order):
-        row[: len(blocks[i])] = blocks[i]
-    table = np.ascontiguousarray(table.T)
+    table = np.zeros((lengths[0], len(blocks)), dtype=np.uint16 if nibbles <= 4 else np.uint32)
+    for column, i in enumerate(order):
+        table[: len(blocks[i]), column] = blocks[i]
     model, coder = _Model(len(blocks), nibbles), _Encoder(len(blocks), int(lengths[0]), nibbles)
     for t in range(lengths[0]):
         n = int(np.searchsorted(-lengths, -t, side="left"))
-        ids = table[t, :n]
+        ids = table[t, :n].astype(np.uint32)
         model.predict(n)
         slot = np.where(model.id2 == ids, 0, np.where(model.id1 == ids, 1, 2))
         coder.put(slice(0, n), *_bounds(model.w, slot))
@@ -201,7 +204,7 @@ def decode_blocks(payloads: list[bytes], lengths: list[int], nibbles: int) -> li
     """The ids of blocks, from their payloads and lengths."""
     order = sorted(range(len(payloads)), key=lambda i: -lengths[i])
     sizes = np.array([lengths[i] for i in order])
-    table = np.zeros((sizes[0], len(payloads)), dtype=np.uint32)
+    table = np.zeros((sizes[0], len(payloads)), dtype=np.uint16 if nibbles <= 4 else np.uint32)
     model, coder = _Model(len(payloads), nibbles), _Decoder([payloads[i] for i in order])
     for t in range(sizes[0]):
         n = int(np.searchsorted(-sizes, -t, side="left"))
@@ -219,9 +222,10 @@ def decode_blocks(payloads: list[bytes], lengths: list[int], nibbles: int) -> li
         ids[missed] = value
         model.learn(n, ids, slot)
         table[t, :n] = ids
+    del model, coder
     out: list[np.ndarray] = [np.zeros(0, np.uint32)] * len(payloads)
     for row, i in enumerate(order):
-        out[i] = table[: lengths[i], row].copy()
+        out[i] = table[: lengths[i], row].astype(np.uint32)
     return out
 
 

@@ -37,6 +37,7 @@ class TokenFileWriter:
 
     def __init__(self, stream, nibbles: int):
         self.stream, self.nibbles = stream, nibbles
+        self.kind = np.uint16 if nibbles <= 4 else np.uint32  # held ids take no more than they need
         self.stream.write(MAGIC)
         self.waiting: list[np.ndarray] = []
         self.held = self.ids = 0
@@ -45,22 +46,22 @@ class TokenFileWriter:
 
     def add(self, key: int | None, ids: np.ndarray) -> None:
         self.documents.append((NO_KEY if key is None else key, key is not None, len(ids)))
-        self.waiting.append(ids)
+        self.waiting.append(ids.astype(self.kind))
         self.held += len(ids)
         self.ids += len(ids)
         if self.held >= BLOCK * LANES:
             self._flush(last=False)
 
     def _flush(self, last: bool) -> None:
-        flat = np.concatenate(self.waiting) if self.waiting else np.zeros(0, np.uint32)
+        flat = np.concatenate(self.waiting) if self.waiting else np.zeros(0, self.kind)
         end = len(flat) if last else len(flat) // BLOCK * BLOCK
+        self.waiting = [flat[end:].copy()]
         for at in range(0, end, BLOCK * LANES):
             part = flat[at : min(end, at + BLOCK * LANES)]
             blocks = [part[i : i + BLOCK] for i in range(0, len(part), BLOCK)]
             for ids, payload in zip(blocks, encode_blocks(blocks, self.nibbles)):
                 self.stream.write(payload)
                 self.blocks.append((len(ids), len(payload), checksum(ids), zlib.crc32(payload)))
-        self.waiting = [flat[end:].copy()]
         self.held = len(flat) - end
 
     def close(self) -> None:

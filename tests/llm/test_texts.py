@@ -658,3 +658,28 @@ def test_punctuation_behind_words_costs_no_encoding(monkeypatch):
         for i, text in enumerate(texts):
             assert ids[offsets[i] : offsets[i + 1]].tolist() == whole.encode(text, add_special_tokens=False).ids + [1]
     assert len(calls) == 1 and calls[0].count("three") == calls[0].count("Zürich") == 1
+
+
+def test_memory_of_the_id_coder():
+    """Coding 1,024 blocks touches little beyond the model, and a file's writer holds ids at their width."""
+    import io
+    import subprocess
+    import sys
+
+    from nearfield.llm.tokenfile import TokenFileWriter
+
+    code = """
+import re, numpy as np
+from nearfield.llm.idcoder import encode_blocks
+def peak():
+    return int(re.search(r"VmHWM:\\s+(\\d+)", open("/proc/self/status").read())[1]) / 1024
+ids = (np.random.default_rng(1).zipf(1.3, (1024, 4096)) % 50_000).astype(np.uint16)
+before = peak()
+encode_blocks(list(ids), 4)
+print(peak() - before)
+"""
+    found = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True, cwd=words.__file__.rsplit("/", 3)[0])
+    assert float(found.stdout) < 40
+    writer = TokenFileWriter(io.BytesIO(), 4)
+    writer.add(1, np.arange(1000, dtype=np.uint32))
+    assert sum(w.nbytes for w in writer.waiting) == 2000
