@@ -68,6 +68,7 @@ class _Store:
         if type(self.tokenizer.pre_tokenizer).__name__ != "ByteLevel":
             raise ValueError(f"{path} is no byte-level BPE")
         added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")") if added else None
         self.tail = "" if any(set(TAIL) & set(t) for t in added) else TAIL
         special = {i: len(t.content.encode()) for i, t in self.tokenizer.get_added_tokens_decoder().items()}
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
@@ -85,6 +86,13 @@ class _Store:
         self.sizes = np.zeros(1 << 14, dtype=np.int32)
         self.used = 0
 
+    def pieces(self, text: str) -> list[str]:
+        """Pieces of a text. The tokenizer cuts added tokens out first, so white space before one ends like a text's."""
+        if self.added is None or not self.added.search(text):
+            return pieces_of(text)
+        parts = self.added.split(text)  # every second one is an added token
+        return [p for i, part in enumerate(parts) for p in ([part] if i % 2 else pieces_of(part))]
+
     def settle(self) -> None:
         """Give all new pieces their ids; a word with punctuation behind it takes those of both."""
         number, new, whole, split = self.number, self.new, [], []
@@ -154,7 +162,7 @@ class TokenEncoder:
             store.clear()
         look, parts = store.number.__getitem__, []
         for text in texts:  # one text at a time, as its pieces are still in the processor's cache
-            found = pieces_of(text)
+            found = store.pieces(text)
             parts.append(np.fromiter(map(look, found), dtype=np.int32, count=len(found)))
         counts = [len(p) for p in parts]
         number = np.concatenate(parts) if parts else np.zeros(0, np.int32)

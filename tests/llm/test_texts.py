@@ -683,3 +683,10 @@ print(peak() - before)
     writer = TokenFileWriter(io.BytesIO(), 4)
     writer.add(1, np.arange(1000, dtype=np.uint32))
     assert sum(w.nbytes for w in writer.waiting) == 2000
+
+
+def test_white_space_before_an_added_token(tokenizer):
+    """The tokenizer takes added tokens out of a text before it cuts the rest."""
+    encoder = TokenEncoder(default_tokenizer())
+    for text in ("\n\n<|endoftext|>", "a  <|endoftext|>  b. <|endoftext|><|endoftext|>\n\n\n", "x <|endoftext|> <|endoftext|>.", "<|endoftext|"):
+        assert encoder.encode([text], 1)[0].tolist() == tokenizer.encode(text, add_special_tokens=False).ids + [1]
