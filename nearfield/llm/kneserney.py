@@ -1,21 +1,23 @@
-"""Interpolated modified Kneser-Ney models of order 2 or 3, counted in Spark and read from sorted hash arrays.
+"""Interpolated modified Kneser-Ney models of order 2 or 3, counted in Spark and read from compact arrays.
 
-Words, bigrams and trigrams are 64-bit hashes. Tasks count their part of the text and send each shard one packed
-row; a shard merges them, writes its bigrams and trigrams as sorted arrays of hashes with counts, and passes on
-what it knows of contexts and continuations. Trigrams lie in the shard of the bigram they end in. Scoring tasks map the arrays into memory and look up
-the distinct words, bigrams and trigrams of a slice of text, in hash order.
+Words are told apart by 64-bit hashes and numbered by rank in hash order. Tasks count their part of the text and
+send each shard one packed row; a shard merges them and writes its n-grams as runs below their context: words and
+counts that follow a word, and below each two words which of those follow them. What a shard knows of words and of contexts that other
+shards share is added up in a second exchange. Scoring tasks map the arrays into memory and look up the distinct
+trigrams of some texts, in rank order.
 """
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from math import log10
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from nearfield.llm.files import open_fs, own_name
@@ -23,12 +25,13 @@ from nearfield.llm.substring import release
 from nearfield.llm.words import LOWER, find_words, hash_words, mix, slices, text_bytes
 from nearfield.session import cut_lineage, scratch_path
 
-BEGIN, END = np.uint64(0x1F83D9ABFB41BD6B), np.uint64(0x5BE0CD19137E2179)  # context of a first word; end of a text
+END = np.uint64(0x5BE0CD19137E2179)  # end of a text
 _JOIN = np.uint64(0x9E3779B97F4A7C15)
 FLUSH_TOKENS = 2_000_000
 SHARD_TOKENS = 2_000_000
+SCORE_TOKENS = 1_000_000  # looked up together
 MOST_BITS = 16
-WORD_FIELDS = ["count", "p", "total", "gamma"]
+LOW32 = np.uint64((1 << 32) - 1)
 
 
 def tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -45,94 +48,226 @@ def tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return out, bounds
 
 
-def contexts(words: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """The token before each token, ``BEGIN`` at the start of a text."""
-    out = np.empty_like(words)
-    out[1:] = words[:-1]
-    out[bounds[:-1]] = BEGIN
-    return out
+class _Texts:
+    """Tokens of some texts as numbers of their distinct words; the number after the last stands before a text."""
+
+    def __init__(self, parts: list[tuple[np.ndarray, np.ndarray]]):
+        sizes = np.cumsum([0] + [len(words) for words, _ in parts])
+        self.starts = np.concatenate([bounds[:-1] + at for (_, bounds), at in zip(parts, sizes.tolist())])
+        self.ids, self.w = np.unique(np.concatenate([words for words, _ in parts]), return_inverse=True)
+
+    def before(self, words: np.ndarray) -> np.ndarray:
+        """The word before each word."""
+        out = np.empty_like(words)
+        out[1:] = words[:-1]
+        out[self.starts] = len(self.ids)
+        return out
+
+    def grams(self, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Every token with the two words before it, the last first; at order 2 the farther one is 0."""
+        u = self.before(self.w)
+        return u, self.w, self.before(u) if order == 3 else np.zeros_like(u)
+
+
+def _keys(u: np.ndarray, w: np.ndarray, t: np.ndarray) -> tuple[np.ndarray, list[np.ndarray] | int]:
+    """One key for each triple of numbers below 2**32, in the order of the triples; what undoes it."""
+    u, w, t = (x.astype(np.uint64) for x in (u, w, t))
+    bits = max((int(x.max()).bit_length() for x in (u, w, t) if len(x)), default=0)
+    if 3 * bits <= 64:
+        return (u << np.uint64(2 * bits)) | (w << np.uint64(bits)) | t, bits
+    pairs, p = np.unique((u << np.uint64(32)) | w, return_inverse=True)
+    return (p.astype(np.uint64) << np.uint64(32)) | t, [pairs]
+
+
+def _unkeyed(key: np.ndarray, how: list[np.ndarray] | int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    if isinstance(how, list):
+        pair = how[0][(key >> np.uint64(32)).astype(np.int64)]
+        out = pair >> np.uint64(32), pair & LOW32, key & LOW32
+    else:
+        bits, low = np.uint64(how), np.uint64((1 << how) - 1)
+        out = key >> (bits + bits), (key >> bits) & low, key & low
+    return tuple(x.astype(np.int64) for x in out)
+
+
+def _first(*columns: np.ndarray) -> np.ndarray:
+    """Where a new combination of values begins."""
+    new = np.zeros(len(columns[0]), dtype=bool)
+    new[:1] = True
+    for c in columns:
+        new[1:] |= c[1:] != c[:-1]
+    return np.flatnonzero(new)
+
+
+def _sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
+    return np.add.reduceat(values, first, dtype=np.int64) if len(first) else np.zeros(0, dtype=np.int64)
+
+
+def _cut(shard: np.ndarray) -> Iterator[tuple[int, slice]]:
+    """Runs of equal shards."""
+    first = _first(shard)
+    for a, b in zip(first.tolist(), np.append(first[1:], len(shard)).tolist()):
+        yield int(shard[a]), slice(a, b)
 
 
 def pair_hash(u: np.ndarray, w: np.ndarray) -> np.ndarray:
-    return mix(u * _JOIN + w)
+    return mix(u.astype(np.uint64) * _JOIN + w.astype(np.uint64))
 
 
 def _shard(h: np.ndarray, bits: int) -> np.ndarray:
     return (h >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(h), dtype=np.int64)
 
 
-def _home(u: np.ndarray, pair: np.ndarray, hot: np.ndarray, bits: int) -> np.ndarray:
-    """Shard of a bigram: that of its context, but frequent contexts are spread by the bigram."""
-    return _shard(np.where(np.isin(u, hot), pair, mix(u)), bits)
+def _pack(*columns: np.ndarray) -> bytes:
+    """Columns of whole numbers, each in as many planes of bytes as its largest number needs."""
+    out = [struct.pack("<I", len(columns))]
+    for c in columns:
+        width = max(1, (int(c.max()).bit_length() + 7) // 8) if len(c) else 1
+        planes = np.ascontiguousarray(c, dtype="<u8").view(np.uint8).reshape(-1, 8)[:, :width].T
+        out += [struct.pack("<QI", len(c), width), planes.tobytes()]
+    return b"".join(out)
+
+
+def _unpack(data: bytes) -> list[np.ndarray]:
+    out, at = [], 4
+    for _ in range(struct.unpack_from("<I", data)[0]):
+        n, width = struct.unpack_from("<QI", data, at)
+        wide = np.zeros((n, 8), dtype=np.uint8)
+        wide[:, :width] = np.frombuffer(data, np.uint8, n * width, at + 12).reshape(width, n).T
+        out.append(wide.reshape(-1).view("<u8").astype(np.int64))
+        at += 12 + n * width
+    return out
 
 
-def _totals(ids: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Distinct ids in order, and the sums of ``values`` over each."""
-    order = np.argsort(ids, kind="stable")
-    ids = ids[order]
-    first = np.flatnonzero(np.append(True, ids[1:] != ids[:-1])) if len(ids) else np.zeros(0, dtype=np.int64)
-    return ids[first], *(np.add.reduceat(v[order], first) if len(ids) else v for v in values)
+def _unpacked(group: pa.Table) -> list[np.ndarray]:
+    """Columns of all packed rows, one behind the other."""
+    return [np.concatenate(c) for c in zip(*(_unpack(d) for d in group.column("data").to_pylist()))]
 
 
 def _write_array(folder: str, shard: int, columns: list[np.ndarray]) -> str:
-    """Columns of 8-byte numbers one behind the other, their length first."""
+    """Columns of unsigned numbers one behind the other, after their widths and lengths."""
     fs, base = open_fs(folder)
     fs.create_dir(base, recursive=True)
     name = own_name(folder, shard, 0, ".arr")
     with fs.open_output_stream(open_fs(name)[1]) as stream:
-        stream.write(np.array([len(columns[0])], dtype="<u8").tobytes())
-        for column in columns:
-            stream.write(np.ascontiguousarray(column).astype(column.dtype.newbyteorder("<")).tobytes())
+        head = [len(columns), *(x for c in columns for x in (c.dtype.itemsize, len(c)))]
+        stream.write(np.array(head, dtype="<u8").tobytes())
+        for c in columns:
+            stream.write(np.ascontiguousarray(c, dtype=c.dtype.newbyteorder("<")).tobytes())
+            stream.write(bytes(-c.nbytes % 8))
     return name
 
 
-class HashArray:
-    """A written array: keys sorted, values beside them; mapped where storage is mounted, else read."""
+def read_array(uri: str) -> list[np.ndarray]:
+    """Columns of a written array; mapped where storage is mounted, else read."""
+    fs, path = open_fs(uri)
+    if isinstance(fs, pafs.LocalFileSystem):
+        raw = np.memmap(path, dtype=np.uint8, mode="r").view(np.ndarray)
+    else:
+        with fs.open_input_file(path) as file:
+            raw = np.frombuffer(file.read(), dtype=np.uint8)
+    count = int(raw[:8].view("<u8")[0])
+    head, at, out = raw[8 : 8 + 16 * count].view("<u8").reshape(-1, 2), 8 + 16 * count, []
+    for width, n in head.tolist():
+        out.append(raw[at : at + width * n].view(f"<u{width}"))
+        at += width * n + -width * n % 8
+    return out
+
+
+def _counts(n: np.ndarray) -> list[np.ndarray]:
+    """Counts in a byte each; places and values of those that need more."""
+    large = np.flatnonzero(n >= 255)
+    return [np.minimum(n, 255).astype(np.uint8), large.astype(np.uint32), n[large].astype(np.uint64)]
+
 
-    def __init__(self, uri: str, kinds: list[str]):
-        fs, path = open_fs(uri)
-        if isinstance(fs, pafs.LocalFileSystem):
-            raw = np.memmap(path, dtype=np.uint8, mode="r")
-        else:
-            with fs.open_input_file(path) as file:
-                raw = np.frombuffer(file.read(), dtype=np.uint8)
-        n, at, self.columns = int(raw[:8].view("<u8")[0]), 8, []
-        for kind in kinds:
-            size = n * np.dtype(kind).itemsize
-            self.columns.append(raw[at : at + size].view(kind))
-            at += size
-        self.keys = self.columns[0]
+def _counts_at(columns: list[np.ndarray], at: np.ndarray) -> np.ndarray:
+    out = columns[0][at].astype(np.int64)
+    large = np.flatnonzero(out == 255)
+    out[large] = columns[2][np.searchsorted(columns[1], at[large])]
+    return out
+
+
+def _facts(facts: np.ndarray) -> list[np.ndarray]:
+    """Total of a context and words seen once, twice, more often (rows) in 4 bits each; places and values of larger ones."""
+    small = facts.max(axis=0, initial=0) < 15
+    code = np.where(small, (facts << np.array([[0], [4], [8], [12]])).sum(axis=0), 0xFFFF)
+    large = np.flatnonzero(~small)
+    return [code.astype(np.uint16), large.astype(np.uint32), facts[:, large].T.reshape(-1).astype(np.uint64)]
+
+
+def _facts_at(columns: list[np.ndarray], at: np.ndarray) -> np.ndarray:
+    code = columns[0][at].astype(np.int64)
+    out = (code >> np.array([[0], [4], [8], [12]])) & 15
+    large = np.flatnonzero(code == 0xFFFF)
+    out[:, large] = columns[2].reshape(-1, 4)[np.searchsorted(columns[1], at[large])].T
+    return out
+
+
+def _places(starts: np.ndarray) -> list[np.ndarray]:
+    """Ascending places in two bytes each, and where the bytes above begin to grow."""
+    return [(starts & 0xFFFF).astype(np.uint16), np.repeat(np.arange(len(starts)), np.diff(starts >> 16, prepend=0)).astype(np.uint32)]
 
-    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """For sorted ``keys``: whether each is there, and where."""
-        if not len(self.keys):
-            return np.zeros(len(keys), dtype=bool), np.zeros(len(keys), dtype=np.int64)
-        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return self.keys[at] == keys, at
 
+def _places_at(columns: list[np.ndarray], at: np.ndarray) -> np.ndarray:
+    return (np.searchsorted(columns[1], at, side="right") << 16) | columns[0][at].astype(np.int64)
 
-PAIR_KINDS = ["<u8", "<u4"]
-WORD_KINDS = ["<u8", "<f8", "<f8", "<f8", "<f8"]
-CONTEXT_KINDS = ["<u8", "<u4", "<u4", "<u4", "<u4"]  # context, total, words seen once, twice, more often
+
+def _within(values: np.ndarray, low: np.ndarray, end: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether each wanted value is in its sorted run of ``values``, and where."""
+    low, high = low.astype(np.int64), end.astype(np.int64)
+    active = np.flatnonzero(low < high)
+    a, b, want = low[active], high[active], wanted[active]
+    while len(active):
+        middle = (a + b) >> 1
+        below = values[middle] < want
+        a, b = np.where(below, middle + 1, a), np.where(below, b, middle)
+        low[active] = a
+        going = a < b
+        active, a, b, want = active[going], a[going], b[going], want[going]
+    there = np.flatnonzero(low < end)
+    found = np.zeros(len(low), dtype=bool)
+    found[there] = values[low[there]] == wanted[there]
+    return found, low
 
 
 @dataclass
 class BigramModel:
     """Where the arrays of each shard lie, and the few numbers all scores share."""
 
-    pairs: dict[int, str]
-    words: dict[int, str]
+    order: int
     bits: int
-    hot: np.ndarray
-    discounts: tuple[float, float, float]
     train_tokens: int
     vocabulary: int
-    p_unknown: float
-    order: int = 2
-    triples: dict[int, str] | None = None
-    near: dict[int, str] | None = None  # contexts of two words, in the shard of their second
-    spread: dict[int, str] | None = None  # those whose second word is frequent, by their own hash
+    ids: dict[int, str]  # hashes and counts of words
+    base: np.ndarray  # rank of each shard's first word
+    hot: np.ndarray  # ranks of frequent words
+    words: dict[int, str] = field(default_factory=dict)
+    grams: dict[int, str] = field(default_factory=dict)
+    spread: dict[int, str] = field(default_factory=dict)  # contexts of two words, the second a frequent one
+    low: tuple[float, float, float] = (0.5, 1.0, 1.5)
+    discounts: tuple[float, float, float] = (0.5, 1.0, 1.5)
     triple_discounts: tuple[float, float, float] = (0.5, 1.0, 1.5)
+    every: int = 0  # distinct bigrams
+    p_unknown: float = 1.0
+
+    @property
+    def begin(self) -> int:
+        """Rank of what stands before a text; one more is that of unknown words."""
+        return self.vocabulary
+
+    @property
+    def kind(self) -> type:
+        return np.uint32 if self.vocabulary + 1 < 1 << 32 else np.uint64
+
+    def home(self, ranks: np.ndarray) -> np.ndarray:
+        """Shard of each word."""
+        return np.minimum(np.searchsorted(self.base, ranks, side="right"), 1 << self.bits) - 1
+
+    def spread_by(self, shard: np.ndarray, u: np.ndarray, w: np.ndarray) -> np.ndarray:
+        """Shards of bigrams, given those of their contexts: frequent contexts are spread by the bigram."""
+        if len(self.hot):
+            often = np.flatnonzero(np.isin(u, self.hot))
+            shard[often] = _shard(pair_hash(u[often], w[often]), self.bits)
+        return shard
 
 
 def _discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]:
@@ -144,8 +279,12 @@ def _discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]
     return tuple(d if 0 < d < k else k / 2 for k, d in enumerate(found, 1))
 
 
-def _signed(a: np.ndarray) -> pa.Array:
-    return pa.array(a.view(np.int64))
+def _of_counts(n: np.ndarray) -> list[int]:
+    return [int((n == k).sum()) for k in (1, 2, 3, 4)]
+
+
+def _context_facts(n: np.ndarray, first: np.ndarray) -> np.ndarray:
+    return np.stack([_sums(x, first) for x in (n, n == 1, n == 2, n > 2)])
 
 
 def fit_bigrams(docs: DataFrame, text: str = "text", shard_tokens: int = SHARD_TOKENS) -> BigramModel:
@@ -153,43 +292,35 @@ def fit_bigrams(docs: DataFrame, text: str = "text", shard_tokens: int = SHARD_T
     return fit_ngrams(docs, text, 2, shard_tokens)
 
 
-def _u4(a: np.ndarray) -> np.ndarray:
-    if len(a) and a.max() > np.iinfo(np.uint32).max:
-        raise OverflowError("a count of the model exceeds 32 bits")
-    return a.astype(np.uint32)
-
-
 def fit_ngrams(docs: DataFrame, text: str = "text", order: int = 3, shard_tokens: int = SHARD_TOKENS) -> BigramModel:
     """Count all rows of ``docs`` and write the model of order 2 or 3 below the shared folder.
 
     Null texts are empty; each text adds one end token. Every word, bigram and trigram is kept. At order 3
     bigrams count the different words before them; those that begin a text have none and keep their
     counts, and the first word of a text is scored by its bigram. The driver holds a few
-    paths per shard (about ``shard_tokens`` tokens) and at most four frequent contexts per shard.
+    paths per shard (about ``shard_tokens`` tokens) and at most two frequent contexts per shard.
     """
     if order not in (2, 3):
         raise ValueError("order must be 2 or 3")
     spark = docs.sparkSession
     texts = docs.select(F.col(text).alias("t"))
 
-    def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def batches_of_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[np.ndarray, np.ndarray]]]:
         held, size = [], 0
-
-        def flush() -> pa.RecordBatch:
-            words = np.concatenate(held)
-            held.clear()
-            ids, n = _totals(words, np.ones(len(words), dtype=np.int64))
-            return pa.RecordBatch.from_arrays([_signed(ids), pa.array(n)], names=["id", "n"])
-
         for batch in batches:
             for part in slices(batch, "t"):
-                held.append(tokens(part.column("t"))[0])
-                size += len(held[-1])
+                held.append(tokens(part.column("t")))
+                size += len(held[-1][0])
                 if size >= FLUSH_TOKENS:
-                    yield flush()
-                    size = 0
+                    yield held
+                    held, size = [], 0
         if held:
-            yield flush()
+            yield held
+
+    def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for held in batches_of_tokens(batches):
+            ids, n = np.unique(np.concatenate([words for words, _ in held]), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(ids.view(np.int64)), pa.array(n)], names=["id", "n"])
 
     unigrams = texts.mapInArrow(count_words, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
     unigrams = cut_lineage(unigrams, "unigrams")
@@ -197,243 +328,236 @@ def fit_ngrams(docs: DataFrame, text: str = "text", order: int = 3, shard_tokens
     train, vocabulary = unigrams.agg(F.sum("n"), F.count(F.lit(1))).first()
     train = train or 0
     bits = min(MOST_BITS, max(0, (max(1, train) // shard_tokens).bit_length()))
-    frequent = unigrams.where(F.col("n") > train / (4 << bits)).select("id").collect()  # at most 4 per shard
-    hot = np.append(np.array([r.id for r in frequent], dtype=np.int64).view(np.uint64), BEGIN)
-
-    def count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
+    often = train / (2 << bits) if bits else train
+    id_folder = scratch_path(spark, "ids")
+
+    def store_ids(key: tuple, group: pa.Table) -> pa.Table:
+        ids, n = (group.column(c).to_numpy() for c in ("id", "n"))
+        at = np.argsort(ids.view(np.uint64))
+        ids, n = ids.view(np.uint64)[at], n[at]
+        hot = np.flatnonzero(n > often)  # at most two a shard, on average
+        path = _write_array(id_folder, key[0].as_py(), [ids, *_counts(n)])
+        return pa.table({
+            "shard": [key[0].as_py()], "path": [path], "size": [len(ids)],
+            "hot": [hot.tolist()], "ends": [bool((ids[hot] == END).any())],
+        }).cast(pa.schema([("shard", pa.int64()), ("path", pa.string()), ("size", pa.int64()), ("hot", pa.list_(pa.int64())), ("ends", pa.bool_())]))
+
+    shard = F.shiftrightunsigned("id", 64 - bits) if bits else F.lit(0).cast("long")
+    listed = unigrams.withColumn("shard", shard).groupBy("shard")
+    listed = listed.applyInArrow(store_ids, "shard long, path string, size long, hot array<long>, ends boolean").collect()
+    release(spark)
+    sizes = np.zeros(1 << bits, dtype=np.int64)
+    sizes[[r.shard for r in listed]] = [r.size for r in listed]
+    base = np.cumsum(sizes) - sizes
+    hot = [int(base[r.shard]) + at for r in listed for at in r.hot] + [vocabulary] * any(r.ends for r in listed)
+    model = BigramModel(order, bits, train, vocabulary, {r.shard: r.path for r in listed}, base, np.array(hot, dtype=np.int64))
 
-        def flush() -> pa.RecordBatch:
-            t, u, w = (np.concatenate(x) for x in zip(*held))
+    def count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reader = _Reader(model)
+        for held in batches_of_tokens(batches):
+            some = _Texts(held)
             held.clear()
-            triple = pair_hash(pair_hash(t, u), w)
-            at = np.argsort(triple, kind="stable")
-            first = np.flatnonzero(np.append(True, np.diff(triple[at]) != 0))
-            n = np.diff(np.append(first, len(triple))).astype(np.uint32)
-            t, u, w = (x[at][first] for x in (t, u, w))
-            shard = _home(u, pair_hash(u, w), hot, bits)
-            at = np.lexsort((t, w, u, shard))
-            t, u, w, n, shard = t[at], u[at], w[at], n[at], shard[at]
-            cuts = np.append(np.flatnonzero(np.append(True, np.diff(shard) != 0)), len(shard))
-            rows = []
-            for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-                v, x = u[a:b], w[a:b]
-                new = np.append(True, np.diff(v) != 0)
-                starts, pairs = np.flatnonzero(new), np.flatnonzero(new | np.append(True, np.diff(x) != 0))
-                runs, sizes = (np.diff(np.append(p, b - a)).astype(np.uint32) for p in (starts, pairs))
-                columns = (v[starts], runs, x[pairs], sizes, n[a:b], t[a:b] if order == 3 else t[:0])
-                rows.append((int(shard[a]), *(c.tobytes() for c in columns)))
-            kinds = [pa.int64()] + [pa.binary()] * 6
-            return pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["shard", "u", "runs", "w", "sizes", "n", "t"]
-            )
-
-        for batch in batches:
-            for part in slices(batch, "t"):
-                words, bounds = tokens(part.column("t"))
-                before = contexts(words, bounds)
-                held.append((contexts(before, bounds) if order == 3 else np.zeros_like(words), before, words))
-                size += len(words)
-                if size >= FLUSH_TOKENS:
-                    yield flush()
-                    size = 0
-        if held:
-            yield flush()
-
-    folder = scratch_path(spark, "bigrams")
-    triple_folder, near_folder, spread_folder = (scratch_path(spark, x) for x in ("trigrams", "contexts", "frequent"))
+            key, how = _keys(*some.grams(order))
+            key.sort()
+            first = _first(key)
+            n = np.diff(np.append(first, len(key)))
+            u, w, t = _unkeyed(key[first], how)
+            ranks = np.append(reader.ranks(some.ids)[0], model.begin)
+            u, w, t = ranks[u], ranks[w], ranks[t] if order == 3 else t
+            shard = model.spread_by(model.home(u), u, w)
+            if len(model.hot):
+                at = np.argsort(shard.astype(np.uint16), kind="stable")
+                u, w, t, n, shard = u[at], w[at], t[at], n[at], shard[at]
+            shards, rows = [], []
+            for number, part in _cut(shard):
+                v, x = u[part], w[part]
+                starts, pairs = _first(v), _first(v, x)
+                of = np.diff(np.append(np.searchsorted(pairs, starts), len(pairs)))
+                shards.append(number)
+                rows.append(_pack(v[starts], of, x[pairs], np.diff(np.append(pairs, len(v))), n[part], t[part] if order == 3 else t[:0]))
+            yield pa.RecordBatch.from_arrays([pa.array(shards, pa.int64()), pa.array(rows, pa.binary())], names=["shard", "data"])
+
+    gram_folder, spread_folder, word_folder = (scratch_path(spark, x) for x in ("grams", "frequent", "words"))
 
     def merge(key: tuple, group: pa.Table) -> pa.Table:
-        """N-grams of a shard: array files; rows of kind 1 (contexts), 2 (continuations), 0 (the shard), and at
-        order 3 of kind 3 (contexts that other shards know too), 4 and 5 (the files of trigrams and their contexts)."""
-        ts, us, ws, ns = [], [], [], []
-        for u, runs, w, sizes, n, t in zip(*(group.column(c).to_pylist() for c in ("u", "runs", "w", "sizes", "n", "t"))):
-            us.append(np.repeat(np.frombuffer(u, np.uint64), np.frombuffer(runs, np.uint32)))
-            ws.append(np.repeat(np.frombuffer(w, np.uint64), np.frombuffer(sizes, np.uint32)))
-            ns.append(np.frombuffer(n, np.uint32))
-            ts.append(np.frombuffer(t, np.uint64))
-        u, w, n = np.concatenate(us), np.concatenate(ws), np.concatenate(ns).astype(np.int64)
-        number, longer = key[0].as_py(), []
+        """N-grams of a shard, written; rows of kind 0 (the shard) and, packed for other shards, of kind 1 (contexts of one
+        word), 2 (how many words come before a word) and 3 (contexts of two words that other shards know too)."""
+        number = key[0].as_py()
+        parts: list[list[np.ndarray]] = [[], [], [], []]
+        for data in group.column("data").to_pylist():
+            v, of, x, sizes, n, t = _unpack(data)
+            for held, column in zip(parts, (np.repeat(np.repeat(v, of), sizes), np.repeat(x, sizes), t if order == 3 else np.zeros(len(n), np.int64), n)):
+                held.append(column)
+        (us, u), (ws, w), (ts, t) = (np.unique(np.concatenate(p), return_inverse=True) for p in parts[:3])
+        n = np.concatenate(parts[3])
+        parts.clear()
+        gram, how = _keys(u, w, t)
+        at = np.argsort(gram)
+        gram = gram[at]
+        first = _first(gram)
+        n = _sums(n[at], first)
+        u, w, t = _unkeyed(gram[first], how)
+        del gram, at
+        pairs = _first(u, w)
+        pair_u, pair_w = u[pairs], w[pairs]
+        begins = us[u] == model.begin
+        pair_n = _sums(n, pairs) if order == 2 else np.where(begins[pairs], n[pairs], np.diff(np.append(pairs, len(u))))
+        start = np.searchsorted(pair_u, np.arange(len(us) + 1))
+        facts = _context_facts(pair_n, start[:-1])
+        kind = model.kind
+        columns = [us.astype(kind), start.astype(np.uint32), ws[pair_w].astype(kind), *_counts(pair_n)]
+        rows = [(1, shard, _pack(us[part], *facts[:, part])) for shard, part in _cut(model.home(us))]
+        lefts = np.bincount(pair_w, minlength=len(ws))
+        rows += [(2, shard, _pack(ws[part], lefts[part])) for shard, part in _cut(model.home(ws))]
+        longer = [0] * 4
         if order == 3:
-            t = np.concatenate(ts)
-            triple = pair_hash(pair_hash(t, u), w)
-            at = np.argsort(triple, kind="stable")
-            triple = triple[at]
-            first = np.flatnonzero(np.append(True, np.diff(triple) != 0))
-            n = np.add.reduceat(n[at], first)
-            triple, t, u, w = triple[first], t[at][first], u[at][first], w[at][first]
-            inner = u != BEGIN
-            m = n[inner]
-            counts = [int((m == k).sum()) for k in (1, 2, 3, 4)]
-            longer.append((4, number, *counts, _write_array(triple_folder, number, [triple[inner], _u4(m)])))
-            shared = np.isin(u[inner], hot)
-            facts = (m, *((x).astype(np.int64) for x in (m == 1, m == 2, m > 2)))
-            own = _totals(pair_hash(t, u)[inner][~shared], *(x[~shared] for x in facts))
-            longer.append((5, number, 0, 0, 0, 0, _write_array(near_folder, number, [own[0], *map(_u4, own[1:])])))
-            split = _totals(pair_hash(t, u)[inner][shared], *(x[shared] for x in facts))
-            n = np.where(inner, 1, n)
-        pair = pair_hash(u, w)
-        at = np.argsort(pair, kind="stable")
-        pair = pair[at]
-        first = np.flatnonzero(np.append(True, np.diff(pair) != 0))
-        n = np.add.reduceat(n[at], first)
-        pair, u, w = pair[first], u[at][first], w[at][first]
-        path = _write_array(folder, number, [pair, _u4(n)])
-        of = [(n == k).astype(np.int64) for k in (1, 2, 3, 4)]
-        context, total, one, two = _totals(u, n, of[0], of[1])
-        more = _totals(u, (n > 2).astype(np.int64))[1]
-        follower, lefts = _totals(w, np.ones(len(w), dtype=np.int64))
-        size, zeros = len(context) + len(follower) + 1, np.zeros(len(follower), dtype=np.int64)
-
-        def column(a: np.ndarray, b: np.ndarray, c: int) -> pa.Array:
-            return pa.array(np.concatenate([a, b, [c]]).astype(np.int64))
-
-        kinds = np.repeat([1, 2, 0], [len(context), len(follower), 1])
-        names = ["kind", "id", "a", "b", "c", "d", "path"]
-        out = pa.table({
-            "kind": pa.array(kinds, pa.int32()),
-            "id": column(context.view(np.int64), follower.view(np.int64), number),
-            "a": column(total, lefts, of[0].sum()),
-            "b": column(one, zeros, of[1].sum()),
-            "c": column(two, zeros, of[2].sum()),
-            "d": column(more, zeros, of[3].sum()),
-            "path": pa.array([None] * (size - 1) + [path], pa.string()),
-        })
-        if order == 2:
-            return out
-        files = pa.table([pa.array(c, k) for c, k in zip(zip(*longer), out.schema.types)], names=names)
-        columns = [_signed(split[0]), *map(pa.array, split[1:])]
-        count = len(split[0])
-        parts = pa.table([pa.array(np.full(count, 3), pa.int32()), *columns, pa.nulls(count, pa.string())], names=names)
-        return pa.concat_tables([out, files, parts])
-
-    packed = texts.mapInArrow(count_pairs, "shard long, u binary, runs binary, w binary, sizes binary, n binary, t binary")
-    known = packed.groupBy("shard").applyInArrow(merge, "kind int, id long, a long, b long, c long, d long, path string")
+            inner = np.flatnonzero(~begins)
+            follower = np.repeat(np.arange(len(pairs)), np.diff(np.append(pairs, len(u)))) - start[u]
+            u, t, follower, n = u[inner], t[inner], follower[inner], n[inner]
+            longer = _of_counts(n)
+            at = np.argsort(_keys(u, t, follower)[0])
+            u, t, follower, n = u[at], t[at], follower[at], n[at]
+            of = _first(u, t)
+            facts, left, right = _context_facts(n, of), ts[t[of]], us[u[of]]
+            columns += [
+                np.searchsorted(u[of], np.arange(len(us) + 1)).astype(np.uint32), left.astype(kind), *_facts(facts),
+                *_places(np.append(of, len(n))), follower.astype(np.uint16 if follower.max(initial=0) < 1 << 16 else np.uint32), *_counts(n),
+            ]
+            if len(model.hot):
+                at = np.flatnonzero(np.isin(right, model.hot))
+                to = _shard(pair_hash(right[at], left[at]), bits)
+                by = np.argsort(to, kind="stable")
+                at, to = at[by], to[by]
+                rows += [(3, shard, _pack(right[at[part]], left[at[part]], *facts[:, at[part]])) for shard, part in _cut(to)]
+        path = _write_array(gram_folder, number, columns)
+        kinds, shards, data = zip(*rows, (0, number, None))
+        out = {"kind": pa.array(kinds, pa.int32()), "shard": pa.array(shards, pa.int64()), "data": pa.array(data, pa.binary())}
+        nones = [None] * len(rows)
+        out["path"] = pa.array([*nones, path], pa.string())
+        out["counts"] = pa.array([*nones, [*_of_counts(pair_n), *longer]], pa.list_(pa.int64()))
+        return pa.table(out)
+
+    packed = texts.mapInArrow(count_grams, "shard long, data binary")
+    known = packed.groupBy("shard").applyInArrow(merge, "kind int, shard long, data binary, path string, counts array<long>")
     known = cut_lineage(known, "merged")
     del packed
     release(spark)
-    shards = known.where("kind = 0").collect()  # one row per shard
-    discounts = _discounts(*(sum(r[c] for r in shards) for c in "abcd"))
-    extra = {"order": order}
-    if order == 3:
-        triples, near = known.where("kind = 4").collect(), known.where("kind = 5").collect()
-
-        def store_contexts(key: tuple, group: pa.Table) -> pa.Table:
-            ids = group.column("id").to_numpy().view(np.uint64)
-            at = np.argsort(ids)
-            columns = [ids[at], *(_u4(group.column(c).to_numpy()[at]) for c in "abcd")]
-            return pa.table({"shard": [key[0].as_py()], "path": [_write_array(spread_folder, key[0].as_py(), columns)]})
-
-        split = known.where("kind = 3").groupBy("id").agg(*[F.sum(c).alias(c) for c in "abcd"])
-        split = split.withColumn("shard", F.shiftrightunsigned("id", 64 - bits) if bits else F.lit(0).cast("long"))
-        split = split.groupBy("shard").applyInArrow(store_contexts, "shard long, path string")
-        split = cut_lineage(split, "frequent").collect()
-        release(spark)
-        extra |= {
-            "triples": {r.id: r.path for r in triples},
-            "near": {r.id: r.path for r in near},
-            "spread": {r.shard: r.path for r in split},
-            "triple_discounts": _discounts(*(sum(r[c] for r in triples) for c in "abcd")),
-        }
-
-    tagged = unigrams.selectExpr("id", "n count", "0L lefts", "0L total", "0L one", "0L two", "0L more")
-    tagged = tagged.unionByName(known.where("kind = 1").selectExpr("id", "0L count", "0L lefts", "a total", "b one", "c two", "d more"))
-    tagged = tagged.unionByName(known.where("kind = 2").selectExpr("id", "0L count", "a lefts", "0L total", "0L one", "0L two", "0L more"))
-    names = ["count", "lefts", "total", "one", "two", "more"]
-    words = cut_lineage(tagged.groupBy("id").agg(*[F.sum(c).alias(c) for c in names]), "words")
-    release(spark)
-    facts = words.agg(
-        F.sum("lefts").alias("all"),
-        *[F.count_if(F.col("lefts") == k).alias(f"n{k}") for k in (1, 2, 3, 4)],
-        F.count_if(F.col("lefts") > 2).alias("more"),
-    ).first()
-    low = _discounts(facts.n1, facts.n2, facts.n3, facts.n4)
-    every = facts["all"] or 0
-    spare = (low[0] * facts.n1 + low[1] * facts.n2 + low[2] * facts.more) / every if every else 1.0
-    p_unknown = spare / (vocabulary + 1)
-
-    def discount(count: Column, by: tuple[float, float, float]) -> Column:
-        return F.when(count == 1, by[0]).when(count == 2, by[1]).when(count > 2, by[2]).otherwise(0.0)
-
-    gamma = (discounts[0] * F.col("one") + discounts[1] * F.col("two") + discounts[2] * F.col("more")) / F.col("total")
-    entries = words.select(
-        F.shiftrightunsigned("id", 64 - bits).alias("shard") if bits else F.lit(0).cast("long").alias("shard"),
-        "id",
-        F.col("count").cast("double").alias("count"),
-        ((F.col("lefts") - discount(F.col("lefts"), low)) / F.lit(float(max(every, 1))) + F.lit(p_unknown)).alias("p"),
-        F.col("total").cast("double").alias("total"),
-        F.when(F.col("total") > 0, gamma).otherwise(1.0).alias("gamma"),
-    )
-    word_folder = scratch_path(spark, "words")
-
-    def store(key: tuple, group: pa.Table) -> pa.Table:
-        ids = group.column("id").to_numpy().view(np.uint64)
-        order = np.argsort(ids)
-        columns = [ids[order], *(group.column(c).to_numpy()[order] for c in WORD_FIELDS)]
-        return pa.table({"shard": [key[0].as_py()], "path": [_write_array(word_folder, key[0].as_py(), columns)]})
-
-    stored = cut_lineage(entries.groupBy("shard").applyInArrow(store, "shard long, path string"), "stored").collect()
+    shards = known.where("kind = 0").select("shard", "path", "counts").collect()  # one row per shard
+    model.grams = {r.shard: r.path for r in shards}
+    found = np.array([r.counts for r in shards], dtype=np.int64).reshape(-1, 8).sum(axis=0).tolist()
+    model.discounts, model.triple_discounts = _discounts(*found[:4]), _discounts(*found[4:])
+
+    def store_words(key: tuple, group: pa.Table) -> pa.Table:
+        number = key[0].as_py()
+        last = number + 1 == 1 << bits
+        lefts = np.zeros((vocabulary + 1 if last else base[number + 1]) - base[number], dtype=np.int64)
+        facts = np.zeros((4, len(lefts)), dtype=np.int64)
+        for kind, data in zip(group.column("kind").to_pylist(), group.column("data").to_pylist()):
+            ranks, *more = _unpack(data)
+            if kind == 1:
+                facts[:, ranks - base[number]] += np.array(more)
+            else:
+                lefts[ranks - base[number]] += more[0]
+        path = _write_array(word_folder, number, [*_counts(lefts), *_facts(facts)])
+        counts = [int(lefts.sum()), *_of_counts(lefts), int((lefts > 2).sum())]
+        return pa.table({"shard": pa.array([number], pa.int64()), "path": [path], "counts": pa.array([counts], pa.list_(pa.int64()))})
+
+    words = known.where("kind IN (1, 2)").select("shard", "kind", "data").groupBy("shard")
+    words = words.applyInArrow(store_words, "shard long, path string, counts array<long>").collect()
+    model.words = {r.shard: r.path for r in words}
+    model.every, *of, more = np.array([r.counts for r in words], dtype=np.int64).reshape(-1, 6).sum(axis=0).tolist()
+    model.low = _discounts(*of)
+    spare = (model.low[0] * of[0] + model.low[1] * of[1] + model.low[2] * more) / model.every if model.every else 1.0
+    model.p_unknown = spare / (vocabulary + 1)
+
+    def store_contexts(key: tuple, group: pa.Table) -> pa.Table:
+        right, left, *facts = _unpacked(group)
+        at = np.lexsort((left, right))
+        right, left = right[at], left[at]
+        first = _first(right, left)
+        facts = np.stack([_sums(f[at], first) for f in facts])
+        right, left = right[first], left[first]
+        us = np.unique(right)
+        start = np.searchsorted(right, np.append(us, us[-1:] + 1))
+        path = _write_array(spread_folder, key[0].as_py(), [us.astype(model.kind), start.astype(np.uint32), left.astype(model.kind), *_facts(facts)])
+        return pa.table({"shard": pa.array([key[0].as_py()], pa.int64()), "path": [path]})
+
+    if order == 3 and len(model.hot):
+        shared = known.where("kind = 3").select("shard", "data").groupBy("shard")
+        model.spread = {r.shard: r.path for r in shared.applyInArrow(store_contexts, "shard long, path string").collect()}
     release(spark)
-    return BigramModel(
-        {r.id: r.path for r in shards}, {r.shard: r.path for r in stored}, bits, hot, discounts, train, vocabulary, p_unknown, **extra
-    )
+    return model
 
 
 class _Reader:
-    """Looks up sorted distinct hashes in the shards of a model."""
+    """Looks up words and n-grams in the shards of a model."""
 
     def __init__(self, model: BigramModel):
         self.model, self._open = model, {}
 
-    def _array(self, paths: dict[int, str], shard: int, kinds: list[str]) -> HashArray | None:
-        path = paths.get(shard)
-        if path is not None and path not in self._open:
-            self._open[path] = HashArray(path, kinds)
-        return self._open.get(path)
-
-    def _visit(self, paths: dict[int, str], kinds: list[str], shard: np.ndarray, keys: np.ndarray):
-        order = np.lexsort((keys, shard))
-        cuts = np.append(np.flatnonzero(np.append(True, np.diff(shard[order]) != 0)), len(keys))
-        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-            own = order[a:b]
-            if (array := self._array(paths, int(shard[own[0]]), kinds)) is not None:
-                there, at = array.find(keys[own])
-                yield own[there], at[there], array
-
-    def words(self, ids: np.ndarray) -> dict[str, np.ndarray]:
-        m = self.model
-        out = {"count": np.zeros(len(ids)), "p": np.full(len(ids), m.p_unknown), "total": np.zeros(len(ids)), "gamma": np.ones(len(ids))}
-        for own, at, array in self._visit(m.words, WORD_KINDS, _shard(ids, m.bits), ids):
-            for name, column in zip(WORD_FIELDS, array.columns[1:]):
-                out[name][own] = column[at]
-        return out
-
-    def pairs(self, u: np.ndarray, pair: np.ndarray) -> np.ndarray:
+    def _visit(self, paths: dict[int, str], shard: np.ndarray) -> Iterator[tuple[np.ndarray, list[np.ndarray]]]:
+        """Each shard's columns, and which of the keys belong to it."""
+        order = np.argsort(shard.astype(np.uint16), kind="stable")
+        for number, part in _cut(shard[order]):
+            if (path := paths.get(number)) is not None:
+                if path not in self._open:
+                    self._open[path] = read_array(path)
+                yield order[part], self._open[path]
+
+    def ranks(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ranks and counts of words, given their sorted hashes."""
         m = self.model
-        out = np.zeros(len(pair), dtype=np.int64)
-        for own, at, array in self._visit(m.pairs, PAIR_KINDS, _home(u, pair, m.hot, m.bits), pair):
-            out[own] = array.columns[1][at]
-        return out
-
-    def triples(self, u: np.ndarray, w: np.ndarray, triple: np.ndarray) -> np.ndarray:
-        """Counts of trigrams that end in ``u w``."""
+        ranks, counts, shard = np.full(len(ids), m.begin + 1), np.zeros(len(ids), dtype=np.int64), _shard(ids, m.bits)
+        for own, (keys, *n) in self._visit(m.ids, shard):
+            at = np.minimum(np.searchsorted(keys, ids[own]), len(keys) - 1)
+            there = keys[at] == ids[own]
+            own, at = own[there], at[there]
+            ranks[own], counts[own] = at + m.base[shard[own[:1]]], _counts_at(n, at)
+        return ranks, counts
+
+    def words(self, ranks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """How many words come before each, and the facts of each as a context."""
         m = self.model
-        out = np.zeros(len(triple), dtype=np.int64)
-        for own, at, array in self._visit(m.triples, PAIR_KINDS, _home(u, pair_hash(u, w), m.hot, m.bits), triple):
-            out[own] = array.columns[1][at]
-        return out
-
-    def contexts(self, u: np.ndarray, context: np.ndarray) -> np.ndarray:
-        """Total, and words seen once, twice and more often, after contexts that end in ``u``: one column each."""
+        lefts, facts = np.zeros(len(ranks), dtype=np.int64), np.zeros((4, len(ranks)), dtype=np.int64)
+        known = np.flatnonzero(ranks <= m.begin)
+        shard = m.home(ranks[known])
+        for own, columns in self._visit(m.words, shard):
+            at = ranks[known[own]] - m.base[shard[own[0]]]
+            lefts[known[own]], facts[:, known[own]] = _counts_at(columns[:3], at), _facts_at(columns[3:], at)
+        return lefts, facts
+
+    def grams(self, u: np.ndarray, w: np.ndarray, t: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Counts of bigrams ``u w`` and of trigrams ``t u w``, and the facts of the contexts ``t u``."""
         m = self.model
-        out = np.zeros((4, len(context)))
-        hot = np.isin(u, m.hot)
-        for paths, of, shard in ((m.near, ~hot, mix(u)), (m.spread, hot, context)):
-            pick = np.flatnonzero(of)
-            if len(pick):
-                for own, at, array in self._visit(paths, CONTEXT_KINDS, _shard(shard[pick], m.bits), context[pick]):
-                    out[:, pick[own]] = [c[at] for c in array.columns[1:]]
-        return out
+        two, three, facts = np.zeros(len(u), dtype=np.int64), np.zeros(len(u), dtype=np.int64), np.zeros((4, len(u)), dtype=np.int64)
+        for own, (us, start, ws, *rest) in self._visit(m.grams, m.spread_by(m.home(u), u, w)):
+            own, at = self._contexts(own, us, u)
+            low = start[at].astype(np.int64)
+            pair, place = _within(ws, low, start[at + 1], w[own])
+            two[own[pair]] = _counts_at(rest[:3], place[pair])
+            if m.order == 3:
+                begin, left, *rest = rest[3:]
+                context, of = _within(left, begin[at], begin[at + 1], t[own])
+                facts[:, own[context]] = _facts_at(rest[:3], of[context])
+                both = np.flatnonzero(pair & context)
+                run = [_places_at(rest[3:5], of[both] + i) for i in (0, 1)]
+                there, where = _within(rest[5], *run, place[both] - low[both])
+                three[own[both[there]]] = _counts_at(rest[6:], where[there])
+        if m.order == 3 and len(m.hot):
+            hot = np.flatnonzero(np.isin(u, m.hot))
+            facts[:, hot] = 0  # a shard knows only its part
+            for own, (us, start, left, *rest) in self._visit(m.spread, _shard(pair_hash(u[hot], t[hot]), m.bits)):
+                own, at = self._contexts(hot[own], us, u)
+                there, place = _within(left, start[at], start[at + 1], t[own])
+                facts[:, own[there]] = _facts_at(rest, place[there])
+        return two, three, facts
+
+    @staticmethod
+    def _contexts(own: np.ndarray, us: np.ndarray, u: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Those of ``own`` whose word is in ``us``, and where."""
+        at = np.minimum(np.searchsorted(us, u[own].astype(us.dtype)), len(us) - 1)
+        there = us[at] == u[own]
+        return own[there], at[there]
 
 
 def score_texts(docs: DataFrame, model: BigramModel, key: str = "doc_id", text: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -447,42 +571,52 @@ def score_texts(docs: DataFrame, model: BigramModel, key: str = "doc_id", text:
     inner = [f"_c{i}" for i in range(len(keep))]
     picked = docs.select(*[F.col(c).alias(i) for c, i in zip(keep, inner)], F.col(text).alias("_text"))
     base = log10(model.train_tokens + model.vocabulary + 1)
-    d = np.array([0.0, *model.discounts])
-    d3 = np.array([0.0, *model.triple_discounts])
+    low, middle, high = (np.array([0.0, *d]) for d in (model.low, model.discounts, model.triple_discounts))
+
+    def probabilities(reader: _Reader, ranks: np.ndarray, u: np.ndarray, w: np.ndarray, t: np.ndarray) -> np.ndarray:
+        """Of distinct trigrams, given as places in ``ranks``."""
+        lefts, (total, *seen) = reader.words(ranks)
+        one = (lefts - low[np.minimum(lefts, 3)]) / max(model.every, 1) + model.p_unknown
+        gamma = np.where(total > 0, middle[1:] @ np.array(seen) / np.maximum(total, 1), 1.0)
+        n, longer, (of, *seen) = reader.grams(ranks[u], ranks[w], ranks[t])
+        p = gamma[u] * one[w] + (n - middle[np.minimum(n, 3)]) / np.maximum(total[u], 1)
+        if model.order == 2:
+            return p
+        return np.where(of > 0, (longer - high[np.minimum(longer, 3)] + (high[1:] @ np.array(seen)) * p) / np.maximum(of, 1), p)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = _Reader(model)
+        reader, held, kept = _Reader(model), [], []
+
+        def flush() -> pa.RecordBatch:
+            some = _Texts(held)
+            gram, how = _keys(*some.grams(model.order))
+            gram, back = np.unique(gram, return_inverse=True)
+            ranks, count = reader.ranks(some.ids)
+            p = np.log10(probabilities(reader, np.append(ranks, model.begin), *_unkeyed(gram, how)))
+            sizes = np.diff(np.append(some.starts, len(some.w)))
+            columns = [
+                pa.array(sizes),
+                pa.array(np.add.reduceat((count > 0).astype(np.int64)[some.w], some.starts)),
+                pa.array(np.full(len(sizes), model.train_tokens)),
+                pa.array(np.add.reduceat((np.log10(count + 1) - base)[some.w], some.starts)),
+                pa.array(np.add.reduceat(p[back], some.starts)),
+            ]
+            own = pa.Table.from_batches(kept).combine_chunks()
+            held.clear()
+            kept.clear()
+            return pa.RecordBatch.from_arrays([*(c.chunk(0) for c in own.columns), *columns], names=[*inner, *made])
+
+        size = 0
         for batch in batches:
             for part in slices(batch, "_text"):
-                words, bounds = tokens(part.column("_text"))
-                before = contexts(words, bounds)
-                ids, inverse = np.unique(np.append(words, BEGIN), return_inverse=True)
-                known = reader.words(ids)
-                at, context = inverse[:-1], np.where(before == BEGIN, inverse[-1], np.append(0, inverse[:-2]))
-                pair, first, back = np.unique(pair_hash(before, words), return_index=True, return_inverse=True)
-                n = reader.pairs(before[first], pair)[back]
-                total = known["total"][context]
-                p = known["gamma"][context] * known["p"][at]
-                p += np.where(total > 0, (n - d[np.minimum(n, 3)]) / np.maximum(total, 1), 0.0)
-                if model.order == 3:
-                    two = pair_hash(contexts(before, bounds), before)
-                    triple, first, back = np.unique(pair_hash(two, words), return_index=True, return_inverse=True)
-                    n = reader.triples(before[first], words[first], triple)[back]
-                    two, first, back = np.unique(two, return_index=True, return_inverse=True)
-                    total, *seen = reader.contexts(before[first], two)[:, back]
-                    held = (total > 0) & (before != BEGIN)
-                    longer = (n - d3[np.minimum(n, 3)] + (d3[1:] @ np.array(seen)) * p) / np.maximum(total, 1)
-                    p = np.where(held, longer, p)
-                count = known["count"][at]
-                starts = bounds[:-1]
-                columns = [
-                    pa.array(np.diff(bounds)),
-                    pa.array(np.add.reduceat((count > 0).astype(np.int64), starts)),
-                    pa.array(np.full(part.num_rows, model.train_tokens)),
-                    pa.array(np.add.reduceat(np.log10(count + 1) - base, starts)),
-                    pa.array(np.add.reduceat(np.log10(p), starts)),
-                ]
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in inner), *columns], names=[*inner, *made])
+                held.append(tokens(part.column("_text")))
+                kept.append(part.select(inner))
+                size += len(held[-1][0])
+                if size >= SCORE_TOKENS:
+                    yield flush()
+                    size = 0
+        if held:
+            yield flush()
 
     made = ["n_tokens", "n_known", "train_tokens", "base_score", "score"]
     kinds = ", ".join(f"{i} {docs.schema[c].dataType.simpleString()}" for c, i in zip(keep, inner))

@@ -690,3 +690,84 @@ def test_white_space_before_an_added_token(tokenizer):
     encoder = TokenEncoder(default_tokenizer())
     for text in ("\n\n<|endoftext|>", "a  <|endoftext|>  b. <|endoftext|><|endoftext|>\n\n\n", "x <|endoftext|> <|endoftext|>.", "<|endoftext|"):
         assert encoder.encode([text], 1)[0].tolist() == tokenizer.encode(text, add_special_tokens=False).ids + [1]
+
+
+# --- op 8, storage ------------------------------------------------------------------------
+
+def test_storage_of_counts_and_places(rng, tmp_path):
+    n = np.array([0, 1, 254, 255, 256, 70_000, 2**40, 3], dtype=np.int64)
+    facts = np.array([[1, 15, 14, 2**33, 0], [1, 0, 14, 9, 0], [0, 0, 0, 20, 0], [0, 5, 0, 2, 0]], dtype=np.int64)
+    starts = np.array([0, 0, 3, 65_535, 65_536, 200_000, 200_001, 1_000_000])
+    path = kneserney._write_array(f"file://{tmp_path}/a", 0, [*kneserney._counts(n), *kneserney._facts(facts), *kneserney._places(starts)])
+    columns = kneserney.read_array(path)
+    some = rng.integers(0, 8, 50)
+    assert kneserney._counts_at(columns[:3], some).tolist() == n[some].tolist()
+    assert kneserney._facts_at(columns[3:6], some % 5).tolist() == facts[:, some % 5].tolist()
+    assert kneserney._places_at(columns[6:], some).tolist() == starts[some].tolist()
+    packed = kneserney._unpack(kneserney._pack(n, n[:0], starts))
+    assert [p.tolist() for p in packed] == [n.tolist(), [], starts.tolist()]
+
+
+@pytest.mark.parametrize("most", [5, 2**22, 2**31])
+def test_keys_of_triples_keep_their_order(rng, most):
+    u, w, t = (rng.integers(0, most, 300) for _ in range(3))
+    u[:100], w[:50] = u[0], w[0]
+    key, how = kneserney._keys(u, w, t)
+    ordered = key[np.lexsort((t, w, u))]
+    assert (ordered[1:] >= ordered[:-1]).all()
+    assert [x.tolist() for x in kneserney._unkeyed(np.sort(key), how)] == [list(c) for c in zip(*sorted(zip(u.tolist(), w.tolist(), t.tolist())))]
+
+
+def test_size_of_a_trigram_model(spark):
+    """N-grams take a few bytes each: runs below their context, no hash, one byte a count."""
+    import os
+    import random
+
+    from nearfield.llm.kneserney import fit_ngrams
+
+    r = random.Random(3)
+    texts = [[f"w{int(r.paretovariate(0.7)) % 2000}" for _ in range(300)] for _ in range(100)]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    model = fit_ngrams(docs)
+    paths = [p for v in vars(model).values() if isinstance(v, dict) for p in v.values()]
+    size = sum(os.path.getsize(p.removeprefix("file://").removeprefix("file:")) for p in paths)
+    texts = [["<", *t, ">"] for t in texts]
+    one, two, three = ({tuple(t[i : i + n]) for t in texts for i in range(len(t) + 1 - n)} for n in (1, 2, 3))
+    assert size < 32 * len(one) + 6 * len(two) + 9 * len({g[:2] for g in three}) + 4 * len(three) + 2000
+
+
+def test_trigrams_of_frequent_words(spark):
+    """One bigram holds most tokens and has many words before and after it; contexts are spread over shards."""
+    import random
+
+    from nearfield.llm.kneserney import fit_ngrams
+
+    r = random.Random(4)
+    texts = ["a b " * 400 + "a a " * 300] + [" ".join(f"{r.choice('xyz')}{i % 290} a b y{r.randrange(300)}" for i in range(40)) for _ in range(30)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    train = [t.split() + [">"] for t in texts[:25]]
+    triples = Counter(x for t in train for x in zip(["<", *t], t, t[1:]))
+    pairs = Counter((v, w) for _, v, w in triples) + Counter(("<", t[0]) for t in train)
+    lefts, size = Counter(w for _, w in pairs), len({w for t in train for w in t})
+
+    def level(grams):
+        d = (0, *kneserney._discounts(*(sum(1 for c in grams.values() if c == k) for k in (1, 2, 3, 4))))
+        mass, rest = Counter(), defaultdict(float)
+        for g, c in grams.items():
+            mass[g[:-1]] += c
+            rest[g[:-1]] += d[min(c, 3)]
+        return lambda g, p: p if not mass[g[:-1]] else (grams[g] - d[min(grams[g], 3)] + rest[g[:-1]] * p) / mass[g[:-1]]
+
+    one, two, three = (level(x) for x in (Counter({(w,): c for w, c in lefts.items()}), pairs, triples))
+
+    def score(t):
+        t = ["<", *t.split(), ">"]
+        p = [two((t[i - 1], t[i]), one((t[i],), 1 / (size + 1))) for i in range(1, len(t))]
+        return sum(math.log10(three((t[i - 1], t[i], t[i + 1]), p[i]) if i else p[0]) for i in range(len(p)))
+
+    expected = [(i, round(score(t), 6)) for i, t in enumerate(texts)]
+    for shard_tokens in (100_000, 500):
+        model = fit_ngrams(docs.where("doc_id < 25"), shard_tokens=shard_tokens)
+        assert (len(model.hot) > 1) == (shard_tokens == 500)
+        found = score_texts(docs, model).withColumn("score", F.round("score", 6))
+        assert sorted(rows(found, "doc_id", "score")) == expected
