@@ -10,6 +10,7 @@ alike everywhere. NumPy runs one step of all blocks at a time; blocks do not tou
 from __future__ import annotations
 
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 
@@ -21,79 +22,115 @@ CONFIDENT = 7
 LOW32 = np.uint64(1 << 32)
 TOP = np.uint64(1 << 48)
 _ONES = np.uint64(0x0101010101010101)
-_U16, _U32, _U48 = np.uint64(16), np.uint64(32), np.uint64(48)
+_U16, _U48, _SCALE = np.uint64(16), np.uint64(48), np.uint64(SCALE)
+_HASH1, _HASH2 = np.array([[0x9E3779B1], [0x85EBCA6B]], dtype=np.uint32), np.uint32(0xC2B2AE35)
+_SHIFTS = np.array([[32 - SLOTS1], [32 - SLOTS2]], dtype=np.uint32)
+_U1, _U3, _U7 = np.uint32(1), np.uint32(3), np.uint32(7)
+WHOLE = -1 << SCALE  # 2**15 in the 16 bits of a count, which bounds read without their sign
 
 
 def _steps(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """First cumulative counts of ``n`` symbols, and what each symbol pulls them towards."""
+    """Ends of ``n`` symbols' first cumulative counts, and what each symbol pulls them towards."""
     whole = 1 << SCALE
-    start = np.array([whole * i // n for i in range(n)], dtype=np.int16)
+    start = np.array([whole * i // n for i in range(1, n)] + [WHOLE], dtype=np.int16)
     room = whole - n * LEAST
-    pull = np.array([[LEAST * i + (room if i > s else 0) for i in range(n)] for s in range(n)], dtype=np.int16)
-    return start, pull  # below 2**15, as are all differences, so 16 bits do
+    pull = [[LEAST * i + (room if i > s else 0) for i in range(1, n)] + [WHOLE] for s in range(n)]
+    return start, np.array(pull, dtype=np.int16)  # below 2**15, as are all differences, so 16 bits do
 
 
 START16, PULL16 = _steps(16)
-START3, PULL3 = _steps(3)
+START3, PULL3 = (np.insert(a, 2, 0, axis=-1) for a in _steps(3))  # four numbers, moved as one
 
 
 class _Model:
-    """The adaptive state of ``lanes`` blocks."""
+    """The adaptive state of ``lanes`` blocks. Rows of counts are moved whole, as single items.
+
+    What all blocks keep for one context lies together: frequent contexts are so to many blocks at a time, and share pages.
+    """
 
     def __init__(self, lanes: int, nibbles: int):
         self.nibbles = nibbles
-        self.one = np.zeros((lanes, 1 << SLOTS1), dtype=np.uint32)  # id << 3 | confidence
-        self.two = np.zeros((lanes, 1 << SLOTS2), dtype=np.uint32)
-        self.weights = np.tile(START3, (lanes * 128, 1))
+        self.lanes = lanes
+        self.slots = np.zeros((lanes << SLOTS1) + (lanes << SLOTS2), dtype=np.uint32)  # order 1, then 2: id << 3 | confidence
+        self.first = np.stack([np.arange(lanes), np.arange(lanes) + (lanes << SLOTS1)])
+        self.weights = np.tile(START3, lanes * 128).view(np.uint64)
         rows = [min(16**i, 256) for i in range(nibbles)]  # a nibble's contexts: the two nibbles before it, if there are
-        self.places, self.rows = [sum(rows[:i]) for i in range(nibbles)], sum(rows)
-        self.zero = np.tile(START16, (lanes * self.rows, 1))
+        self.places = lanes * np.array([sum(rows[:i]) for i in range(nibbles)])[:, None]
+        self.zero = np.tile(START16, lanes * sum(rows)).view("V32")
         self.last = np.zeros(lanes, dtype=np.uint32)
         self.before = np.zeros(lanes, dtype=np.uint32)
 
     def predict(self, n: int) -> None:
         """Look up both predictions of the first ``n`` blocks."""
-        a, b = self.last[:n], self.before[:n]
-        rows = np.arange(n)
-        self.at1 = rows * (1 << SLOTS1) + ((a * np.uint32(0x9E3779B1)) >> np.uint32(32 - SLOTS1))
-        self.at2 = rows * (1 << SLOTS2) + ((a * np.uint32(0x85EBCA6B) + b * np.uint32(0xC2B2AE35)) >> np.uint32(32 - SLOTS2))
-        self.s1, self.s2 = self.one.reshape(-1).take(self.at1), self.two.reshape(-1).take(self.at2)
-        self.id1, self.id2 = self.s1 >> np.uint32(3), self.s2 >> np.uint32(3)
-        sure1, sure2 = self.s1 & np.uint32(7), self.s2 & np.uint32(7)
-        pair = sure2 * np.uint32(8) + sure1 + np.where(self.id1 == self.id2, np.uint32(64), np.uint32(0))
-        self.wat = rows * 128 + pair.astype(np.int64)
-        self.w = self.weights.take(self.wat, axis=0)
+        h = self.last[:n] * _HASH1
+        h[1] += self.before[:n] * _HASH2
+        h >>= _SHIFTS
+        self.at = h * np.int64(self.lanes)
+        self.at += self.first[:, :n]
+        self.state = self.slots.take(self.at)
+        self.known = self.state >> _U3
+        self.sure = self.state & _U7
+        pair = (self.sure[1] << _U3) + self.sure[0]
+        pair += (self.known[0] == self.known[1]).view(np.uint8) << np.uint8(6)
+        self.wat = pair * np.int64(self.lanes)
+        self.wat += self.first[0, :n]
+        self.w = self.weights.take(self.wat).view(np.int16).reshape(n, 4)
 
     def learn(self, n: int, ids: np.ndarray, slot: np.ndarray) -> None:
-        self.weights[self.wat] = self.w + ((PULL3.take(slot, axis=0) - self.w) >> RATE)
-        for table, at, state, known in ((self.one, self.at1, self.s1, self.id1), (self.two, self.at2, self.s2, self.id2)):
-            sure = state & np.uint32(7)
-            right = known == ids
-            fresh = (ids << np.uint32(3)) | np.uint32(1)
-            up = state + (sure < CONFIDENT)
-            down = np.where(sure <= 1, fresh, state - sure + (sure >> np.uint32(1)))
-            table.reshape(-1)[at] = np.where(right, up, down)
+        pull = PULL3.take(slot, axis=0)
+        pull -= self.w
+        pull >>= RATE
+        pull += self.w
+        self.weights[self.wat] = pull.view(np.uint64).reshape(-1)
+        state, sure = self.state, self.sure
+        wrong = self.known != ids
+        down = (sure + _U1) >> _U1
+        new = np.where(wrong, state - down, state + (sure < CONFIDENT))
+        wrong &= sure <= _U1
+        np.copyto(new, (ids << _U3) | _U1, where=wrong)
+        self.slots[self.at.reshape(-1)] = new.reshape(-1)
         self.before[:n] = self.last[:n]
         self.last[:n] = ids
 
-
-def _bounds(counts: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Start and share of a symbol in rows of cumulative counts."""
-    width = counts.shape[1]
-    at = np.arange(0, counts.size, width) + symbol
-    flat = counts.reshape(-1)
-    start = flat.take(at).astype(np.int64)
-    end = np.where(symbol == width - 1, 1 << SCALE, flat.take(at + 1, mode="clip").astype(np.int64))
-    return start.view(np.uint64), (end - start).view(np.uint64)
+    def nibbles_seen(self, at: np.ndarray, counts: np.ndarray, symbol: np.ndarray) -> None:
+        """Adapt the rows at ``at``, which hold ``counts``, to their symbols."""
+        pull = PULL16.take(symbol, axis=0)
+        pull -= counts
+        pull >>= RATE
+        pull += counts
+        np.put(self.zero, at, pull.reshape(-1).view("V32"))
 
 
-def _symbol(counts: np.ndarray, value: np.ndarray) -> np.ndarray:
-    """The last symbol of each row that starts at or below ``value``."""
-    below = counts <= value[:, None]
-    if counts.shape[1] == 3:
-        return below[:, 1].astype(np.int64) + below[:, 2]
-    halves = below.view(np.uint64)  # sixteen 0/1 bytes; a product adds up their bytes
-    return (((halves[:, 0] + halves[:, 1]) * _ONES) >> np.uint64(56)).view(np.int64) - 1
+def _bounds(counts: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and share of a symbol in rows of ends of cumulative counts."""
+    flat = counts.reshape(-1).view(np.uint16)
+    at = np.arange(0, len(flat), counts.shape[1]) + symbol
+    end = flat.take(at)
+    at -= 1
+    start = flat.take(at, mode="wrap") & np.uint16((1 << SCALE) - 1)  # before a row lies the whole of another
+    end -= start
+    return start.astype(np.uint64), end.astype(np.uint64)
+
+
+def _slot_bounds(w: np.ndarray, slot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and share of one of three slots in rows ``end, end, 0, whole``."""
+    start = np.where(slot == 0, 0, np.where(slot == 1, w[:, 0], w[:, 1]))
+    end = np.where(slot == 0, w[:, 0], np.where(slot == 1, w[:, 1], WHOLE))
+    return start.astype(np.uint64), (end - start).view(np.uint16).astype(np.uint64)
+
+
+def _settle(low: np.ndarray, size: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Shift out the top 16 bits of intervals that are too small; tells each time which, and their low ends."""
+    small = np.flatnonzero(size < LOW32)
+    while len(small):
+        at, part = low[small], size[small]
+        open_ = (at ^ (at + part)) >= TOP  # the top bits are not settled: give up what lies beyond
+        if open_.any():
+            part = np.where(open_, (~at + np.uint64(1)) & (LOW32 - np.uint64(1)), part)
+        yield small, at
+        part <<= _U16
+        low[small], size[small] = at << _U16, part
+        small = small[part < LOW32]
 
 
 class _Encoder:
@@ -102,75 +139,76 @@ class _Encoder:
         self.range = np.full(lanes, TOP, dtype=np.uint64)
         # Lanes side by side: they fill up at about one pace, so memory is touched as far as the longest payload only.
         self.words = np.zeros((steps * (nibbles + 1) + 8, lanes), dtype=np.uint16)
-        self.used = np.zeros(lanes, dtype=np.int64)
-
-    def put(self, lanes: np.ndarray | slice, start: np.ndarray, share: np.ndarray) -> None:
-        step = self.range[lanes] >> np.uint64(SCALE)
-        low, size = self.low[lanes] + step * start, step * share
-        while len(small := np.flatnonzero(size < LOW32)):
-            at, part = low[small], size[small]
-            open_ = (at ^ (at + part)) >= TOP  # the top bits are not settled: give up what lies beyond
-            if open_.any():
-                part = np.where(open_, (~at + np.uint64(1)) & (LOW32 - np.uint64(1)), part)
-            who = small if isinstance(lanes, slice) else lanes[small]
-            self.words[self.used[who], who] = (at >> _U48).astype(np.uint16)
-            self.used[who] += 1
-            low[small], size[small] = at << _U16, part << _U16
-        self.low[lanes], self.range[lanes] = low, size
+        self.flat = self.words.reshape(-1)
+        self.next = np.arange(lanes)  # place of each lane's next word
+
+    def put(self, lanes: np.ndarray | None, low: np.ndarray, size: np.ndarray, start: np.ndarray, share: np.ndarray) -> np.ndarray:
+        """Narrow intervals to a symbol each, ``low`` in place; returns their sizes."""
+        step = size >> _SCALE
+        low += step * start
+        step *= share
+        for small, at in _settle(low, step):
+            who = small if lanes is None else lanes[small]
+            place = self.next[who]
+            self.flat[place] = (at >> _U48).astype(np.uint16)
+            self.next[who] = place + len(self.low)
+        return step
 
     def finish(self) -> list[bytes]:
-        rows = np.arange(len(self.low))
+        used, rows = self.next // len(self.low), np.arange(len(self.low))
         for shift in (48, 32, 16, 0):
-            self.words[self.used, rows] = (self.low >> np.uint64(shift)).astype(np.uint16)
-            self.used += 1
-        words = np.ascontiguousarray(self.words[: self.used.max()].T, dtype="<u2")
-        return [w[:n].tobytes() for w, n in zip(words, self.used.tolist())]
+            self.words[used, rows] = (self.low >> np.uint64(shift)).astype(np.uint16)
+            used += 1
+        words = np.ascontiguousarray(self.words[: used.max()].T, dtype="<u2")
+        return [w[:n].tobytes() for w, n in zip(words, used.tolist())]
 
 
 class _Decoder:
     def __init__(self, payloads: list[bytes]):
         words = [np.frombuffer(p, dtype="<u2") for p in payloads]
-        self.words = np.zeros((len(words), max(map(len, words)) + 8), dtype=np.uint16)
-        for row, w in zip(self.words, words):
-            row[: len(w)] = w
+        self.words = np.zeros((max(map(len, words)) + 8, len(words)), dtype=np.uint16)  # lanes side by side, as they were written
+        for lane, w in enumerate(words):
+            self.words[: len(w), lane] = w
         self.low = np.zeros(len(words), dtype=np.uint64)
         self.range = np.full(len(words), TOP, dtype=np.uint64)
         self.code = np.zeros(len(words), dtype=np.uint64)
         for i in range(4):
-            self.code = (self.code << _U16) | self.words[:, i].astype(np.uint64)
-        self.used = np.full(len(words), 4)
-
-    def get(self, lanes: np.ndarray | slice, counts: np.ndarray) -> np.ndarray:
-        step = self.range[lanes] >> np.uint64(SCALE)
-        low = self.low[lanes]
-        value = np.minimum((self.code[lanes] - low) // step, np.uint64((1 << SCALE) - 1)).astype(np.int16)
-        symbol = _symbol(counts, value)
-        start, share = _bounds(counts, symbol)
-        low, size = low + step * start, step * share
-        while len(small := np.flatnonzero(size < LOW32)):
-            at, part = low[small], size[small]
-            open_ = (at ^ (at + part)) >= TOP
-            if open_.any():
-                part = np.where(open_, (~at + np.uint64(1)) & (LOW32 - np.uint64(1)), part)
-            who = small if isinstance(lanes, slice) else lanes[small]
-            at_word = np.minimum(self.used[who], self.words.shape[1] - 1)
-            self.code[who] = (self.code[who] << _U16) | self.words[who, at_word].astype(np.uint64)
-            self.used[who] += 1
-            low[small], size[small] = at << _U16, part << _U16
-        self.low[lanes], self.range[lanes] = low, size
-        return symbol
-
-
-def _nibble(model: _Model, lanes: np.ndarray, i: int, past: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where the counts of nibble ``i`` lie, given the two nibbles before it, and the counts."""
-    at = lanes * model.rows + (model.places[i] + past)
-    return at, model.zero.take(at, axis=0)
+            self.code = (self.code << _U16) | self.words[i].astype(np.uint64)
+        self.flat = self.words.reshape(-1)
+        self.next = np.arange(4 * len(words), 5 * len(words))
+
+    def take(self, lanes: np.ndarray | None, low: np.ndarray, step: np.ndarray, code: np.ndarray, start: np.ndarray, share: np.ndarray) -> np.ndarray:
+        """Narrow intervals to the symbols found, ``low`` and ``code`` in place; returns their sizes."""
+        low += step * start
+        size = step * share
+        for small, _ in _settle(low, size):
+            who = small if lanes is None else lanes[small]
+            place = self.next[who]
+            code[small] = (code[small] << _U16) | self.flat.take(place, mode="clip")
+            self.next[who] = place + len(self.low)
+        return size
 
 
 def _nibbles(ids_bits: int) -> int:
     return 4 if ids_bits <= 16 else 7
 
 
+def _symbol(counts: np.ndarray, past: np.ndarray, step: np.ndarray) -> np.ndarray:
+    """Symbols of rows of counts, given how far the code lies in each interval and the size of a count."""
+    value = past.view(np.int64).astype(np.float64)  # exact, as both are below 2**48 and the quotient is rounded down
+    value /= step.view(np.int64).astype(np.float64)
+    np.minimum(value, (1 << SCALE) - 1, out=value)
+    below = (counts <= value.astype(np.int16)[:, None]).view(np.uint64)  # sixteen 0/1 bytes, the last 1; a product adds up their bytes
+    return (((below[:, 0] + below[:, 1]) * _ONES) >> np.uint64(56)).view(np.int64) - 1
+
+
+def _widths(lengths: np.ndarray) -> Iterator[tuple[int, range]]:
+    """How many blocks, of falling lengths, are coded side by side, and in which steps."""
+    ends = np.unique(lengths)
+    for first, end in zip([0, *ends[:-1].tolist()], ends.tolist()):
+        yield int((lengths >= end).sum()), range(first, end)
+
+
 def encode_blocks(blocks: list[np.ndarray], nibbles: int) -> list[bytes]:
     """Payloads of blocks of ids, each decodable alone. Ids need ``nibbles`` * 4 bits, 28 at most."""
     order = sorted(range(len(blocks)), key=lambda i: -len(blocks[i]))
@@ -179,21 +217,30 @@ def encode_blocks(blocks: list[np.ndarray], nibbles: int) -> list[bytes]:
     for column, i in enumerate(order):
         table[: len(blocks[i]), column] = blocks[i]
     model, coder = _Model(len(blocks), nibbles), _Encoder(len(blocks), int(lengths[0]), nibbles)
-    for t in range(lengths[0]):
-        n = int(np.searchsorted(-lengths, -t, side="left"))
-        ids = table[t, :n].astype(np.uint32)
-        model.predict(n)
-        slot = np.where(model.id2 == ids, 0, np.where(model.id1 == ids, 1, 2))
-        coder.put(slice(0, n), *_bounds(model.w, slot))
-        missed = np.flatnonzero(slot == 2)
-        past, rest = np.zeros(len(missed), dtype=np.int64), ids[missed].astype(np.int64)
-        for i in range(nibbles):
-            at, counts = _nibble(model, missed, i, past)
-            symbol = (rest >> (4 * (nibbles - 1 - i))) & 15
-            coder.put(missed, *_bounds(counts, symbol))
-            model.zero[at] = counts + ((PULL16.take(symbol, axis=0) - counts) >> RATE)
-            past = ((past << 4) | symbol) & 255
-        model.learn(n, ids, slot)
+    shifts = 4 * np.arange(nibbles - 1, -1, -1)[:, None]
+    for n, steps in _widths(lengths):
+        low, size = coder.low[:n], coder.range[:n]
+        for t in steps:
+            ids = table[t, :n].astype(np.uint32)
+            model.predict(n)
+            slot = np.where(model.known[1] == ids, 0, np.where(model.known[0] == ids, 1, 2))
+            size[:] = coder.put(None, low, size, *_slot_bounds(model.w, slot))
+            missed = np.flatnonzero(slot == 2)
+            if len(missed):
+                prefix = ids[missed].astype(np.int64) >> shifts  # a row for each nibble
+                symbol = prefix & 15
+                at = ((prefix >> 4) & 255) * model.lanes
+                at += missed
+                at += model.places
+                at, symbol = at.reshape(-1), symbol.reshape(-1)
+                counts = model.zero.take(at).view(np.int16).reshape(-1, 16)
+                start, share = (x.reshape(nibbles, -1) for x in _bounds(counts, symbol))
+                model.nibbles_seen(at, counts, symbol)
+                part, rest = low[missed], size[missed]
+                for i in range(nibbles):
+                    rest = coder.put(missed, part, rest, start[i], share[i])
+                low[missed], size[missed] = part, rest
+            model.learn(n, ids, slot)
     out: list[bytes] = [b""] * len(blocks)
     for i, payload in zip(order, coder.finish()):
         out[i] = payload
@@ -206,22 +253,33 @@ def decode_blocks(payloads: list[bytes], lengths: list[int], nibbles: int) -> li
     sizes = np.array([lengths[i] for i in order])
     table = np.zeros((sizes[0], len(payloads)), dtype=np.uint16 if nibbles <= 4 else np.uint32)
     model, coder = _Model(len(payloads), nibbles), _Decoder([payloads[i] for i in order])
-    for t in range(sizes[0]):
-        n = int(np.searchsorted(-sizes, -t, side="left"))
-        model.predict(n)
-        slot = coder.get(slice(0, n), model.w)
-        ids = np.where(slot == 0, model.id2, model.id1)
-        missed = np.flatnonzero(slot == 2)
-        past, value = np.zeros(len(missed), dtype=np.int64), np.zeros(len(missed), dtype=np.int64)
-        for i in range(nibbles):
-            at, counts = _nibble(model, missed, i, past)
-            symbol = coder.get(missed, counts)
-            model.zero[at] = counts + ((PULL16.take(symbol, axis=0) - counts) >> RATE)
-            past = ((past << 4) | symbol) & 255
-            value = (value << 4) | symbol
-        ids[missed] = value
-        model.learn(n, ids, slot)
-        table[t, :n] = ids
+    for n, steps in _widths(sizes):
+        low, size, code = coder.low[:n], coder.range[:n], coder.code[:n]
+        for t in steps:
+            model.predict(n)
+            step, past = size >> _SCALE, code - low
+            ends = model.w[:, :2].astype(np.uint64)
+            slot = (past >= step * ends[:, 0]).view(np.int8) + (past >= step * ends[:, 1]).view(np.int8)
+            size[:] = coder.take(None, low, step, code, *_slot_bounds(model.w, slot))
+            ids = np.where(slot == 0, model.known[1], model.known[0])
+            missed = np.flatnonzero(slot == 2)
+            if len(missed):
+                at, counts = np.empty((nibbles, len(missed)), np.int64), np.empty((nibbles, len(missed), 16), np.int16)
+                symbols, value, own = np.empty((nibbles, len(missed)), np.int64), np.zeros(len(missed), np.int64), missed + model.places
+                part, rest, codes = low[missed], size[missed], code[missed]
+                for i in range(nibbles):
+                    np.add(own[i], (value & 255) * model.lanes, out=at[i])
+                    model.zero.take(at[i], out=counts[i].reshape(-1).view("V32"), mode="clip")
+                    step = rest >> _SCALE
+                    symbols[i] = _symbol(counts[i], codes - part, step)
+                    rest = coder.take(missed, part, step, codes, *_bounds(counts[i], symbols[i]))
+                    value <<= 4
+                    value |= symbols[i]
+                low[missed], size[missed], code[missed] = part, rest, codes
+                model.nibbles_seen(at.reshape(-1), counts.reshape(-1, 16), symbols.reshape(-1))
+                ids[missed] = value
+            model.learn(n, ids, slot)
+            table[t, :n] = ids
     del model, coder
     out: list[np.ndarray] = [np.zeros(0, np.uint32)] * len(payloads)
     for row, i in enumerate(order):

@@ -692,6 +692,31 @@ def test_white_space_before_an_added_token(tokenizer):
         assert encoder.encode([text], 1)[0].tolist() == tokenizer.encode(text, add_special_tokens=False).ids + [1]
 
 
+def test_steps_of_the_id_coder():
+    """A step of all blocks is a bounded number of calls, and payloads stay readable: they are those of earlier versions."""
+    import cProfile
+    import pstats
+
+    state, blocks = 1, []
+    for n in (1, 900, 3, 2000, 700):
+        ids = []
+        for _ in range(n):
+            state = (state * 1103515245 + 12345) % 2**31
+            ids.append(min(50_256, 2**31 // (state + 1)) if state % 3 else len(ids) % 7)
+        blocks.append(np.array(ids, dtype=np.uint32))
+    for nibbles, digest in ((4, "51e65453fcbd3254"), (7, "ca664b5448177d18")):
+        payloads = encode_blocks(blocks, nibbles)
+        assert hashlib.sha256(b"".join(payloads)).hexdigest()[:16] == digest
+        assert [ids.tolist() for ids in decode_blocks(payloads, [len(b) for b in blocks], nibbles)] == [b.tolist() for b in blocks]
+
+    same = [blocks[3]] * 40
+    payloads = encode_blocks(same, 4)
+    for code, most in ((lambda: encode_blocks(same, 4), 140), (lambda: decode_blocks(payloads, [2000] * 40, 4), 175)):
+        profile = cProfile.Profile()
+        profile.runcall(code)
+        assert pstats.Stats(profile).total_calls < most * 2000
+
+
 # --- op 8, storage ------------------------------------------------------------------------
 
 def test_storage_of_counts_and_places(rng, tmp_path):
