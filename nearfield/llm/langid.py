@@ -22,6 +22,7 @@ from nearfield.session import cut_lineage
 UNKNOWN = "und"
 WORD_BYTES = 32  # longer words are scored in runs of so many bytes, which bounds the exponent
 CHUNK_WORDS = 6_000
+SCORE_WORDS = 1_500  # scored side by side; what their lattice takes stays with the Python worker through later stages
 SCALE = 64.0  # per byte; keeps products of probabilities inside a double
 MAX_LANGUAGES = 256
 _PRIME = np.uint64(0x100000001B3)
@@ -113,8 +114,8 @@ def word_scores(pieces: Pieces, log_p: np.ndarray, data: np.ndarray, starts: np.
     p = np.vstack([np.exp(log_p), np.zeros(log_p.shape[1])])
     out = np.empty((len(starts), p.shape[1]))
     order = np.argsort(lengths, kind="stable")
-    for at in range(0, len(order), CHUNK_WORDS):
-        pick = order[at : at + CHUNK_WORDS]
+    for at in range(0, len(order), SCORE_WORDS):
+        pick = order[at : at + SCORE_WORDS]
         alpha = _forward(pieces.lattice(_matrix(data, starts[pick], lengths[pick])), p)
         whole = alpha[lengths[pick] + 1, np.arange(len(pick))]
         out[pick] = np.log(np.maximum(whole, 1e-300)) - (lengths[pick] + 1)[:, None] * np.log(SCALE)

@@ -19,7 +19,7 @@ _BLANK = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"  # f
 PIECE = re.compile(f"[{_BLANK}]?[^{_BLANK}]+|[{_BLANK}]+(?![^{_BLANK}])|[{_BLANK}]")
 _ODD = re.compile("[" + _BLANK.replace(r"\t-\r ", r"\0\t\x0b-\r") + "]")
 _RUN = re.compile(r"[ \n][ \n](?:[ \n]|\Z)")
-STORE_PIECES = 1_000_000  # about 200 MB
+STORE_PIECES = 400_000  # beyond, the most used half stays; a worker holds them through later stages
 BLOCK = 16_384  # pieces whose ids are copied at a time
 JOINED = 64  # pieces encoded as one text; one call for each would cost more than their merges
 LONG_PIECE = 64  # characters; longer pieces are encoded where they occur and not stored
@@ -84,8 +84,28 @@ class _Store:
         self.ids = np.zeros(1 << 16, dtype=np.uint16)
         self.starts = np.zeros(1 << 14, dtype=np.int32)  # each piece's span
         self.sizes = np.zeros(1 << 14, dtype=np.int32)
+        self.uses = np.zeros(1 << 14, dtype=np.int32)
         self.used = 0
 
+    def count(self, numbers: np.ndarray) -> None:
+        """Note which pieces were used."""
+        self.uses = _grown(self.uses, len(self.number))
+        self.uses[: len(self.number)] += np.bincount(numbers, minlength=len(self.number)).astype(np.int32)
+
+    def shrink(self, size: int) -> None:
+        """Keep the ``size`` most used pieces, of those used twice; half of their uses count on."""
+        known = list(self.number)  # in the order of their numbers
+        self.uses = _grown(self.uses, len(known))
+        kept = np.sort(np.argsort(-self.uses[: len(known)], kind="stable")[:size])
+        kept = kept[self.uses[kept] > 1]
+        starts, sizes, uses, old = self.starts[kept], self.sizes[kept], self.uses[kept] // 2, self.ids
+        self.clear()
+        self.number.update(zip([known[n] for n in kept.tolist()], range(len(kept))))
+        self.starts, self.sizes, self.uses = (_grown(a, len(kept)) for a in (self.starts, self.sizes, self.uses))
+        ends = np.cumsum(sizes, dtype=np.int64)
+        self._append(old[np.repeat(starts - ends + sizes, sizes) + np.arange(int(sizes.sum()))])
+        self.starts[: len(kept)], self.sizes[: len(kept)], self.uses[: len(kept)] = ends - sizes, sizes, uses
+
     def pieces(self, text: str) -> list[str]:
         """Pieces of a text. The tokenizer cuts added tokens out first, so white space before one ends like a text's."""
         if self.added is None or not self.added.search(text):
@@ -158,8 +178,10 @@ class TokenEncoder:
     def encode(self, texts: list[str], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids (unsigned 32-bit), ``end_id`` after each text, and the n + 1 offsets of the texts."""
         store = self.store
-        if len(store.number) > STORE_PIECES or store.new:  # not settled: the task before failed
+        if store.new:  # not settled: the task before failed
             store.clear()
+        if len(store.number) > STORE_PIECES:
+            store.shrink(STORE_PIECES // 2)
         look, parts = store.number.__getitem__, []
         for text in texts:  # one text at a time, as its pieces are still in the processor's cache
             found = store.pieces(text)
@@ -172,6 +194,7 @@ class TokenEncoder:
         store.long.clear()
 
         known = np.maximum(number, 0)
+        store.count(known)
         starts, lengths = store.starts.take(known), store.sizes.take(known)
         for i, ids in enumerate(rare):
             lengths[number == -1 - i] = len(ids)

@@ -660,6 +660,50 @@ def test_punctuation_behind_words_costs_no_encoding(monkeypatch):
     assert len(calls) == 1 and calls[0].count("three") == calls[0].count("Zürich") == 1
 
 
+def test_a_full_store_keeps_the_pieces_in_use(monkeypatch):
+    """Beyond its bound the store gives up rare pieces only; ids stay those of the whole text."""
+    from nearfield.llm import tokens
+
+    monkeypatch.setattr(tokens, "_HOME", "_nearfield_piece_store_of_a_third_test")
+    monkeypatch.setattr(tokens, "STORE_PIECES", 500)
+    encoder = tokens.TokenEncoder(tokens.default_tokenizer())
+    whole, calls = encoder.store.tokenizer, []
+
+    class Counted:
+        def encode_batch_fast(self, texts, **how):
+            calls.append("".join(texts))
+            return whole.encode_batch_fast(texts, **how)
+
+        def encode(self, text, **how):
+            return whole.encode(text, **how)
+
+    encoder.store.tokenizer = Counted()
+    for at in range(20):
+        texts = ["the Zürich, often" * 3 + "".join(f" w{at}x{i}." for i in range(100)), "often the Zürich, often " + "v" * 80]
+        ids, offsets = encoder.encode(texts, 1)
+        for i, text in enumerate(texts):
+            assert ids[offsets[i] : offsets[i + 1]].tolist() == whole.encode(text, add_special_tokens=False).ids + [1]
+        assert len(encoder.store.number) <= 500 + 250
+    assert "".join(calls).count("Zürich") == 1
+
+
+def test_memory_of_word_scores():
+    """Scoring long words takes some megabytes, however many there are, as it stays with the worker."""
+    import tracemalloc
+
+    from nearfield.llm.langid import WORD_BYTES, Pieces, default_vocabulary, word_scores
+
+    pieces = Pieces(default_vocabulary())
+    log_p = np.log(np.full((pieces.n, 8), 1 / pieces.n))
+    data = np.resize(np.frombuffer(b"abcdefghijklmnopqrstuvwxyz", np.uint8), 6_000 * WORD_BYTES)
+    starts = np.arange(6_000) * WORD_BYTES
+    tracemalloc.start()
+    word_scores(pieces, log_p, data, starts, np.full(6_000, WORD_BYTES))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 20 << 20
+
+
 def test_memory_of_the_id_coder():
     """Coding 1,024 blocks touches little beyond the model, and a file's writer holds ids at their width."""
     import io
